@@ -314,14 +314,23 @@ select 'top_artists', artist, {rounded("total")} from (
 
 SQL["pipeline_checks"] = f"""
 with {_RELEASES},
-years as (select release_year, count(*) as n from releases group by release_year)
-select (select count(*) from lineitem) as bronze_rows,
-  (select count(*) from releases) as silver_rows,
-  (select count(*) from years) as gold_rows_yearly_stream_trends,
-  (select cast(sum(least(n, 5)) as bigint) from years) as gold_rows_top_songs_per_year,
-  (select least(count(distinct artist), 10) from releases) as gold_rows_top_artists,
-  cast(0 as bigint) as null_artists_bronze,
-  cast(0 as bigint) as null_streams_silver,
-  (select count(distinct artist) from releases) as distinct_artists_silver,
-  (select least(count(distinct artist), 10) from releases) as distinct_artists_gold
+years as (select release_year, count(*) as n from releases group by release_year),
+artists as (select count(distinct artist) as n from releases)
+select 'bronze_rows' as "check", (select count(*) from lineitem) as value
+union all
+select 'silver_rows', (select count(*) from releases)
+union all
+select 'gold_rows_yearly_stream_trends', (select count(*) from years)
+union all
+select 'gold_rows_top_songs_per_year', (select cast(sum(least(n, 5)) as bigint) from years)
+union all
+select 'gold_rows_top_artists', (select least(n, 10) from artists)
+union all
+select 'null_artists_bronze', (select count(*) from lineitem where l_suppkey is null)
+union all
+select 'null_streams_silver', (select count(*) from releases where streams_30d is null)
+union all
+select 'distinct_artists_silver', (select n from artists)
+union all
+select 'distinct_artists_gold', (select least(n, 10) from artists)
 """

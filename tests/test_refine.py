@@ -1,0 +1,139 @@
+import json
+from datetime import datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tierflow.functions import fold_case
+from tierflow.operators import conform, dedup, normalize_text, require_not_null
+
+SCHEMA = T.StructType().add("year", T.IntegerType()).add("rate %", T.DoubleType())
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_conform_casts_and_rescues(spark):
+    df = spark.createDataFrame(
+        [
+            ("1", "2020", "0.5", "x"),
+            ("2", "20x0", "1e3", "x"),
+            ("3", "2021", "n/a", None),
+            ("4", "bad", "worse", "x"),
+            ("5", None, "", "x"),
+            ("6", "   ", None, "x"),
+            ("7", "99999999999", "NaN", "x"),
+        ],
+        ["id", "year", "rate %", "extra"],
+    )
+    out = conform(df, SCHEMA)
+    assert [f.dataType.simpleString() for f in out.schema] == [
+        "string",
+        "int",
+        "double",
+        "string",
+        "string",
+    ]
+    got = {r["id"]: r for r in out.collect()}
+    assert (got["1"]["year"], got["1"]["rate %"], got["1"]["_rescued_data"]) == (2020, 0.5, None)
+    assert got["2"]["year"] is None and got["2"]["rate %"] == 1000.0
+    assert json.loads(got["2"]["_rescued_data"]) == {"year": "20x0"}
+    assert json.loads(got["3"]["_rescued_data"]) == {"rate %": "n/a"}
+    assert json.loads(got["4"]["_rescued_data"]) == {"year": "bad", "rate %": "worse"}
+    assert got["5"]["_rescued_data"] is None and got["6"]["_rescued_data"] is None
+    assert json.loads(got["7"]["_rescued_data"]) == {"year": "99999999999"}
+
+
+def test_conform_without_rescue_and_with_missing_column(spark):
+    df = spark.createDataFrame([("1", "2")], ["year", "rate %"])
+    assert conform(df, SCHEMA, rescue=None).columns == ["year", "rate %"]
+    with pytest.raises(ValueError, match="rate"):
+        conform(df.drop("rate %"), SCHEMA)
+
+
+def test_conform_of_fitting_columns_rescues_nothing(spark):
+    df = spark.createDataFrame([(1,)], "year int")
+    schema = T.StructType().add("year", T.IntegerType())
+    assert conform(df, schema).first() == (1, None)
+
+
+def test_normalize_text(spark):
+    df = spark.createDataFrame(
+        [("  The \t Beatles ", "a"), ("   ", "b"), ("", "c"), (None, "d")], ["artist", "id"]
+    )
+    assert rows(normalize_text(df, ["artist"])) == rows(
+        spark.createDataFrame(
+            [("The Beatles", "a"), (None, "b"), (None, "c"), (None, "d")], ["artist", "id"]
+        )
+    )
+    assert normalize_text(df, ["artist"], case="upper").first()["artist"] == "THE BEATLES"
+    assert normalize_text(df, ["artist"], case="title").first()["artist"] == "The Beatles"
+    with pytest.raises(ValueError, match="case"):
+        fold_case(F.col("artist"), "sponge")
+
+
+def test_require_not_null_keeps_nan_and_is_pushed_down(spark, tmp_path):
+    df = spark.createDataFrame([(1.0, "a"), (None, "b"), (float("nan"), "c"), (2.0, None)], ["v", "k"])
+    assert [r["k"] for r in require_not_null(df, ["v"]).collect()] == ["a", "c", None]
+    assert require_not_null(df, ["v", "k"]).count() == 2
+    df.write.parquet(str(tmp_path / "t"))
+    plan = plan_of(require_not_null(spark.read.parquet(str(tmp_path / "t")), ["v", "k"]))
+    assert "PushedFilters: [IsNotNull(v), IsNotNull(k)]" in plan
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dedup_treats_nulls_and_nans_as_equal(spark):
+    df = spark.createDataFrame(
+        [(None, float("nan")), (None, float("nan")), ("a", 0.0), ("a", -0.0)], ["k", "v"]
+    )
+    assert dedup(df).count() == 2
+
+
+T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
+
+
+def test_dedup_by_row_depends_on_arrival_by_record_does_not(spark):
+    records = ["a", "b", "c", "a", "b"]
+    together = spark.createDataFrame([(r, T1) for r in records], ["r", "ingestion_time"])
+    apart = spark.createDataFrame(
+        [(r, T1 if i < 3 else T2) for i, r in enumerate(records)], ["r", "ingestion_time"]
+    )
+    assert dedup(together).count() == 3
+    assert dedup(apart).count() == 5
+    expected = [("a", T1), ("b", T1), ("c", T1)]
+    assert rows(dedup(together, ["ingestion_time"])) == expected
+    assert rows(dedup(apart, ["ingestion_time"])) == expected
+
+
+def test_dedup_keeps_ignored_columns_of_one_row_together(spark):
+    df = spark.createDataFrame([(5, "r", "y"), (3, "r", "z"), (3, "r", "x")], ["t", "k", "f"])
+    assert rows(dedup(df, ["t", "f"])) == [(3, "r", "x")]
+    assert dedup(df, ["t", "f"]).columns == ["t", "k", "f"]
+
+
+def test_dedup_combines_copies_before_the_shuffle(spark):
+    df = spark.createDataFrame([("a", 1.5, T1)], ["k", "v", "ingestion_time"])
+    for ignore in ([], ["ingestion_time"]):
+        plan = plan_of(dedup(df, ignore))
+        shuffle = plan.index("Exchange")
+        assert plan.count("HashAggregate") == 2 and "SortAggregate" not in plan
+        assert plan.index("HashAggregate") < shuffle < plan.rindex("HashAggregate")
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 2), st.integers(0, 3)), max_size=12))
+def test_dedup_by_record_is_idempotent_and_keeps_the_earliest(spark, records):
+    df = spark.createDataFrame(records, "k string, v int, t int")
+    once = dedup(df, ["t"])
+    want = {}
+    for k, v, t in records:
+        want[k, v] = min(t, want.get((k, v), t))
+    assert rows(once) == sorted(((k, v, t) for (k, v), t in want.items()), key=str)
+    assert rows(dedup(once, ["t"])) == rows(once)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -116,22 +117,23 @@ def run_gold(
 ) -> dict[str, bool]:
     """Write the gold models; for each, whether it was written.
 
-    ``refresh`` replaces them on each run, ``once`` leaves a model that is already there.
+    ``refresh`` replaces them on each run, ``once`` leaves a model that is already there. The models
+    are independent, so their jobs are submitted together and share the executors.
     """
     if mode not in ("refresh", "once"):
         raise ValueError(f"mode must be 'refresh' or 'once', not {mode!r}")
     layers = Layers(config)
     silver = read_silver(spark, config)
-    written = {}
-    for name, model in models.items():
-        table = stamp(model(silver), "gold_model_time", at)
-        with sized_for(table):
-            if mode == "once":
-                written[name] = write_once(table, layers.gold(name), config.table_format)
-            else:
-                refresh(table, layers.gold(name), table_format=config.table_format)
-                written[name] = True
-    return written
+
+    def write(name: str) -> bool:
+        table = stamp(models[name](silver), "gold_model_time", at)
+        if mode == "once":
+            return write_once(table, layers.gold(name), config.table_format)
+        refresh(table, layers.gold(name), table_format=config.table_format)
+        return True
+
+    with sized_for(silver), ThreadPoolExecutor(max_workers=max(len(models), 1)) as pool:
+        return dict(zip(models, pool.map(write, models)))
 
 
 def layer_checks(spark: SparkSession, config: PipelineConfig) -> dict[str, DataFrame]:
