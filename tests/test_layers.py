@@ -1,0 +1,83 @@
+import pytest
+
+from tierflow import PipelineConfig
+from tierflow.plans import Layers, sized_for
+from tierflow.plans.sizing import MEBIBYTE, input_bytes, settings_for
+
+
+def test_paths():
+    layers = Layers(PipelineConfig(base_uri="s3a://lake/", dataset="plays"))
+    assert layers.path("silver") == "s3a://lake/silver"
+    assert layers.path("silver", "a/", "/b") == "s3a://lake/silver/a/b"
+    assert layers.source == "s3a://lake/source/plays"
+    assert layers.bronze == "s3a://lake/bronze/plays/v1"
+    delta = Layers(PipelineConfig(base_uri="s3a://lake", table_format="delta"))
+    assert delta.bronze == "s3a://lake/bronze/streaming"
+    assert layers.gold("top") == "s3a://lake/gold/top"
+    assert layers.schema_store == "s3a://lake/bronze/_schemas/plays"
+    assert layers.checkpoint() == "s3a://lake/bronze/_checkpoints/plays_v1"
+
+
+def test_one_container_per_layer():
+    config = PipelineConfig.for_storage_account("acct", {"source": "landing"}, catalog="main")
+    layers = Layers(config)
+    assert layers.source == "abfss://landing@acct.dfs.core.windows.net/streaming"
+    assert layers.silver == "abfss://silver@acct.dfs.core.windows.net/streaming"
+    assert layers.path("gold") == "abfss://gold@acct.dfs.core.windows.net"
+
+
+def test_qualified_names():
+    plain = Layers(PipelineConfig(base_uri="/lake"))
+    assert plain.qualify("silver", "plays") == "`silver`.`plays`"
+    named = Layers(PipelineConfig(base_uri="/lake", catalog="main", schemas={"silver": "refined"}))
+    assert named.qualify("silver", "plays") == "`main`.`refined`.`plays`"
+
+
+@pytest.mark.parametrize("uri", ["", "  ", "abfss://bronze@<your_account>.example"])
+def test_unset_locations_are_refused(uri):
+    with pytest.raises(ValueError, match="not set"):
+        PipelineConfig(base_uri=uri)
+    with pytest.raises(ValueError, match="not set"):
+        PipelineConfig.for_storage_account(uri)
+
+
+def test_other_bad_parameters_are_refused():
+    with pytest.raises(ValueError, match="dataset"):
+        PipelineConfig(base_uri="/lake", dataset=" ")
+    with pytest.raises(ValueError, match="platinum"):
+        PipelineConfig(base_uri="/lake", layer_uris={"platinum": "/p"})
+
+
+def test_bootstrap(spark, tmp_path):
+    schemas = {layer: f"boot_{layer}" for layer in ("bronze", "silver", "gold")}
+    config = PipelineConfig(base_uri=str(tmp_path), catalog="spark_catalog", schemas=schemas)
+    layers = Layers(config)
+    assert layers.bootstrap(spark) == "spark_catalog"
+    assert layers.bootstrap(spark) == "spark_catalog"
+    have = {d.name for d in spark.catalog.listDatabases()}
+    assert set(schemas.values()) <= have
+    spark.range(2).write.saveAsTable(layers.qualify("gold", "t"))
+    assert spark.sql(f"select count(*) from {layers.qualify('gold', 't')}").first()[0] == 2
+    assert (tmp_path / "gold" / "_tables" / "t").is_dir()
+    assert Layers(PipelineConfig(base_uri=str(tmp_path), schemas=schemas)).bootstrap(spark) is None
+
+
+def test_settings_grow_with_the_input():
+    small = settings_for(10 * MEBIBYTE, 200, 128 * MEBIBYTE)
+    assert set(small.values()) == {"200", f"{128 * MEBIBYTE}b"}
+    large = settings_for(100 * MEBIBYTE * MEBIBYTE, 200, 128 * MEBIBYTE)
+    partitions, split = (int(v.rstrip("b")) for v in large.values())
+    assert partitions == 50_000
+    assert 100 * MEBIBYTE * MEBIBYTE // split <= 100_000
+
+
+def test_sized_for_restores_the_session(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert 0 < input_bytes(df) < MEBIBYTE
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    with pytest.raises(RuntimeError), sized_for(df):
+        assert spark.conf.get(key) == spark.conf.get("spark.sql.shuffle.partitions")
+        raise RuntimeError
+    assert spark.conf.get(key, None) is None
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == f"{128 * MEBIBYTE}b"

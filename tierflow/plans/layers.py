@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 from tierflow.config import PipelineConfig
-from tierflow.storage import join
+from tierflow.storage import FILE_FORMATS, join
 
 
 @dataclass(frozen=True)
@@ -29,7 +29,10 @@ class Layers:
 
     @property
     def bronze(self) -> str:
-        return self.path("bronze", self.config.dataset)
+        """The raw table. Plain files get one directory per checkpoint version, see `append_stream`."""
+        versioned = self.config.table_format in FILE_FORMATS
+        version = self.config.checkpoint_version if versioned else ""
+        return self.path("bronze", self.config.dataset, version)
 
     @property
     def silver(self) -> str:

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
+# Formats that are plain directories of files, without a transaction log of their own.
+FILE_FORMATS = ("parquet", "orc", "csv", "json", "text")
+
 
 def join(*parts: str) -> str:
     """Join URI parts with single slashes, leaving out empty ones."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tierflow import storage
 from tierflow.operators import clean_name, clean_names, conform
 from tierflow.sources import as_text, read_csv_stream, with_lineage
 
@@ -61,7 +62,18 @@ def append_stream(
     ``trigger`` is ``available`` (all there is, in bounded batches, then stop), ``once`` (the same in
     one batch) or an interval such as ``10 seconds`` (runs on). The first two block until done; a
     ``timeout`` in seconds stops the query and raises.
+
+    A new checkpoint reads the source in full again. Plain files then need a new path too: Spark's file
+    sink remembers the batch numbers written to a path, and would skip the new stream's batches of the
+    same numbers without a word.
     """
+    spark = df.sparkSession
+    if (
+        table_format in storage.FILE_FORMATS
+        and storage.exists(spark, storage.join(path, "_spark_metadata"))
+        and not storage.exists(spark, storage.join(checkpoint, "metadata"))
+    ):
+        raise ValueError(f"{path} was written under another checkpoint than {checkpoint}")
     writer = (
         df.writeStream.format(table_format)
         .option("checkpointLocation", checkpoint)
