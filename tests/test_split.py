@@ -103,14 +103,22 @@ def test_copies_of_one_row_spread_over_all_partitions(spark):
     assert len(per_part) == 4 and max(r["count"] for r in per_part) < 20000 * 0.4
 
 
-def test_sorted_chunks_shuffle_the_sort_columns_only(spark):
-    df = spark.range(100).select("id", F.lit("wide").alias("payload"))
-    plan = assign_chunks(df, 5, ["id"])._jdf.queryExecution().executedPlan().toString()
-    main = plan[plan.rindex("FileScan parquet") :]
-    assert "payload" in main
-    assert "Exchange" not in plan.split("payload")[-1]
-    for line in plan.splitlines():
-        assert not ("Exchange" in line and "payload" in line)
+def test_sorted_chunks_shuffle_the_sort_columns_only(spark, tmp_path):
+    source = str(tmp_path / "t")
+    spark.range(100).select("id", F.lit("wide").alias("payload")).write.parquet(source)
+    chunked = assign_chunks(spark.read.parquet(source), 5, ["id"])
+    nodes = chunked._jdf.queryExecution().executedPlan().toString().splitlines()
+    rows = [line for line in nodes if not line.startswith("   :")]  # without the subqueries
+    assert any("FileScan" in line and source in line for line in rows)
+    assert not any("Exchange" in line or "Join" in line for line in rows)
+
+
+def test_equal_sort_values_at_a_cut_are_told_apart(spark):
+    df = spark.range(0, 100, numPartitions=3).withColumn("k", F.floor(F.col("id") / 10))
+    assert sizes(assign_chunks(df, 5, ["k"])) == {i: 20 for i in range(1, 6)}  # cuts between values
+    assert sizes(assign_chunks(df, 3, ["k"])) == {1: 33, 2: 33, 3: 34}  # cuts inside values
+    nulls = df.withColumn("k", F.when(F.col("id") >= 50, F.col("k")))
+    assert sizes(assign_chunks(nulls, 3, ["k"], ["k"])) == {1: 33, 2: 33, 3: 34}
 
 
 def test_write_chunks_keeps_values_whole(spark, tmp_path):

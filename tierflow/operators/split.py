@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Collection, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,30 +52,58 @@ def assign_chunks(
 ) -> DataFrame:
     """Split into ``n`` contiguous chunks numbered from 1, each of ``rows // n`` rows.
 
-    The last chunk also takes the remainder; with fewer rows than chunks it takes them all. For a
-    sorted split only the sort columns are shuffled: they give the ``n - 1`` rows at which a chunk
-    begins, and each full row is then compared with those in place.
+    The last chunk also takes the remainder; with fewer rows than chunks it takes them all. A sorted
+    split shuffles the sort columns only: they give the ``n - 1`` sort values at which a chunk begins,
+    and each full row is then compared with those where it is read. Where such a value occurs more than
+    once, the rows are staged with an id that tells them apart.
     """
     if n < 1:
         raise ValueError(f"need at least one chunk, not {n}")
-    rows = _identified(df)
     if order_by:
-        numbered, total = _numbered(_ranked(rows, order_by, descending))
-        size = total // n
-        first = numbered.filter(F.col(_INDEX).isin([i * size for i in range(1, n)]))
-        names = dict.fromkeys([*order_by, _ID])
-        rows = rows.withColumn(_CUTS, first.agg(F.collect_list(F.struct(*map(ref, names)))).scalar())
-        begun = F.filter(_CUTS, lambda cut: _at_or_after(cut, order_by, descending))
-        chunk = F.size(begun) + 1
-    else:
-        rows, total = _numbered(rows.withColumn(_PLACE, F.col(_ID)))
-        size = total // n
-        chunk = F.least(F.call_function("div", F.col(_INDEX), F.lit(max(size, 1))) + 1, F.lit(n))
+        return _sorted_chunks(df, n, order_by, descending, chunk_col)
+    rows, total = _numbered(_identified(df).withColumnRenamed(_ID, _PLACE))
+    size = total // n
     if size == 0:
         chunk = F.lit(n)
+    else:
+        chunk = F.least(F.call_function("div", F.col(_INDEX), F.lit(size)) + 1, F.lit(n))
     return rows.select(*map(ref, df.columns), chunk.cast("int").alias(chunk_col))
 
 
+def _sorted_chunks(
+    df: DataFrame, n: int, order_by: Sequence[str], descending: Collection[str], chunk_col: str
+) -> DataFrame:
+    rows, keys = df, list(dict.fromkeys(order_by))
+    slim = _identified(df.select(*map(ref, keys)))
+    numbered, total = _numbered(_ranked(slim, order_by, descending))
+    size = total // n
+    if size == 0:
+        return df.withColumn(chunk_col, F.lit(n))
+    begins = [i * size for i in range(1, n)]
+    if _cuts_through_equals(numbered, keys, begins):
+        rows, keys = _identified(df), [*keys, _ID]
+        numbered, _ = _numbered(_ranked(rows, order_by, descending))
+    first = numbered.filter(F.col(_INDEX).isin(begins))
+    cuts = first.agg(F.collect_list(F.struct(*map(ref, keys)))).scalar()
+    begun = F.filter(_CUTS, lambda cut: _at_or_after(cut, order_by, descending, _ID in keys))
+    return rows.withColumn(_CUTS, cuts).select(
+        *map(ref, df.columns), (F.size(begun) + 1).alias(chunk_col)
+    )
+
+
+def _cuts_through_equals(numbered: DataFrame, keys: Sequence[str], begins: Sequence[int]) -> bool:
+    """Whether a chunk would begin at a row with the sort values of the row before it.
+
+    Looks at two rows per chunk, which bounds the window.
+    """
+    before = Window.orderBy(_INDEX)
+    around = numbered.filter(F.col(_INDEX).isin([i + step for i in begins for step in (-1, 0)]))
+    same = reduce(and_, (ref(k).eqNullSafe(F.lag(ref(k)).over(before)) for k in keys))
+    follows = F.col(_INDEX) == F.lag(_INDEX).over(before) + 1
+    pairs = around.select(_INDEX, (same & follows).alias("__equal"))
+    return not pairs.filter(F.col("__equal") & F.col(_INDEX).isin(list(begins))).isEmpty()
+
+
 def write_chunks(
     df: DataFrame,
     path: str,
@@ -138,9 +168,11 @@ def _numbered(placed: DataFrame) -> tuple[DataFrame, int]:
     return numbered, total
 
 
-def _at_or_after(cut: Column, order_by: Sequence[str], descending: Collection[str]) -> Column:
+def _at_or_after(
+    cut: Column, order_by: Sequence[str], descending: Collection[str], with_id: bool
+) -> Column:
     """Whether the current row is the row ``cut`` or comes after it in the order of `_ranked`."""
-    reached = F.col(_ID) >= cut[_ID]
+    reached = F.col(_ID) >= cut[_ID] if with_id else F.lit(True)
     for name in reversed(order_by):
         mine, other = ref(name), cut[name]
         if name in descending:  # nulls last
