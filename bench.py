@@ -33,7 +33,7 @@ HEADLINE = (
     "row_index",
     "ingest_incremental",
     "silver_streaming",
-    "pipeline_gold",
+    "gold_tables",
 )
 
 

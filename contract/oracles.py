@@ -295,7 +295,7 @@ releases as (
 )
 """
 
-SQL["pipeline_gold"] = f"""
+SQL["gold_tables"] = f"""
 with {_RELEASES}
 select 'avg_duration_by_genre' as model, genre as key, {rounded("avg(duration)")} as value
 from releases group by genre
@@ -312,7 +312,7 @@ select 'top_artists', artist, {rounded("total")} from (
 ) z
 """
 
-SQL["pipeline_checks"] = f"""
+SQL["checks_across_layers"] = f"""
 with {_RELEASES},
 years as (select release_year, count(*) as n from releases group by release_year),
 artists as (select count(distinct artist) as n from releases)

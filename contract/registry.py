@@ -489,7 +489,7 @@ RELEASE_SCHEMA = (
 def landed_releases(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, DataFrame]:
     """Order lines in the columns of a release table."""
     config = PipelineConfig(
-        base_uri=storage.staging_path(spark, "pipeline"), raw_schema=RELEASE_SCHEMA
+        base_uri=storage.staging_path(spark, "layers"), raw_schema=RELEASE_SCHEMA
     )
     releases = table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("country "), F.col("l_linestatus")),
@@ -506,7 +506,7 @@ def landed_releases(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, D
 
 
 @query
-def pipeline_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All releases arrive twice in two runs, through bronze and silver; four gold tables as one."""
     config, releases = landed_releases(spark, sf_dir)
     layers = Layers(config)
@@ -530,7 +530,7 @@ def pipeline_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def pipeline_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def checks_across_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The layer checks, one line for each, after a run that compares whole rows, gold written once."""
     config, releases = landed_releases(spark, sf_dir)
     land(releases, Layers(config).source)

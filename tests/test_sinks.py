@@ -69,7 +69,11 @@ def test_list_files(spark, tmp_path):
 
 def test_staging_uses_the_folder_of_the_session(spark):
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    assert storage.staging_path(spark, "x").startswith(f"{root}/tierflow/x-")
+    home = f"{root}/tierflow/{spark.sparkContext.applicationId}"
+    assert storage.staging_path(spark, "x").startswith(f"{home}/x-")
+    assert storage.stage(spark.range(3), "x").count() == 3
+    storage.clear_staged(spark)
+    assert not storage.exists(spark, home)
 
 
 class Cluster:

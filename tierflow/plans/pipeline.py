@@ -101,7 +101,7 @@ def run_silver(
     dedup_by: str = "record",
     at: datetime | None = None,
 ) -> None:
-    """Recompute silver from all of bronze."""
+    """Recompute silver from all of bronze: the one shuffle of full rows, so it is sized to the input."""
     rows = silver_rows(read_bronze(spark, config), config, dedup_by)
     rows = stamp(rows, "silver_transform_time", at)
     with sized_for(rows):
@@ -132,7 +132,7 @@ def run_gold(
         refresh(table, layers.gold(name), table_format=config.table_format)
         return True
 
-    with sized_for(silver), ThreadPoolExecutor(max_workers=max(len(models), 1)) as pool:
+    with ThreadPoolExecutor(max_workers=max(len(models), 1)) as pool:
         return dict(zip(models, pool.map(write, models)))
 
 

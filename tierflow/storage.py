@@ -88,16 +88,27 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+def _staging_home(spark: SparkSession) -> str:
+    return join(staging_root(spark), "tierflow", spark.sparkContext.applicationId)
+
+
 def staging_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the staging root."""
-    return join(staging_root(spark), "tierflow", f"{label}-{uuid.uuid4().hex}")
+    """A fresh path in the application's own folder under the staging root."""
+    return join(_staging_home(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what this application has staged, once no DataFrame needs it any more."""
+    fs, home = _open(spark, _staging_home(spark))
+    fs.delete(home, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a staged table and read it back.
 
     Fixes the rows once and for all: recomputation after a lost executor, or a second scan, sees the
-    same rows with the same values, also where the plan above was not repeatable.
+    same rows with the same values, also where the plan above was not repeatable. The table stays until
+    `clear_staged`.
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
