@@ -1,3 +1,4 @@
+import json
 import time
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import types as T
 from tierflow import PipelineConfig
 from tierflow.plans import Layers, layer_checks, run_bronze, run_gold, run_pipeline, run_silver
 from tierflow.plans.pipeline import raw_schema, read_bronze, read_silver
-from tierflow.sources import read_csv_stream, read_table
+from tierflow.sources import read_file_stream, read_table
 from tierflow.streaming import append_stream, bronze_schema, bronze_stream, silver_stream
 
 RAW = (
@@ -115,6 +116,37 @@ def test_a_differing_header_stops_the_run_and_names_the_file(spark, config, head
     assert bronze_count(spark, config) == 4
 
 
+def test_lines_that_do_not_parse_are_rescued(spark, config):
+    drop(config, "chunk_1.csv", [CHUNK_1[0], CHUNK_1[0] + ",more", "SE,Ann"])
+    run_bronze(spark, config)
+    rows = read_bronze(spark, config).orderBy(F.length("_rescued_data")).collect()
+    rescued = [r["_rescued_data"] and json.loads(r["_rescued_data"]) for r in rows]
+    assert rescued == [
+        None,
+        {"_malformed_line": "SE,Ann"},
+        {"_malformed_line": CHUNK_1[0] + ",more"},
+    ]
+    assert {r["artist"] for r in rows} == {"Ann"}
+
+
+@pytest.mark.parametrize("source_format", ["json", "parquet"])
+def test_other_source_formats(spark, tmp_path, source_format):
+    config = PipelineConfig(base_uri=str(tmp_path), raw_schema=RAW, source_format=source_format)
+    layers = Layers(config)
+    rows = spark.createDataFrame([("SE", "Ann", "First", "Pop", 2020, 10.5, 1.25, 3.5, 20.0)], RAW)
+    rows.write.format(source_format).save(layers.source)
+    if source_format == "json":
+        drop(config, "late.json", ['{"Artist": "Bob", "Release Year": "soon"}'], header="{broken")
+    run_bronze(spark, config)
+    got = read_bronze(spark, config)
+    ann = got.filter("artist = 'Ann'").first()
+    assert ann["release_year"] == 2020 and ann["skip_rate_%"] == 20.0
+    assert ann["_rescued_data"] is None
+    if source_format == "json":
+        assert got.filter("artist = 'Bob'").first()["_rescued_data"] == '{"release_year":"soon"}'
+        assert got.filter("artist is null").first()["_rescued_data"] == '{"_malformed_line":"{broken"}'
+
+
 def test_batches_can_be_bounded(spark, config):
     drop(config, "chunk_1.csv", CHUNK_1)
     drop(config, "chunk_2.csv", CHUNK_2)
@@ -135,7 +167,7 @@ def test_a_running_stream_and_a_timeout(spark, config, tmp_path):
         assert query.isActive and bronze_count(spark, config) == 6
     finally:
         query.stop()
-    slow = read_csv_stream(spark, layers.source, RAW)
+    slow = read_file_stream(spark, layers.source, RAW)
     with pytest.raises(TimeoutError, match="0.01"):
         append_stream(slow, str(tmp_path / "slow"), str(tmp_path / "c"), timeout=0.01)
 
@@ -221,7 +253,7 @@ def test_new_chunks_flow_through_to_gold(spark, config):
 
 def test_schema_is_inferred_once_and_kept(spark, config, tmp_path):
     open_config = PipelineConfig(base_uri=str(tmp_path))
-    with pytest.raises(ValueError, match="no CSV"):
+    with pytest.raises(ValueError, match="no csv"):
         raw_schema(spark, open_config)
     drop(config, "chunk_1.csv", CHUNK_1[:2])
     inferred = raw_schema(spark, open_config)

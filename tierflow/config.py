@@ -8,6 +8,10 @@ from pyspark.sql import types as T
 
 LAYERS = ("source", "bronze", "silver", "gold")
 
+# Time stamps that readers of the layers rely on.
+SILVER_TIME = "silver_transform_time"
+GOLD_TIME = "gold_model_time"
+
 
 @dataclass(frozen=True)
 class PipelineConfig:
@@ -20,6 +24,7 @@ class PipelineConfig:
     base_uri: str
     raw_schema: T.StructType | None = None
     dataset: str = "streaming"
+    source_format: str = "csv"
     catalog: str | None = None
     schemas: dict[str, str] = field(
         default_factory=lambda: {"bronze": "bronze", "silver": "silver", "gold": "gold"}

@@ -21,12 +21,16 @@ from tierflow.functions import (
 
 
 def conform(
-    df: DataFrame, schema: T.StructType, rescue: str | None = "_rescued_data"
+    df: DataFrame,
+    schema: T.StructType,
+    rescue: str | None = "_rescued_data",
+    whole: Sequence[str] = (),
 ) -> DataFrame:
     """Cast the columns named in ``schema`` to its types; other columns pass through.
 
     A value that does not fit becomes null, and its original text goes into the JSON column
-    ``rescue`` (null for a row that fits, ``rescue=None`` to do without). One narrow projection.
+    ``rescue`` (null for a row that fits, ``rescue=None`` to do without). The columns ``whole`` move
+    there as they are. One narrow projection.
     """
     missing = [f.name for f in schema if f.name not in df.columns]
     if missing:
@@ -34,12 +38,14 @@ def conform(
     wanted = {f.name: f.dataType for f in schema}
     have = {f.name: f.dataType for f in df.schema}
     projected = [
-        cast_or_null(ref(c), wanted[c]).alias(c) if c in wanted else ref(c) for c in df.columns
+        cast_or_null(ref(c), wanted[c]).alias(c) if c in wanted else ref(c)
+        for c in df.columns
+        if c not in whole
     ]
     if rescue is None:
         return df.select(*projected)
     checked = [c for c in wanted if have[c] != wanted[c] and not isinstance(wanted[c], T.StringType)]
-    failures = [failed_cast(ref(c), wanted[c]).alias(c) for c in checked]
+    failures = [failed_cast(ref(c), wanted[c]).alias(c) for c in checked] + [ref(c) for c in whole]
     if failures:
         rescued = F.when(F.coalesce(*failures).isNotNull(), F.to_json(F.struct(*failures)))
     else:

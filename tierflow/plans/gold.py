@@ -1,4 +1,8 @@
-"""The gold models of a music-streaming data set, as plain functions of the silver table."""
+"""The gold models of a music-streaming data set, as plain functions of the silver table.
+
+Fixed values: the function names are the table names, and the column names in them are those of the
+silver table and of the published gold tables; readers of the layers rely on both.
+"""
 
 from __future__ import annotations
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tierflow import storage
-from tierflow.config import PipelineConfig
+from tierflow.config import GOLD_TIME, SILVER_TIME, PipelineConfig
 from tierflow.operators import (
     clean_names,
     dedup,
@@ -38,11 +38,11 @@ def raw_schema(spark: SparkSession, config: PipelineConfig) -> T.StructType:
     layers = Layers(config)
     if storage.has_part_file(spark, layers.schema_store):
         return load_schema(spark, layers.schema_store)
-    oldest = list_files(spark, layers.source, "*.csv").orderBy("modificationTime", "path")
+    oldest = list_files(spark, layers.source, f"*.{config.source_format}").orderBy("modificationTime", "path")
     sample = [row.path for row in oldest.limit(SCHEMA_SAMPLE_FILES).collect()]
     if not sample:
-        raise ValueError(f"no CSV file in {layers.source} to infer a schema from")
-    return infer_schema(spark, sample, layers.schema_store)
+        raise ValueError(f"no {config.source_format} file in {layers.source} to infer a schema from")
+    return infer_schema(spark, sample, layers.schema_store, config.source_format)
 
 
 def read_bronze(spark: SparkSession, config: PipelineConfig) -> DataFrame:
@@ -74,6 +74,7 @@ def run_bronze(
         config.ingestion_time,
         config.source_file,
         config.rescued,
+        config.source_format,
         **options,
     )
     append_stream(
@@ -101,9 +102,12 @@ def run_silver(
     dedup_by: str = "record",
     at: datetime | None = None,
 ) -> None:
-    """Recompute silver from all of bronze: the one shuffle of full rows, so it is sized to the input."""
+    """Recompute silver from all of bronze.
+
+    This is the one shuffle of full rows, so it is sized to the input.
+    """
     rows = silver_rows(read_bronze(spark, config), config, dedup_by)
-    rows = stamp(rows, "silver_transform_time", at)
+    rows = stamp(rows, SILVER_TIME, at)
     with sized_for(rows):
         refresh(rows, Layers(config).silver, table_format=config.table_format)
 
@@ -126,7 +130,7 @@ def run_gold(
     silver = read_silver(spark, config)
 
     def write(name: str) -> bool:
-        table = stamp(models[name](silver), "gold_model_time", at)
+        table = stamp(models[name](silver), GOLD_TIME, at)
         if mode == "once":
             return write_once(table, layers.gold(name), config.table_format)
         refresh(table, layers.gold(name), table_format=config.table_format)

@@ -1,28 +1,32 @@
 """Table and file sources."""
 
-from tierflow.sources.csv_files import (
+from tierflow.sources.files import (
+    MALFORMED,
     READ_OPTIONS,
+    TEXT_FORMATS,
     WRITE_OPTIONS,
     as_text,
     infer_schema,
     list_files,
     load_schema,
     read_csv,
-    read_csv_stream,
+    read_file_stream,
     save_schema,
     with_lineage,
 )
 from tierflow.sources.tables import read_table
 
 __all__ = [
+    "MALFORMED",
     "READ_OPTIONS",
+    "TEXT_FORMATS",
     "WRITE_OPTIONS",
     "as_text",
     "infer_schema",
     "list_files",
     "load_schema",
     "read_csv",
-    "read_csv_stream",
+    "read_file_stream",
     "read_table",
     "save_schema",
     "with_lineage",

@@ -1,4 +1,4 @@
-"""Delimited text files: schemas, batch and streaming reads, lineage."""
+"""Raw files: schemas, batch and streaming reads, lineage."""
 
 from __future__ import annotations
 
@@ -10,12 +10,7 @@ from pyspark.sql import types as T
 
 # Read options of the raw layer. ``enforceSchema=false`` compares each header with the
 # schema; otherwise columns bind by position and a reordered file would be swapped silently.
-READ_OPTIONS = {
-    "header": "true",
-    "enforceSchema": "false",
-    "pathGlobFilter": "*.csv",
-    "recursiveFileLookup": "false",
-}
+READ_OPTIONS = {"header": "true", "enforceSchema": "false"}
 
 # Write options that keep every value whole; Spark's defaults cut microseconds and trim
 # blanks.
@@ -27,11 +22,23 @@ WRITE_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+# Formats whose values are read as text first, so that one of the wrong type is not lost.
+TEXT_FORMATS = ("csv", "json")
+
+# Holds a line that does not parse, such as one with too many fields.
+MALFORMED = "_malformed_line"
+
+
+def _settings(file_format: str, options: dict) -> dict:
+    selected = {"pathGlobFilter": f"*.{file_format}", "recursiveFileLookup": "false"}
+    return (READ_OPTIONS if file_format == "csv" else {}) | selected | options
+
 
 def infer_schema(
     spark: SparkSession,
     sample: str | list[str],
     schema_path: str | None = None,
+    file_format: str = "csv",
     **options: object,
 ) -> T.StructType:
     """Infer column types from the files under ``sample`` and keep them as JSON at ``schema_path``.
@@ -39,8 +46,8 @@ def infer_schema(
     Inference reads the sample in full, so point it at a few representative files of a large source;
     values that do not fit later on are rescued, not lost.
     """
-    settings = READ_OPTIONS | {"inferSchema": "true", "enforceSchema": "true"} | options
-    schema = spark.read.options(**settings).csv(sample).schema
+    settings = _settings(file_format, {"inferSchema": "true", "enforceSchema": "true"} | options)
+    schema = spark.read.format(file_format).options(**settings).load(sample).schema
     if schema_path is not None:
         save_schema(spark, schema, schema_path)
     return schema
@@ -56,8 +63,9 @@ def load_schema(spark: SparkSession, path: str) -> T.StructType:
 
 
 def as_text(schema: T.StructType) -> T.StructType:
-    """The same columns, all as strings: how raw files are read when bad values are to be rescued."""
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    """The same columns, all as strings, and one for lines that do not parse."""
+    fields = [T.StructField(f.name, T.StringType()) for f in schema]
+    return T.StructType(fields).add(MALFORMED, T.StringType())
 
 
 def read_csv(
@@ -65,20 +73,27 @@ def read_csv(
 ) -> DataFrame:
     """One-off read of CSV files with a header; types are inferred unless ``schema`` is given."""
     if schema is None:
-        settings = READ_OPTIONS | {"inferSchema": "true", "enforceSchema": "true"} | options
+        settings = _settings("csv", {"inferSchema": "true", "enforceSchema": "true"} | options)
         return spark.read.options(**settings).csv(path)
-    return spark.read.schema(schema).options(**(READ_OPTIONS | options)).csv(path)
+    return spark.read.schema(schema).options(**_settings("csv", options)).csv(path)
 
 
-def read_csv_stream(
-    spark: SparkSession, path: str, schema: T.StructType, **options: object
+def read_file_stream(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    file_format: str = "csv",
+    **options: object,
 ) -> DataFrame:
-    """Stream of the CSV files in one directory, each read once, including those already there.
+    """Stream of the files of one format in one directory, each read once, with those already there.
 
     Pass ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` to bound a micro-batch, ``cleanSource`` to
     archive what is done so that the listing stays short.
     """
-    return spark.readStream.schema(schema).options(**(READ_OPTIONS | options)).csv(path)
+    settings = _settings(file_format, options)
+    if MALFORMED in schema.fieldNames():
+        settings["columnNameOfCorruptRecord"] = MALFORMED
+    return spark.readStream.format(file_format).schema(schema).options(**settings).load(path)
 
 
 def with_lineage(

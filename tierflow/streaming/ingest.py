@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tierflow import storage
 from tierflow.operators import clean_name, clean_names, conform
-from tierflow.sources import as_text, read_csv_stream, with_lineage
+from tierflow.sources import MALFORMED, TEXT_FORMATS, as_text, read_file_stream, with_lineage
 
 
 def cleaned_schema(raw_schema: T.StructType) -> T.StructType:
@@ -38,15 +38,19 @@ def bronze_stream(
     time_col: str = "ingestion_time",
     file_col: str = "source_file",
     rescue_col: str = "_rescued_data",
+    file_format: str = "csv",
     **options: object,
 ) -> DataFrame:
-    """Raw CSV rows as a stream: lineage added, names cleaned, types checked, misfits rescued.
+    """Raw rows as a stream: lineage added, names cleaned, types checked, misfits rescued.
 
     One scan and projections, no shuffle, so it scales with the number of input splits.
     """
-    raw = read_csv_stream(spark, source, as_text(raw_schema), **options)
+    text = file_format in TEXT_FORMATS
+    read_schema = as_text(raw_schema) if text else raw_schema
+    raw = read_file_stream(spark, source, read_schema, file_format, **options)
     rows = clean_names(with_lineage(raw, time_col, file_col))
-    return conform(rows, cleaned_schema(raw_schema), rescue=rescue_col)
+    whole = [MALFORMED] if text else []
+    return conform(rows, cleaned_schema(raw_schema), rescue=rescue_col, whole=whole)
 
 
 def append_stream(
