@@ -1,6 +1,6 @@
 """Column functions: rounding, text clean-up, checked casts."""
 
-from tierflow.functions.casting import cast_or_null, failed_cast
+from tierflow.functions.casting import cast_or_null, lost_by_cast
 from tierflow.functions.naming import ref
 from tierflow.functions.rounding import round_half_up
 from tierflow.functions.text import blank_to_null, fold_case, squash_spaces
@@ -8,8 +8,8 @@ from tierflow.functions.text import blank_to_null, fold_case, squash_spaces
 __all__ = [
     "blank_to_null",
     "cast_or_null",
-    "failed_cast",
     "fold_case",
+    "lost_by_cast",
     "ref",
     "round_half_up",
     "squash_spaces",

@@ -12,8 +12,7 @@ def cast_or_null(value: Column, to: T.DataType) -> Column:
     return value.try_cast(to)
 
 
-def failed_cast(value: Column, to: T.DataType) -> Column:
-    """The original value as text where the cast lost it, else null. Blank text is not a failure."""
+def lost_by_cast(value: Column, casted: Column) -> Column:
+    """The original value as text where the cast lost it, else null. Blank text is no loss."""
     text = value.cast("string")
-    lost = cast_or_null(value, to).isNull() & (F.trim(text) != "")
-    return F.when(lost, text)
+    return F.when(casted.isNull() & (F.trim(text) != ""), text)

@@ -13,12 +13,14 @@ from pyspark.sql import types as T
 from tierflow.functions import (
     blank_to_null,
     cast_or_null,
-    failed_cast,
     fold_case,
+    lost_by_cast,
     ref,
     squash_spaces,
 )
 
+_CAST = "__cast_"
+
 
 def conform(
     df: DataFrame,
@@ -30,27 +32,25 @@ def conform(
 
     A value that does not fit becomes null, and its original text goes into the JSON column
     ``rescue`` (null for a row that fits, ``rescue=None`` to do without). The columns ``whole`` move
-    there as they are. One narrow projection.
+    there as they are. Projections only, no shuffle.
     """
     missing = [f.name for f in schema if f.name not in df.columns]
     if missing:
         raise ValueError(f"columns {missing} are not in the data, which has {df.columns}")
-    wanted = {f.name: f.dataType for f in schema}
     have = {f.name: f.dataType for f in df.schema}
-    projected = [
-        cast_or_null(ref(c), wanted[c]).alias(c) if c in wanted else ref(c)
-        for c in df.columns
-        if c not in whole
+    wanted = {f.name: f.dataType for f in schema if have[f.name] != f.dataType}
+    # Each value is cast once here; used twice below, the cast stays in a projection of its own.
+    casts = df.withColumns({_CAST + c: cast_or_null(ref(c), to) for c, to in wanted.items()})
+    rows = [
+        ref(_CAST + c).alias(c) if c in wanted else ref(c) for c in df.columns if c not in whole
     ]
     if rescue is None:
-        return df.select(*projected)
-    checked = [c for c in wanted if have[c] != wanted[c] and not isinstance(wanted[c], T.StringType)]
-    failures = [failed_cast(ref(c), wanted[c]).alias(c) for c in checked] + [ref(c) for c in whole]
-    if failures:
-        rescued = F.when(F.coalesce(*failures).isNotNull(), F.to_json(F.struct(*failures)))
-    else:
-        rescued = F.lit(None).cast("string")
-    return df.select(*projected, rescued.alias(rescue))
+        return casts.select(*rows)
+    lost = [lost_by_cast(ref(c), ref(_CAST + c)).alias(c) for c in wanted] + [ref(c) for c in whole]
+    rescued = F.lit(None).cast("string")
+    if lost:
+        rescued = F.when(F.coalesce(*lost).isNotNull(), F.to_json(F.struct(*lost)))
+    return casts.select(*rows, rescued.alias(rescue))
 
 
 def normalize_text(df: DataFrame, columns: Iterable[str], case: str | None = None) -> DataFrame:
