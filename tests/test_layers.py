@@ -67,7 +67,7 @@ def test_settings_grow_with_the_input():
     assert set(small.values()) == {"200", f"{128 * MEBIBYTE}b"}
     large = settings_for(100 * MEBIBYTE * MEBIBYTE, 200, 128 * MEBIBYTE)
     partitions, split = (int(v.rstrip("b")) for v in large.values())
-    assert partitions == 50_000
+    assert partitions == 100_000
     assert 100 * MEBIBYTE * MEBIBYTE // split <= 100_000
 
 

@@ -6,7 +6,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow import PipelineConfig
-from tierflow.plans import Layers, layer_checks, run_bronze, run_gold, run_pipeline, run_silver
+from tierflow.plans import (
+    Layers,
+    layer_checks,
+    register_tables,
+    run_bronze,
+    run_gold,
+    run_pipeline,
+    run_silver,
+)
 from tierflow.plans.pipeline import raw_schema, read_bronze, read_silver
 from tierflow.sources import read_file_stream, read_table
 from tierflow.streaming import append_stream, bronze_schema, bronze_stream, silver_stream
@@ -207,7 +215,10 @@ def test_new_chunks_flow_through_to_gold(spark, config):
     assert set(run_pipeline(spark, config).values()) == {True}
     totals = gold(spark, config, "top_songs_by_streams")
     assert totals.columns == ["album", "artist", "total_streams_millions", "gold_model_time"]
-    assert [tuple(r)[:3] for r in totals.collect()] == [("First", "Ann", 10.5), ("Second", "Bob", 4.25)]
+    assert [tuple(r)[:3] for r in totals.collect()] == [
+        ("First", "Ann", 10.5),
+        ("Second", "Bob", 4.25),
+    ]
 
     drop(config, "chunk_2.csv", CHUNK_2)
     stale = run_pipeline(spark, config, gold_mode="once")
@@ -232,7 +243,11 @@ def test_new_chunks_flow_through_to_gold(spark, config):
         (None, None),
     ]
     countries = gold(spark, config, "genre_country_platform").drop("gold_model_time")
-    assert [tuple(r) for r in countries.collect()] == [("DE", 6.0, 30.0), ("SE", 1.25, 20.0), (None, 0.5, 10.0)]
+    assert [tuple(r) for r in countries.collect()] == [
+        ("DE", 6.0, 30.0),
+        ("SE", 1.25, 20.0),
+        (None, 0.5, 10.0),
+    ]
     years = gold(spark, config, "yearly_stream_trends").drop("gold_model_time")
     assert [tuple(r) for r in years.collect()] == [
         (None, 1, 7.0, None),
@@ -251,6 +266,29 @@ def test_new_chunks_flow_through_to_gold(spark, config):
         run_gold(spark, config, mode="never")
 
 
+def test_layers_by_catalog_name(spark, config, tmp_path):
+    schemas = {layer: f"named_{layer}" for layer in ("bronze", "silver", "gold")}
+    named = PipelineConfig(
+        base_uri=str(tmp_path), raw_schema=RAW, catalog="spark_catalog", schemas=schemas
+    )
+    layers = Layers(named)
+    sql = f"""
+        SELECT
+          (SELECT COUNT(*) FROM {layers.qualify("bronze", "streaming")}) AS bronze_rows,
+          (SELECT COUNT(*) FROM {layers.qualify("silver", "streaming")}) AS silver_rows,
+          (SELECT COUNT(*) FROM {layers.qualify("bronze", "streaming")} WHERE Artist IS NULL) AS nulls,
+          (SELECT COUNT(DISTINCT Artist) FROM {layers.qualify("gold", "top_artists")}) AS artists
+    """
+    for name, lines, expected in (
+        ("chunk_1.csv", CHUNK_1, (4, 3, 0, 2)),
+        ("chunk_2.csv", CHUNK_2, (6, 4, 1, 2)),
+    ):
+        drop(named, name, lines)
+        run_pipeline(spark, named)
+        assert len(register_tables(spark, named)) == 9
+        assert tuple(spark.sql(sql).first()) == expected
+
+
 def test_schema_is_inferred_once_and_kept(spark, config, tmp_path):
     open_config = PipelineConfig(base_uri=str(tmp_path))
     with pytest.raises(ValueError, match="no csv"):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tierflow.functions import ref, round_half_up
-from tierflow.operators.split import with_row_index
+from tierflow.operators.split import first_of_groups
 
 _AGGREGATES = {"sum": F.sum, "avg": F.avg}
 
@@ -59,34 +59,11 @@ def top_n_per_group(
     rows = df.filter(ref(value).isNotNull())
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if n > limit:
-        return _top_n_by_index(rows, keys, value, n, rank_col, tie_break)
+        return first_of_groups(rows, keys, [value, *tie_break], n, rank_col, descending=[value])
     window = Window.partitionBy(*map(ref, keys)).orderBy(*_ordering(value, tie_break))
     return rows.withColumn(rank_col, F.row_number().over(window)).filter(ref(rank_col) <= n)
 
 
-def _top_n_by_index(
-    rows: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    n: int,
-    rank_col: str,
-    tie_break: Sequence[str],
-) -> DataFrame:
-    order = [*keys, value, *tie_break]
-    indexed = with_row_index(rows, order, descending=[value], index_col="__at")
-    starts = indexed.groupBy(*(ref(k).alias(f"__key{i}") for i, k in enumerate(keys))).agg(
-        F.min("__at").alias("__start")
-    )
-    same_group = [ref(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(keys)]
-    # One start per group, so the join adds no rows; a hot group is split by adaptive skew handling.
-    return (
-        indexed.join(starts, same_group)
-        .withColumn(rank_col, (F.col("__at") - F.col("__start") + 1).cast("int"))
-        .filter(ref(rank_col) <= n)
-        .select(*map(ref, rows.columns), ref(rank_col))
-    )
-
-
 def avg_by_group(
     df: DataFrame, keys: Sequence[str], value: str, output: str, digits: int = 2
 ) -> DataFrame:

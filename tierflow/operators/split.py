@@ -19,6 +19,10 @@ _PLACE = "__place"
 _PART = "__part"
 _INDEX = "__index"
 _CUTS = "__cuts"
+_RANK = "__rank"
+
+# Group keys and a number each; beyond this many, Catalyst picks the join by measured size.
+MOST_BROADCAST_ROWS = 100_000
 
 # ``monotonically_increasing_id`` holds the partition number from bit 33 up, the position below it.
 _POSITION_BITS = 33
@@ -43,6 +47,38 @@ def with_row_index(
     return rows.select(*map(ref, df.columns), F.col(_INDEX).alias(index_col))
 
 
+def first_of_groups(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    n: int,
+    rank_col: str,
+    descending: Collection[str] = (),
+) -> DataFrame:
+    """The first ``n`` rows of each group in the order given, ranked from 1, for large ``n``.
+
+    Groups are runs of one global order, so a rank is a row's number less that of the first row in its
+    group. Only the key and sort columns are shuffled to find the rows; no group is sorted in one task.
+    """
+    rows = _identified(df)
+    numbered, _ = _numbered(_ranked(rows, [*keys, *order_by], descending))
+    names = [f"__key{i}" for i in range(len(keys))]
+    starts = stage(
+        numbered.groupBy(*(ref(k).alias(name) for k, name in zip(keys, names))).agg(
+            F.min(_INDEX).alias("__start")
+        ),
+        "starts",
+    )
+    if starts.count() <= MOST_BROADCAST_ROWS:
+        starts = F.broadcast(starts)  # else adaptive execution splits the partition of a hot group
+    same_group = [ref(k).eqNullSafe(F.col(name)) for k, name in zip(keys, names)]
+    rank = F.col(_INDEX) - F.col("__start") + 1
+    kept = numbered.join(starts, same_group).select(_ID, rank.alias(_RANK)).filter(F.col(_RANK) <= n)
+    return rows.join(kept, _ID).select(
+        *map(ref, df.columns), F.col(_RANK).cast("int").alias(rank_col)
+    )
+
+
 def assign_chunks(
     df: DataFrame,
     n: int,

@@ -4,6 +4,7 @@ from tierflow.plans.gold import GOLD_MODELS
 from tierflow.plans.layers import Layers
 from tierflow.plans.pipeline import (
     layer_checks,
+    register_tables,
     run_bronze,
     run_gold,
     run_pipeline,
@@ -15,6 +16,7 @@ __all__ = [
     "GOLD_MODELS",
     "Layers",
     "layer_checks",
+    "register_tables",
     "run_bronze",
     "run_gold",
     "run_pipeline",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
@@ -140,6 +140,28 @@ def run_gold(
         return dict(zip(models, pool.map(write, models)))
 
 
+def register_tables(
+    spark: SparkSession, config: PipelineConfig, models: Iterable[str] = GOLD_MODELS
+) -> list[str]:
+    """Make the layers readable by catalog name, as tables over their paths; the names.
+
+    Call it again after a run: a name that exists is refreshed.
+    """
+    layers = Layers(config)
+    layers.bootstrap(spark)
+    tables = {
+        layers.qualify("bronze", config.dataset): (layers.bronze, read_bronze(spark, config).schema),
+        layers.qualify("silver", config.dataset): (layers.silver, None),
+        **{layers.qualify("gold", model): (layers.gold(model), None) for model in models},
+    }
+    for name, (path, schema) in tables.items():
+        if spark.catalog.tableExists(name):
+            spark.catalog.refreshTable(name)
+        else:
+            spark.catalog.createTable(name, path, config.table_format, schema)
+    return list(tables)
+
+
 def layer_checks(spark: SparkSession, config: PipelineConfig) -> dict[str, DataFrame]:
     """Row counts, nulls in key columns and distinct artists, one row for each check."""
     layers = Layers(config)

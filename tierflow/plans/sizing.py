@@ -12,7 +12,7 @@ MEBIBYTE = 1024 * 1024
 # Columnar files hold the rows compressed; a shuffle holds them as rows.
 ROW_EXPANSION = 4
 BYTES_PER_SHUFFLE_PARTITION = 256 * MEBIBYTE
-MOST_SHUFFLE_PARTITIONS = 50_000
+MOST_SHUFFLE_PARTITIONS = 100_000
 MOST_SCAN_TASKS = 100_000
 
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
