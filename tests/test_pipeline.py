@@ -206,6 +206,33 @@ def test_copies_in_a_later_batch(spark, config):
         run_silver(spark, config, dedup_by="luck")
 
 
+def test_silver_is_shaped_as_configured(spark, tmp_path):
+    (tmp_path / "source" / "streaming").mkdir(parents=True)
+    shape = {
+        "text_columns": ("artist", "genre"),
+        "required_columns": ("artist",),
+        "expectations": {"known_genre": "genre is not null", "recent": "release_year > 2020"},
+    }
+    config = PipelineConfig(base_uri=str(tmp_path), raw_schema=RAW, **shape)
+    same = ["SE, Ann  Lee ,First,Pop,2021,1,1,1,1", "SE,Ann Lee,First, Pop,2021,1,1,1,1"]
+    drop(config, "chunk_1.csv", [*same, "DE,Bob,Second,  ,2020,1,1,1,1", "DE,  ,Third,Pop,2022,1,1,1,1"])
+    run_bronze(spark, config)
+    assert run_silver(spark, config) == {"row_count": 2, "known_genre": 1, "recent": 1}
+    assert {r["artist"] for r in read_silver(spark, config).collect()} == {"Ann Lee", "Bob"}
+    dropping = PipelineConfig(
+        base_uri=str(tmp_path), raw_schema=RAW, on_violation="drop", text_case="upper", **shape
+    )
+    run_silver(spark, dropping)
+    (kept,) = read_silver(spark, dropping).collect()
+    assert (kept["artist"], kept["genre"]) == ("ANN LEE", "POP")
+    failing = PipelineConfig(
+        base_uri=str(tmp_path), raw_schema=RAW, on_violation="fail", **shape
+    )
+    with pytest.raises(Exception, match="known_genre|recent"):
+        run_silver(spark, failing)
+    assert read_silver(spark, failing).count() == 1
+
+
 def gold(spark, config, model):
     return read_table(spark, Layers(config).gold(model))
 

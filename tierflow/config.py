@@ -19,6 +19,9 @@ class PipelineConfig:
 
     ``base_uri`` is the common root; ``layer_uris`` overrides single layers, for stores that keep one
     container per layer. ``raw_schema`` lists the raw header names with the types wanted in bronze.
+
+    The last group shapes silver and is empty by default: text columns to normalise, columns that must
+    not be null, and expectations as SQL conditions by name, with what to do about a violation.
     """
 
     base_uri: str
@@ -35,6 +38,11 @@ class PipelineConfig:
     ingestion_time: str = "ingestion_time"
     source_file: str = "source_file"
     rescued: str = "_rescued_data"
+    text_columns: tuple[str, ...] = ()
+    text_case: str | None = None
+    required_columns: tuple[str, ...] = ()
+    expectations: dict[str, str] = field(default_factory=dict)
+    on_violation: str = "warn"
 
     def __post_init__(self) -> None:
         for uri in (self.base_uri, *self.layer_uris.values()):

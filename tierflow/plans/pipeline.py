@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow import storage
@@ -16,7 +17,10 @@ from tierflow.operators import (
     dedup,
     distinct_counts,
     drop_technical,
+    expect,
+    normalize_text,
     null_counts,
+    require_not_null,
     row_counts,
     stamp,
 )
@@ -83,7 +87,7 @@ def run_bronze(
 
 
 def silver_rows(bronze: DataFrame, config: PipelineConfig, dedup_by: str = "record") -> DataFrame:
-    """Bronze rows without technical columns and copies.
+    """Bronze rows without technical columns and copies, shaped as configured.
 
     ``record`` compares the source columns and keeps the earliest ingestion time; ``row`` compares the
     ingestion time too, so that a record which came again in a later batch stays twice.
@@ -93,6 +97,10 @@ def silver_rows(bronze: DataFrame, config: PipelineConfig, dedup_by: str = "reco
     rows = drop_technical(
         clean_names(bronze, lower=False), (config.rescued, config.source_file)
     )
+    if config.text_columns:
+        rows = normalize_text(rows, config.text_columns, config.text_case)
+    if config.required_columns:
+        rows = require_not_null(rows, config.required_columns)
     return dedup(rows, ignore=[config.ingestion_time] if dedup_by == "record" else [])
 
 
@@ -101,15 +109,21 @@ def run_silver(
     config: PipelineConfig,
     dedup_by: str = "record",
     at: datetime | None = None,
-) -> None:
-    """Recompute silver from all of bronze.
+) -> dict[str, int]:
+    """Recompute silver from all of bronze; the violations of each expectation, and the rows checked.
 
-    This is the one shuffle of full rows, so it is sized to the input.
+    This is the one shuffle of full rows, so it is sized to the input. The counts come from the same
+    pass; they are empty without expectations.
     """
     rows = silver_rows(read_bronze(spark, config), config, dedup_by)
+    seen = None
+    if config.expectations:
+        rules = {name: F.expr(condition) for name, condition in config.expectations.items()}
+        rows, seen = expect(rows, rules, config.on_violation)
     rows = stamp(rows, SILVER_TIME, at)
     with sized_for(rows):
         refresh(rows, Layers(config).silver, table_format=config.table_format)
+    return seen.get if seen else {}
 
 
 def run_gold(
