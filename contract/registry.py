@@ -84,7 +84,7 @@ def top_n_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def top_n_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """More rows per group than Spark limits before the shuffle."""
+    """More rows per group than are ranked by a window."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     return operators.top_n_per_group(
         orders, ["o_orderstatus"], "o_totalprice", n=2000, rank_col="place", tie_break=["o_orderkey"]

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import PySparkException
 
 from tierflow import PipelineConfig
 from tierflow.plans import Layers, sized_for
@@ -62,6 +63,20 @@ def test_bootstrap(spark, tmp_path):
     assert Layers(PipelineConfig(base_uri=str(tmp_path), schemas=schemas)).bootstrap(spark) is None
 
 
+class NoCatalog:
+    """A session whose catalog cannot be asked."""
+
+    class catalog:
+        @staticmethod
+        def currentCatalog():
+            raise PySparkException("no catalog")
+
+
+def test_a_session_without_catalogs_is_used_without_one():
+    layers = Layers(PipelineConfig(base_uri="/lake", catalog="main"))
+    assert layers._usable_catalog(NoCatalog) is None
+
+
 def test_settings_grow_with_the_input():
     small = settings_for(10 * MEBIBYTE, 200, 128 * MEBIBYTE)
     assert set(small.values()) == {"200", f"{128 * MEBIBYTE}b"}

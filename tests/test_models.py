@@ -5,6 +5,7 @@ from tierflow.functions import round_half_up
 from tierflow.operators import (
     avg_by_group,
     group_summary,
+    models,
     top_groups_by_sum,
     top_n_per_group,
     yearly_trends,
@@ -85,7 +86,7 @@ def test_top_n_limits_each_group_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2 and plan.index("Final") < shuffle < partial
 
 
-def test_top_n_by_index_equals_the_window(spark):
+def test_top_n_by_index_equals_the_window(spark, monkeypatch):
     df = spark.range(6000).select(
         "id",
         F.nullif((F.col("id") % 3).cast("int"), F.lit(2)).alias("k"),
@@ -94,6 +95,7 @@ def test_top_n_by_index_equals_the_window(spark):
     deep = top_n_per_group(df, ["k"], "v", n=1500, tie_break=["id"])
     assert "WindowGroupLimit" not in plan_of(deep)
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "1500")
+    monkeypatch.setattr(models, "MOST_RANKED_BY_WINDOW", 1500)
     try:
         window = top_n_per_group(df, ["k"], "v", n=1500, tie_break=["id"])
         want = {tuple(r) for r in window.collect()}

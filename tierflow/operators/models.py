@@ -13,6 +13,10 @@ from tierflow.operators.split import first_of_groups
 
 _AGGREGATES = {"sum": F.sum, "avg": F.avg}
 
+# The task that ranks a hot group gets up to n rows from each task before it: 10 million rows of one
+# group for 100 rows from 100,000 tasks, which it can still sort.
+MOST_RANKED_BY_WINDOW = 100
+
 
 def _ordering(value: str, tie_break: Sequence[str]) -> list[Column]:
     return [F.desc(ref(value)), *(F.asc(ref(c)) for c in tie_break)]
@@ -51,14 +55,13 @@ def top_n_per_group(
 ) -> DataFrame:
     """The ``n`` rows with the largest ``value`` in each group, all columns kept, ranked from 1.
 
-    Rows with a null ``value`` are left out; a null key is a group of its own. Up to Spark's
-    ``windowGroupLimitThreshold`` each task sends at most ``n`` rows per group to the shuffle, which
-    bounds a hot group. Beyond it, ranks come from a global row index, so that no group is ever sorted
-    in one task.
+    Rows with a null ``value`` are left out; a null key is a group of its own. For small ``n`` each task
+    sends at most ``n`` rows per group to the shuffle, which bounds a hot group. Beyond that, ranks come
+    from a global row index, so that no group is ever sorted in one task.
     """
     rows = df.filter(ref(value).isNotNull())
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if n > limit:
+    if n > min(limit, MOST_RANKED_BY_WINDOW):
         return first_of_groups(rows, keys, [value, *tie_break], n, rank_col, descending=[value])
     window = Window.partitionBy(*map(ref, keys)).orderBy(*_ordering(value, tie_break))
     return rows.withColumn(rank_col, F.row_number().over(window)).filter(ref(rank_col) <= n)
