@@ -18,7 +18,7 @@ from (
   select l_partkey, l_suppkey, sum(l_extendedprice) as total
   from lineitem where l_extendedprice is not null
   group by l_partkey, l_suppkey
-  order by total desc, l_partkey, l_suppkey limit 10
+  order by total desc, l_partkey nulls first, l_suppkey nulls first limit 10
 ) z
 """
 
@@ -26,7 +26,8 @@ SQL["top_n_per_year"] = """
 select * from (
   select *, cast(year(o_orderdate) as integer) as release_year,
     cast(row_number() over (
-      partition by year(o_orderdate) order by o_totalprice desc, o_orderkey) as integer)
+      partition by year(o_orderdate)
+      order by o_totalprice desc, o_orderkey nulls first) as integer)
       as rank_in_year
   from orders where o_totalprice is not null
 ) z where rank_in_year <= 5
@@ -37,7 +38,8 @@ select * from (
   select *, cast(year(l_shipdate) as integer) as release_year,
     cast(row_number() over (
       partition by year(l_shipdate)
-      order by l_extendedprice desc, l_orderkey, l_linenumber, l_partkey, l_suppkey) as integer)
+      order by l_extendedprice desc, l_orderkey nulls first, l_linenumber nulls first,
+        l_partkey nulls first, l_suppkey nulls first) as integer)
       as rank_in_year
   from lineitem where l_extendedprice is not null
 ) z where rank_in_year <= 5
@@ -47,9 +49,9 @@ SQL["top_n_null_key"] = """
 select * from (
   select o_orderkey, nullif(o_orderstatus, 'F') as status, o_totalprice as price,
     cast(row_number() over (
-      partition by nullif(o_orderstatus, 'F') order by o_totalprice desc, o_orderkey) as integer)
-      as place
-  from orders where o_orderpriority <> '5-LOW'
+      partition by nullif(o_orderstatus, 'F')
+      order by o_totalprice desc, o_orderkey nulls first) as integer) as place
+  from orders where o_orderpriority <> '5-LOW' and o_totalprice is not null
 ) z where place <= 3
 """
 
@@ -57,7 +59,8 @@ SQL["top_n_deep"] = """
 select * from (
   select o_orderkey, o_orderstatus, o_totalprice,
     cast(row_number() over (
-      partition by o_orderstatus order by o_totalprice desc, o_orderkey) as integer) as place
+      partition by o_orderstatus
+      order by o_totalprice desc, o_orderkey nulls first) as integer) as place
   from orders where o_totalprice is not null
 ) z where place <= 2000
 """
@@ -80,7 +83,7 @@ from customer group by c_nationkey
 
 SQL["yearly_trends"] = f"""
 select release_year, row_count, {rounded("total")} as total,
-  {rounded("total - lag(total) over (order by release_year)")} as change
+  {rounded("total - lag(total) over (order by release_year nulls first)")} as change
 from (
   select cast(year(o_orderdate) as integer) as release_year, count(*) as row_count,
     sum(o_totalprice) as total
@@ -93,7 +96,7 @@ select o_custkey, {rounded("total")} as o_totalprice
 from (
   select o_custkey, sum(o_totalprice) as total from orders
   where o_totalprice is not null
-  group by o_custkey order by total desc, o_custkey limit 10
+  group by o_custkey order by total desc, o_custkey nulls first limit 10
 ) z
 """
 
@@ -125,7 +128,8 @@ SQL["dedup_earliest_pair"] = """
 select o_custkey, o_orderstatus, o_orderpriority, o_orderdate, o_orderkey
 from (
   select *, row_number() over (
-    partition by o_custkey, o_orderstatus, o_orderpriority order by o_orderdate, o_orderkey) as rn
+    partition by o_custkey, o_orderstatus, o_orderpriority
+    order by o_orderdate, o_orderkey) as rn
   from orders
 ) z where rn = 1
 """
@@ -141,13 +145,13 @@ from (
 
 SQL["conform"] = """
 select o_orderkey, case when o_orderstatus = 'F' then o_totalprice end as price,
-  cast(substr(o_orderpriority, 1, 1) as integer) as priority
+  try_cast(substr(o_orderpriority, 1, 1) as integer) as priority
 from orders
 """
 
 SQL["conform_rescue"] = """
 select o_orderkey, case when o_orderstatus = 'F' then o_totalprice end as price,
-  cast(substr(o_orderpriority, 1, 1) as integer) as priority,
+  try_cast(substr(o_orderpriority, 1, 1) as integer) as priority,
   case when o_orderstatus = 'O' then '{"price":"' || o_orderpriority || '"}' end as rescued
 from orders
 """
@@ -196,7 +200,7 @@ where value < 100 and event_type <> 'view' and event_type <> 'click'
 SQL["expect_counts"] = """
 select count(*) as row_count,
   count(*) filter (where not coalesce(value < 100, false)) as small_value,
-  count(*) filter (where event_type in ('view', 'click')) as known_type
+  count(*) filter (where not coalesce(nullif(event_type, 'view') <> 'click', false)) as known_type
 from events
 """
 
@@ -206,7 +210,7 @@ SQL["newest"] = "select * from events order by ts desc limit 20"
 
 SQL["row_index"] = """
 select o_orderkey, o_orderstatus, o_totalprice,
-  row_number() over (order by o_orderstatus desc, o_orderkey) - 1 as row_index
+  row_number() over (order by o_orderstatus desc, o_orderkey nulls first) - 1 as row_index
 from orders
 """
 
@@ -214,7 +218,7 @@ SQL["chunks"] = """
 select o_orderkey, o_custkey,
   cast(least(row_index // size, 4) + 1 as integer) as chunk
 from (
-  select o_orderkey, o_custkey, row_number() over (order by o_orderkey) - 1 as row_index,
+  select o_orderkey, o_custkey, row_number() over (order by o_orderkey nulls first) - 1 as row_index,
     (select count(*) // 5 from orders) as size
   from orders
 ) z
@@ -224,7 +228,7 @@ SQL["chunks_hot_key"] = """
 select cast(least(row_index // size, 6) + 1 as integer) as chunk, count(*) as row_count,
   min(o_orderstatus) as first_status, max(o_orderstatus) as last_status
 from (
-  select o_orderstatus, row_number() over (order by o_orderstatus) - 1 as row_index,
+  select o_orderstatus, row_number() over (order by o_orderstatus nulls first) - 1 as row_index,
     (select count(*) // 7 from orders) as size
   from orders
 ) z
@@ -246,7 +250,7 @@ select event_id, event_type, value, props,
   cast(least(row_index // size, 4) + 1 as integer) as chunk
 from (
   select event_id, event_type, value, props,
-    row_number() over (order by event_id) - 1 as row_index,
+    row_number() over (order by event_id nulls first) - 1 as row_index,
     (select count(*) // 5 from events) as size
   from events
 ) z
@@ -260,7 +264,7 @@ select event_id, ts, user_id, event_type, value as value_units, props from event
 
 SQL["ingest_incremental"] = _EVENTS
 
-SQL["silver_streaming"] = _EVENTS
+SQL["silver_streaming"] = _EVENTS.replace("select", "select distinct")
 
 SQL["ingest_lineage"] = """
 select count(*) as rows_with_file, count(*) as rows_with_time, cast(1 as bigint) as batches,
@@ -295,8 +299,16 @@ releases as (
 )
 """
 
+_TOP_ARTISTS = """
+top_artists as (
+  select artist, sum(total_streams) as total from releases
+  where total_streams is not null
+  group by artist order by total desc, artist nulls first limit 10
+)
+"""
+
 SQL["gold_tables"] = f"""
-with {_RELEASES}
+with {_RELEASES}, {_TOP_ARTISTS}
 select 'avg_duration_by_genre' as model, genre as key, {rounded("avg(duration)")} as value
 from releases group by genre
 union all
@@ -306,31 +318,31 @@ union all
 select 'yearly_stream_trends', cast(release_year as varchar), {rounded("sum(total_streams)")}
 from releases group by release_year
 union all
-select 'top_artists', artist, {rounded("total")} from (
-  select artist, sum(total_streams) as total from releases
-  group by artist order by total desc, artist limit 10
-) z
+select 'top_artists', artist, {rounded("total")} from top_artists
 """
 
 SQL["checks_across_layers"] = f"""
-with {_RELEASES},
+with {_RELEASES}, {_TOP_ARTISTS},
 years as (select release_year, count(*) as n from releases group by release_year),
-artists as (select count(distinct artist) as n from releases)
+ranked as (
+  select release_year, count(*) as n from releases
+  where total_streams is not null group by release_year
+)
 select 'bronze_rows' as "check", (select count(*) from lineitem) as value
 union all
 select 'silver_rows', (select count(*) from releases)
 union all
 select 'gold_rows_yearly_stream_trends', (select count(*) from years)
 union all
-select 'gold_rows_top_songs_per_year', (select cast(sum(least(n, 5)) as bigint) from years)
+select 'gold_rows_top_songs_per_year', (select cast(sum(least(n, 5)) as bigint) from ranked)
 union all
-select 'gold_rows_top_artists', (select least(n, 10) from artists)
+select 'gold_rows_top_artists', (select count(*) from top_artists)
 union all
 select 'null_artists_bronze', (select count(*) from lineitem where l_suppkey is null)
 union all
 select 'null_streams_silver', (select count(*) from releases where streams_30d is null)
 union all
-select 'distinct_artists_silver', (select n from artists)
+select 'distinct_artists_silver', (select count(distinct artist) from releases)
 union all
-select 'distinct_artists_gold', (select least(n, 10) from artists)
+select 'distinct_artists_gold', (select count(distinct artist) from top_artists)
 """

@@ -154,7 +154,7 @@ def drop_and_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Technical columns go where they exist, a time stamp comes in."""
     documents = table(spark, sf_dir, "documents").withColumnRenamed("source", "source_file")
     kept = operators.drop_technical(documents.select("doc_id", "lang", "source_file"))
-    stamped = operators.stamp(kept, "silver_transform_time", datetime(2024, 1, 2, 3, 4, 5))
+    stamped = operators.stamp(kept, "silver_transform_time", datetime(2024, 1, 2, 12))
     return stamped.withColumn("silver_transform_time", F.col("silver_transform_time").cast("date"))
 
 
@@ -376,7 +376,7 @@ def landed_events(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, Dat
 def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two arrivals and three runs: each file is taken once, the last run finds nothing new."""
     config, events = landed_events(spark, sf_dir)
-    early = F.col("Ts") < F.lit(datetime(2024, 1, 15)).cast("timestamp_ntz")
+    early = F.coalesce(F.col("Ts") < F.expr("timestamp_ntz'2024-01-15'"), F.lit(False))
     for arrival in (events.filter(early), events.filter(~early)):
         land(arrival, Layers(config).source)
         run_bronze(spark, config)

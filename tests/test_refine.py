@@ -113,7 +113,10 @@ def test_dedup_by_row_depends_on_arrival_by_record_does_not(spark):
 
 
 def test_dedup_keeps_ignored_columns_of_one_row_together(spark):
-    df = spark.createDataFrame([(5, "r", "y"), (3, "r", "z"), (3, "r", "x")], ["t", "k", "f"])
+    df = spark.createDataFrame(
+        [(5, "r", "y"), (3, "r", "z"), (3, "r", "x"), (3, "r", None), (None, "r", "a")],
+        "t int, k string, f string",
+    )
     assert rows(dedup(df, ["t", "f"])) == [(3, "r", "x")]
     assert dedup(df, ["t", "f"]).columns == ["t", "k", "f"]
 

@@ -20,6 +20,7 @@ from tierflow.functions import (
 )
 
 _CAST = "__cast_"
+_NULL = "__null_"
 
 
 def conform(
@@ -73,9 +74,9 @@ def dedup(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
     """One row for each distinct row.
 
     With ``ignore``, rows that differ only in those columns count as equal, and the smallest value of
-    the ignored columns is kept, such as the earliest ingestion time. Several ignored columns are
-    taken together from one row. Both forms combine copies before the shuffle, so a record with very
-    many copies costs one row per task.
+    the ignored columns is kept, such as the earliest ingestion time; null counts as the largest.
+    Several ignored columns are taken together from one row. All forms combine copies before the
+    shuffle, so a record with very many copies costs one row per task.
     """
     if not ignore:
         return df.dropDuplicates()
@@ -84,7 +85,7 @@ def dedup(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
         (only,) = ignore
         kept = df.groupBy(*map(ref, keys)).agg(F.min(ref(only)).alias(only))
     else:
-        together = F.min(F.struct(*map(ref, ignore)))
-        kept = df.groupBy(*map(ref, keys)).agg(together.alias("__kept"))
+        nulls_last = [part for c in ignore for part in (ref(c).isNull().alias(_NULL + c), ref(c))]
+        kept = df.groupBy(*map(ref, keys)).agg(F.min(F.struct(*nulls_last)).alias("__kept"))
         kept = kept.select(*map(ref, keys), "__kept.*")
     return kept.select(*map(ref, df.columns))
