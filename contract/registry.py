@@ -54,6 +54,7 @@ def top_n_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_totalprice",
         rank_col="rank_in_year",
         tie_break=["o_orderkey"],
+        few_groups=True,
     )
 
 
@@ -66,6 +67,7 @@ def top_lines_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_extendedprice",
         rank_col="rank_in_year",
         tie_break=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
+        few_groups=True,
     )
 
 

@@ -86,6 +86,42 @@ def test_top_n_limits_each_group_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2 and plan.index("Final") < shuffle < partial
 
 
+def ranked(spark):
+    """Groups of very different sizes and values: ties, copies, null keys, NaN, few values."""
+    return spark.range(0, 6000, numPartitions=5).select(
+        F.when(F.col("id") < 4000, "large").when(F.col("id") < 4003, "tiny").when(
+            F.col("id") < 5000, F.lit("copies")
+        ).alias("k"),
+        F.when(F.col("id") % 7 == 0, F.lit(None))
+        .when((F.col("id") >= 4003) & (F.col("id") < 5000), F.lit(1.5))
+        .when(F.col("id") % 1000 == 1, F.lit(float("nan")))
+        .otherwise((F.col("id") * 7919 % 613).cast("double"))
+        .alias("v"),
+        F.when((F.col("id") < 4003) | (F.col("id") >= 5000), F.col("id")).alias("id"),
+    )
+
+
+@pytest.mark.parametrize("n", [1, 5, 40])
+def test_contenders_hold_the_largest(spark, n):
+    df = ranked(spark)
+    plain = top_n_per_group(df, ["k"], "v", n=n, tie_break=["id"])
+    few = top_n_per_group(df, ["k"], "v", n=n, tie_break=["id"], few_groups=True)
+    assert "BroadcastHashJoin" in plan_of(few) and few.dtypes == plain.dtypes
+    assert sorted(map(str, few.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_contenders_leave_out_most_rows(spark):
+    df = spark.range(50000).select((F.col("id") % 3).alias("k"), F.rand(1).alias("v"))
+    assert 15 <= models._contenders(df, ["k"], "v", 5).count() < 300
+
+
+def test_too_many_groups_are_ranked_without_bounds(spark, monkeypatch):
+    monkeypatch.setattr(models, "MOST_BROADCAST_ROWS", 2)
+    df = ranked(spark)
+    few = top_n_per_group(df, ["k"], "v", tie_break=["id"], few_groups=True)
+    assert "BroadcastHashJoin" not in plan_of(few)
+
+
 def test_top_n_by_index_equals_the_window(spark, monkeypatch):
     df = spark.range(6000).select(
         "id",

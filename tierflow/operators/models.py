@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tierflow.functions import ref, round_half_up
-from tierflow.operators.split import first_of_groups
+from tierflow.operators.split import MOST_BROADCAST_ROWS, first_of_groups
+from tierflow.storage import stage
 
 _AGGREGATES = {"sum": F.sum, "avg": F.avg}
 
@@ -17,6 +18,10 @@ _AGGREGATES = {"sum": F.sum, "avg": F.avg}
 # group for 100 rows from 100,000 tasks, which it can still sort.
 MOST_RANKED_BY_WINDOW = 100
 
+# More classes bring the bound of `_contenders` closer to the n-th value, at the cost of
+# as many more maxima per group.
+CLASSES_PER_ROW = 16
+
 
 def _ordering(value: str, tie_break: Sequence[str]) -> list[Column]:
     return [F.desc(ref(value)), *(F.asc(ref(c)) for c in tie_break)]
@@ -52,21 +57,52 @@ def top_n_per_group(
     n: int = 5,
     rank_col: str = "rank_in_group",
     tie_break: Sequence[str] = (),
+    few_groups: bool = False,
 ) -> DataFrame:
     """The ``n`` rows with the largest ``value`` in each group, all columns kept, ranked from 1.
 
     Rows with a null ``value`` are left out; a null key is a group of its own. For small ``n`` each task
     sends at most ``n`` rows per group to the shuffle, which bounds a hot group. Beyond that, ranks come
     from a global row index, so that no group is ever sorted in one task.
+
+    With ``few_groups``, for large groups such as years, a first pass over the key and value columns
+    finds which rows can be among the first ``n``, so that the others are not sorted at all. ``df`` is
+    then read twice and must be repeatable.
     """
     rows = df.filter(ref(value).isNotNull())
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if n > min(limit, MOST_RANKED_BY_WINDOW):
         return first_of_groups(rows, keys, [value, *tie_break], n, rank_col, descending=[value])
+    if few_groups:
+        rows = _contenders(rows, keys, value, n)
     window = Window.partitionBy(*map(ref, keys)).orderBy(*_ordering(value, tie_break))
     return rows.withColumn(rank_col, F.row_number().over(window)).filter(ref(rank_col) <= n)
 
 
+def _contenders(rows: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
+    """The rows that can be among the ``n`` largest of their group.
+
+    Rows fall into classes by a hash of the value. The largest values of ``n`` classes belong to ``n``
+    different rows, so the smallest of them is a bound that no row below can overcome. A group with
+    fewer classes keeps all its rows, and so does every group where there are too many to broadcast.
+    """
+    names = [f"__key{i}" for i in range(len(keys))]
+    spread = F.pmod(F.xxhash64(ref(value)), F.lit(CLASSES_PER_ROW * n)).alias("__class")
+    grouped = rows.groupBy(*(ref(k).alias(name) for k, name in zip(keys, names)), spread)
+    largest = F.sort_array(F.collect_list("__largest"), asc=False)
+    bounds = stage(
+        grouped.agg(F.max(ref(value)).alias("__largest"))
+        .groupBy(*names)
+        .agg(F.try_element_at(largest, F.lit(n)).alias("__bound")),
+        "bounds",
+    )
+    if bounds.count() > MOST_BROADCAST_ROWS:
+        return rows
+    same_group = [ref(k).eqNullSafe(F.col(name)) for k, name in zip(keys, names)]
+    near = F.col("__bound").isNull() | (ref(value) >= F.col("__bound"))
+    return rows.join(F.broadcast(bounds), [*same_group, near]).select(*map(ref, rows.columns))
+
+
 def avg_by_group(
     df: DataFrame, keys: Sequence[str], value: str, output: str, digits: int = 2
 ) -> DataFrame:

@@ -34,6 +34,7 @@ def top_streams_by_year(silver: DataFrame) -> DataFrame:
         n=5,
         rank_col="rank_in_year",
         tie_break=["artist", "album"],
+        few_groups=True,
     )
 
 
@@ -65,6 +66,7 @@ def top_songs_per_year(silver: DataFrame) -> DataFrame:
         n=5,
         rank_col="rank_in_year",
         tie_break=["artist", "album"],
+        few_groups=True,
     )
 
 
