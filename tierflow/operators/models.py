@@ -10,7 +10,6 @@ from pyspark.sql.window import Window
 
 from tierflow.functions import ref, round_half_up
 from tierflow.operators.split import MOST_BROADCAST_ROWS, first_of_groups
-from tierflow.storage import stage
 
 _AGGREGATES = {"sum": F.sum, "avg": F.avg}
 
@@ -90,14 +89,15 @@ def _contenders(rows: DataFrame, keys: Sequence[str], value: str, n: int) -> Dat
     spread = F.pmod(F.xxhash64(ref(value)), F.lit(CLASSES_PER_ROW * n)).alias("__class")
     grouped = rows.groupBy(*(ref(k).alias(name) for k, name in zip(keys, names)), spread)
     largest = F.sort_array(F.collect_list("__largest"), asc=False)
-    bounds = stage(
+    bounds = (
         grouped.agg(F.max(ref(value)).alias("__largest"))
         .groupBy(*names)
-        .agg(F.try_element_at(largest, F.lit(n)).alias("__bound")),
-        "bounds",
+        .agg(F.try_element_at(largest, F.lit(n)).alias("__bound"))
     )
-    if bounds.count() > MOST_BROADCAST_ROWS:
+    found = bounds.limit(MOST_BROADCAST_ROWS + 1).toArrow()
+    if found.num_rows > MOST_BROADCAST_ROWS:
         return rows
+    bounds = rows.sparkSession.createDataFrame(found, bounds.schema)
     same_group = [ref(k).eqNullSafe(F.col(name)) for k, name in zip(keys, names)]
     near = F.col("__bound").isNull() | (ref(value) >= F.col("__bound"))
     return rows.join(F.broadcast(bounds), [*same_group, near]).select(*map(ref, rows.columns))
