@@ -80,6 +80,13 @@ def test_row_index_is_gapless_and_follows_the_order(spark):
     assert [str(r) for r in indexed.orderBy("row_index").drop("row_index").collect()] == want
 
 
+def test_numbers_stay_where_the_input_is_not_repeatable(spark):
+    df = spark.range(0, 900, numPartitions=3).withColumn("r", F.expr("uuid()"))
+    indexed = with_row_index(df, ["r"])
+    first, second = (sorted(map(tuple, indexed.collect()), key=lambda t: t[2]) for _ in range(2))
+    assert first == second and [t[1] for t in first] == sorted(t[1] for t in first)
+
+
 def test_scan_order_is_kept(spark, tmp_path):
     spark.range(0, 500, numPartitions=1).write.csv(str(tmp_path / "one"))
     scan = spark.read.schema("id long").csv(str(tmp_path / "one"))

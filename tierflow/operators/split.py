@@ -91,7 +91,8 @@ def assign_chunks(
     The last chunk also takes the remainder; with fewer rows than chunks it takes them all. A sorted
     split shuffles the sort columns only: they give the ``n - 1`` sort values at which a chunk begins,
     and each full row is then compared with those where it is read. Where such a value occurs more than
-    once, the rows are staged with an id that tells them apart.
+    once, the rows are staged with an id that tells them apart. ``df`` is read more than once and must be
+    repeatable; `tierflow.storage.stage` makes it so.
     """
     if n < 1:
         raise ValueError(f"need at least one chunk, not {n}")
