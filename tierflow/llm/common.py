@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +36,8 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def groups_of_rows(batch: pa.RecordBatch, sizes: list[int], limit: int = GROUP_BYTES) -> Iterator[slice]:
-    """Slices of the batch's rows with about ``limit`` bytes each; a longer row is alone."""
+def groups_of_rows(sizes: list[int], limit: int = GROUP_BYTES) -> Iterator[slice]:
+    """Slices of rows of about ``limit`` in all; a larger row is alone."""
     start = total = 0
     for row, size in enumerate(sizes):
         if row > start and total + size > limit:

@@ -72,15 +72,12 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.count(F.lit(1)).alias("group_size"),
         F.min(F.struct(*[order[x].alias(x) for x in "cni"])).alias("best"),
     )
-    return (
-        compared.join(best, "text_sha256")
-        .select(
-            F.col("id").alias(id_col),
-            F.col("best.i").alias("keep_id"),
-            "group_size",
-            ((F.col("place") == 1) & F.col("id").eqNullSafe(F.col("best.i")) & (F.col("chars") == -F.col("best.c"))).alias(
-                "kept"
-            ),
-            "text_sha256",
-        )
+    best = common.stage(best, "exact-best")  # so that adaptive execution can split the rows of one digest
+    is_best = F.col("id").eqNullSafe(F.col("best.i")) & (F.col("chars") == -F.col("best.c"))
+    return compared.join(best, "text_sha256").select(
+        F.col("id").alias(id_col),
+        F.col("best.i").alias("keep_id"),
+        "group_size",
+        ((F.col("place") == 1) & is_best).alias("kept"),
+        "text_sha256",
     )
