@@ -71,6 +71,8 @@ _LOWER[65:91] += 32
 _BYTE_VALUES = _stream(1, 256)[_LOWER]
 _IS_WHITE = np.zeros(256, bool)
 _IS_WHITE[list(_WHITE_BYTES)] = True
+_IS_MARK = _IS_WHITE.copy()
+_IS_MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
 _PLACE = _stream(2, 64) | np.uint64(1)
 
@@ -95,17 +97,18 @@ class _Powers:
 _POWERS = _Powers()
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str], marks_part: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts in a row, and where each text's words begin.
 
-    Words are maximal runs without white space, A to Z in lower case. The second array has one entry
-    more than there are texts. Equal words have equal hashes on every machine.
+    Words are maximal runs without white space, A to Z in lower case; with ``marks_part`` ASCII punctuation
+    parts words too. The second array has one entry more than there are texts. Equal words have equal hashes on
+    every machine.
     """
     parts = [t.encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b"\n".join([*parts, b""]), np.uint8)
     if not len(data):
         return np.empty(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    inside = ~_IS_WHITE[data]
+    inside = ~(_IS_MARK if marks_part else _IS_WHITE)[data]
     edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0)))
     starts, ends = edges[::2], edges[1::2]  # the data end in white space, so every word has an end
     up, down = _POWERS.to(len(data) + 1)

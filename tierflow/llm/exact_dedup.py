@@ -37,47 +37,64 @@ def _hot_texts(texts: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each row's duplicate group: ``id_col, keep_id, group_size, kept, text_sha256``.
+def _compared(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, chars, place, text_sha256; with ``carry`` the whole row) and the best row of each digest.
 
-    Texts are equal when identical without white space (U+0020, U+0009 to U+000D). The longest original
-    text stays, then the smallest id; exactly one row of a group stays, also among repeated rows. A null
-    text counts as empty, and all empty texts form one group. A null id sorts after all others. Other
-    columns are not looked at. An empty table gives an empty result.
+    ``place`` 1 marks the first row of each run of equal texts.
     """
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.char_length(common.whole_text(text_col)).alias("chars"),
         normalised(text_col).alias("norm"),
+        *([F.struct("*").alias("row")] if carry else []),
     ).withColumn("key", F.xxhash64("norm"))
     hot = F.broadcast(_hot_texts(rows.select("key")))
     runs = (
         rows.join(hot, F.col("key") == F.col("hot_key"), "left")
         .withColumn("run", F.pmod(F.xxhash64("id", "chars"), F.coalesce("runs", F.lit(1))))
         .withColumn("prefix", F.substring("norm", 1, PREFIX))
-        .select("id", "chars", "norm", "key", "run", "prefix")
+        .select("id", "chars", "key", "run", "prefix", "row" if carry else "norm")
     )
     # Partitions by (prefix, key, run) also keep the rows of a run together, so the window needs no
     # further exchange: it sorts each partition and starts a group wherever neighbouring texts differ.
     sorted_runs = runs.repartitionByRange("prefix", "key", "run")
+    if carry:  # the original text travels, and is normalised again
+        sorted_runs = sorted_runs.withColumn("norm", normalised(f"row.`{text_col}`"))
     run = Window.partitionBy("prefix", "key", "run", "norm")
     first = run.orderBy(F.desc("chars"), F.col("id").asc_nulls_last())
-    neighbours = sorted_runs.withColumn("place", F.row_number().over(first)).select(
-        "id", "chars", "place", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256")
+    digest = F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256")
+    neighbours = sorted_runs.withColumn("place", F.row_number().over(first))
+    compared = common.stage(
+        neighbours.select("id", "chars", "place", digest, *(["row"] if carry else [])), "exact-runs"
     )
-    compared = common.stage(neighbours, "exact-runs")
     # (-chars, id is null, id): the smallest stays
     order = F.struct((-F.col("chars")).alias("c"), F.isnull("id").alias("n"), F.col("id").alias("i"))
-    best = compared.groupBy("text_sha256").agg(
-        F.count(F.lit(1)).alias("group_size"),
-        F.min(F.struct(*[order[x].alias(x) for x in "cni"])).alias("best"),
+    best = compared.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("group_size"), F.min(order).alias("best"))
+    # staged, so that adaptive execution can split the rows of one digest in the join with it
+    return compared, common.stage(best, "exact-best")
+
+
+def _stays() -> Column:
+    return (
+        (F.col("place") == 1) & F.col("id").eqNullSafe(F.col("best.i")) & (F.col("chars") == -F.col("best.c"))
     )
-    best = common.stage(best, "exact-best")  # so that adaptive execution can split the rows of one digest
-    is_best = F.col("id").eqNullSafe(F.col("best.i")) & (F.col("chars") == -F.col("best.c"))
+
+
+def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Each row's duplicate group: ``id_col, keep_id, group_size, kept, text_sha256``.
+
+    Texts are equal when identical without white space (U+0020, U+0009 to U+000D). The longest original
+    text stays, then the smallest id; exactly one row of a group stays, also among repeated rows. A null
+    text counts as empty, and all empty texts form one group. A null id sorts after all others. Other
+    columns are not looked at. An empty table gives an empty result.
+    """
+    compared, best = _compared(docs, id_col, text_col, carry=False)
     return compared.join(best, "text_sha256").select(
-        F.col("id").alias(id_col),
-        F.col("best.i").alias("keep_id"),
-        "group_size",
-        ((F.col("place") == 1) & is_best).alias("kept"),
-        "text_sha256",
+        F.col("id").alias(id_col), F.col("best.i").alias("keep_id"), "group_size", _stays().alias("kept"), "text_sha256"
     )
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that stay, with all columns of ``docs``; see `duplicate_groups`."""
+    compared, best = _compared(docs, id_col, text_col, carry=True)
+    return compared.join(best.select("text_sha256", "best"), "text_sha256").filter(_stays()).select("row.*")

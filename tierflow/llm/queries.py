@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, sharding, toxicity
+from . import decontaminate, exact_dedup, near_dedup, packing, sharding, toxicity
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+@query
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

@@ -231,6 +231,30 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
+class _Pool:
+    """Pools the word scores of texts; remembers words between batches."""
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self.known: dict[str, float] = {}
+
+    def __call__(self, texts: pa.Array) -> tuple[list[float], list[float]]:
+        """For each text the largest score, and the logarithm of one more than the words with a score above 0."""
+        texts = [t.as_py() or "" for t in texts]
+        tops, aboves = [], []
+        for rows in common.groups_of_rows([len(t) for t in texts], 4 * common.GROUP_BYTES):
+            found = [words_of(t) for t in texts[rows]]
+            if len(self.known) > MOST_REMEMBERED:
+                self.known = {}
+            fresh = list(set().union(*found) - self.known.keys())
+            self.known.update(zip(fresh, self.model.word_scores(fresh).tolist()))
+            for words in found:
+                scores = [self.known[w] for w in words] or [self.model.bias]
+                tops.append(max(scores))
+                aboves.append(float(np.log1p(sum(s > 0 for s in scores))))
+        return tops, aboves
+
+
 def _pooled(docs: DataFrame, model: Model, passed: list[str], text_col: str) -> DataFrame:
     """Columns ``passed``, and the pooled word scores ``top`` and ``above`` of each row's whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -239,21 +263,9 @@ def _pooled(docs: DataFrame, model: Model, passed: list[str], text_col: str) ->
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = shared.value, {}
+        pool = _Pool(shared.value)
         for batch in batches:
-            texts = [t.as_py() or "" for t in batch.column(len(passed))]
-            tops, aboves = [], []
-            for rows in common.groups_of_rows([len(t) for t in texts], 4 * common.GROUP_BYTES):
-                found = [words_of(t) for t in texts[rows]]
-                every = set().union(*found)
-                if len(known) > MOST_REMEMBERED:
-                    known = {}
-                fresh = list(every - known.keys())
-                known.update(zip(fresh, model.word_scores(fresh).tolist()))
-                for words in found:
-                    scores = [known[w] for w in words] or [model.bias]
-                    tops.append(max(scores))
-                    aboves.append(float(np.log1p(sum(s > 0 for s in scores))))
+            tops, aboves = pool(batch.column(len(passed)))
             columns = [batch.column(i) for i in range(len(passed))]
             columns += [pa.array(tops, pa.float64()), pa.array(aboves, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=out.names)
@@ -344,3 +356,20 @@ def score(
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         *keep,
     )
+
+
+def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows whose score is below 0.5, with all columns of ``docs``."""
+    if model.constant is not None:
+        return docs.filter(F.lit(model.constant < 0.5))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pool = _Pool(shared.value)
+        a, b, c = shared.value.calibration
+        for batch in batches:
+            tops, aboves = pool(batch.column(place))
+            yield batch.filter(pa.array(a + b * np.array(tops) + c * np.array(aboves) < 0, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
