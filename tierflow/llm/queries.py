@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, near_dedup, packing, sharding, toxicity
+from . import decontaminate, exact_dedup, near_dedup, packing, secrets, sharding, toxicity
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,8 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(read_table(spark, sf_dir, "documents"))
