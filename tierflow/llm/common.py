@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -133,3 +134,8 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
 def sequence_hash(words: np.ndarray) -> np.uint64:
     """Hash of a whole short sequence, apart from those of longer shingles."""
     return mix(np.atleast_1d((words * _PLACE[32 : 32 + len(words)]).sum(dtype=np.uint64)))[0]
+
+
+def text_hash(text: str) -> int:
+    """A signed 64-bit digest of a text."""
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
