@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, extraction, near_dedup, packing, secrets, sharding, toxicity
+from . import decontaminate, exact_dedup, extraction, licenses, near_dedup, packing, secrets, sharding, toxicity
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +91,8 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.main_texts(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_matches(read_table(spark, sf_dir, "documents"))
