@@ -3,8 +3,8 @@
 Built-in expressions only. Shingles are pairs of neighbouring words. Templates fall into classes of like length, and each
 class has its own windows: an occurrence lies wholly in at least one of them, and the window is little longer, so
 its Jaccard similarity with the template is at least ``least_jaccard``. The number of bands follows from that and
-``MOST_MISSED``. A window can share a band value with a template only if it holds a shingle that is a minimum of the
-template, so only windows with such a shingle get a signature.
+``MOST_MISSED``. A window that holds a template also holds most of the shingles that are minima of the template, so
+only windows with as many minima get a signature.
 """
 
 from __future__ import annotations
@@ -142,10 +142,14 @@ def _scan(docs: DataFrame, templates: DataFrame, id_col: str, text_col: str) ->
         order = F.transform("shingles", lambda s: F.struct(F.xxhash64(s, j).alias("h"), s.alias("s")))
         return F.array_min(order)["s"]
 
+    # Minima of each class's templates, and how many of them a window of the class holds at least if it holds a template.
     minima: list[set[int]] = [set() for _ in classes]
-    of_each = F.explode(F.transform(F.sequence(F.lit(0), F.lit(size - 1)), least))
-    for r in known.select("kind", of_each.alias("s")).distinct().collect():  # at most ``size`` for each template
-        minima[r["kind"]].add(r["s"])
+    needed = [10**9] * len(classes)
+    of_each = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(size - 1)), least))
+    for r in known.select("kind", F.size("shingles").alias("n"), of_each.alias("least")).collect():
+        minima[r["kind"]].update(r["least"])
+        spare = r["n"] - math.ceil(LEAST_CONTAINED * r["n"])
+        needed[r["kind"]] = max(1, min(needed[r["kind"]], len(r["least"]) - spare))
     every = sorted(set().union(*minima))
 
     words = F.col("words")
@@ -159,19 +163,34 @@ def _scan(docs: DataFrame, templates: DataFrame, id_col: str, text_col: str) ->
     )
 
     def opened(kind: int, windows: Windows) -> Column:
-        def starts(i: Column) -> Column:
-            first = F.greatest(F.lit(0), F.ceil((i - (windows.width - 2)) / windows.stride)).cast("int")
-            last = F.floor(i / windows.stride).cast("int")
-            return F.transform(F.sequence(first, last), lambda k: k * windows.stride)
+        """Windows with as many minima as are needed: those over a run of so many neighbouring ones."""
+        telling, reach = F.col(f"telling{kind}"), windows.width - 2
 
-        telling = F.filter("places", lambda i: _pair(words, i).isin(sorted(minima[kind])))
-        begins = F.array_distinct(F.flatten(F.transform(telling, starts)))
+        def run_end(k: Column) -> Column:
+            return F.get(telling, k + (needed[kind] - 1))
+
+        runs = F.filter(
+            F.transform(telling, lambda i, k: F.struct(i.alias("first"), run_end(k).alias("last"))),
+            lambda run: run["last"] - run["first"] <= reach,
+        )
+
+        def starts(run: Column) -> Column:
+            low = F.greatest(F.lit(0), F.ceil((run["last"] - reach) / windows.stride)).cast("int")
+            high = F.floor(run["first"] / windows.stride).cast("int")
+            none = F.array().cast("array<int>")
+            return F.when(low <= high, F.transform(F.sequence(low, high), lambda k: k * windows.stride)).otherwise(none)
+
+        begins = F.array_distinct(F.flatten(F.transform(runs, starts)))
         return F.transform(
             begins, lambda b: F.struct(F.lit(kind).alias("kind"), b.alias("start"), F.lit(windows.width).alias("width"))
         )
 
+    telling = [
+        F.filter("places", lambda i: _pair(words, i).isin(sorted(own))).alias(f"telling{kind}")
+        for kind, own in enumerate(minima)
+    ]
     every_window = F.concat(*(opened(kind, windows) for kind, windows in enumerate(classes)))
-    window = hits.select("row", "id", "words", F.explode(every_window).alias("w"))
+    window = hits.select("row", "id", "words", *telling).select("row", "id", "words", F.explode(every_window).alias("w"))
     sliced = window.select(
         "row", "id", "w.kind", "w.start", F.slice("words", F.col("w.start") + 1, F.col("w.width")).alias("window")
     )
