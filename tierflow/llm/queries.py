@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, extraction, licenses, near_dedup, packing, secrets, sharding, toxicity
+from . import decontaminate, exact_dedup, extraction, licenses, lm, near_dedup, packing, secrets, sharding, toxicity
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,10 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_matches(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model, rest = lm.fit(docs, tokenizer_path())
+    return lm.score(docs, model, rest, tokenizer_path())
