@@ -5,9 +5,9 @@ functions: the leading-zero count and some mantissa bits of the function's minim
 function sees the whole set (the k-function form), so a short document leaves no register empty. Bands of
 compressed registers propose candidates, a collision-corrected estimate sifts them, and the sets decide.
 
-Equal sets are one node. A bucket of n nodes proposes each node with the bucket's smallest and largest
-node, about 2n pairs. Only where that leaves more than one class in a bucket of four or more are the remaining
-pairs between classes looked at, in blocks of registers, so no group's pairs are ever listed.
+Equal sets are one node. A bucket of n nodes proposes each node with the bucket's hub, its most central node, and with
+its smallest node, about 2n pairs. Where that leaves more than one class in a bucket of four or more, a join on the
+rarest shingles of the sets concerned finds the rest exactly. No group's pairs are ever listed.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -33,7 +33,6 @@ MANTISSA_BITS = 10
 LEAST_ESTIMATE = 0.57
 # Fixed value of the HyperMinHash paper (Yu and Weber): chance collisions of a register at equal set sizes, times 2^bits.
 COLLISION = 0.169919487159739093975315012348
-BLOCK = 64
 # Ids up to this number are broadcast to pick their texts (16 MB); more are joined by a shuffle.
 MOST_BROADCAST_IDS = 2_000_000
 
@@ -139,16 +138,20 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.select("a", "b", "sketch_a", "size_a", "sketch_b", "size_b").mapInArrow(run, "a long, b long")
 
 
+def _texts(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``ids`` (node, ...) with the texts of their documents; few ids are broadcast."""
+    few = ids.count() <= MOST_BROADCAST_IDS
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), common.whole_text(text_col).alias("text"))
+    return texts.join(F.broadcast(ids) if few else ids, F.col("id") == F.col("node")).drop("id")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, label: str) -> DataFrame:
     """Those (a, b) whose full sets are alike enough."""
     pairs = common.stage(pairs, f"{label}-pairs")
     if pairs.isEmpty():
         return pairs
-    wanted = common.stage(pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct(), f"{label}-ids")
-    few = wanted.count() <= MOST_BROADCAST_IDS
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), common.whole_text(text_col).alias("text"))
-    texts = texts.join(F.broadcast(wanted) if few else wanted, F.col("id") == F.col("wanted")).select("id", "text")
-    texts = common.stage(texts, f"{label}-texts")
+    ids = common.stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{label}-ids")
+    texts = common.stage(_texts(docs, ids, id_col, text_col), f"{label}-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, last_set = None, None  # rows come sorted by b
@@ -161,54 +164,60 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, lab
             linked = pa.array(linked, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(linked), batch.column(1).filter(linked)], names=["a", "b"])
 
-    with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    with_b = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     return common.stage(with_b.select("a", "b", "text_b", "text_a").mapInArrow(run, "a long, b long"), f"{label}-links")
 
 
-def _remaining(members: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Likely pairs between the classes that are left in buckets of four or more.
+def _shingles_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, class, size, shingle): the sets of the documents in ``ids`` (node, class)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, kind, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                found = shingle_set(common.word_hashes([text.as_py()])[0]).view(np.int64)
+                same = [pa.array(np.full(len(found), x, np.int64)) for x in (node, kind, len(found))]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(found)], names=["node", "class", "size", "shingle"])
 
-    The nodes outside the class of a bucket's smallest node are gathered in blocks of about ``BLOCK``, and
-    each block meets all nodes of the bucket.
+    texts = _texts(docs, ids, id_col, text_col)
+    return texts.select("node", "class", "text").mapInArrow(run, "node long, class long, size long, shingle long")
+
+
+def _remaining(docs: DataFrame, members: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Pairs between the classes that are left in buckets of four or more, and that may be links.
+
+    Exact, by the prefix filter: shingles are ordered by how few of these sets have them. Two sets that are alike
+    share one of the first quarter of either, and at the first that they share enough of both must still lie ahead.
+    Only rows outside the commonest class of a shingle look for partners.
     """
     found = members.filter("n > 3").join(classes, "node", "left").select(
-        "bucket", "node", "lo", F.coalesce("component", "node").alias("class")
+        "bucket", "node", F.coalesce("component", "node").alias("class")
     )
-    main = F.min(F.when(F.col("node") == F.col("lo"), F.col("class")))
-    open_buckets = (
-        found.groupBy("bucket")
-        .agg(F.min("class").alias("first"), F.max("class").alias("last"), main.alias("main"), F.count(F.lit(1)).alias("all"))
-        .filter("first < last")
+    unsettled = found.groupBy("bucket").agg(F.min("class").alias("first"), F.max("class").alias("last")).filter("first < last")
+    ids = found.join(unsettled, "bucket", "left_semi").select("node", "class").distinct()
+    sets = common.stage(_shingles_of(docs, common.stage(ids, "near-open"), id_col, text_col), "near-sets")
+    shared = sets.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"))
+    ordered = Window.partitionBy("node").orderBy("sets", "shingle")
+    places = sets.join(shared, "shingle").withColumn("place", F.row_number().over(ordered) - 1)
+    heads = common.stage(
+        places.filter(F.col("place") * 100 <= F.col("size") * (100 - PERCENT)).select("node", "class", "size", "shingle", "place"),
+        "near-heads",
     )
-    rows = found.join(open_buckets.select("bucket", "main", "all"), "bucket").join(nodes.select("node", "sketch", "size"), "node")
-    rows = common.stage(rows.select("bucket", "node", "class", "main", "all", "sketch", "size"), "near-open")
-    outside = rows.filter(F.col("class") != F.col("main"))
-    many = outside.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    member = F.struct("node", "class", "size", "sketch")
-    blocks = (
-        outside.join(many, "bucket")
-        .groupBy("bucket", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("part"))
-        .agg(F.collect_list(member).alias("block"))
-        .select("bucket", "block")
+    commonest = (
+        heads.groupBy("shingle", "class")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("shingle")
+        .agg(F.max_by("class", "n").alias("main"), F.count(F.lit(1)).alias("classes"))
+        .filter("classes > 1")
+        .select("shingle", "main")
     )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a_out, b_out = [], []
-            for row in batch.to_pylist():
-                block = row["block"]
-                theirs = np.frombuffer(b"".join(m["sketch"] for m in block), "<u2").reshape(-1, REGISTERS)
-                sizes = np.array([m["size"] for m in block], float)
-                guess = estimate(theirs, np.frombuffer(row["sketch"], "<u2"), sizes, float(row["size"]))
-                for i in np.flatnonzero(guess >= LEAST_ESTIMATE):
-                    if block[i]["class"] != row["class"]:
-                        a_out.append(max(row["node"], block[i]["node"]))
-                        b_out.append(min(row["node"], block[i]["node"]))
-            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
-
-    met = rows.select("bucket", "node", "class", "size", "sketch").join(blocks, "bucket")
-    return met.select("node", "class", "size", "sketch", "block").mapInArrow(run, "a long, b long").distinct()
+    mixed = common.stage(heads.join(commonest, "shingle"), "near-mixed")
+    left = mixed.filter(F.col("class") != F.col("main"))
+    a, b = left.alias("a"), mixed.alias("b")
+    ahead = F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place"))
+    enough = ahead * (100 + PERCENT) >= (F.col("a.size") + F.col("b.size")) * PERCENT
+    met = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.class") != F.col("b.class")) & enough)
+    return met.select(F.greatest("a.node", "b.node").alias("a"), F.least("a.node", "b.node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -228,13 +237,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "near-nodes",
     )
     bands = _bands(nodes)
-    buckets = bands.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("n"))
-    members = common.stage(bands.join(buckets.filter("n > 1"), "bucket"), "near-members")
-    hubs = members.select("node", F.explode(F.array("lo", "hi")).alias("hub")).filter("node <> hub")
+    counts = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lo")).filter("n > 1")
+    members = common.stage(bands.join(counts, "bucket"), "near-members")
+    # a node amid its group shares large buckets with it: the most central one of a bucket is its hub
+    central = members.groupBy("node").agg(F.sum("n").alias("met"))
+    hub = members.join(central, "node").groupBy("bucket").agg(F.max_by("node", F.struct("met", "node")).alias("hub"))
+    hubs = members.join(hub, "bucket").select("node", F.explode(F.array("hub", "lo")).alias("hub")).filter("node <> hub")
     pairs = hubs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
     links = _verified(_likely(pairs, nodes), docs, id_col, text_col, "near")
     classes = common.stage(components(links), "near-classes")
-    more = _verified(_remaining(members, classes, nodes), docs, id_col, text_col, "near-more")
+    more = _verified(_remaining(docs, members, classes, id_col, text_col), docs, id_col, text_col, "near-more")
     if not more.isEmpty():
         merged = classes.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more.select("a", "b"))
         classes = common.stage(components(merged), "near-classes")
