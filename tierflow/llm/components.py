@@ -25,22 +25,24 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(smallest.select(F.col("node").alias("a"), F.col("m").alias("b")))
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: each node that has an edge upwards has one, and none comes up to it."""
+    up = edges.select(F.col("a").alias("node"), F.lit(1).alias("ups"), F.lit(0).alias("root"))
+    down = edges.select(F.col("b").alias("node"), F.lit(0).alias("ups"), F.lit(1).alias("root"))
+    roles = up.union(down).groupBy("node").agg(F.sum("ups").alias("ups"), F.max("root").alias("root"))
+    return roles.filter("ups > 1 or ups + root > 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node in ``links`` (a, b): the smallest node that it reaches.
 
     Each round is written to the shared folder, so a lost executor costs at most one round.
     """
-    edges = common.stage(
-        links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
-    )
-    mark = None
+    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     for _ in range(MOST_ROUNDS):
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if tuple(now) == mark:
+        edges = common.stage(_small_star(_large_star(edges)).distinct(), "edges")
+        if _settled(edges):
             break
-        mark = tuple(now)
-        large = _large_star(edges).distinct()
-        edges = common.stage(_small_star(large).distinct(), "edges")
     else:
         raise RuntimeError(f"components did not settle in {MOST_ROUNDS} rounds")
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
