@@ -1,0 +1,47 @@
+"""Plain Python versions of what the operators compute."""
+
+import re
+
+WHITE = re.compile(r"[\x20\x09-\x0D]+")
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
+def words(text):
+    return [w for w in WHITE.split(lower(text or "")) if w]
+
+
+def shingles(text, width=5):
+    w = words(text)
+    return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())
+
+
+def near_classes(texts):
+    """Smallest reachable id of each id, from all pairs."""
+    sets = {i: shingles(t) for i, t in texts.items()}
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = sorted(sets)
+    for x, a in enumerate(ids):
+        for b in ids[:x]:
+            both = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                ra, rb = root(a), root(b)
+                parent[max(ra, rb)] = min(ra, rb)
+    return {i: root(i) for i in ids}, {i: len(s) for i, s in sets.items()}
+
+
+def kept_copies(texts):
+    """Ids that stay of equal texts: the longest, then the smallest id."""
+    best = {}
+    for i, t in texts.items():
+        key = WHITE.sub("", t or "")
+        best[key] = min(best.get(key, (1, 0)), (-len(t or ""), i))
+    return {i for _, i in best.values()}

@@ -1,0 +1,103 @@
+import random
+
+import numpy as np
+import pytest
+
+from tierflow.llm import common, decontaminate, queries
+
+ITEM = (
+    "Which of the listed rivers crosses the border twice before it reaches the northern sea, and why did traders "
+    "avoid its lower course during the long winters of that century?"
+)
+
+
+def plain_alignment(item, text):
+    """Smith-Waterman cell by cell."""
+    best, row = 0, [0] * (len(text) + 1)
+    for a in item:
+        last = row
+        row = [0]
+        for j, b in enumerate(text, 1):
+            score = decontaminate.MATCH if a == b else decontaminate.MISMATCH
+            row.append(max(0, last[j - 1] + score, last[j] + decontaminate.GAP, row[-1] + decontaminate.GAP))
+        best = max(best, *row)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_alignment_equals_the_plain_recursion(seed):
+    draw = np.random.default_rng(seed)
+    item = draw.integers(0, 5, draw.integers(1, 20)).astype(np.uint64)
+    text = draw.integers(0, 5, draw.integers(0, 30)).astype(np.uint64)
+    assert decontaminate.align(item, text)[0] == (plain_alignment(item.tolist(), text.tolist()) if len(text) else 0)
+
+
+def test_query_finds_every_exact_copy_and_nothing_else(spark):
+    directory = "/root/testdata/sf0.01"
+    found = queries.QUERIES["op6_decontamination"](spark, directory).collect()
+    docs = spark.read.parquet(f"{directory}/documents.parquet").collect()
+    items = spark.read.parquet(f"{directory}/benchmark.parquet").collect()
+    copies = {(d.doc_id, i.item_id) for d in docs for i in items if i.text in d.text}
+    assert copies and {(r.doc_id, r.item_id) for r in found} == copies
+
+
+def cases(spark):
+    draw = random.Random(3)
+    filler = [f"filler{draw.randrange(500)}" for _ in range(400)]
+    words = ITEM.split()
+    edited = [w if k % 6 else "changed" for k, w in enumerate(words)]
+    shorter = [w for k, w in enumerate(words) if k % 7]
+    marked = ITEM.upper().replace(" ", " ... ")
+    texts = [words, edited, shorter, marked.split(), words[: len(words) // 2 + 3], words[:6], [], filler[:20]]
+    rows = [(k, " ".join(filler[:200] + t + filler[200:])) for k, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(
+        [(1, ITEM), (2, "too short"), (3, None), (1, ITEM)], "item_id long, text string"
+    )
+
+
+def test_edited_copies(spark):
+    docs, items = cases(spark)
+    found = {r.doc_id: r for r in decontaminate.contaminated(docs, items).collect()}
+    assert set(found) == {0, 1, 2, 3, 4}
+    assert found[0].score == 1.0 and (found[0].start, found[0].end) == (200, 200 + len(ITEM.split()))
+    left = decontaminate.without_contaminated(docs, items)
+    assert sorted(r.doc_id for r in left.collect()) == [5, 6, 7]
+
+
+def test_an_item_that_leaked_everywhere_is_still_found(spark):
+    docs = spark.range(200).selectExpr("id as doc_id", f"concat('intro ', id, ' ', \"{ITEM}\") as text")
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert decontaminate.contaminated(docs, items).count() == 200
+
+
+def test_long_items_are_aligned_in_segments(spark):
+    words = [f"t{k}" for k in range(1500)]
+    docs = spark.createDataFrame([(1, " ".join(["x"] * 50 + words[600:1100] + ["y"] * 50))], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    assert decontaminate.contaminated(docs, items).first().item_id == 7
+
+
+def test_items_in_parts_give_the_same(spark, monkeypatch):
+    directory = "/root/testdata/sf0.001"
+    docs, items = (spark.read.parquet(f"{directory}/{t}.parquet") for t in ("documents", "benchmark"))
+    whole = sorted(map(tuple, decontaminate.contaminated(docs, items).collect()))
+    monkeypatch.setattr(decontaminate, "PART_BYTES", 3000)
+    assert sorted(map(tuple, decontaminate.contaminated(docs, items).collect())) == whole
+
+
+def test_edge_cases(spark, edge_docs, no_docs):
+    items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta")], "item_id long, text string")
+    rows = decontaminate.contaminated(edge_docs, items).collect()
+    assert sorted(r.doc_id for r in rows) == [1, 2, 3, 4]
+    left = decontaminate.without_contaminated(edge_docs, items)
+    assert left.schema == edge_docs.schema and left.count() == edge_docs.count() - 4
+    no_items = items.limit(0)
+    assert decontaminate.contaminated(edge_docs, no_items).count() == 0
+    assert decontaminate.without_contaminated(edge_docs, no_items).count() == edge_docs.count()
+    assert decontaminate.contaminated(no_docs, items).count() == 0
+    assert decontaminate.without_contaminated(no_docs, items).count() == 0
+
+
+def test_equal_words_have_equal_hashes():
+    a, _ = common.word_hashes(["Some words, here", "HERE some"], marks_part=True)
+    assert a[0] == a[4] and a[2] == a[3]

@@ -1,0 +1,52 @@
+import hashlib
+
+import pytest
+from compare import differences, duck
+from brute import WHITE, kept_copies
+
+from tierflow.llm import exact_dedup, queries
+
+
+def test_query_equals_sql(spark):
+    directory = "/root/testdata/sf0.01"
+    found = queries.QUERIES["op1_exact_dedup"](spark, directory)
+    assert differences(found, duck(directory), queries.SQL["op1_exact_dedup"]) is None
+
+
+def test_edge_cases(edge_docs):
+    rows = exact_dedup.duplicate_groups(edge_docs).collect()
+    assert len(rows) == edge_docs.count()
+    of = {r.doc_id: r for r in rows if r.doc_id is not None}
+    assert of[1].keep_id == of[2].keep_id == 2  # the longest original stays
+    assert not of[1].kept and of[2].kept and of[3].kept  # case counts
+    assert of[5].group_size == 4 and of[5].keep_id == 7  # empty texts are one group: 5, 6, 7 and one without id
+    assert [r.kept for r in rows if r.doc_id == 12].count(True) == 1  # of repeated rows one stays
+    assert of[8].kept and not of[9].kept
+    assert of[10].text_sha256 == hashlib.sha256(WHITE.sub("", edge_docs.filter("doc_id = 10").first().text).encode()).hexdigest()
+    assert of[10].group_size == 1
+
+
+def test_empty(no_docs):
+    assert exact_dedup.duplicate_groups(no_docs).count() == 0
+    assert exact_dedup.without_copies(no_docs).columns == no_docs.columns
+
+
+def test_hot_text_is_cut_into_runs(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "RUN_ROWS", 10)
+    docs = spark.range(300).selectExpr("id as doc_id", "if(id % 3 = 0, concat('hot', space(int(id % 7))), string(id)) as text")
+    rows = {r.doc_id: r for r in exact_dedup.duplicate_groups(docs).collect()}
+    assert {r.group_size for i, r in rows.items() if i % 3 == 0} == {100}
+    assert [i for i, r in rows.items() if i % 3 == 0 and r.kept] == [6]  # six spaces, smallest id
+    assert all(r.kept for i, r in rows.items() if i % 3)
+
+
+@pytest.mark.parametrize("name", ["documents", "edge_docs"])
+def test_rows_that_stay_keep_all_columns(request, name):
+    docs = request.getfixturevalue(name)
+    left = exact_dedup.without_copies(docs)
+    assert left.schema.names == docs.schema.names
+    texts = {r.doc_id: r.text for r in docs.collect() if r.doc_id is not None}
+    if name == "documents":
+        assert {r.doc_id for r in left.collect()} == kept_copies(texts)
+    else:
+        assert left.filter("doc_id = 12").count() == 1 and left.filter("doc_id is null").count() == 1

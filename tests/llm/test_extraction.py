@@ -1,0 +1,102 @@
+import pytest
+
+from tierflow.llm import extraction, queries
+
+
+def article(html):
+    root = extraction.parse(html)
+    return "\n".join(text for _, inside, text in extraction.blocks(root) if inside)
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("<article><h1>A &amp; B</h1><p>one\n  two</p><p>three<br>four</article>", "A & B\none two\nthree four"),
+        ("<nav>menu</nav><article>text<aside>side</aside><form>f</form> more</article><footer>foot</footer>", "text\nmore"),
+        ("<article><p><b>open<p>next</article>after", "open\nnext"),
+        ("<article><script>if (a<b) x('</p>')</script><style>p{}</style><p>x</p><!-- <p>no</p> --></article>", "x"),
+        ("<article>a<div class='comments'><p>reader</p></div><div class=\"ad\">buy</div>b</article>", "a\nb"),
+        ("<article>caf&eacute; &#x41;&#66; &unknown; 1 < 2</article>", "café AB &unknown; 1 < 2"),
+        ("<main><ul><li>one<li>two</ul><table><tr><td>c<td>d</table></main>", "one\ntwo\nc\nd"),
+        ("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</article>", "deep"),
+        ("<article>cut off <p>here <b", "cut off\nhere <b"),
+        ("", ""),
+    ],
+)
+def test_blocks(html, want):
+    assert article(html) == want
+
+
+def plain_match(a, b):
+    """Simple tree matching on whole trees, as published."""
+    if a[0] != b[0]:
+        return 0
+    rows = [[0] * (len(b[1]) + 1) for _ in range(len(a[1]) + 1)]
+    for i, x in enumerate(a[1], 1):
+        for j, y in enumerate(b[1], 1):
+            rows[i][j] = max(rows[i][j - 1], rows[i - 1][j], rows[i - 1][j - 1] + plain_match(x, y))
+    return rows[-1][-1] + 1
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_tree_match_equals_the_published_recursion(seed):
+    import random
+
+    draw = random.Random(seed)
+
+    def tree(depth):
+        return (draw.choice("ab"), tuple(tree(depth - 1) for _ in range(draw.randrange(4))) if depth else ())
+
+    a, b = ("r", tuple(tree(2) for _ in range(4))), ("r", tuple(tree(2) for _ in range(4)))
+    assert extraction.tree_match(a, b, {})[0] == plain_match(a, b)
+
+
+def test_query_gives_the_article(spark):
+    import html
+    import re
+
+    directory = "/root/testdata/sf0.01"
+    pages = {r.page_id: r for r in spark.read.parquet(f"{directory}/pages.parquet").collect()}
+    rows = queries.QUERIES["op3_html_extraction"](spark, directory).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        inner = re.search(r"<article>(.*?)</article>", pages[r.page_id].html, re.S)[1]
+        parts = [re.sub(r"<[^>]*>", "", p) for p in re.split(r"</?(?:p|h1)>", inner)]
+        parts = [re.sub(r"[\x20\x09-\x0D]+", " ", html.unescape(p)).strip(" ") for p in parts]
+        assert r.text == "\n".join(filter(None, parts))
+        assert r.n_chars == len(r.text) and r.url == pages[r.page_id].url
+
+
+def site_pages(n):
+    """Pages without an article element: constant and rotating furniture in plain divisions, varying content."""
+    for k in range(n):
+        items = "".join(f"<li>part {k} item {i} of its own</li>" for i in range(k % 5))
+        yield (
+            k,
+            f"https://site.example/{k}",
+            f"<html><body><div><span>Our site</span></div><div>Offer of the day {k % 2}</div>"
+            f"<div><h1>Headline {k}</h1><p>Body of story {k}</p><p>Its end {k * 7}</p><ul>{items}</ul></div>"
+            f"<div><em>All about us</em></div></body></html>",
+        )
+
+
+def test_wrapper_separates_template_and_content(spark):
+    pages = spark.createDataFrame(list(site_pages(40)), "page_id long, url string, html string").repartition(4)
+    rows = {r.page_id: r.text.split("\n") for r in extraction.main_texts(pages).collect()}
+    for k, lines in rows.items():
+        items = [f"part {k} item {i} of its own" for i in range(k % 5)]
+        assert lines == [f"Headline {k}", f"Body of story {k}", f"Its end {k * 7}", *items]
+
+
+def test_edge_cases(spark):
+    schema = "page_id long, url string, html string, text string, host string, blocks string"
+    rows = [(1, None, None), (2, "", ""), (None, "http://a.example/x", "<article>no id</article>")]
+    rows += [(3, "http://a.example/x", "<article>same</article>")] * 2
+    rows += [(4, "HTTP://user@A.example:80/y", "<article>" + "<p>long text</p>" * 50_000 + "</article>")]
+    pages = spark.createDataFrame([(*r, "t", "h", "b") for r in rows], schema)
+    found = extraction.main_texts(pages).collect()
+    assert sorted((str(r.page_id), r.text[:9]) for r in found) == [
+        ("1", ""), ("2", ""), ("3", "same"), ("3", "same"), ("4", "long text"), ("None", "no id"),
+    ]
+    assert next(r for r in found if r.page_id == 4).n_chars == 50_000 * 10 - 1
+    assert extraction.main_texts(pages.limit(0)).count() == 0

@@ -1,0 +1,95 @@
+import itertools
+import zlib
+
+import numpy as np
+import pytest
+
+from tierflow.llm import queries, toxicity
+
+DIRECTORY = "/root/testdata/sf0.01"
+
+
+def plain_kernel(s, t):
+    def features(word):
+        out = {}
+        for places in itertools.combinations(range(len(word)), 3):
+            key = tuple(word[i] for i in places)
+            out[key] = out.get(key, 0) + toxicity.DECAY ** (places[2] - places[0] + 1)
+        return out
+
+    a, b = features(s), features(t)
+    return sum(v * b.get(k, 0) for k, v in a.items())
+
+
+def test_kernel_equals_the_sum_over_subsequences():
+    words = ["abcab", "aaaa", "xyxyxyx", "pathos", "ab", ""]
+    own = toxicity.self_kernel(toxicity.letter_codes(words))
+    assert np.allclose(own, [plain_kernel(w, w) for w in words], rtol=1e-5)
+    used, features = toxicity._landmark_features(toxicity.letter_codes(["pathos", "abcab"]))
+    table = np.zeros((toxicity.CLASSES**3, 2), np.float32)
+    table[used] = features
+    scores = toxicity.unit_scores(toxicity.letter_codes(["pathoss", "abc"]), table)
+    for i, w in enumerate(["pathoss", "abc"]):
+        for j, mark in enumerate(["pathos", "abcab"]):
+            want = plain_kernel(w, mark) / np.sqrt(plain_kernel(w, w) * plain_kernel(mark, mark))
+            assert scores[i, j] == pytest.approx(want, rel=1e-4)
+
+
+def test_words_spelt_apart_and_long_words():
+    assert "vile" in toxicity.words_of("so v i l e indeed")
+    assert toxicity.normalise("V1-l3!") == "^vile$"
+    long = "x" * 200
+    assert all(len(w) <= toxicity.LONGEST_WORD for w in toxicity._windows(long))
+    assert "".join(w[:12] for w in toxicity._windows(long)) + toxicity._windows(long)[-1][12:] == long
+
+
+def area_under_curve(score, label):
+    order = np.argsort(np.argsort(score)) + 1
+    ones = label.sum()
+    return (order[label == 1].sum() - ones * (ones + 1) / 2) / (ones * (len(label) - ones))
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    return queries.QUERIES["op10_toxicity"](spark, DIRECTORY).toPandas()
+
+
+def test_held_out_accuracy(spark, scored):
+    labels = spark.read.parquet(f"{DIRECTORY}/labels.parquet").toPandas()
+    both = scored.merge(labels, on="doc_id")
+    held = both[both["held_out"]]
+    assert (held["held_out"] == [zlib.crc32(str(i).encode()) % 5 == 0 for i in held["doc_id"]]).all()
+    assert area_under_curve(held["score"].to_numpy(), held["toxic"].to_numpy()) > 0.85
+    assert (held["predicted"] == held["toxic"]).mean() > 0.93
+    assert scored["score"].between(0, 1).all() and (scored["predicted"] == (scored["score"] >= 0.5)).all()
+
+
+def test_held_out_labels_are_not_learnt(spark):
+    from pyspark.sql import functions as F
+
+    docs, labels = (spark.read.parquet(f"{DIRECTORY}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    turned = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert np.array_equal(toxicity.fit(docs, turned).table, model.table)
+
+
+def test_inserted_letters_keep_most_of_the_score(spark):
+    docs, labels = (spark.read.parquet(f"{DIRECTORY}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    plain, gapped, marked, other = model.word_scores(["pathetic", "pathxetic", "p.a.t.h.e.t.i.c", "there"]).tolist()
+    assert plain > 0 and marked == pytest.approx(plain) and plain > gapped > other and other < 0
+
+
+def test_edge_cases(spark, edge_docs, no_docs):
+    labels = spark.createDataFrame([(i, int(i % 2), "x") for i in range(1, 13)] + [(None, 1, "x"), (4, None, "x")], "doc_id long, toxic int, text string")
+    model = toxicity.fit(edge_docs, labels)
+    rows = toxicity.score(edge_docs, model, keep=("kept",)).collect()
+    assert len(rows) == edge_docs.count() and all(0 <= r.score <= 1 for r in rows)
+    assert toxicity.without_toxic(edge_docs, model).schema == edge_docs.schema
+    assert toxicity.score(no_docs, model).count() == 0 and toxicity.without_toxic(no_docs, model).count() == 0
+    no_labels = toxicity.fit(edge_docs, labels.limit(0))
+    assert {(r.score, r.predicted) for r in toxicity.score(edge_docs, no_labels).collect()} == {(0.0, 0)}
+    assert toxicity.without_toxic(edge_docs, no_labels).count() == edge_docs.count()
+    only_toxic = toxicity.fit(edge_docs, labels.filter("toxic = 1"))
+    assert toxicity.without_toxic(edge_docs, only_toxic).count() == 0
+    assert toxicity.fit(no_docs, labels).constant == 0.0
