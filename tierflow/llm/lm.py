@@ -349,11 +349,19 @@ class Model:
     within: np.ndarray  # log10 probability of each id in its class
     total: int  # training tokens (words and ends)
     distinct: int
+    ends: int  # training texts
     share: float  # weight of the product over a word's ids
     firsts: np.ndarray  # training words that begin with each id
     words: np.ndarray  # sorted hashes of frequent words
     counts: np.ndarray
 
+    def counts_of(self, hashes: np.ndarray) -> np.ndarray:
+        """The counts of words in the table, -1 for others."""
+        if not len(self.words):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        return np.where(self.words[at] == hashes, self.counts[at], -1)
+
     def mix(self, product: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """log10 probability of words from the product's and first id's log10 and their training counts.
 
@@ -389,12 +397,13 @@ def _first_fit(texts: DataFrame, tokenizer_path: str) -> tuple[np.ndarray, dict,
                 )
 
     mark = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).alias("mark")
-    drawn = texts.select(mark, "text").mapInArrow(draw, "ids array<int>, ended boolean").collect()
-    drawn = sorted((list(r["ids"]), r["ended"]) for r in drawn)
+    found = texts.select(mark, "text").mapInArrow(draw, "ids array<int>, ended boolean").toArrow()
+    drawn = sorted(zip(found["ids"].to_pylist(), found["ended"].to_pylist()))
     size = load_encoder(tokenizer_path).max_token_value + 1
     ids, counts = np.unique(np.array([i for row, _ in drawn for i in row], np.int64), return_counts=True)
     classes = class_table(ids, counts, size)
-    rows = [np.append(classes[np.array(row, np.int64)], np.zeros(int(ended), np.int64)).astype(np.int64) for row, ended in drawn]
+    ends = [np.zeros(int(ended), np.int64) for _, ended in drawn]
+    rows = [np.concatenate([classes[np.array(row, np.int64)], end]) for (row, _), end in zip(drawn, ends)]
     table = np.zeros((CLASSES, CLASSES))
     for row in rows:
         np.add.at(table, (np.insert(row, 0, 0)[:-1], row), 1)
@@ -489,7 +498,9 @@ def _counted(texts: DataFrame, tokenizer_path: str, first: tuple) -> DataFrame:
     return found.groupBy("kind", "key").agg(F.sum("n").alias("n")).filter("n <> 0")
 
 
-def fit(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[Model, DataFrame]:
+def fit(
+    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[Model, DataFrame]:
     """The model, and the table (word, n) of the counts that are not in it; learns from rows not held out."""
     texts = docs.filter(~held_out(id_col)).select(common.whole_text(text_col).alias("text"))
     first = _first_fit(texts, tokenizer_path)
@@ -497,40 +508,44 @@ def fit(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     counted = common.stage(_counted(texts, tokenizer_path, first), "lm-counts")
     words = counted.filter(F.col("kind") == WORD).select(F.col("key").alias("word"), "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    ends = words.filter(F.col("word") == END_WORD).first()
     # The counts that occur are few; the smallest n that leaves a bounded number of words at or above it.
-    sizes = sorted(((r["n"], r["words"]) for r in words.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect()), reverse=True)
+    sizes = words.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect()
     above, least = 0, None
-    for n, size in sizes:
-        if above + size > MOST_BROADCAST_WORDS:
+    for r in sorted(sizes, key=lambda r: -r["n"]):
+        if above + r["words"] > MOST_BROADCAST_WORDS:
             break
-        above, least = above + size, n
+        above, least = above + r["words"], r["n"]
     kept = words.filter(F.col("n") >= least) if least is not None else words.limit(0)
-    frequent = kept.toPandas().sort_values("word")
+    frequent = kept.toArrow().sort_by("word")
     rest = words.filter(F.col("n") < least) if least is not None else words
-    model_counts = counted.filter(F.col("kind") != WORD).toPandas()  # bounded by the numbers of ids, classes and weights
-    of = {kind: model_counts[model_counts["kind"] == kind] for kind in (ID, FIRST, BIGRAM, TRAINED, WEIGHT)}
-    firsts = np.zeros(len(classes))
-    firsts[of[FIRST]["key"]] = of[FIRST]["n"]
-    table = np.zeros(CLASSES * CLASSES)
-    table[of[BIGRAM]["key"]] = of[BIGRAM]["n"]
-    per_id = np.zeros(len(classes))
-    per_id[of[ID]["key"]] = of[ID]["n"]
-    per_id += 0.5
+    # bounded by the numbers of ids, classes and weights
+    others = counted.filter(F.col("kind") != WORD).toArrow()
+    kinds, keys, n = (others[c].to_numpy() for c in ("kind", "key", "n"))
+
+    def filled(kind: int, size: int) -> np.ndarray:
+        out = np.zeros(size)
+        out[keys[kinds == kind]] = n[kinds == kind]
+        return out
+
+    firsts = filled(FIRST, len(classes))
+    table = filled(BIGRAM, CLASSES * CLASSES)
+    per_id = filled(ID, len(classes)) + 0.5
     within = np.log10(per_id / np.bincount(classes, per_id, minlength=CLASSES)[classes])
-    if len(of[WEIGHT]):
-        flat = np.zeros(len(_pack_weights(weights)))
-        flat[of[TRAINED]["key"]] = of[TRAINED]["n"]
-        weights = _unpack_weights(flat / _FIXED_POINT / int(of[WEIGHT]["n"].iloc[0]))
+    steps = int(filled(WEIGHT, 1)[0])
+    if steps:
+        weights = _unpack_weights(filled(TRAINED, len(_pack_weights(weights))) / _FIXED_POINT / steps)
     model = Model(
         Scorer(weights, Bigrams.of(table.reshape(CLASSES, CLASSES), bigrams.slots)),
         classes,
         within,
         int(total),
         int(distinct),
+        ends["n"] if ends else 0,
         PRODUCT_SHARE,
         firsts,
-        frequent["word"].to_numpy(np.int64),
-        frequent["n"].to_numpy(np.int64),
+        frequent["word"].to_numpy().astype(np.int64),
+        frequent["n"].to_numpy().astype(np.int64),
     )
     return model, rest
 
@@ -547,14 +562,12 @@ def score(
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
-    out = f"row long, id {kind}, n_tokens long, known long, base double, score double, words array<long>, products array<double>, "
-    out += "firsts array<double>"
+    out = f"row long, id {kind}, n_tokens long, known long, base double, score double, "
+    out += "words array<long>, products array<double>, firsts array<double>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, words = shared.value, Words(tokenizer_path)
         log_all = np.log10(model.total + model.distinct + 1)
-        at = np.searchsorted(model.words, END_WORD)
-        end_count = int(model.counts[at]) if at < len(model.words) and model.words[at] == END_WORD else 0
         known = np.zeros(0, np.int64)  # of each remembered word: its count, or -1 if not in the table
         for batch in batches:
             texts = [t.as_py() for t in batch.column(2)]
@@ -563,10 +576,7 @@ def score(
                     words.clear()
                     known = np.zeros(0, np.int64)
                 numbers, starts = words.take(texts[part])
-                fresh = words.hashes[len(known) :].view(np.int64)
-                found = np.minimum(np.searchsorted(model.words, fresh), max(0, len(model.words) - 1))
-                hit = model.words[found] == fresh if len(model.words) else np.zeros(len(fresh), bool)
-                known = np.concatenate([known, np.where(hit, model.counts[found], -1) if len(model.words) else np.full(len(fresh), -1)])
+                known = np.concatenate([known, model.counts_of(words.hashes[len(known) :].view(np.int64))])
                 counts = known[numbers]
                 ids, word_starts = words.token_ids(numbers)
                 kinds, inside = model.classes[ids], np.concatenate([[0.0], np.cumsum(model.within[ids])])
@@ -582,11 +592,11 @@ def score(
                 mixed = model.mix(product, first, counts)
                 summed = np.concatenate([[0.0], np.cumsum(np.where(counts >= 0, mixed, 0))])
                 scores = summed[starts[1:]] - summed[starts[:-1]] + logs_of[end_at]
-                logs = np.concatenate([[0.0], np.cumsum(np.where(counts >= 0, np.log10(counts + 1.0, where=counts >= 0, out=np.zeros(len(counts))), 0))])
+                logs = np.concatenate([[0.0], np.cumsum(np.log10(np.maximum(counts, 0) + 1.0))])
                 sure = np.concatenate([[0], np.cumsum(counts > 0)])
                 lengths = np.diff(starts) + 1
-                base = logs[starts[1:]] - logs[starts[:-1]] + np.log10(end_count + 1) - lengths * log_all
-                certain = sure[starts[1:]] - sure[starts[:-1]] + (end_count > 0)
+                base = logs[starts[1:]] - logs[starts[:-1]] + np.log10(model.ends + 1) - lengths * log_all
+                certain = sure[starts[1:]] - sure[starts[:-1]] + (model.ends > 0)
                 odd = np.flatnonzero(counts < 0)
                 bounds = pa.array(np.searchsorted(odd, starts), pa.int32())
                 odd_hashes = pa.array(words.hashes[numbers[odd]].view(np.int64))
@@ -615,7 +625,8 @@ def score(
     share, n = F.lit(model.share), F.coalesce("n", F.lit(0))
     # as in `Model.mix`: the larger of the two, and what the smaller adds
     product, plain = F.col("products") + F.log10(share), F.col("firsts") + F.log10((1 - share) * n)
-    both = F.greatest(product, plain) + F.log10(1 + F.pow(F.lit(10.0), F.least(product, plain) - F.greatest(product, plain)))
+    top, low = F.greatest(product, plain), F.least(product, plain)
+    both = top + F.log10(1 + F.pow(F.lit(10.0), low - top))
     mixed = F.when(n == 0, product).otherwise(both)
     added = found.groupBy("row").agg(
         F.sum(F.log10(n + 1.0)).alias("more"), F.count("n").alias("more_known"), F.sum(mixed).alias("more_score")

@@ -21,7 +21,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from . import common
 
 CAPACITY = 2048
 END_ID = 1
