@@ -30,7 +30,11 @@ HEADLINE = (
     "conform_rescue",
     "row_counts",
     "distinct_counts",
+    "top_n_deep",
     "chunks",
+    "chunks_hot_key",
+    "chunks_scan_order",
+    "write_chunks",
     "row_index",
     "ingest_incremental",
     "silver_streaming",

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 
+# The result names of the checks and of the gold tables are fixed values.
+
+
 def rounded(expression: str) -> str:
-    """Two places, half away from zero, after ten guard digits: the rule of the Spark side."""
-    return f"cast(round(cast({expression} as decimal(38,10)), 2) as double)"
+    """Two places, half away from zero, on the shortest decimal text of a double."""
+    return f"cast(round(cast(cast({expression} as varchar) as decimal(38,18)), 2) as double)"
 
 
 SQL: dict[str, str] = {}
@@ -81,9 +84,25 @@ select c_nationkey, {rounded("sum(c_acctbal)")} as total_balance,
 from customer group by c_nationkey
 """
 
+SQL["trends_null_year"] = f"""
+select release_year, row_count, {rounded("total")} as total,
+  {rounded("total - lag(total) over (partition by release_year is null order by release_year)")} as change
+from (
+  select cast(case when o_orderpriority <> '5-LOW' then year(o_orderdate) end as integer) as release_year,
+    count(*) as row_count, sum(o_totalprice) as total
+  from orders group by 1
+) z
+"""
+
+SQL["rounding_once"] = f"""
+select o_orderkey, {rounded("o_orderkey * cast(0.005 as double)")} as at_half,
+  {rounded("o_orderkey * cast(0.005 as double) - cast(4e-11 as double)")} as below_half
+from orders
+"""
+
 SQL["yearly_trends"] = f"""
 select release_year, row_count, {rounded("total")} as total,
-  {rounded("total - lag(total) over (order by release_year nulls first)")} as change
+  {rounded("total - lag(total) over (partition by release_year is null order by release_year)")} as change
 from (
   select cast(year(o_orderdate) as integer) as release_year, count(*) as row_count,
     sum(o_totalprice) as total
@@ -145,17 +164,33 @@ from (
 
 SQL["conform"] = """
 select o_orderkey, case when o_orderstatus = 'F' then o_totalprice end as price,
-  try_cast(substr(o_orderpriority, 1, 1) as integer) as priority
+  try_cast(split_part(o_orderpriority, '-', 1) as integer) as priority
 from orders
 """
 
 SQL["conform_rescue"] = """
 select o_orderkey, case when o_orderstatus = 'F' then o_totalprice end as price,
-  try_cast(substr(o_orderpriority, 1, 1) as integer) as priority,
+  try_cast(split_part(o_orderpriority, '-', 1) as integer) as priority,
   case when o_orderstatus = 'O' then '{"price":"' || o_orderpriority || '"}' end as rescued
 from orders
 """
 
+SQL["conform_lossy"] = """
+select o_orderkey,
+  case when o_orderkey % 3 <> 0 then cast(o_orderkey as integer) end as n,
+  case when o_orderkey % 5 <> 0 then cast(o_orderkey as double) end as d,
+  case when o_orderkey % 7 <> 0 then cast(o_orderdate as date) end as day,
+  case when coalesce(lost_n, lost_d, lost_day) is not null
+    then '{' || concat_ws(',', lost_n, lost_d, lost_day) || '}' end as rescued
+from (
+  select o_orderkey, o_orderdate,
+    case when o_orderkey % 3 = 0 then '"n":"' || o_orderkey || '.5"' end as lost_n,
+    case when o_orderkey % 5 = 0 then '"d":"' || o_orderkey || '.125"' end as lost_d,
+    case when o_orderkey % 7 = 0 then '"day":"' || strftime(o_orderdate, '%Y-%m-%d') || ' 10:11:12"' end as lost_day
+  from orders
+) z
+"""
+
 SQL["normalize_text"] = r"""
 select doc_id, lower(nullif(trim(regexp_replace(text, '\s+', ' ', 'g')), '')) as text, lang
 from documents
@@ -264,7 +299,28 @@ select event_id, ts, user_id, event_type, value as value_units, props from event
 
 SQL["ingest_incremental"] = _EVENTS
 
-SQL["silver_streaming"] = _EVENTS.replace("select", "select distinct")
+SQL["silver_streaming"] = """
+select distinct event_id, ts, user_id, event_type, value as value_units, props, true as earliest from events
+"""
+
+SQL["silver_streaming_late"] = """
+select distinct event_id, ts, user_id, event_type, value as value_units, props,
+  case event_id % 4 when 0 then timestamp '2024-01-02' when 1 then timestamp '2024-01-03'
+    when 2 then timestamp '2024-01-01' else timestamp '2024-01-04' end as ingestion_time
+from events
+"""
+
+SQL["ingest_json"] = """
+select event_id, event_type as kind, value,
+  case when event_id % 3 = 0 then '{"_unknown_fields":"{\\"Label\\":\\"new\\"}"}' end as _rescued_data
+from events
+"""
+
+SQL["ingest_inferred"] = """
+select distinct event_id,
+  case when event_id <= floor((select max(event_id) from events) * 11 / 12) then floor(value) else value end as amount
+from events
+"""
 
 SQL["ingest_lineage"] = """
 select count(*) as rows_with_file, count(*) as rows_with_time, cast(1 as bigint) as batches,

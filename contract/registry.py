@@ -12,10 +12,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow import PipelineConfig, operators, sinks, storage
-from tierflow.plans import Layers, layer_checks, run_bronze, run_gold, run_pipeline, run_silver
+from tierflow.functions import round_half_up
+from tierflow.plans import (
+    Layers,
+    layer_checks,
+    run_bronze,
+    run_gold,
+    run_pipeline,
+    run_silver,
+    stream_silver,
+)
 from tierflow.plans.pipeline import read_bronze
 from tierflow.sources import WRITE_OPTIONS, infer_schema, load_schema, read_csv, read_table
-from tierflow.streaming import append_stream, bronze_schema, silver_stream
+from tierflow.streaming import bronze_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,6 +128,25 @@ def group_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def trends_null_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders without a year have a row of their own, and are no year's year before."""
+    known = F.when(F.col("o_orderpriority") != "5-LOW", F.col("release_year"))
+    orders = orders_by_year(spark, sf_dir).withColumn("release_year", known)
+    return operators.yearly_trends(orders, "release_year", "o_totalprice")
+
+
+@query
+def rounding_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values at and right beside x.xx5, rounded once."""
+    half = F.col("o_orderkey") * F.lit(0.005)
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        round_half_up(half, 2).alias("at_half"),
+        round_half_up(half - F.lit(4e-11), 2).alias("below_half"),
+    )
+
+
 @query
 def yearly_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operators.yearly_trends(orders_by_year(spark, sf_dir), "release_year", "o_totalprice")
@@ -197,7 +225,7 @@ def mixed_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(status == "O", F.col("o_orderpriority"))
         .otherwise(F.lit("  "))
         .alias("price"),
-        F.substring("o_orderpriority", 1, 1).alias("priority"),
+        F.split_part("o_orderpriority", F.lit("-"), F.lit(1)).alias("priority"),
     )
 
 
@@ -214,6 +242,22 @@ def conform_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operators.conform(mixed_prices(spark, sf_dir), MIXED_SCHEMA, rescue="rescued")
 
 
+@query
+def conform_lossy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a cast would cut does not fit: fractions, further decimals, times of day."""
+    key = F.col("o_orderkey").cast("string")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 3 == 0, F.concat(key, F.lit(".5"))).otherwise(key).alias("n"),
+        F.when(F.col("o_orderkey") % 5 == 0, F.concat(key, F.lit(".125"))).otherwise(key).alias("d"),
+        F.when(F.col("o_orderkey") % 7 == 0, F.concat(day, F.lit(" 10:11:12"))).otherwise(day).alias("day"),
+    )
+    wanted = T.StructType().add("n", T.IntegerType()).add("d", T.DecimalType(20, 2)).add("day", T.DateType())
+    fitted = operators.conform(rows, wanted, rescue="rescued")
+    return fitted.withColumn("d", F.col("d").cast("double"))
+
+
 @query
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -408,9 +452,71 @@ def silver_streaming(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         land(events, layers.source)
         run_bronze(spark, config)
-        stream = silver_stream(spark, layers.bronze, bronze_schema(EVENT_SCHEMA))
-        append_stream(stream, layers.silver, layers.checkpoint("silver"))
-    return read_table(spark, layers.silver).drop("ingestion_time")
+        stream_silver(spark, config)
+    first = read_bronze(spark, config).agg(F.min("ingestion_time")).scalar()
+    silver = read_table(spark, layers.silver).withColumn("earliest", F.col("ingestion_time") == first)
+    return silver.drop("ingestion_time", "silver_transform_time")
+
+
+@query
+def silver_streaming_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches, the third with the earliest time; each brings many copies in one file, and old records."""
+    config = PipelineConfig(
+        base_uri=storage.staging_path(spark, "late"), raw_schema=EVENT_SCHEMA, dataset="events"
+    )
+    layers = Layers(config)
+    schema = bronze_schema(EVENT_SCHEMA)
+    events = table(spark, sf_dir, "events")
+    names = schema.fieldNames()[: len(events.columns)]
+    for batch, day in enumerate((2, 3, 1, 4)):
+        mine = events.filter(F.col("event_id") % 4 == batch)
+        old = events.filter(F.col("event_id") % 4 < batch).filter(F.col("event_id") % 10 == 0)
+        rows = mine.crossJoin(spark.range(5).select("id")).drop("id").unionAll(old).toDF(*names)
+        rows = rows.withColumns(
+            {
+                "ingestion_time": F.lit(datetime(2024, 1, day)),
+                "source_file": F.lit(f"file {batch}"),
+                "_rescued_data": F.lit(None).cast("string"),
+            }
+        )
+        rows.coalesce(1).write.mode("append").parquet(layers.bronze)
+        stream_silver(spark, config)
+    silver = read_table(spark, layers.silver).drop("silver_transform_time")
+    return silver.withColumn("ingestion_time", F.col("ingestion_time").cast("timestamp_ntz"))
+
+
+@query
+def ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the lines have a field that the schema does not name; it is rescued."""
+    schema = T.StructType().add("Event Id", T.LongType()).add("Kind", T.StringType()).add("Value", T.DoubleType())
+    config = PipelineConfig(
+        base_uri=storage.staging_path(spark, "json"), raw_schema=schema, dataset="events", source_format="json"
+    )
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("Event Id"),
+        F.col("event_type").alias("Kind"),
+        F.col("value").alias("Value"),
+        F.when(F.col("event_id") % 3 == 0, F.lit("new")).alias("Label"),
+    )
+    events.write.json(Layers(config).source)
+    run_bronze(spark, config)
+    return read_bronze(spark, config).drop("ingestion_time", "source_file")
+
+
+@query
+def ingest_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers in all files but the last of twelve: the type that the run infers holds for all."""
+    config = PipelineConfig(base_uri=storage.staging_path(spark, "inferred"), dataset="events")
+    events = table(spark, sf_dir, "events").select("event_id", "value")
+    last = events.agg(F.floor(F.max("event_id") * 11 / 12)).scalar()
+    whole = F.floor("value").cast("string")
+    amount = F.when(F.col("event_id") <= last, whole).otherwise(F.col("value").cast("string"))
+    files = events.select("event_id", amount.alias("amount")).repartitionByRange(12, "event_id")
+    land(files, Layers(config).source)
+    run_bronze(spark, config)
+    run_silver(spark, config)
+    silver = read_table(spark, Layers(config).silver)
+    return silver.select(F.col("event_id").cast("bigint").alias("event_id"), "amount")
 
 
 @query

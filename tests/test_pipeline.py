@@ -14,10 +14,11 @@ from tierflow.plans import (
     run_gold,
     run_pipeline,
     run_silver,
+    stream_silver,
 )
-from tierflow.plans.pipeline import raw_schema, read_bronze, read_silver
+from tierflow.plans.pipeline import RescuedValues, raw_schema, read_bronze, read_silver
 from tierflow.sources import read_file_stream, read_table
-from tierflow.streaming import append_stream, bronze_schema, bronze_stream, silver_stream
+from tierflow.streaming import append_stream, bronze_schema, bronze_stream
 
 RAW = (
     T.StructType()
@@ -47,7 +48,7 @@ CHUNK_2 = [
 
 @pytest.fixture
 def config(tmp_path):
-    config = PipelineConfig(base_uri=str(tmp_path), raw_schema=RAW)
+    config = PipelineConfig(base_uri=str(tmp_path), raw_schema=RAW, on_rescued="keep")
     (tmp_path / "source" / "streaming").mkdir(parents=True)
     return config
 
@@ -278,7 +279,7 @@ def test_new_chunks_flow_through_to_gold(spark, config):
     years = gold(spark, config, "yearly_stream_trends").drop("gold_model_time")
     assert [tuple(r) for r in years.collect()] == [
         (None, 1, 7.0, None),
-        (2020, 1, 10.5, 3.5),
+        (2020, 1, 10.5, None),
         (2021, 2, 4.25, -6.25),
     ]
     assert [r["artist"] for r in gold(spark, config, "top_artists").collect()] == ["Ann", None, "Bob"]
@@ -296,7 +297,7 @@ def test_new_chunks_flow_through_to_gold(spark, config):
 def test_layers_by_catalog_name(spark, config, tmp_path):
     schemas = {layer: f"named_{layer}" for layer in ("bronze", "silver", "gold")}
     named = PipelineConfig(
-        base_uri=str(tmp_path), raw_schema=RAW, catalog="spark_catalog", schemas=schemas
+        base_uri=str(tmp_path), raw_schema=RAW, catalog="spark_catalog", schemas=schemas, on_rescued="keep"
     )
     layers = Layers(named)
     sql = f"""
@@ -332,24 +333,97 @@ def test_schema_is_inferred_once_and_kept(spark, config, tmp_path):
     assert late["release_year"] is None and late["_rescued_data"] == '{"release_year":"soon"}'
 
 
-def test_streaming_silver_equals_batch_silver(spark, config):
-    layers = Layers(config)
+def test_types_hold_for_all_files(spark, config, tmp_path):
+    open_config = PipelineConfig(base_uri=str(tmp_path))
+    for i in range(12):
+        drop(config, f"chunk_{i:02}.csv", [f"SE,A{i},B,Pop,2020,{i if i < 10 else i + 0.75},1,1,1"])
+    run_bronze(spark, open_config)
+    run_silver(spark, open_config)
+    total = read_silver(spark, open_config).agg(F.sum("total_streams_millions"), F.count("total_streams_millions"))
+    assert tuple(total.first()) == (66 + 1.5, 12)
+
+
+def test_a_value_that_does_not_fit_stops_silver(spark, config, tmp_path):
+    strict = PipelineConfig(base_uri=str(tmp_path), raw_schema=RAW)
+    drop(config, "chunk_1.csv", ["SE,Ann,First,Pop,2020.5,10.5,1.25,3.5,20"])
+    run_bronze(spark, strict)
+    with pytest.raises(RescuedValues, match=r"1 rows .*release_year.*chunk_1\.csv"):
+        run_silver(spark, strict)
+    run_silver(spark, config)  # which keeps them in bronze
+    assert read_silver(spark, config).first()["release_year"] is None
+    with pytest.raises(ValueError, match="on_rescued"):
+        PipelineConfig(base_uri=str(tmp_path), on_rescued="hide")
+
+
+def test_streaming_silver_equals_batch_silver(spark, config, tmp_path):
     for name, lines in (("chunk_1.csv", CHUNK_1 * 20), ("chunk_2.csv", CHUNK_2 * 20)):
         drop(config, name, lines)
         run_bronze(spark, config)
-        rows = silver_stream(spark, layers.bronze, bronze_schema(RAW))
-        append_stream(rows, layers.silver, layers.checkpoint("silver"))
-    streamed = read_table(spark, layers.silver).drop("ingestion_time")
+        stream_silver(spark, config)
+    stream_silver(spark, config)  # nothing new
+    streamed = read_silver(spark, config).drop("silver_transform_time")
     got = sorted(map(str, streamed.collect()))
-    rows = read_bronze(spark, config).drop("ingestion_time", "source_file", "_rescued_data")
-    assert got == sorted(map(str, rows.dropDuplicates().collect()))
+    run_silver(spark, config)
+    batch = read_silver(spark, config).drop("silver_transform_time").select(*streamed.columns)
+    assert got == sorted(map(str, batch.collect()))
     assert len(got) == 4
 
 
-def test_streaming_silver_with_bounded_state(spark, config):
-    layers = Layers(config)
-    drop(config, "chunk_1.csv", CHUNK_1 * 5)
+def test_streaming_silver_is_shaped_as_configured(spark, tmp_path):
+    (tmp_path / "source" / "streaming").mkdir(parents=True)
+    config = PipelineConfig(
+        base_uri=str(tmp_path),
+        raw_schema=RAW,
+        text_columns=("artist",),
+        required_columns=("artist",),
+        expectations={"known_genre": "genre is not null"},
+        on_violation="drop",
+    )
+    same = ["SE, Ann  Lee ,First,Pop,2021,1,1,1,1", "SE,Ann Lee,First,Pop,2021,1,1,1,1"]
+    drop(config, "chunk_1.csv", [*same, "DE,Bob,Second,,2020,1,1,1,1", "DE,  ,Third,Pop,2022,1,1,1,1"])
+    run_bronze(spark, config)
+    stream_silver(spark, config)
+    assert [r["artist"] for r in read_silver(spark, config).collect()] == ["Ann Lee"]
+
+
+def test_gold_written_once_is_not_built_again(spark, config):
+    drop(config, "chunk_1.csv", CHUNK_1)
+    run_pipeline(spark, config)
+
+    def never(silver):
+        raise AssertionError("built")
+
+    assert run_gold(spark, config, {"top_artists": never}, mode="once") == {"top_artists": False}
+
+
+def test_backlog_in_bounded_batches(spark, tmp_path):
+    (tmp_path / "source" / "streaming").mkdir(parents=True)
+    config = PipelineConfig(base_uri=str(tmp_path), raw_schema=RAW, stream_options={"maxFilesPerTrigger": "1"}, swap=False)
+    for i in range(3):
+        drop(config, f"chunk_{i}.csv", [f"SE,A{i},B,Pop,2020,1,1,1,1"])
+    run_pipeline(spark, config)
+    assert read_bronze(spark, config).select("ingestion_time").distinct().count() == 3
+
+
+def test_a_catalog_that_cannot_be_used_is_left_out(spark, config, tmp_path):
+    schemas = {layer: f"left_{layer}" for layer in ("bronze", "silver", "gold")}
+    named = PipelineConfig(base_uri=str(tmp_path), raw_schema=RAW, catalog="nope", schemas=schemas, on_rescued="keep")
+    assert Layers(named).bootstrap(spark) is None
+    drop(named, "chunk_1.csv", CHUNK_1)
+    run_pipeline(spark, named)
+    names = register_tables(spark, named)
+    assert "`left_silver`.`streaming`" in names and spark.table("left_silver.streaming").count() == 3
+
+
+def test_json_fields_beyond_the_schema_are_rescued(spark, tmp_path):
+    source = tmp_path / "source" / "streaming"
+    source.mkdir(parents=True)
+    lines = ['{"Artist":"A","Plays":1}', '{"Artist":"B","Plays":2,"Label":"new"}', "", "{broken", '{"Plays":"x"}']
+    (source / "part.json").write_text("\n".join(lines))
+    schema = T.StructType().add("Artist", T.StringType()).add("Plays", T.LongType())
+    config = PipelineConfig(base_uri=str(tmp_path), raw_schema=schema, source_format="json")
     run_bronze(spark, config)
-    rows = silver_stream(spark, layers.bronze, bronze_schema(RAW), within="1 day")
-    append_stream(rows, layers.silver, layers.checkpoint("silver"))
-    assert read_table(spark, layers.silver).count() == 3
+    rows = {(r["artist"], r["plays"]): r["_rescued_data"] for r in read_bronze(spark, config).filter("artist is not null").collect()}
+    assert rows == {("A", 1): None, ("B", 2): '{"_unknown_fields":"{\\"Label\\":\\"new\\"}"}'}
+    others = sorted(r[0] for r in read_bronze(spark, config).filter("artist is null").select("_rescued_data").collect())
+    assert others == ['{"_malformed_line":"{broken"}', '{"plays":"x"}']

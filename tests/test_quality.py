@@ -81,3 +81,10 @@ def test_expect_fail(checked):
     assert passing.count() == 1
     with pytest.raises(ValueError, match="action"):
         expect(checked, rules(), action="ignore")
+
+
+def test_estimated_distinct_counts(spark):
+    df = spark.range(20_000).selectExpr("id % 5000 as k")
+    found = distinct_counts({"n": (df, "k")}, error=0.02)
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+    assert abs(found.first()["n"] - 5000) < 500

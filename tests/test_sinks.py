@@ -1,4 +1,5 @@
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
 from tierflow import storage
@@ -23,7 +24,8 @@ def test_part_files_below_the_top_level_do_not_count(spark, tmp_path):
     assert storage.has_part_file(spark, str(tmp_path / "nested"))
     assert not storage.has_part_file(spark, str(tmp_path))
     assert not storage.has_part_file(spark, str(tmp_path / "absent"))
-    assert not storage.has_part_file(spark, "nosuchscheme://host/path")
+    with pytest.raises(Py4JJavaError):  # a failed listing says nothing about the path
+        storage.has_part_file(spark, "nosuchscheme://host/path")
 
 
 def test_refresh_replaces_a_table_it_reads(spark, tmp_path):

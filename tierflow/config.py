@@ -20,6 +20,11 @@ class PipelineConfig:
     ``base_uri`` is the common root; ``layer_uris`` overrides single layers, for stores that keep one
     container per layer. ``raw_schema`` lists the raw header names with the types wanted in bronze.
 
+    ``on_rescued`` says what silver does about values that did not fit their type and lie in the rescue
+    column: ``fail`` (nothing is lost unseen) or ``keep`` (they stay in bronze only). ``stream_options`` go to the
+    source of the ingestion, such as ``maxBytesPerTrigger`` for a backlog; ``swap=False`` is for stores where a
+    rename copies (see `refresh`).
+
     The last group shapes silver and is empty by default: text columns to normalise, columns that must
     not be null, and expectations as SQL conditions by name, with what to do about a violation.
     """
@@ -38,6 +43,9 @@ class PipelineConfig:
     ingestion_time: str = "ingestion_time"
     source_file: str = "source_file"
     rescued: str = "_rescued_data"
+    on_rescued: str = "fail"
+    stream_options: dict[str, str] = field(default_factory=dict)
+    swap: bool = True
     text_columns: tuple[str, ...] = ()
     text_case: str | None = None
     required_columns: tuple[str, ...] = ()
@@ -50,6 +58,8 @@ class PipelineConfig:
                 raise ValueError(f"storage location is not set: {uri!r}")
         if not self.dataset.strip():
             raise ValueError("dataset name is empty")
+        if self.on_rescued not in ("fail", "keep"):
+            raise ValueError(f"on_rescued must be 'fail' or 'keep', not {self.on_rescued!r}")
         unknown = set(self.layer_uris) - set(LAYERS)
         if unknown:
             raise ValueError(f"unknown layers {sorted(unknown)}; expected {LAYERS}")

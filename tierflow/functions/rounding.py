@@ -5,17 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A double sum depends on the order in which partial sums are merged, which changes from run to run
-# on a cluster. The noise sits far right of the tenth decimal, so it is cut off there first; without
-# that, a mean of exactly x.xx5 would round up on one run and down on the next.
-GUARD_DIGITS = 10
-
 
 def round_half_up(value: Column, digits: int) -> Column:
-    """Round half away from zero to ``digits`` places, free of merge-order noise.
+    """Round half away from zero to ``digits`` places, once, on the shortest decimal text of a double.
 
-    Infinity, NaN and values of any magnitude pass through, which a cast to decimal would not allow
-    under ANSI mode.
+    A double sum depends on the order in which partial sums are merged. Where a result next to x.xx5 must
+    not depend on that, sum exact decimals instead. Infinity, NaN and values of any magnitude pass through.
     """
-    guard = max(GUARD_DIGITS, digits)
-    return F.round(F.round(value, guard), digits)
+    return F.round(value, digits)

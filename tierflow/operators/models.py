@@ -64,16 +64,17 @@ def top_n_per_group(
     sends at most ``n`` rows per group to the shuffle, which bounds a hot group. Beyond that, ranks come
     from a global row index, so that no group is ever sorted in one task.
 
-    With ``few_groups``, for large groups such as years, a first pass over the key and value columns
-    finds which rows can be among the first ``n``, so that the others are not sorted at all. ``df`` is
-    then read twice and must be repeatable.
+    With ``few_groups``, for large groups such as years, and for large ``n``, a first pass over the key and value
+    columns finds which rows can be among the first ``n``, so that the others are neither sorted nor staged. ``df``
+    is then read twice and must be repeatable, and calling this runs that pass.
     """
     rows = df.filter(ref(value).isNotNull())
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if n > min(limit, MOST_RANKED_BY_WINDOW):
-        return first_of_groups(rows, keys, [value, *tie_break], n, rank_col, descending=[value])
-    if few_groups:
+    deep = n > min(limit, MOST_RANKED_BY_WINDOW)
+    if few_groups or deep:
         rows = _contenders(rows, keys, value, n)
+    if deep:
+        return first_of_groups(rows, keys, [value, *tie_break], n, rank_col, descending=[value])
     window = Window.partitionBy(*map(ref, keys)).orderBy(*_ordering(value, tie_break))
     return rows.withColumn(rank_col, F.row_number().over(window)).filter(ref(rank_col) <= n)
 
@@ -139,13 +140,16 @@ def group_summary(
 def yearly_trends(df: DataFrame, year: str, value: str, digits: int = 2) -> DataFrame:
     """Rows, total and change of the total against the year before, one row per year.
 
-    Our own definition: the surveyed pipeline names such a table and defines nothing. The window has
-    no partition, but runs on one row per year, after the aggregation.
+    The year before is the one before among those present, so after a gap the change spans it. A null year has
+    a row without a change and is the year before of none. Our own definition: the surveyed pipeline names
+    such a table and defines nothing. The window runs on one row per year, after the aggregation, so
+    ``year`` should be a column of few values.
     """
     totals = df.groupBy(ref(year)).agg(
         F.count(F.lit(1)).alias("row_count"), F.sum(ref(value)).alias("__total")
     )
-    before = F.lag("__total").over(Window.orderBy(F.asc(ref(year))))
+    known = Window.partitionBy(ref(year).isNull()).orderBy(F.asc(ref(year)))
+    before = F.lag("__total").over(known)
     change = F.col("__total") - before
     return totals.select(
         ref(year),

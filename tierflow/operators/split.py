@@ -24,6 +24,9 @@ _RANK = "__rank"
 # Group keys and a number each; beyond this many, Catalyst picks the join by measured size.
 MOST_BROADCAST_ROWS = 100_000
 
+# Up to so many chunks a row is compared with the borders, where it is read.
+MOST_CUTS = 64
+
 # ``monotonically_increasing_id`` holds the partition number from bit 33 up, the position below it.
 _POSITION_BITS = 33
 
@@ -36,14 +39,13 @@ def with_row_index(
 ) -> DataFrame:
     """Number all rows 0, 1, 2, ... without gaps, in scan order or sorted by ``order_by``.
 
-    A sorted index ranks only the sort columns and joins the result back on a unique row id.
+    A sorted index is one range shuffle of the rows, staged once. Calling this runs those jobs; ``df`` must be
+    repeatable, as a scan is, since a sorted shuffle reads it twice.
     """
-    rows = _identified(df)
     if order_by:
-        numbered, _ = _numbered(_ranked(rows, order_by, descending))
-        rows = rows.join(numbered.select(_ID, _INDEX), _ID)
+        rows, _ = _sorted_rows(df, order_by, descending)
     else:
-        rows, _ = _numbered(rows.withColumn(_PLACE, F.col(_ID)))
+        rows, _ = _numbered(_identified(df).withColumnRenamed(_ID, _PLACE))
     return rows.select(*map(ref, df.columns), F.col(_INDEX).alias(index_col))
 
 
@@ -89,16 +91,20 @@ def assign_chunks(
     """Split into ``n`` contiguous chunks numbered from 1, each of ``rows // n`` rows.
 
     The last chunk also takes the remainder; with fewer rows than chunks it takes them all. A sorted
-    split shuffles the sort columns only: they give the ``n - 1`` sort values at which a chunk begins,
-    and each full row is then compared with those where it is read. Where such a value occurs more than
-    once, the rows are staged with an id that tells them apart. ``df`` is read more than once and must be
-    repeatable; `tierflow.storage.stage` makes it so.
+    split into up to ``MOST_CUTS`` chunks shuffles the sort columns only: they give the ``n - 1`` sort values at
+    which a chunk begins, and each full row is then compared with those where it is read. Where such a value occurs
+    more than once, the rows are staged with an id that tells them apart. Beyond that many chunks, the rows
+    are sorted and numbered, and a chunk is a division. ``df`` is read more than once and must be
+    repeatable; `tierflow.storage.stage` makes it so. Calling this runs jobs.
     """
     if n < 1:
         raise ValueError(f"need at least one chunk, not {n}")
-    if order_by:
+    if order_by and n <= MOST_CUTS:
         return _sorted_chunks(df, n, order_by, descending, chunk_col)
-    rows, total = _numbered(_identified(df).withColumnRenamed(_ID, _PLACE))
+    if order_by:
+        rows, total = _sorted_rows(df, order_by, descending)
+    else:
+        rows, total = _numbered(_identified(df).withColumnRenamed(_ID, _PLACE))
     size = total // n
     if size == 0:
         chunk = F.lit(n)
@@ -169,6 +175,20 @@ def _identified(df: DataFrame) -> DataFrame:
     return stage(df.withColumn(_ID, F.monotonically_increasing_id()), "rows")
 
 
+def _sorted_rows(
+    df: DataFrame, order_by: Sequence[str], descending: Collection[str]
+) -> tuple[DataFrame, int]:
+    """All rows with their number in the order given, and how many there are; one shuffle, one staged copy."""
+    order = [F.desc(ref(c)) if c in descending else F.asc(ref(c)) for c in order_by]
+    ranged = (
+        df.withColumn(_ID, F.monotonically_increasing_id())
+        .repartitionByRange(*order, _ID)
+        .sortWithinPartitions(*order, _ID)
+        .drop(_ID)
+    )
+    return _numbered(stage(ranged.withColumn(_PLACE, F.monotonically_increasing_id()), "sorted"))
+
+
 def _ranked(rows: DataFrame, order_by: Sequence[str], descending: Collection[str]) -> DataFrame:
     """Sort columns and id of each row with its place in the global order.
 

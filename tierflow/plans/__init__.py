@@ -9,6 +9,7 @@ from tierflow.plans.pipeline import (
     run_gold,
     run_pipeline,
     run_silver,
+    stream_silver,
 )
 from tierflow.plans.sizing import sized_for
 
@@ -22,4 +23,5 @@ __all__ = [
     "run_pipeline",
     "run_silver",
     "sized_for",
+    "stream_silver",
 ]

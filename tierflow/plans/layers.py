@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
@@ -58,11 +59,10 @@ class Layers:
     def bootstrap(self, spark: SparkSession) -> str | None:
         """Select the catalog and create one schema per layer; the catalog in use.
 
-        A session that reports no catalog is used without one.
+        A session that reports no catalog, or cannot use the configured one, is used without one; names are then
+        those of a configuration with ``catalog=None``.
         """
         catalog = self._usable_catalog(spark)
-        if catalog:
-            spark.catalog.setCurrentCatalog(catalog)
         for layer, schema in self.config.schemas.items():
             location = self.path(layer, "_tables").replace("'", "\\'")
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}` LOCATION '{location}'")
@@ -70,7 +70,10 @@ class Layers:
 
     def _usable_catalog(self, spark: SparkSession) -> str | None:
         try:
-            current = spark.catalog.currentCatalog()
-        except PySparkException:
+            if not spark.catalog.currentCatalog() or not self.config.catalog:
+                return None
+            spark.catalog.setCurrentCatalog(self.config.catalog)
+            spark.sql("SHOW SCHEMAS")
+        except (PySparkException, Py4JJavaError):  # some failures of the catalog manager come unwrapped
             return None
-        return self.config.catalog if current else None
+        return self.config.catalog

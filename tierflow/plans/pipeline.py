@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,24 +30,29 @@ from tierflow.plans.layers import Layers
 from tierflow.plans.sizing import sized_for
 from tierflow.sinks import refresh, write_once
 from tierflow.sources import infer_schema, list_files, load_schema, read_table
-from tierflow.streaming import append_stream, bronze_schema, bronze_stream
+from tierflow.streaming import append_refined, append_stream, bronze_schema, bronze_stream
 
-# Files whose rows decide the column types when no schema is configured.
-SCHEMA_SAMPLE_FILES = 10
+# Names of columns and files that a report of rescued values lists.
+REPORTED = 10
+
+
+class RescuedValues(ValueError):
+    """Bronze holds values that did not fit the type of their column."""
 
 
 def raw_schema(spark: SparkSession, config: PipelineConfig) -> T.StructType:
-    """The configured schema, else the one kept from the first run, else one inferred now and kept."""
+    """The configured schema, else the one kept from the first run, else one inferred now and kept.
+
+    Types are inferred from all rows of all files that are there, in one distributed job.
+    """
     if config.raw_schema is not None:
         return config.raw_schema
     layers = Layers(config)
     if storage.has_part_file(spark, layers.schema_store):
         return load_schema(spark, layers.schema_store)
-    oldest = list_files(spark, layers.source, f"*.{config.source_format}").orderBy("modificationTime", "path")
-    sample = [row.path for row in oldest.limit(SCHEMA_SAMPLE_FILES).collect()]
-    if not sample:
+    if list_files(spark, layers.source, f"*.{config.source_format}").isEmpty():
         raise ValueError(f"no {config.source_format} file in {layers.source} to infer a schema from")
-    return infer_schema(spark, sample, layers.schema_store, config.source_format)
+    return infer_schema(spark, layers.source, layers.schema_store, config.source_format)
 
 
 def read_bronze(spark: SparkSession, config: PipelineConfig) -> DataFrame:
@@ -79,13 +85,26 @@ def run_bronze(
         config.source_file,
         config.rescued,
         config.source_format,
-        **options,
+        **{**config.stream_options, **options},
     )
     append_stream(
         rows, layers.bronze, layers.checkpoint(), config.table_format, trigger, timeout
     )
 
 
+def check_rescued(bronze: DataFrame, config: PipelineConfig) -> None:
+    """Raise `RescuedValues` with the rows, columns and files concerned, unless the configuration keeps them."""
+    if config.on_rescued == "keep" or config.rescued not in bronze.columns:
+        return
+    misfits = bronze.filter(F.col(config.rescued).isNotNull()).select(config.rescued, config.source_file)
+    count = misfits.count()
+    if count:
+        columns = misfits.select(F.explode(F.json_object_keys(config.rescued)).alias("name"))
+        named = sorted(r["name"] for r in columns.distinct().limit(REPORTED).collect())
+        files = sorted(r[0] or "" for r in misfits.select(config.source_file).distinct().limit(REPORTED).collect())
+        raise RescuedValues(f"{count} rows with values that do not fit, in columns {named}, from {files}")
+
+
 def silver_rows(bronze: DataFrame, config: PipelineConfig, dedup_by: str = "record") -> DataFrame:
     """Bronze rows without technical columns and copies, shaped as configured.
 
@@ -112,20 +131,60 @@ def run_silver(
 ) -> dict[str, int]:
     """Recompute silver from all of bronze; the violations of each expectation, and the rows checked.
 
-    This is the one shuffle of full rows, so it is sized to the input. The counts come from the same
-    pass; they are empty without expectations.
+    Stops if bronze has rescued values, unless the configuration keeps them. This is the one shuffle of full
+    rows, so it is sized to the input. The counts come from the same pass; they are empty without expectations.
     """
-    rows = silver_rows(read_bronze(spark, config), config, dedup_by)
+    bronze = read_bronze(spark, config)
+    check_rescued(bronze, config)
+    rows = silver_rows(bronze, config, dedup_by)
     seen = None
     if config.expectations:
         rules = {name: F.expr(condition) for name, condition in config.expectations.items()}
         rows, seen = expect(rows, rules, config.on_violation)
     rows = stamp(rows, SILVER_TIME, at)
     with sized_for(rows):
-        refresh(rows, Layers(config).silver, table_format=config.table_format)
+        refresh(rows, Layers(config).silver, table_format=config.table_format, swap=config.swap)
     return seen.get if seen else {}
 
 
+def stream_silver(
+    spark: SparkSession,
+    config: PipelineConfig,
+    at: datetime | None = None,
+    trigger: str = "available",
+    timeout: float | None = None,
+    **options: object,
+) -> None:
+    """Append to silver what is new in bronze, shaped as by `run_silver`.
+
+    A record stays as its first batch brought it, with the earliest ingestion time of that batch.
+    """
+    layers = Layers(config)
+    schema = bronze_schema(
+        raw_schema(spark, config), config.ingestion_time, config.source_file, config.rescued
+    )
+
+    def refine(batch: DataFrame) -> DataFrame:
+        check_rescued(batch, config)
+        rows = silver_rows(batch, config)
+        if config.expectations:
+            rules = {name: F.expr(condition) for name, condition in config.expectations.items()}
+            rows, _ = expect(rows, rules, config.on_violation)
+        return stamp(rows, SILVER_TIME, at)
+
+    raw = spark.readStream.schema(schema).format(config.table_format).options(**options).load(layers.bronze)
+    append_refined(
+        raw,
+        refine,
+        layers.silver,
+        layers.checkpoint("silver"),
+        (config.ingestion_time, SILVER_TIME),
+        config.table_format,
+        trigger,
+        timeout,
+    )
+
+
 def run_gold(
     spark: SparkSession,
     config: PipelineConfig,
@@ -144,10 +203,13 @@ def run_gold(
     silver = read_silver(spark, config)
 
     def write(name: str) -> bool:
+        path = layers.gold(name)
+        if mode == "once" and storage.has_part_file(spark, path):
+            return False  # before the model is built, which may read silver already
         table = stamp(models[name](silver), GOLD_TIME, at)
         if mode == "once":
-            return write_once(table, layers.gold(name), config.table_format)
-        refresh(table, layers.gold(name), table_format=config.table_format)
+            return write_once(table, path, config.table_format)
+        refresh(table, path, table_format=config.table_format, swap=config.swap)
         return True
 
     with ThreadPoolExecutor(max_workers=max(len(models), 1)) as pool:
@@ -162,7 +224,8 @@ def register_tables(
     Call it again after a run: a name that exists is refreshed.
     """
     layers = Layers(config)
-    layers.bootstrap(spark)
+    if layers.bootstrap(spark) != config.catalog:
+        layers = Layers(replace(config, catalog=None))
     tables = {
         layers.qualify("bronze", config.dataset): (layers.bronze, read_bronze(spark, config).schema),
         layers.qualify("silver", config.dataset): (layers.silver, None),

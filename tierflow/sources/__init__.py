@@ -4,6 +4,7 @@ from tierflow.sources.files import (
     MALFORMED,
     READ_OPTIONS,
     TEXT_FORMATS,
+    UNKNOWN,
     WRITE_OPTIONS,
     as_text,
     infer_schema,
@@ -20,6 +21,7 @@ __all__ = [
     "MALFORMED",
     "READ_OPTIONS",
     "TEXT_FORMATS",
+    "UNKNOWN",
     "WRITE_OPTIONS",
     "as_text",
     "infer_schema",

@@ -28,6 +28,9 @@ TEXT_FORMATS = ("csv", "json")
 # Holds a line that does not parse, such as one with too many fields.
 MALFORMED = "_malformed_line"
 
+# Holds the fields of a JSON line that the schema does not name.
+UNKNOWN = "_unknown_fields"
+
 
 def _settings(file_format: str, options: dict) -> dict:
     selected = {"pathGlobFilter": f"*.{file_format}", "recursiveFileLookup": "false"}
@@ -43,8 +46,8 @@ def infer_schema(
 ) -> T.StructType:
     """Infer column types from the files under ``sample`` and keep them as JSON at ``schema_path``.
 
-    Inference reads the sample in full, so point it at a few representative files of a large source;
-    values that do not fit later on are rescued, not lost.
+    Inference reads the sample in full, as one distributed job; values that do not fit in files that come
+    later are rescued, not lost.
     """
     settings = _settings(file_format, {"inferSchema": "true", "enforceSchema": "true"} | options)
     schema = spark.read.format(file_format).options(**settings).load(sample).schema
@@ -88,14 +91,32 @@ def read_file_stream(
     """Stream of the files of one format in one directory, each read once, with those already there.
 
     Pass ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` to bound a micro-batch, ``cleanSource`` to
-    archive what is done so that the listing stays short.
+    archive what is done so that the listing stays short. With a schema of text columns from `as_text`, JSON is
+    read line by line, and fields that the schema does not name come as one more column.
     """
     settings = _settings(file_format, options)
+    if file_format == "json" and MALFORMED in schema.fieldNames():
+        lines = spark.readStream.format("text").options(**settings).load(path)
+        return _json_columns(lines, schema)
     if MALFORMED in schema.fieldNames():
         settings["columnNameOfCorruptRecord"] = MALFORMED
     return spark.readStream.format(file_format).schema(schema).options(**settings).load(path)
 
 
+def _json_columns(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The fields of each JSON line as text, blank lines left out; names are case-sensitive."""
+    line, fields = F.col("value"), F.col("__fields")
+    known = [f.name for f in schema if f.name != MALFORMED]
+    parsed = lines.filter(F.trim(line) != "").withColumn("__fields", F.from_json(line, "map<string,string>"))
+    others = F.map_filter(fields, lambda name, _: ~name.isin(known))
+    return parsed.select(
+        *(fields[name].alias(name) for name in known),
+        F.when(fields.isNull(), line).alias(MALFORMED),
+        F.when(F.size(others) > 0, F.to_json(others)).alias(UNKNOWN),
+        "_metadata",
+    )
+
+
 def with_lineage(
     df: DataFrame, time_col: str = "ingestion_time", file_col: str = "source_file"
 ) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 import logging
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -35,9 +37,10 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def has_part_file(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` holds a ``part-*`` file at its top level. A failed listing counts as no.
+    """Whether ``path`` holds a ``part-*`` file at its top level. Only a path that is not there counts as no.
 
-    The listing is read lazily and stops at the first hit, so a large directory is not listed whole.
+    The listing is read lazily and stops at the first hit, so a large directory is not listed whole. Any
+    other failure, such as a throttled store, is raised.
     """
     try:
         fs, handle = _open(spark, path)
@@ -46,7 +49,8 @@ def has_part_file(spark: SparkSession, path: str) -> bool:
             if entries.next().getPath().getName().startswith("part-"):
                 return True
     except Py4JJavaError as error:
-        log.info("listing %s failed, taken as absent: %s", path, error.java_exception)
+        if error.java_exception.getClass().getName() != "java.io.FileNotFoundException":
+            raise
     return False
 
 
@@ -76,7 +80,8 @@ def staging_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
     A local session without one gets a temporary folder; a cluster without one is an error, because
-    a folder of one machine cannot be read by the others.
+    a folder of one machine cannot be read by the others. A ``file:`` folder on a cluster has to be a mount
+    that all machines share.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
@@ -97,6 +102,15 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return join(_staging_home(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end of the block what was staged by the application, the results being written by then."""
+    try:
+        yield
+    finally:
+        clear_staged(spark)
+
+
 def clear_staged(spark: SparkSession) -> None:
     """Delete what this application has staged, once no DataFrame needs it any more."""
     fs, home = _open(spark, _staging_home(spark))

@@ -1,6 +1,6 @@
 """Structured Streaming: raw ingestion and streaming refinement."""
 
 from tierflow.streaming.ingest import append_stream, bronze_schema, bronze_stream, cleaned_schema
-from tierflow.streaming.silver import silver_stream
+from tierflow.streaming.silver import append_refined
 
-__all__ = ["append_stream", "bronze_schema", "bronze_stream", "cleaned_schema", "silver_stream"]
+__all__ = ["append_refined", "append_stream", "bronze_schema", "bronze_stream", "cleaned_schema"]

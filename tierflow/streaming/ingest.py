@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tierflow import storage
 from tierflow.operators import clean_name, clean_names, conform
-from tierflow.sources import MALFORMED, TEXT_FORMATS, as_text, read_file_stream, with_lineage
+from tierflow.sources import MALFORMED, TEXT_FORMATS, UNKNOWN, as_text, read_file_stream, with_lineage
 
 
 def cleaned_schema(raw_schema: T.StructType) -> T.StructType:
@@ -43,13 +43,14 @@ def bronze_stream(
 ) -> DataFrame:
     """Raw rows as a stream: lineage added, names cleaned, types checked, misfits rescued.
 
-    One scan and projections, no shuffle, so it scales with the number of input splits.
+    Fields of a JSON line that are not in the schema go to the rescue column as well. One scan and projections,
+    no shuffle, so it scales with the number of input splits.
     """
     text = file_format in TEXT_FORMATS
     read_schema = as_text(raw_schema) if text else raw_schema
     raw = read_file_stream(spark, source, read_schema, file_format, **options)
     rows = clean_names(with_lineage(raw, time_col, file_col))
-    whole = [MALFORMED] if text else []
+    whole = [c for c in (MALFORMED, UNKNOWN) if c in rows.columns]
     return conform(rows, cleaned_schema(raw_schema), rescue=rescue_col, whole=whole)
 
 
@@ -84,6 +85,11 @@ def append_stream(
         .option("path", path)
         .outputMode("append")
     )
+    return start(writer, trigger, timeout, path)
+
+
+def start(writer: DataStreamWriter, trigger: str, timeout: float | None, path: str) -> StreamingQuery:
+    """Start a stream with a trigger as in `append_stream`; blocks unless it runs on."""
     if trigger == "available":
         writer = writer.trigger(availableNow=True)
     elif trigger == "once":
