@@ -20,11 +20,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .packing import load_encoder
+from .packing import encoder_of, load_ranks
 
 # Classes: one for the end of a text, some for one id each, and the rest for ids of like frequency. The model first
 # gives one of ``GROUPS`` groups of classes, then a class of the group.
@@ -110,9 +112,9 @@ _MASK = np.where(np.tril(np.ones((WINDOW, WINDOW), bool)), np.float32(0), np.flo
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=-1, keepdims=True)
+    np.minimum(x, np.float32(60), out=x)  # logits stay far below; no overflow either way
     np.exp(x, out=x)
-    x /= x.sum(axis=-1, keepdims=True)
+    x /= (x @ np.ones(x.shape[-1], x.dtype))[..., None]
     return x
 
 
@@ -120,18 +122,32 @@ def _log_sum(logits: np.ndarray) -> np.ndarray:
     return np.log(np.exp(logits) @ np.ones(logits.shape[1], np.float32))
 
 
-def _rows_by_group(groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def _picked(logits: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    return logits.ravel().take(np.arange(len(columns)) * logits.shape[1] + columns)
+
+
+def _by_group(slots: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order that puts the slots of a group together, and the places of each group in it."""
+    groups = (slots // MEMBERS).astype(np.uint8)
     order = np.argsort(groups, kind="stable")
-    bounds = np.searchsorted(groups[order], np.arange(GROUPS + 1))
-    for group in range(GROUPS):
-        if bounds[group] < bounds[group + 1]:
-            yield group, order[bounds[group] : bounds[group + 1]]
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(groups, minlength=GROUPS))]).tolist()
+    return order, [(g, slice(bounds[g], bounds[g + 1])) for g in range(GROUPS) if bounds[g] < bounds[g + 1]]
+
+
+def _member_logits(
+    weights: dict, bigrams: Bigrams, state: np.ndarray, before: np.ndarray, slots: np.ndarray, parts: list
+) -> np.ndarray:
+    """Logits of the classes in the slot's own group; rows are ordered by group, as ``parts`` says."""
+    logits = bigrams.members.reshape(-1, MEMBERS).take((slots // MEMBERS) * CLASSES + before, axis=0)
+    for group, own in parts:
+        logits[own] += state[own] @ weights["member"][group]
+    return logits
 
 
 def gradients(weights: dict, bigrams: Bigrams, inputs: np.ndarray, targets: np.ndarray, used: np.ndarray) -> tuple:
     """Mean loss over the used tokens and its gradients; all arrays are (windows, WINDOW)."""
     scale = np.float32(WIDTH**-0.5)
-    x = weights["embed"][inputs] + weights["place"]
+    x = weights["embed"].take(inputs, axis=0) + weights["place"]
     q, k, v = x @ weights["query"], x @ weights["key"], x @ weights["value"]
     hidden = np.where(used, np.float32(0), np.float32(-1e9))[:, None, :]
     attend = _softmax(q @ k.transpose(0, 2, 1) * scale + _MASK + hidden)
@@ -141,20 +157,21 @@ def gradients(weights: dict, bigrams: Bigrams, inputs: np.ndarray, targets: np.n
     share_of = (counts / np.float32(n)).astype(np.float32)
     group_of = slots // MEMBERS
     rows = np.arange(len(slots))
-    share = _softmax(state @ weights["group"] + bigrams.groups[before])
+    share = _softmax(state @ weights["group"] + bigrams.groups.take(before, axis=0))
     loss = -float(np.log(share[rows, group_of] + 1e-30) @ share_of)
     share[rows, group_of] -= 1
     share *= share_of[:, None]
     found = {"group": state.T @ share, "member": np.zeros_like(weights["member"])}
     d_state = share @ weights["group"].T
-    for group, own in _rows_by_group(group_of):
-        share = _softmax(state[own] @ weights["member"][group] + bigrams.members[group][before[own]])
-        member, at = slots[own] % MEMBERS, np.arange(len(own))
-        loss -= float(np.log(share[at, member] + 1e-30) @ share_of[own])
-        share[at, member] -= 1
-        share *= share_of[own][:, None]
-        found["member"][group] = state[own].T @ share
-        d_state[own] += share @ weights["member"][group].T
+    order, parts = _by_group(slots)
+    sorted_state, member = state[order], slots[order] % MEMBERS
+    share = _softmax(_member_logits(weights, bigrams, sorted_state, before[order], slots[order], parts))
+    loss -= float(np.log(share[rows, member] + 1e-30) @ share_of[order])
+    share[rows, member] -= 1
+    share *= share_of[order][:, None]
+    for group, own in parts:
+        found["member"][group] = sorted_state[own].T @ share[own]
+        d_state[order[own]] += share[own] @ weights["member"][group].T
     d_state = d_state.reshape(x.shape)
     d_attend = d_state @ v.transpose(0, 2, 1)
     d_scores = attend * (d_attend - (d_attend * attend).sum(axis=-1, keepdims=True)) * scale
@@ -197,11 +214,15 @@ class Trainer:
 
 def training_windows(classes: np.ndarray) -> np.ndarray:
     """A text's classes, the end included, as windows of ``WINDOW`` with the predecessor of each; -1 fills up."""
-    n = -(-len(classes) // WINDOW)
-    padded = np.full(n * WINDOW + 1, -1, np.int64)
-    padded[0] = 0  # a text follows the end of another
-    padded[1 : len(classes) + 1] = classes
-    return np.lib.stride_tricks.sliding_window_view(padded, WINDOW + 1)[::WINDOW]
+    return np.stack([one_window(classes, n) for n in range(-(-len(classes) // WINDOW))])
+
+
+def one_window(classes: np.ndarray, n: int) -> np.ndarray:
+    out = np.full(WINDOW + 1, -1, np.int64)
+    out[0] = classes[n * WINDOW - 1] if n else 0  # a text follows the end of another
+    part = classes[n * WINDOW : (n + 1) * WINDOW]
+    out[1 : len(part) + 1] = part
+    return out
 
 
 @dataclass
@@ -222,7 +243,7 @@ class Scorer:
         self.values = np.hstack([self.tables["value"], np.ones((CLASSES, 1), np.float32)])
         self.value_places = np.hstack([self.places["value"], np.zeros((WINDOW, 1), np.float32)])
 
-    def log_probabilities(self, texts: list[np.ndarray], at_once: int = 384) -> np.ndarray:
+    def log_probabilities(self, texts: list[np.ndarray], at_once: int = 128) -> np.ndarray:
         """log10 probability of each class of all texts in a row (the ends included), windows in batches."""
         counts = [-(-len(t) // SCORED) for t in texts]
         context = WINDOW - SCORED
@@ -241,32 +262,37 @@ class Scorer:
 
     def _windows(self, rows: np.ndarray) -> np.ndarray:
         """Log probabilities of the scored tokens of each window."""
-        inputs, targets = rows[:, :-1], rows[:, WINDOW - SCORED + 1 :]
-        hidden = np.where(inputs < 0, np.float32(-1e9), np.float32(0))
-        inputs = np.maximum(inputs, 0)
+        inputs, targets = rows[:, :-1], np.maximum(rows[:, WINDOW - SCORED + 1 :], 0)
+        edges = np.flatnonzero(inputs.min(axis=1) < 0)  # windows at the ends of a text
+        hidden = np.where(inputs[edges] < 0, np.float32(-1e9), np.float32(0))
+        inputs = np.maximum(inputs, 0).astype(np.intp)
         last = inputs[:, WINDOW - SCORED :]
-        key = self.tables["key"][inputs] + self.places["key"]
-        value = self.values[inputs] + self.value_places
-        query = self.tables["query"][last] + self.places["query"][WINDOW - SCORED :]
+        key = self.tables["key"].take(inputs, axis=0)
+        key += self.places["key"]
+        value = self.values.take(inputs, axis=0)
+        value += self.value_places
+        query = self.tables["query"].take(last, axis=0)
+        query += self.places["query"][WINDOW - SCORED :]
         scores = query @ key.transpose(0, 2, 1)
         scores += self.mask
-        scores += hidden[:, None, :]
+        scores[edges] += hidden[:, None, :]
         np.minimum(scores, np.float32(60), out=scores)
         np.exp(scores, out=scores)
         summed = scores @ value  # the last column counts
         state = summed[..., :WIDTH] / summed[..., WIDTH:]
-        state += self.weights["embed"][last] + self.weights["place"][WINDOW - SCORED :]
+        state += self.weights["embed"].take(last, axis=0)
+        state += self.weights["place"][WINDOW - SCORED :]
         # Logits are log probabilities with a small correction: no overflow without taking out the largest.
         state, before = state.reshape(-1, WIDTH), last.ravel()
-        slots = self.bigrams.slots[np.maximum(targets, 0).ravel()]
-        group_of, member_of = slots // MEMBERS, slots % MEMBERS
+        slots = self.bigrams.slots.take(targets.ravel())
         logits = state @ self.weights["group"]
-        logits += self.bigrams.groups[before]
-        out = np.take_along_axis(logits, group_of[:, None], 1)[:, 0] - _log_sum(logits)
-        for group, own in _rows_by_group(group_of):
-            logits = state[own] @ self.weights["member"][group]
-            logits += self.bigrams.members[group][before[own]]
-            out[own] += logits[np.arange(len(own)), member_of[own]] - _log_sum(logits)
+        logits += self.bigrams.groups.take(before, axis=0)
+        out = _picked(logits, slots // MEMBERS) - _log_sum(logits)
+        order, parts = _by_group(slots)
+        slots = slots.take(order)
+        sorted_state, before = state.take(order, axis=0), before.take(order)
+        logits = _member_logits(self.weights, self.bigrams, sorted_state, before, slots, parts)
+        out[order] += _picked(logits, slots % MEMBERS) - _log_sum(logits)
         return out.reshape(last.shape)
 
 
@@ -302,10 +328,10 @@ class _Numbers(dict):
 class Words:
     """Remembers the words of a task: their hashes, ids and a number for each."""
 
-    def __init__(self, tokenizer_path: str) -> None:
-        self.encoder = load_encoder(tokenizer_path)
-        size = self.encoder.max_token_value + 1
-        self.begins = np.array([self.encoder.decode_single_token_bytes(i)[:1] == b" " for i in range(size)])
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.encoder = encoder_of(ranks)
+        self.begins = np.zeros(max(ranks.values()) + 1, bool)
+        self.begins[[i for piece, i in ranks.items() if piece[:1] == b" "]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -374,32 +400,33 @@ class Model:
         return top + np.log10(1 + 10 ** (low - top))
 
 
-def _first_fit(texts: DataFrame, tokenizer_path: str) -> tuple[np.ndarray, dict, Bigrams]:
+def _first_fit(texts: DataFrame, ranks: Broadcast) -> tuple[np.ndarray, dict, Bigrams]:
     """Classes, attention weights and bigrams from about ``FIRST_WINDOWS`` windows drawn from all texts."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chance = min(1.0, FIRST_WINDOWS * 3 * WINDOW / max(1, size))  # a token is about three bytes
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(tokenizer_path)
+        words = Words(ranks.value)
         for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py()
-                pieces = range(0, max(1, len(text)), 3 * WINDOW)  # stretches of about a window
-                luck = common.mix(np.arange(len(pieces), dtype=np.uint64) + common.mix(np.atleast_1d(np.uint64(name))))
-                chosen = [p for p, u in zip(pieces, luck.tolist()) if u < chance * 2.0**64]
-                if len(words.numbers) > MOST_REMEMBERED:
-                    words.clear()
-                numbers, starts = words.take([text[p : p + 3 * WINDOW] for p in chosen])
-                rows = [words.token_ids(numbers[a:b])[0].tolist() for a, b in zip(starts[:-1], starts[1:])]
-                ended = [p + 3 * WINDOW >= len(text) for p in chosen]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, pa.list_(pa.int32())), pa.array(ended, pa.bool_())], names=["ids", "ended"]
-                )
+            lengths = pc.utf8_length(batch.column(1)).to_numpy()
+            pieces = np.maximum(1, -(-lengths // (3 * WINDOW)))  # stretches of about a window
+            luck = common.mix(batch.column(0).to_numpy().astype(np.uint64))
+            wanted = np.floor(pieces * chance + luck / 2.0**64).astype(np.int64)
+            rows, ended = [], []
+            for at in np.flatnonzero(wanted):
+                text = batch.column(1)[int(at)].as_py()
+                places = common.mix(luck[at] + np.arange(wanted[at], dtype=np.uint64)) % np.uint64(pieces[at])
+                for start in (np.unique(places) * np.uint64(3 * WINDOW)).tolist():
+                    rows.append(words.token_ids(words.take([text[start : start + 3 * WINDOW]])[0])[0].tolist())
+                    ended.append(start + 3 * WINDOW >= len(text))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows, pa.list_(pa.int32())), pa.array(ended, pa.bool_())], names=["ids", "ended"]
+            )
 
     mark = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).alias("mark")
     found = texts.select(mark, "text").mapInArrow(draw, "ids array<int>, ended boolean").toArrow()
     drawn = sorted(zip(found["ids"].to_pylist(), found["ended"].to_pylist()))
-    size = load_encoder(tokenizer_path).max_token_value + 1
+    size = max(ranks.value.values()) + 1
     ids, counts = np.unique(np.array([i for row, _ in drawn for i in row], np.int64), return_counts=True)
     classes = class_table(ids, counts, size)
     ends = [np.zeros(int(ended), np.int64) for _, ended in drawn]
@@ -434,13 +461,13 @@ def _unpack_weights(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _counted(texts: DataFrame, tokenizer_path: str, first: tuple) -> DataFrame:
+def _counted(texts: DataFrame, ranks: Broadcast, first: tuple) -> DataFrame:
     """(kind, key, n): counts of words, ids and class bigrams, and the sum of the tasks' weights."""
     shared = texts.sparkSession.sparkContext.broadcast(first)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, weights, bigrams = shared.value
-        words = Words(tokenizer_path)
+        words = Words(ranks.value)
         trainer = Trainer(dict(weights), bigrams, rate=RATE / 10)
         ids_seen, firsts_seen = np.zeros((2, len(classes)), np.int64)
         pairs = np.zeros(CLASSES * CLASSES, np.int64)
@@ -457,13 +484,12 @@ def _counted(texts: DataFrame, tokenizer_path: str, first: tuple) -> DataFrame:
             )
 
         for batch in batches:
-            texts = [t.as_py() for t in batch.column(0)]
-            for part in common.groups_of_rows([len(t) for t in texts]):
+            for _, texts in common.texts_in_groups(batch.column(0)):
                 if len(words.numbers) > MOST_REMEMBERED:
                     yield rows(WORD, words.hashes.view(np.int64), seen)
                     words.clear()
                     seen = np.zeros(0, np.int64)
-                numbers, starts = words.take(texts[part])
+                numbers, starts = words.take(texts)
                 grown = np.zeros(len(words.numbers), np.int64)
                 grown[: len(seen)] = seen
                 seen = grown + np.bincount(numbers, minlength=len(grown))
@@ -476,15 +502,18 @@ def _counted(texts: DataFrame, tokenizer_path: str, first: tuple) -> DataFrame:
                 stream = np.insert(kinds, cuts[1:], 0)  # with the ends
                 before = np.concatenate([[0], stream[:-1]])
                 pairs += np.bincount(before * CLASSES + stream, minlength=len(pairs))
-                for a, b in zip(cuts[:-1] + np.arange(len(cuts) - 1), cuts[1:] + np.arange(1, len(cuts))):
-                    windows = training_windows(stream[a:b])
-                    picks = np.arange(windows_seen, windows_seen + len(windows)) % round(1 / SHARE) == 0
-                    windows_seen += len(windows)
-                    if picks.any():
-                        waiting += list(windows[picks])
-                        if len(waiting) >= BATCH:
-                            trainer.train(np.stack(waiting[:BATCH]))
-                            waiting = waiting[BATCH:]
+                bounds = cuts + np.arange(len(cuts))
+                counts = -(-np.diff(bounds) // WINDOW)
+                every = round(1 / SHARE)
+                first_picks = (-windows_seen - np.cumsum(counts) + counts) % every
+                windows_seen += int(counts.sum())
+                for text in np.flatnonzero(first_picks < counts):
+                    a, b = bounds[text], bounds[text + 1]
+                    for pick in range(first_picks[text], counts[text], every):
+                        waiting.append(one_window(stream[a:b], pick))
+                while len(waiting) >= BATCH:
+                    trainer.train(np.stack(waiting[:BATCH]))
+                    waiting = waiting[BATCH:]
         yield rows(WORD, words.hashes.view(np.int64), seen)
         yield rows(WORD, np.array([END_WORD]), np.array([ends]))
         yield rows(ID, np.arange(len(ids_seen)), ids_seen)
@@ -503,9 +532,10 @@ def fit(
 ) -> tuple[Model, DataFrame]:
     """The model, and the table (word, n) of the counts that are not in it; learns from rows not held out."""
     texts = docs.filter(~held_out(id_col)).select(common.whole_text(text_col).alias("text"))
-    first = _first_fit(texts, tokenizer_path)
+    ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(tokenizer_path))
+    first = _first_fit(texts, ranks)
     classes, weights, bigrams = first
-    counted = common.stage(_counted(texts, tokenizer_path, first), "lm-counts")
+    counted = common.stage(_counted(texts, ranks, first), "lm-counts")
     words = counted.filter(F.col("kind") == WORD).select(F.col("key").alias("word"), "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     ends = words.filter(F.col("word") == END_WORD).first()
@@ -561,21 +591,21 @@ def score(
     result, and without training texts all words are unknown.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(tokenizer_path))
     kind = docs.schema[id_col].dataType.simpleString()
     out = f"row long, id {kind}, n_tokens long, known long, base double, score double, "
     out += "words array<long>, products array<double>, firsts array<double>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, words = shared.value, Words(tokenizer_path)
+        model, words = shared.value, Words(ranks.value)
         log_all = np.log10(model.total + model.distinct + 1)
         known = np.zeros(0, np.int64)  # of each remembered word: its count, or -1 if not in the table
         for batch in batches:
-            texts = [t.as_py() for t in batch.column(2)]
-            for part in common.groups_of_rows([len(t) for t in texts]):
+            for part, texts in common.texts_in_groups(batch.column(2)):
                 if len(words.numbers) > MOST_REMEMBERED:
                     words.clear()
                     known = np.zeros(0, np.int64)
-                numbers, starts = words.take(texts[part])
+                numbers, starts = words.take(texts)
                 known = np.concatenate([known, model.counts_of(words.hashes[len(known) :].view(np.int64))])
                 counts = known[numbers]
                 ids, word_starts = words.token_ids(numbers)

@@ -67,19 +67,27 @@ def pack(pieces: list[Piece], capacity: int = CAPACITY) -> list[list[Piece]]:
     return sequences
 
 
-def load_encoder(path: str):
-    """An encoder with the vocabulary of a byte-level ``tokenizers`` file; special strings are plain text."""
-    import public_tokenizers
-    import tiktoken
-
+def load_ranks(path: str) -> dict[bytes, int]:
+    """The pieces of a byte-level ``tokenizers`` file as bytes, with their ids."""
     vocabulary = json.load(open(path, encoding="utf-8"))["model"]["vocab"]
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in shown]
     byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-    ranks = {bytes(byte_of[c] for c in piece): i for piece, i in vocabulary.items() if set(piece) <= byte_of.keys()}
+    return {bytes(byte_of[c] for c in piece): i for piece, i in vocabulary.items() if set(piece) <= byte_of.keys()}
+
+
+def encoder_of(ranks: dict[bytes, int]):
+    """An encoder for such pieces; special strings are plain text."""
+    import public_tokenizers
+    import tiktoken
+
     return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def load_encoder(path: str):
+    return encoder_of(load_ranks(path))
+
+
 def packed(
     docs: DataFrame,
     tokenizer_path: str,
@@ -109,8 +117,10 @@ def packed(
         ]
     )
 
+    ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(tokenizer_path))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = load_encoder(tokenizer_path)
+        encoder = encoder_of(ranks.value)
         next_id = TaskContext.get().partitionId() << 40
         schema = None
 
