@@ -6,6 +6,8 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,13 @@ def groups_of_rows(sizes: list[int], limit: int = GROUP_BYTES) -> Iterator[slice
         yield slice(start, len(sizes))
 
 
+def texts_in_groups(column: pa.Array, limit: int = GROUP_BYTES) -> Iterator[tuple[slice, list[str]]]:
+    """The texts of a column, null as empty, in groups of about ``limit``; only one group is held as strings."""
+    lengths = pc.fill_null(pc.utf8_length(column), 0).to_pylist()
+    for rows in groups_of_rows(lengths, limit):
+        yield rows, [t or "" for t in column.slice(rows.start, rows.stop - rows.start).to_pylist()]
+
+
 # ---- hashing --------------------------------------------------------------------------------------
 
 

@@ -21,7 +21,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours move to the smallest of them; ``a > b`` in every row."""
     smallest = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-    moved = edges.join(smallest, F.col("a") == F.col("node")).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = edges.join(smallest, F.col("a") == F.col("node")).filter("b <> m")
+    moved = moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(smallest.select(F.col("node").alias("a"), F.col("m").alias("b")))
 
 

@@ -165,9 +165,8 @@ def _texts_with(docs: DataFrame, text_col: str, items: Items) -> dict[int, int]:
 
 
 def _words(texts: pa.Array) -> Iterator[np.ndarray]:
-    texts = [t.as_py() or "" for t in texts]
-    for rows in common.groups_of_rows([len(t) for t in texts]):
-        words, starts = common.word_hashes(texts[rows], marks_part=True)
+    for _, group in common.texts_in_groups(texts):
+        words, starts = common.word_hashes(group, marks_part=True)
         for a, b in zip(starts[:-1], starts[1:]):
             yield words[a:b]
 
@@ -214,14 +213,19 @@ def contaminated(
                 for name, words in zip(batch.column(0).to_pylist(), _words(batch.column(1))):
                     rows += [(name, *m) for m in matches(words, shared.value)]
                 columns = list(zip(*rows)) or [()] * len(schema)
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
+                arrays = [pa.array(list(c), f.type) for c, f in zip(columns, schema)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
         result = result.union(docs.select(id_col, text_col).mapInArrow(run, out))
     return result
 
 
 def without_contaminated(
-    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` that hold a copy of no item, with all their columns; rows without text stay."""
     context = docs.sparkSession.sparkContext

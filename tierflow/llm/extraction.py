@@ -271,9 +271,8 @@ def main_texts(
     small = size <= MOST_BROADCAST_BYTES
     with_reference = rows.join(F.broadcast(references) if small else references, F.col("host") == F.col("of"))
 
-    kind = "id {}, url string, host string, blocks array<struct<slot: int, main: boolean, mark: long, text: string>>".format(
-        pages.schema[id_col].dataType.simpleString()
-    )
+    block = "struct<slot: int, main: boolean, mark: long, text: string>"
+    kind = f"id {pages.schema[id_col].dataType.simpleString()}, url string, host string, blocks array<{block}>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wrappers: dict[str, tuple[Shape, dict[int, int]]] = {}
@@ -320,8 +319,9 @@ def main_texts(
     )
     few = templates.count() * 1024 <= MOST_BROADCAST_BYTES
     judged = parsed.join(F.broadcast(templates) if few else templates, F.col("host") == F.col("of"), "left")
-    is_content = F.filter("blocks", lambda b: b["main"] | ~F.array_contains(F.coalesce("template", F.array().cast("array<int>")), b["slot"]))
-    text = F.array_join(F.transform(is_content, lambda b: b["text"]), "\n")
+    template = F.coalesce("template", F.array().cast("array<int>"))
+    content = F.filter("blocks", lambda b: b["main"] | ~F.array_contains(template, b["slot"]))
+    text = F.array_join(F.transform(content, lambda b: b["text"]), "\n")
     return judged.select(
         F.col("id").alias(id_col), F.col("url").alias(url_col), text.alias("text")
     ).withColumn("n_chars", F.char_length("text").cast("long"))

@@ -158,7 +158,12 @@ def _scan(docs: DataFrame, templates: DataFrame, id_col: str, text_col: str) ->
     # above it, and the words are not split again for the filter.
     hits = (
         docs.select(F.col(id_col).alias("id"), words_of(common.whole_text(text_col)).alias("words"))
-        .select("id", "words", F.when(F.size("words") > 1, places).alias("places"), F.monotonically_increasing_id().alias("row"))
+        .select(
+            "id",
+            "words",
+            F.when(F.size("words") > 1, places).alias("places"),
+            F.monotonically_increasing_id().alias("row"),
+        )
         .filter(F.size("places") > 0)
     )
 

@@ -76,14 +76,17 @@ def alike(left: np.ndarray, right: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(left) + len(right) - both)
 
 
+def _digest(values: np.ndarray) -> bytes | None:
+    return blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None
+
+
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, size, print, sketch) of every row; ``print`` is a digest of the set, null for an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.as_py() or "" for t in batch.column(1)]
-            for rows in common.groups_of_rows([len(t) for t in texts]):
-                words, starts = common.word_hashes(texts[rows])
+            for rows, texts in common.texts_in_groups(batch.column(1)):
+                words, starts = common.word_hashes(texts)
                 sets = [shingle_set(words[a:b]) for a, b in zip(starts[:-1], starts[1:])]
                 full = [s for s in sets if len(s)]
                 kept = iter(registers(full)) if full else iter(())
@@ -91,7 +94,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     [
                         batch.column(0)[rows.start : rows.stop].cast(pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
+                        pa.array([_digest(s) for s in sets], pa.binary()),
                         pa.array([next(kept).tobytes() if len(s) else None for s in sets], pa.binary()),
                     ],
                     names=["id", "size", "print", "sketch"],
@@ -132,7 +135,8 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([a.filter(chosen), b.filter(chosen)], names=["a", "b"])
 
     def side(name: str) -> DataFrame:
-        return nodes.select(F.col("node").alias(name), F.col("sketch").alias(f"sketch_{name}"), F.col("size").alias(f"size_{name}"))
+        columns = {"node": name, "sketch": f"sketch_{name}", "size": f"size_{name}"}
+        return nodes.select([F.col(c).alias(to) for c, to in columns.items()])
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     return both.select("a", "b", "sketch_a", "size_a", "sketch_b", "size_b").mapInArrow(run, "a long, b long")
@@ -162,7 +166,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, lab
                     last, last_set = b, shingle_set(common.word_hashes([text_b.as_py()])[0])
                 linked.append(alike(shingle_set(common.word_hashes([text_a.as_py()])[0]), last_set))
             linked = pa.array(linked, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(linked), batch.column(1).filter(linked)], names=["a", "b"])
+            both = [batch.column(i).filter(linked) for i in range(2)]
+            yield pa.RecordBatch.from_arrays(both, names=["a", "b"])
 
     with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
@@ -193,16 +198,15 @@ def _remaining(docs: DataFrame, members: DataFrame, classes: DataFrame, id_col:
     found = members.filter("n > 3").join(classes, "node", "left").select(
         "bucket", "node", F.coalesce("component", "node").alias("class")
     )
-    unsettled = found.groupBy("bucket").agg(F.min("class").alias("first"), F.max("class").alias("last")).filter("first < last")
+    ends = found.groupBy("bucket").agg(F.min("class").alias("first"), F.max("class").alias("last"))
+    unsettled = ends.filter("first < last")
     ids = found.join(unsettled, "bucket", "left_semi").select("node", "class").distinct()
     sets = common.stage(_shingles_of(docs, common.stage(ids, "near-open"), id_col, text_col), "near-sets")
     shared = sets.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"))
     ordered = Window.partitionBy("node").orderBy("sets", "shingle")
     places = sets.join(shared, "shingle").withColumn("place", F.row_number().over(ordered) - 1)
-    heads = common.stage(
-        places.filter(F.col("place") * 100 <= F.col("size") * (100 - PERCENT)).select("node", "class", "size", "shingle", "place"),
-        "near-heads",
-    )
+    first = places.filter(F.col("place") * 100 <= F.col("size") * (100 - PERCENT))
+    heads = common.stage(first.select("node", "class", "size", "shingle", "place"), "near-heads")
     commonest = (
         heads.groupBy("shingle", "class")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -242,7 +246,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # a node amid its group shares large buckets with it: the most central one of a bucket is its hub
     central = members.groupBy("node").agg(F.sum("n").alias("met"))
     hub = members.join(central, "node").groupBy("bucket").agg(F.max_by("node", F.struct("met", "node")).alias("hub"))
-    hubs = members.join(hub, "bucket").select("node", F.explode(F.array("hub", "lo")).alias("hub")).filter("node <> hub")
+    hubs = members.join(hub, "bucket").select("node", F.explode(F.array("hub", "lo")).alias("hub"))
+    hubs = hubs.filter("node <> hub")
     pairs = hubs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
     links = _verified(_likely(pairs, nodes), docs, id_col, text_col, "near")
     classes = common.stage(components(links), "near-classes")
@@ -250,9 +255,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not more.isEmpty():
         merged = classes.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more.select("a", "b"))
         classes = common.stage(components(merged), "near-classes")
-    prints = common.stage(
-        nodes.join(classes, "node", "left").select("print", F.coalesce("component", "node").alias("component")), "near-prints"
-    )
+    component = F.coalesce("component", "node").alias("component")
+    prints = common.stage(nodes.join(classes, "node", "left").select("print", component), "near-prints")
     return (
         found.join(prints, "print", "left")
         .withColumn("component_id", F.when(F.col("size") == 0, F.col("id")).otherwise(F.col("component")))
