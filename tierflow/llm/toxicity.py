@@ -34,7 +34,7 @@ PENALTY = 8.0
 # Directions of the landmarks' kernel below this share of the largest are left out.
 LEAST_DIRECTION = 1e-6
 # A task remembers the scores of so many words at most.
-MOST_REMEMBERED = 1_000_000
+MOST_REMEMBERED = 250_000
 
 # Look-alikes of letters.
 _LOOK_ALIKES = str.maketrans("013457@$", "oieastas")
@@ -190,19 +190,21 @@ def fit_machine(words: list[str], toxic: np.ndarray, clean: np.ndarray) -> tuple
     good = values > LEAST_DIRECTION * values.max()
     to_space = vectors[:, good] / np.sqrt(values[good])
     z = np.hstack([kernel @ to_space, np.ones((len(codes), 1))])
-    z = np.vstack([z, z])
-    y = np.repeat([1.0, -1.0], len(codes))
-    weight = PENALTY * np.concatenate([toxic, clean])
-    z, y, weight = z[weight > 0], y[weight > 0], weight[weight > 0]
+    del kernel
     w = np.zeros(z.shape[1])
     ridge = np.ones(len(w))
     ridge[-1] = 1e-3
-    for _ in range(30):  # Newton steps for the squared hinge
-        margin = 1 - y * (z @ w)
-        active = margin > 0
-        za = z[active]
-        gradient = ridge * w - za.T @ (weight[active] * y[active] * margin[active])
-        step = np.linalg.solve(np.diag(ridge) + za.T @ (weight[active, None] * za), gradient)
+    blocks = [slice(at, at + 2048) for at in range(0, len(z), 2048)]
+    for _ in range(30):  # Newton steps for the squared hinge; a word counts as toxic and as clean, by its documents
+        gradient, hessian = ridge * w, np.diag(ridge)
+        for rows in blocks:
+            value = z[rows] @ w
+            for y, weight in ((1.0, toxic[rows]), (-1.0, clean[rows])):
+                margin = 1 - y * value
+                pull = PENALTY * weight * (margin > 0)
+                gradient -= z[rows].T @ (pull * y * margin)
+                hessian += z[rows].T @ (pull[:, None] * z[rows])
+        step = np.linalg.solve(hessian, gradient)
         w -= step
         if np.abs(step).max() < 1e-6:
             break
@@ -240,10 +242,9 @@ class _Pool:
 
     def __call__(self, texts: pa.Array) -> tuple[list[float], list[float]]:
         """For each text the largest score, and the logarithm of one more than the words with a score above 0."""
-        texts = [t.as_py() or "" for t in texts]
         tops, aboves = [], []
-        for rows in common.groups_of_rows([len(t) for t in texts], 4 * common.GROUP_BYTES):
-            found = [words_of(t) for t in texts[rows]]
+        for _, group in common.texts_in_groups(texts):
+            found = [words_of(t) for t in group]
             if len(self.known) > MOST_REMEMBERED:
                 self.known = {}
             fresh = list(set().union(*found) - self.known.keys())
