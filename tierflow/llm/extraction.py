@@ -24,7 +24,9 @@ TEMPLATE_SHARE = 0.5
 LEAST_PAGES = 5
 # Elements nested deeper are taken as children of the element at this depth.
 DEEPEST = 120
-# Reference trees up to this size in all are broadcast; more are joined by a shuffle.
+# Hosts up to this number (a name and two numbers each) and reference pages up to this size in all are broadcast; more
+# are joined by a shuffle.
+MOST_BROADCAST_HOSTS = 500_000
 MOST_BROADCAST_BYTES = 64 << 20
 
 # Names of HTML elements, and words in class names or ids of page furniture.
@@ -262,8 +264,10 @@ def main_texts(
         F.coalesce(F.regexp_extract(F.lower(url_col), _HOST, 1), F.lit("")).alias("host"),
     )
     first = rows.groupBy("host").agg(F.min(F.struct("id", F.xxhash64("html").alias("mark"))).alias("first"))
+    first = common.stage(first.withColumnRenamed("host", "of"), "wrapper-first")
+    few = first.count() <= MOST_BROADCAST_HOSTS
     same = F.col("id").eqNullSafe(F.col("first.id")) & (F.xxhash64("html") == F.col("first.mark"))
-    chosen = rows.join(first.withColumnRenamed("host", "of"), (F.col("host") == F.col("of")) & same)
+    chosen = rows.join(F.broadcast(first) if few else first, (F.col("host") == F.col("of")) & same)
     references = common.stage(
         chosen.groupBy(F.col("host").alias("of")).agg(F.any_value("html").alias("reference")), "wrapper-references"
     )
