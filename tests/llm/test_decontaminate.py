@@ -70,6 +70,33 @@ def test_an_item_that_leaked_everywhere_is_still_found(spark):
     assert decontaminate.contaminated(docs, items).count() == 200
 
 
+def edited_item():
+    return " ".join(w if k % 6 else "changed" for k, w in enumerate(ITEM.split()))
+
+
+def test_an_edited_copy_that_is_the_only_leak_is_found(spark):
+    docs = spark.createDataFrame([(1, f"intro {edited_item()} outro"), (2, "nothing of it here")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert [r.doc_id for r in decontaminate.contaminated(docs, items).collect()] == [1]
+    assert [r.doc_id for r in decontaminate.without_contaminated(docs, items).collect()] == [2]
+
+
+def test_many_edited_copies_beside_an_exact_one_are_found(spark):
+    rows = [(k, f"intro {k} {edited_item()}") for k in range(30)] + [(30, f"intro {ITEM}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.contaminated(docs, items).collect()} == set(range(31))
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_no_stretch_that_reaches_the_least_score_is_passed_over(seed):
+    draw = np.random.default_rng(seed)
+    item = draw.integers(0, 40, 24).astype(np.uint64)
+    text = np.concatenate([draw.integers(0, 60, 80), np.where(draw.random(24) < 0.3, 99, item), draw.integers(0, 60, 80)])
+    reached = decontaminate.align(item, text.astype(np.uint64))[0] >= decontaminate.LEAST_SCORE * decontaminate.MATCH * 24
+    assert not reached or decontaminate._may_reach(item, text.astype(np.uint64))
+
+
 def test_long_items_are_aligned_in_segments(spark):
     words = [f"t{k}" for k in range(1500)]
     docs = spark.createDataFrame([(1, " ".join(["x"] * 50 + words[600:1100] + ["y"] * 50))], "doc_id long, text string")

@@ -1,16 +1,16 @@
-"""Benchmark decontamination: rare n-grams of test items seed local alignments with training texts.
+"""Benchmark decontamination: n-grams that a training text shares with a test item seed local alignments of the two.
 
-An item's seeds are its n-grams that few training texts have, compared with its other n-grams; at least half of
-them are seeds, however often an item has leaked. A training text with a seed is aligned around it with the item by
-Smith-Waterman on words, so that copies with words replaced, left out or put in still score.
+Every shared n-gram is a seed, however many texts have it, so an edited copy is found whether it is the only leak of
+its item or one of a large group. A training text with a seed is aligned around it with the item by Smith-Waterman on
+words, so that copies with words replaced, left out or put in still score. Stretches of a text that hold too few
+of the item's words to reach the least score are passed over without an alignment.
 
-Texts are read where they lie: the first pass counts the n-grams of the items, the second aligns. Nothing but those
-counts is shuffled. Items are taken in parts of bounded size.
+Texts are read once, where they lie, and nothing is shuffled. Items are taken in parts of bounded size.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,8 +23,6 @@ from pyspark.sql import types as T
 from . import common
 
 WIDTH = 4
-# A seed is in at most so many times the texts that the item's median n-gram is in.
-RARE = 4
 # Long items are aligned in segments of so many words.
 SEGMENT = 256
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -57,9 +55,6 @@ class Items:
         hit = low < high
         return at[hit], low[hit], high[hit]
 
-    def only(self, keep: np.ndarray) -> Items:
-        return Items(self.names, self.segments, self.grams[keep], self.segment[keep], self.place[keep])
-
 
 def index(names: list, texts: list[str]) -> Items:
     """Items as segments; those of fewer than ``WIDTH`` words have no n-gram and match nothing."""
@@ -79,13 +74,6 @@ def index(names: list, texts: list[str]) -> Items:
     return Items(owner, segments, flat[order], segment[order], place[order])
 
 
-def rare(items: Items, texts_with: dict[int, int]) -> Items:
-    """The index of the seeds alone. ``texts_with``: number of training texts of an n-gram (as signed 64 bits)."""
-    counts = np.array([texts_with.get(g, 0) for g in items.grams.view(np.int64).tolist()])
-    median = np.array([np.median(counts[items.segment == s]) for s in range(len(items.segments))])
-    return items.only(counts <= RARE * median[items.segment]) if len(counts) else items
-
-
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """Best local alignment score and the end of its stretch in ``text``."""
     ramp = -GAP * np.arange(len(text) + 1)
@@ -114,6 +102,18 @@ def _windows(hits: list[tuple[int, int]], length: int, n_words: int) -> list[tup
     return out
 
 
+def _may_reach(item: np.ndarray, text: np.ndarray) -> bool:
+    """Whether ``text`` has as many of the item's words, near enough, as the least score takes."""
+    least = LEAST_SCORE * len(item)
+    met = np.isin(text, item)
+    if np.isin(item, text[met]).sum() < least:
+        return False
+    # Each word that an alignment passes over costs one, so one of the least score is in at most so many words.
+    span = len(item) + math.ceil((1 - LEAST_SCORE) * MATCH * len(item))
+    sums = np.concatenate([[0], np.cumsum(met)])
+    return len(text) <= span or (sums[span:] - sums[:-span]).max() >= least
+
+
 def matches(words: np.ndarray, seeds: Items) -> list[tuple]:
     """(item, score, start, end, seeds) of each item that a text has a copy of: its best segment and stretch."""
     at, low, high = seeds.places(common.shingle_hashes(words, WIDTH))
@@ -125,6 +125,8 @@ def matches(words: np.ndarray, seeds: Items) -> list[tuple]:
     for segment, found in hits.items():
         item = seeds.segments[segment]
         for start, end in _windows(found, len(item), len(words)):
+            if not _may_reach(item, words[start:end]):
+                continue
             score, stop = align(item, words[start:end])
             share = score / (MATCH * len(item))
             name = seeds.names[segment]
@@ -146,24 +148,6 @@ def _parts(items: DataFrame, id_col: str, text_col: str) -> Iterator[Items]:
             yield indexed
 
 
-def _texts_with(docs: DataFrame, text_col: str, items: Items) -> dict[int, int]:
-    """How many texts have each n-gram of the items."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[int] = Counter()
-        for batch in batches:
-            for words in _words(batch.column(0)):
-                grams = common.shingle_hashes(words, WIDTH)
-                counts.update(np.unique(grams[shared.value.places(grams)[0]]).view(np.int64).tolist())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["gram", "n"]
-        )
-
-    found = docs.select(text_col).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {r["gram"]: r["n"] for r in found.collect()}  # at most a row for each n-gram of the part
-
-
 def _words(texts: pa.Array) -> Iterator[np.ndarray]:
     for _, group in common.texts_in_groups(texts):
         words, starts = common.word_hashes(group, marks_part=True)
@@ -171,11 +155,6 @@ def _words(texts: pa.Array) -> Iterator[np.ndarray]:
             yield words[a:b]
 
 
-def _seeds(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str) -> Iterator[Items]:
-    for items in _parts(benchmark, item_col, item_text_col):
-        yield rare(items, _texts_with(docs, text_col, items))
-
-
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -201,7 +180,7 @@ def contaminated(
     )
     context = docs.sparkSession.sparkContext
     result = docs.sparkSession.createDataFrame([], out)
-    for seeds in _seeds(docs, benchmark, text_col, item_col, item_text_col):
+    for seeds in _parts(benchmark, item_col, item_text_col):
         shared = context.broadcast(seeds)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -230,7 +209,7 @@ def without_contaminated(
     """The rows of ``docs`` that hold a copy of no item, with all their columns; rows without text stay."""
     context = docs.sparkSession.sparkContext
     place = docs.columns.index(text_col)
-    for seeds in list(_seeds(docs, benchmark, text_col, item_col, item_text_col)):
+    for seeds in list(_parts(benchmark, item_col, item_text_col)):
         shared = context.broadcast(seeds)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
