@@ -36,6 +36,24 @@ def test_group_of_copies_around_the_limit(spark):
     check(docs, near_dedup.near_duplicates(docs))
 
 
+def test_a_link_between_two_of_three_versions_with_the_smallest_as_hub(spark):
+    """Every band that the linked two share also holds the smallest, which is linked with neither and is the hub."""
+    seed = 58411
+    draw = random.Random(seed)
+    texts = []
+    for version in range(3):
+        words = [f"w{i}" for i in range(100)]
+        for i in draw.sample(range(100), 2):
+            words[i] = f"{version}x{i}x{seed}"
+        texts.append(" ".join(f"{w}s{seed}" for w in words))
+    sets = [near_dedup.shingle_set(common.word_hashes([t])[0]) for t in texts]
+    a, b, c = near_dedup.registers(sets).view("<u8")
+    assert ((b == c) & (a == b)).any() and not ((b == c) & (a != b)).any()
+    assert near_dedup.alike(sets[1], sets[2]) and not any(near_dedup.alike(sets[0], s) for s in sets[1:])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(docs, near_dedup.near_duplicates(docs))
+
+
 def test_short_texts(spark):
     draw = random.Random(6)
     texts = [" ".join(draw.choice("abc") for _ in range(draw.randrange(12))) for _ in range(250)]

@@ -6,7 +6,7 @@ function sees the whole set (the k-function form), so a short document leaves no
 compressed registers propose candidates, a collision-corrected estimate sifts them, and the sets decide.
 
 Equal sets are one node. A bucket of n nodes proposes each node with the bucket's hub, its most central node, and with
-its smallest node, about 2n pairs. Where that leaves more than one class in a bucket of four or more, a join on the
+its smallest node, about 2n pairs; one of three nodes proposes all three pairs. Where that leaves more than one class in a bucket of four or more, a join on the
 rarest shingles of the sets concerned finds the rest exactly. No group's pairs are ever listed.
 """
 
@@ -241,12 +241,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "near-nodes",
     )
     bands = _bands(nodes)
-    counts = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lo")).filter("n > 1")
+    ends = F.min("node").alias("lo"), F.max("node").alias("hi")
+    counts = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *ends).filter("n > 1")
     members = common.stage(bands.join(counts, "bucket"), "near-members")
     # a node amid its group shares large buckets with it: the most central one of a bucket is its hub
     central = members.groupBy("node").agg(F.sum("n").alias("met"))
     hub = members.join(central, "node").groupBy("bucket").agg(F.max_by("node", F.struct("met", "node")).alias("hub"))
-    hubs = members.join(hub, "bucket").select("node", F.explode(F.array("hub", "lo")).alias("hub"))
+    # of three nodes the hub may be the smallest: with the largest as well all pairs are proposed
+    partners = F.when(F.col("n") == 3, F.array("hub", "lo", "hi")).otherwise(F.array("hub", "lo"))
+    hubs = members.join(hub, "bucket").select("node", F.explode(partners).alias("hub"))
     hubs = hubs.filter("node <> hub")
     pairs = hubs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
     links = _verified(_likely(pairs, nodes), docs, id_col, text_col, "near")
