@@ -17,6 +17,13 @@ def tokenizer():
     return found
 
 
+@pytest.fixture(scope="module")
+def unchanged():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(queries.tokenizer_path())
+
+
 @pytest.fixture(scope="module")
 def encoder():
     return packing.load_encoder(queries.tokenizer_path())
@@ -67,6 +74,23 @@ def test_special_strings_are_text(encoder, tokenizer):
     assert encoder.encode_to_numpy(text, disallowed_special=()).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+ADDED = ["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|> <|endoftext|>\n<|endoftext|><|endoftext|>.", "<|endoftext|"]
+
+
+def test_added_tokens_in_texts_equal_the_unchanged_library(spark, unchanged):
+    docs = spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string")
+    for r in packing.packed(docs, queries.tokenizer_path()).collect():
+        want = [*unchanged.encode(ADDED[r.doc_id], add_special_tokens=False).ids, packing.END_ID]
+        assert np.frombuffer(r.ids, "<u4").tolist() == want and r.doc_tokens == len(want)
+
+
+@settings(max_examples=150, deadline=None)
+@given(parts=st.lists(st.text(max_size=20), min_size=1, max_size=4))
+def test_ids_around_added_tokens_equal_the_unchanged_library(encoder, unchanged, parts):
+    text = "<|endoftext|>".join(parts)
+    assert packing.ids_of(encoder, text).tolist() == unchanged.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 2047), max_size=40))
 def test_pack_needs_no_more_sequences_than_tokens(lengths):

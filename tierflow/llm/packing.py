@@ -5,8 +5,8 @@ piece is quadratic. Pieces go, longest first, to the cheapest sequence that has
 task: a task gathers a block of about ``BLOCK_TOKENS`` tokens, packs it and goes on, so nothing is shuffled
 and memory is bounded; a block leaves less than one sequence of padding.
 
-Ids equal those of the ``tokenizers`` library for the vocabulary file. They are made by `tiktoken` from the
-ranks of that file, which takes a quarter of the time.
+Ids equal those of the ``tokenizers`` library for the vocabulary file, added tokens such as ``<|endoftext|>`` in a text
+included. They are made by `tiktoken` from the ranks of that file, which takes a quarter of the time.
 """
 
 from __future__ import annotations
@@ -76,16 +76,34 @@ def load_ranks(path: str) -> dict[bytes, int]:
     return {bytes(byte_of[c] for c in piece): i for piece, i in vocabulary.items() if set(piece) <= byte_of.keys()}
 
 
-def encoder_of(ranks: dict[bytes, int]):
-    """An encoder for such pieces; special strings are plain text."""
+def load_added(path: str) -> dict[str, int]:
+    """The added tokens of a ``tokenizers`` file, which it finds in a text before any other piece, with their ids."""
+    tokens = json.load(open(path, encoding="utf-8")).get("added_tokens") or []
+    for token in tokens:
+        if any(token.get(flag) for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"added token with conditions on its neighbours: {token['content']!r}")
+    added = {token["content"]: token["id"] for token in tokens}
+    for a in added:
+        if any(b != a and b.startswith(a) for b in added):
+            raise ValueError(f"added token that another begins with: {a!r}")
+    return added
+
+
+def encoder_of(ranks: dict[bytes, int], added: dict[str, int] | None = None):
+    """An encoder for such pieces; its ``encode`` takes added tokens as such where they are allowed."""
     import public_tokenizers
     import tiktoken
 
-    return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added or {})
 
 
 def load_encoder(path: str):
-    return encoder_of(load_ranks(path))
+    return encoder_of(load_ranks(path), load_added(path))
+
+
+def ids_of(encoder, text: str) -> np.ndarray:
+    """The text's ids, with the encoder's added tokens wherever they stand in it."""
+    return encoder.encode_to_numpy(text, allowed_special="all", disallowed_special=())
 
 
 def packed(
@@ -98,7 +116,7 @@ def packed(
 ) -> DataFrame:
     """Pieces of all documents in sequences: ``id_col, start, length, ids, doc_tokens, sequence_id, offset``.
 
-    A document's ids are those of its whole text and then ``end_id``; a null text counts as empty, so it
+    A document's ids are those of its whole text, with the file's added tokens where they stand in it, and then ``end_id``; a null text counts as empty, so it
     gives that one id. Documents longer than a sequence fill sequences of their own first. ``ids`` is
     binary, little-endian unsigned 32-bit. ``sequence_id`` is unique; its high bits are the task. Repeated rows are
     packed one by one; null ids are kept; other columns are not looked at; an empty table gives an empty result.
@@ -117,10 +135,10 @@ def packed(
         ]
     )
 
-    ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(tokenizer_path))
+    ranks = docs.sparkSession.sparkContext.broadcast((load_ranks(tokenizer_path), load_added(tokenizer_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(ranks.value)
+        encoder = encoder_of(*ranks.value)
         next_id = TaskContext.get().partitionId() << 40
         schema = None
 
@@ -149,7 +167,7 @@ def packed(
                 kinds = [batch.schema.field(0).type, long, long, binary, long, long, long]
                 schema = pa.schema([pa.field(f.name, k) for f, k in zip(out, kinds)])
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                tokens = encoder.encode_to_numpy(text.as_py() or "", disallowed_special=())
+                tokens = ids_of(encoder, text.as_py() or "")
                 tokens = np.append(tokens, np.uint32(end_id)).astype("<u4")
                 doc = len(names)
                 names.append(name)
