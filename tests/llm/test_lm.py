@@ -152,6 +152,31 @@ def test_words_have_their_ids():
     assert [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])][:9] == encoded
 
 
+@pytest.mark.parametrize("parts", [1, 40])
+def test_every_window_trains_however_the_texts_are_dealt(spark, docs, fitted, parts):
+    model = fitted[0]
+    texts = docs.limit(60).select("text").repartition(parts)
+    keeper = lm.Words(packing.load_ranks(PATH))
+    sizes = [len(keeper.token_ids(keeper.take([r.text])[0])[0]) + 1 for r in texts.collect()]
+    ranks = spark.sparkContext.broadcast(packing.load_ranks(PATH))
+    start = lm._first_weights()
+    weights, steps, windows = lm._trained(texts, ranks, model.classes, model.scorer.bigrams, start)
+    assert windows == sum(-(-n // lm.WINDOW) for n in sizes) and steps >= windows / lm.BATCH
+    assert any((weights[name] != start[name]).any() for name in start)
+
+
+def test_classes_come_from_all_training_texts(docs, fitted, monkeypatch):
+    keeper = lm.Words(packing.load_ranks(PATH))
+    counts = np.zeros(len(keeper.begins), np.int64)
+    for r in docs.filter(~lm.held_out()).collect():
+        counts += np.bincount(keeper.token_ids(keeper.take([r.text or ""])[0])[0], minlength=len(counts))
+    monkeypatch.setattr(lm, "FIRST_WINDOWS", 20)
+    monkeypatch.setattr(lm, "FIRST_STEPS", 5)
+    model, _ = lm.fit(docs, PATH)
+    want = lm.class_table(np.arange(len(counts)), counts, len(counts))
+    assert (model.classes == want).all() and (fitted[0].classes == want).all()
+
+
 def test_edge_cases(edge_docs, no_docs):
     model, rest = lm.fit(edge_docs, PATH)
     rows = lm.score(edge_docs, model, rest, PATH).collect()

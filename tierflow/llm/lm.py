@@ -7,9 +7,10 @@ self-attention on top of the corpus's class bigrams; the id given its class come
 A word's probability is the mean of two: the product over its ids, and the attention's probability of its first id
 times the word's share of the training words with that first id.
 
-A first pass over the training texts counts words, ids and class bigrams, and trains the attention: each task takes
-a share of its own windows, starting from one model, and the mean of the tasks' models is the result. A second pass
-scores every text in overlapping windows, each token once. Word counts beyond a bounded table are joined.
+Three passes over the training texts: the first counts words and ids, which give the classes; the second counts class
+bigrams; the third trains the attention on every window, where each task starts from one model, fitted to a bounded draw
+of windows, and the mean of the tasks' models is the result. A last pass scores every text in overlapping
+windows, each token once. Word counts beyond a bounded table are joined.
 """
 
 from __future__ import annotations
@@ -38,11 +39,10 @@ SHARED = 64
 WINDOW = 48
 SCORED = 32
 WIDTH = 16
-# The bounded first fit: windows and steps. Then each task trains on this share of its windows.
+# The bounded first fit, from which every task starts: windows and steps.
 FIRST_WINDOWS = 10_000
 FIRST_STEPS = 800
 BATCH = 96
-SHARE = 1 / 16
 RATE = 1e-2
 # The table of word counts that travels to every task has at most so many words.
 MOST_BROADCAST_WORDS = 1_000_000
@@ -54,7 +54,7 @@ PRODUCT_SHARE = 0.5
 END_WORD = -1  # key of the end token among word hashes
 _FIXED_POINT = 1 << 24
 # Kinds of counted keys.
-WORD, ID, FIRST, BIGRAM, WEIGHT, TRAINED = range(6)
+WORD, ID, FIRST, BIGRAM, WEIGHT, TRAINED, WINDOWS = range(7)
 
 
 # ---- attention model ----------------------------------------------------------------------------------------
@@ -214,15 +214,11 @@ class Trainer:
 
 def training_windows(classes: np.ndarray) -> np.ndarray:
     """A text's classes, the end included, as windows of ``WINDOW`` with the predecessor of each; -1 fills up."""
-    return np.stack([one_window(classes, n) for n in range(-(-len(classes) // WINDOW))])
-
-
-def one_window(classes: np.ndarray, n: int) -> np.ndarray:
-    out = np.full(WINDOW + 1, -1, np.int64)
-    out[0] = classes[n * WINDOW - 1] if n else 0  # a text follows the end of another
-    part = classes[n * WINDOW : (n + 1) * WINDOW]
-    out[1 : len(part) + 1] = part
-    return out
+    count = -(-len(classes) // WINDOW)
+    rows = np.full(count * WINDOW, -1, np.int64)
+    rows[: len(classes)] = classes
+    before = np.concatenate([[0], classes[WINDOW - 1 :: WINDOW]])[:count]  # a text follows the end of another
+    return np.column_stack([before, rows.reshape(count, WINDOW)])
 
 
 @dataclass
@@ -400,8 +396,8 @@ class Model:
         return top + np.log10(1 + 10 ** (low - top))
 
 
-def _first_fit(texts: DataFrame, ranks: Broadcast) -> tuple[np.ndarray, dict, Bigrams]:
-    """Classes, attention weights and bigrams from about ``FIRST_WINDOWS`` windows drawn from all texts."""
+def _first_fit(texts: DataFrame, ranks: Broadcast, classes: np.ndarray, bigrams: Bigrams) -> dict:
+    """Attention weights to start from, by about ``FIRST_WINDOWS`` windows drawn from all texts."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chance = min(1.0, FIRST_WINDOWS * 3 * WINDOW / max(1, size))  # a token is about three bytes
 
@@ -426,15 +422,8 @@ def _first_fit(texts: DataFrame, ranks: Broadcast) -> tuple[np.ndarray, dict, Bi
     mark = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).alias("mark")
     found = texts.select(mark, "text").mapInArrow(draw, "ids array<int>, ended boolean").toArrow()
     drawn = sorted(zip(found["ids"].to_pylist(), found["ended"].to_pylist()))
-    size = max(ranks.value.values()) + 1
-    ids, counts = np.unique(np.array([i for row, _ in drawn for i in row], np.int64), return_counts=True)
-    classes = class_table(ids, counts, size)
     ends = [np.zeros(int(ended), np.int64) for _, ended in drawn]
     rows = [np.concatenate([classes[np.array(row, np.int64)], end]) for (row, _), end in zip(drawn, ends)]
-    table = np.zeros((CLASSES, CLASSES))
-    for row in rows:
-        np.add.at(table, (np.insert(row, 0, 0)[:-1], row), 1)
-    bigrams = Bigrams.of(table, slots_of(table))
     trainer = Trainer(_first_weights(), bigrams)
     windows = [training_windows(row) for row in rows if len(row)]
     if windows:
@@ -444,7 +433,7 @@ def _first_fit(texts: DataFrame, ranks: Broadcast) -> tuple[np.ndarray, dict, Bi
         for step in range(steps):
             trainer.rate = RATE * min(1, (step + 1) / 50) * (1 - step / steps)
             trainer.train(windows[draw_rows.integers(0, len(windows), BATCH)])
-    return classes, trainer.weights, bigrams
+    return trainer.weights
 
 
 def _pack_weights(weights: dict[str, np.ndarray]) -> np.ndarray:
@@ -461,32 +450,32 @@ def _unpack_weights(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _counted(texts: DataFrame, ranks: Broadcast, first: tuple) -> DataFrame:
-    """(kind, key, n): counts of words, ids and class bigrams, and the sum of the tasks' weights."""
-    shared = texts.sparkSession.sparkContext.broadcast(first)
+def _rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    full = n != 0
+    keys, n = keys[full], n[full]
+    kinds = pa.array(np.full(len(keys), kind, np.int32))
+    return pa.RecordBatch.from_arrays(
+        [kinds, pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], names=["kind", "key", "n"]
+    )
+
+
+def _summed(texts: DataFrame, run) -> DataFrame:
+    found = texts.select("text").mapInArrow(run, "kind int, key long, n long")
+    return found.groupBy("kind", "key").agg(F.sum("n").alias("n")).filter("n <> 0")
+
+
+def _counted(texts: DataFrame, ranks: Broadcast) -> DataFrame:
+    """(kind, key, n): counts of words, of ids and of the words that begin with an id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, weights, bigrams = shared.value
         words = Words(ranks.value)
-        trainer = Trainer(dict(weights), bigrams, rate=RATE / 10)
-        ids_seen, firsts_seen = np.zeros((2, len(classes)), np.int64)
-        pairs = np.zeros(CLASSES * CLASSES, np.int64)
+        ids_seen, firsts_seen = np.zeros((2, len(words.begins)), np.int64)
         seen = np.zeros(0, np.int64)
-        ends = windows_seen = 0
-        waiting: list[np.ndarray] = []
-
-        def rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            full = n != 0
-            keys, n = keys[full], n[full]
-            kinds = pa.array(np.full(len(keys), kind, np.int32))
-            return pa.RecordBatch.from_arrays(
-                [kinds, pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], names=["kind", "key", "n"]
-            )
-
+        ends = 0
         for batch in batches:
             for _, texts in common.texts_in_groups(batch.column(0)):
                 if len(words.numbers) > MOST_REMEMBERED:
-                    yield rows(WORD, words.hashes.view(np.int64), seen)
+                    yield _rows(WORD, words.hashes.view(np.int64), seen)
                     words.clear()
                     seen = np.zeros(0, np.int64)
                 numbers, starts = words.take(texts)
@@ -497,34 +486,81 @@ def _counted(texts: DataFrame, ranks: Broadcast, first: tuple) -> DataFrame:
                 ids, word_starts = words.token_ids(numbers)
                 ids_seen += np.bincount(ids, minlength=len(ids_seen))
                 firsts_seen += np.bincount(ids[word_starts[:-1]], minlength=len(ids_seen))
-                kinds = classes[ids].astype(np.int64)
-                cuts = word_starts[starts]
-                stream = np.insert(kinds, cuts[1:], 0)  # with the ends
-                before = np.concatenate([[0], stream[:-1]])
-                pairs += np.bincount(before * CLASSES + stream, minlength=len(pairs))
-                bounds = cuts + np.arange(len(cuts))
-                counts = -(-np.diff(bounds) // WINDOW)
-                every = round(1 / SHARE)
-                first_picks = (-windows_seen - np.cumsum(counts) + counts) % every
-                windows_seen += int(counts.sum())
-                for text in np.flatnonzero(first_picks < counts):
-                    a, b = bounds[text], bounds[text + 1]
-                    for pick in range(first_picks[text], counts[text], every):
-                        waiting.append(one_window(stream[a:b], pick))
-                while len(waiting) >= BATCH:
-                    trainer.train(np.stack(waiting[:BATCH]))
-                    waiting = waiting[BATCH:]
-        yield rows(WORD, words.hashes.view(np.int64), seen)
-        yield rows(WORD, np.array([END_WORD]), np.array([ends]))
-        yield rows(ID, np.arange(len(ids_seen)), ids_seen)
-        yield rows(FIRST, np.arange(len(firsts_seen)), firsts_seen)
-        yield rows(BIGRAM, np.arange(len(pairs)), pairs)
+        yield _rows(WORD, words.hashes.view(np.int64), seen)
+        yield _rows(WORD, np.array([END_WORD]), np.array([ends]))
+        yield _rows(ID, np.arange(len(ids_seen)), ids_seen)
+        yield _rows(FIRST, np.arange(len(firsts_seen)), firsts_seen)
+
+    return _summed(texts, run)
+
+
+def _streams(
+    batches: Iterator[pa.RecordBatch], ranks: dict[bytes, int], classes: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The classes of a group of texts in a row, each text with its end, and where the texts begin and end."""
+    words = Words(ranks)
+    for batch in batches:
+        for _, texts in common.texts_in_groups(batch.column(0)):
+            if len(words.numbers) > MOST_REMEMBERED:
+                words.clear()
+            numbers, starts = words.take(texts)
+            ids, word_starts = words.token_ids(numbers)
+            cuts = word_starts[starts]
+            yield np.insert(classes[ids].astype(np.int64), cuts[1:], 0), cuts + np.arange(len(cuts))
+
+
+def _bigrams(texts: DataFrame, ranks: Broadcast, classes: np.ndarray) -> Bigrams:
+    """The class bigrams of all texts."""
+    shared = texts.sparkSession.sparkContext.broadcast(classes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = np.zeros(CLASSES * CLASSES, np.int64)
+        for stream, _ in _streams(batches, ranks.value, shared.value):
+            before = np.concatenate([[0], stream[:-1]])
+            pairs += np.bincount(before * CLASSES + stream, minlength=len(pairs))
+        yield _rows(BIGRAM, np.arange(len(pairs)), pairs)
+
+    found = _summed(texts, run).toArrow()  # bounded by the number of classes
+    table = np.zeros(CLASSES * CLASSES)
+    table[found["key"].to_numpy()] = found["n"].to_numpy()
+    table = table.reshape(CLASSES, CLASSES)
+    return Bigrams.of(table, slots_of(table))
+
+
+def _trained(
+    texts: DataFrame, ranks: Broadcast, classes: np.ndarray, bigrams: Bigrams, weights: dict
+) -> tuple[dict, int, int]:
+    """Weights after training on every window of all texts, the steps of all tasks, and their windows."""
+    shared = texts.sparkSession.sparkContext.broadcast((classes, bigrams, weights))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, bigrams, weights = shared.value
+        trainer = Trainer(dict(weights), bigrams, rate=RATE / 10)
+        waiting = np.empty((0, WINDOW + 1), np.int64)
+        windows = 0
+        for stream, bounds in _streams(batches, ranks.value, classes):
+            waiting = np.concatenate([waiting, *(training_windows(stream[a:b]) for a, b in zip(bounds, bounds[1:]))])
+            whole = len(waiting) // BATCH * BATCH
+            for at in range(0, whole, BATCH):
+                trainer.train(waiting[at : at + BATCH])
+            windows += whole
+            waiting = waiting[whole:]
+        if len(waiting):
+            trainer.train(waiting)
+            windows += len(waiting)
         flat = np.rint(_pack_weights(trainer.weights).astype(float) * _FIXED_POINT).astype(np.int64) * trainer.step
-        yield rows(TRAINED, np.arange(len(flat)), flat)
-        yield rows(WEIGHT, np.array([0]), np.array([trainer.step]))
+        yield _rows(TRAINED, np.arange(len(flat)), flat)
+        yield _rows(WEIGHT, np.array([0]), np.array([trainer.step]))
+        yield _rows(WINDOWS, np.array([0]), np.array([windows]))
 
-    found = texts.select("text").mapInArrow(run, "kind int, key long, n long")
-    return found.groupBy("kind", "key").agg(F.sum("n").alias("n")).filter("n <> 0")
+    found = _summed(texts, run).toArrow()  # bounded by the number of weights
+    kinds, keys, n = (found[c].to_numpy() for c in ("kind", "key", "n"))
+    steps, windows = (int(n[kinds == kind].sum()) for kind in (WEIGHT, WINDOWS))
+    if steps:
+        flat = np.zeros(len(_pack_weights(weights)))
+        flat[keys[kinds == TRAINED]] = n[kinds == TRAINED]
+        weights = _unpack_weights(flat / _FIXED_POINT / steps)
+    return weights, steps, windows
 
 
 def fit(
@@ -533,9 +569,7 @@ def fit(
     """The model, and the table (word, n) of the counts that are not in it; learns from rows not held out."""
     texts = docs.filter(~held_out(id_col)).select(common.whole_text(text_col).alias("text"))
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(tokenizer_path))
-    first = _first_fit(texts, ranks)
-    classes, weights, bigrams = first
-    counted = common.stage(_counted(texts, ranks, first), "lm-counts")
+    counted = common.stage(_counted(texts, ranks), "lm-counts")
     words = counted.filter(F.col("kind") == WORD).select(F.col("key").alias("word"), "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     ends = words.filter(F.col("word") == END_WORD).first()
@@ -549,7 +583,7 @@ def fit(
     kept = words.filter(F.col("n") >= least) if least is not None else words.limit(0)
     frequent = kept.toArrow().sort_by("word")
     rest = words.filter(F.col("n") < least) if least is not None else words
-    # bounded by the numbers of ids, classes and weights
+    # bounded by the number of ids
     others = counted.filter(F.col("kind") != WORD).toArrow()
     kinds, keys, n = (others[c].to_numpy() for c in ("kind", "key", "n"))
 
@@ -558,15 +592,15 @@ def fit(
         out[keys[kinds == kind]] = n[kinds == kind]
         return out
 
-    firsts = filled(FIRST, len(classes))
-    table = filled(BIGRAM, CLASSES * CLASSES)
-    per_id = filled(ID, len(classes)) + 0.5
+    size = max(ranks.value.values()) + 1
+    firsts, per_id = filled(FIRST, size), filled(ID, size)
+    classes = class_table(np.arange(size), per_id, size)
+    per_id += 0.5
     within = np.log10(per_id / np.bincount(classes, per_id, minlength=CLASSES)[classes])
-    steps = int(filled(WEIGHT, 1)[0])
-    if steps:
-        weights = _unpack_weights(filled(TRAINED, len(_pack_weights(weights))) / _FIXED_POINT / steps)
+    bigrams = _bigrams(texts, ranks, classes)
+    weights, _, _ = _trained(texts, ranks, classes, bigrams, _first_fit(texts, ranks, classes, bigrams))
     model = Model(
-        Scorer(weights, Bigrams.of(table.reshape(CLASSES, CLASSES), bigrams.slots)),
+        Scorer(weights, bigrams),
         classes,
         within,
         int(total),
