@@ -53,6 +53,24 @@ def test_edited_notices(spark):
     assert of[1].contained == 1.0 and of[2].contained < 1.0 and of[5].license == "all-rights-reserved"
 
 
+def test_whole_and_edited_license_texts(spark):
+    def edited(name):
+        return " ".join(w if k % 20 else "changed" for k, w in enumerate(licenses.TEMPLATES[name].split()))
+
+    names = ["mit-text", "bsd-2-clause-text", "bsd-3-clause-text", "isc-text", "unlicense-text", "apache-2.0-text"]
+    names += ["apache-2.0-header", "gpl-3.0-header", "agpl-3.0-header", "gpl-3.0-text", "lgpl-2.1-text", "mpl-2.0-text"]
+    filler = "some words of another kind " * 150
+    texts = {k: f"{filler}{licenses.TEMPLATES[n]} {filler}" for k, n in enumerate(names)}
+    texts |= {100 + k: f"{filler}{edited(n)} {filler}" for k, n in enumerate(names)}
+    texts[200] = licenses.TEMPLATES["gpl-3.0-text"][: len(licenses.TEMPLATES["gpl-3.0-text"]) // 2]
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(8)
+    found = {(r.doc_id, r.license): r.contained for r in licenses.license_matches(docs).collect()}
+    for k, name in enumerate(names):
+        assert found[k, name] == 1.0 and 0.75 <= found[100 + k, name] < 1.0
+    assert (200, "gpl-3.0-text") not in found
+    assert found.keys() == plain(texts, licenses.TEMPLATES)
+
+
 def test_band_settings_reach_the_chance_that_is_asked_for():
     for shortest, longest in ((3, 3), (5, 7), (17, 21), (100, 140)):
         w = licenses.Windows(shortest, longest)

@@ -4,7 +4,8 @@ Built-in expressions only. Shingles are pairs of neighbouring words. Templates f
 class has its own windows: an occurrence lies wholly in at least one of them, and the window is little longer, so
 its Jaccard similarity with the template is at least ``least_jaccard``. The number of bands follows from that and
 ``MOST_MISSED``. A window that holds a template also holds most of the shingles that are minima of the template, so
-only windows with as many minima get a signature.
+only windows with as many minima get a signature. Where a template has too few minima for that to tell, as a long one
+has, all of its shingles stand for them.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +31,7 @@ STRIDE_PARTS = 8
 # Templates are taken in parts of so many, which bounds what is broadcast.
 PART = 500
 
-# Notices by their usual short names.
+# Notices by their usual short names, and the standard texts and file headers of ``license_texts``.
 TEMPLATES = {
     "all-rights-reserved": "All rights reserved",
     "apache-2.0": "Licensed under the Apache License, Version 2.0",
@@ -42,6 +44,22 @@ TEMPLATES = {
     "mit": "Released under the MIT License",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
 }
+_CREATIVE_COMMONS = {
+    "by": "Attribution",
+    "by-sa": "Attribution-ShareAlike",
+    "by-nd": "Attribution-NoDerivatives",
+    "by-nc": "Attribution-NonCommercial",
+    "by-nc-sa": "Attribution-NonCommercial-ShareAlike",
+    "by-nc-nd": "Attribution-NonCommercial-NoDerivatives",
+}
+TEMPLATES |= {
+    f"cc-{short}-4.0-notice": f"This work is licensed under a Creative Commons {name} 4.0 International License"
+    for short, name in _CREATIVE_COMMONS.items()
+}
+TEMPLATES |= {
+    f"{path.stem}-text".replace("-header-text", "-header"): path.read_text(encoding="utf-8")
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+}
 _PARTING = r"[\x20\x09-\x0D\p{Punct}]+"
 
 
@@ -142,14 +160,16 @@ def _scan(docs: DataFrame, templates: DataFrame, id_col: str, text_col: str) ->
         order = F.transform("shingles", lambda s: F.struct(F.xxhash64(s, j).alias("h"), s.alias("s")))
         return F.array_min(order)["s"]
 
-    # Minima of each class's templates, and how many of them a window of the class holds at least if it holds a template.
+    # Minima (or all shingles) of each class's templates, and how many of them a window of the class holds at least if it holds a template.
     minima: list[set[int]] = [set() for _ in classes]
     needed = [10**9] * len(classes)
     of_each = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(size - 1)), least))
-    for r in known.select("kind", F.size("shingles").alias("n"), of_each.alias("least")).collect():
-        minima[r["kind"]].update(r["least"])
-        spare = r["n"] - math.ceil(LEAST_CONTAINED * r["n"])
-        needed[r["kind"]] = max(1, min(needed[r["kind"]], len(r["least"]) - spare))
+    for r in known.select("kind", "shingles", of_each.alias("least")).collect():
+        n = len(r["shingles"])
+        spare = n - math.ceil(LEAST_CONTAINED * n)
+        chosen = r["least"] if len(r["least"]) > 2 * spare else r["shingles"]
+        minima[r["kind"]].update(chosen)
+        needed[r["kind"]] = max(1, min(needed[r["kind"]], len(chosen) - spare))
     every = sorted(set().union(*minima))
 
     words = F.col("words")
