@@ -104,6 +104,29 @@ def test_pack_needs_no_more_sequences_than_tokens(lengths):
     assert {d: sum(n for _, n in p) for d, p in covered.items()} == dict(enumerate(lengths))
 
 
+def plain_pack(pieces, capacity):
+    """Every sequence is asked for room."""
+    sequences = [[] for _ in range(-(-sum(p[2] for p in pieces) // capacity))]
+    left = [[0.0, s, capacity] for s in range(len(sequences))]
+    for doc, start, length in sorted(pieces, key=lambda p: (-p[2], p[0])):
+        while length:
+            best = min([x for x in left if x[2] >= length] or [x for x in left if x[2]])
+            part = min(best[2], length)
+            sequences[best[1]].append((doc, start, part))
+            best[0] += packing.cost(part)
+            best[2] -= part
+            start, length = start + part, length - part
+    return sequences
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_a_piece_is_cut_only_where_no_sequence_has_room(seed):
+    draw = np.random.default_rng(seed)
+    lengths = np.minimum(draw.lognormal(4.5, 1.2, 600).astype(int) + 1, 2047).tolist()
+    pieces = [(i, 0, n) for i, n in enumerate(lengths)]
+    assert packing.pack(pieces) == plain_pack(pieces, packing.CAPACITY)
+
+
 def test_longest_go_to_the_cheapest():
     sequences = packing.pack([(0, 0, 1500), (1, 0, 1400), (2, 0, 600), (3, 0, 500)])
     assert sorted(sorted(p[0] for p in s) for s in sequences) == [[0, 3], [1, 2]]

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,6 @@ BLOCK_TOKENS = 1 << 20
 # Cost of a piece of n tokens: LINEAR * n + QUADRATIC * n * n.
 LINEAR = 1.0
 QUADRATIC = 1.0 / 1024
-# Sequences that are asked for room before a piece is cut.
-TRIES = 8
 
 Piece = tuple[int, int, int]  # document's place in the block, start, length
 
@@ -41,29 +39,52 @@ def cost(length: int) -> float:
 def pack(pieces: list[Piece], capacity: int = CAPACITY) -> list[list[Piece]]:
     """Pieces as sequences of at most ``capacity``; as few sequences as the tokens need.
 
-    Longest first; each goes to the cheapest sequence with room for it. Where none of the cheapest
-    ``TRIES`` has room, the piece is cut and fills them.
+    Longest first; each goes to the cheapest of all sequences with room for it. Where none has room, the piece is
+    cut and fills the cheapest.
     """
     total = sum(p[2] for p in pieces)
     sequences: list[list[Piece]] = [[] for _ in range(-(-total // capacity))]
-    heap = [(0.0, s, capacity) for s in range(len(sequences))]
-    heapify(heap)
+    # (cost, sequence) by the room left, and a tree with the cheapest of each range of rooms
+    by_room: list[list[tuple[float, int]]] = [[] for _ in range(capacity + 1)]
+    leaves = capacity + 1
+    none = (float("inf"), -1, 0)
+    tree = [none] * (2 * leaves)
+
+    def renew(room: int) -> None:
+        at = leaves + room
+        tree[at] = (*by_room[room][0], room) if by_room[room] else none
+        while at > 1:
+            at //= 2
+            tree[at] = min(tree[2 * at], tree[2 * at + 1])
+
+    def cheapest(room: int) -> tuple[float, int, int]:
+        best, low, high = none, leaves + room, 2 * leaves
+        while low < high:
+            if low % 2:
+                best = min(best, tree[low])
+                low += 1
+            if high % 2:
+                high -= 1
+                best = min(best, tree[high])
+            low, high = low // 2, high // 2
+        return best
+
+    by_room[capacity] = [(0.0, s) for s in range(len(sequences))]  # a heap as it is
+    if sequences:
+        renew(capacity)
     for doc, start, length in sorted(pieces, key=lambda p: (-p[2], p[0])):
         while length:
-            asked = []
-            while heap and len(asked) < TRIES:
-                asked.append(heappop(heap))
-                if asked[-1][2] >= length:
-                    asked[0], asked[-1] = asked[-1], asked[0]
-                    break
-            spent, s, room = asked[0]
+            spent, s, room = cheapest(length)
+            if s < 0:
+                spent, s, room = cheapest(1)
             part = min(room, length)
+            heappop(by_room[room])
+            renew(room)
             sequences[s].append((doc, start, part))
             start, length = start + part, length - part
             if room > part:
-                heappush(heap, (spent + cost(part), s, room - part))
-            for other in asked[1:]:
-                heappush(heap, other)
+                heappush(by_room[room - part], (spent + cost(part), s))
+                renew(room - part)
     return sequences
 
 
