@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, extraction, licenses, lm, near_dedup, packing, secrets, sharding, toxicity
+from . import (
+    decontaminate,
+    exact_dedup,
+    extraction,
+    licenses,
+    lm,
+    merkle,
+    near_dedup,
+    packing,
+    secrets,
+    sharding,
+    toxicity,
+)
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +116,89 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model, rest = lm.fit(docs, tokenizer_path())
     return lm.score(docs, model, rest, tokenizer_path())
+
+
+MANIFEST_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, and what follows from them for rows of which a fifth were tampered with."""
+    docs = read_table(spark, sf_dir, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    others = [F.col(c) for c in MANIFEST_FIELDS if c != "text"]
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    offered = F.when(chosen, merkle.leaf_digest([*others, lowered]))
+    proofs = merkle.manifest(docs, MANIFEST_FIELDS, carry={"offered": offered})
+    folded = merkle.folded(F.coalesce("offered", "leaf"), F.col("path"))
+    return proofs.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.siblings_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _manifest_sql(levels: int = 6, top_levels: int = 4) -> str:
+    """The trees level by level, each level a grouping; enough for 16 ** levels rows a source, 16 ** top_levels sources."""
+    fields = {c: f"cast({c} as varchar)" for c in MANIFEST_FIELDS}
+
+    def leaf(values: dict[str, str]) -> str:
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values.values()) + ")"
+
+    # the polynomial of CRC-32, bit by bit, over the decimal digits
+    bit = "lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end"
+    digits = "list_transform(string_split(cast(doc_id as varchar), ''), lambda d: cast(ascii(d) as bigint))"
+    byte = f"lambda crc, d: list_reduce(cast(range(8) as bigint[]), {bit}, xor(crc, d))"
+    crc = f"xor(list_reduce({digits}, {byte}, cast(4294967295 as bigint)), 4294967295)"
+    lowered = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    parts = [
+        f"""rows as (
+        select doc_id, source, {leaf(fields)} as leaf,
+               case when {crc} % 5 = 0 then {leaf(fields | {"text": lowered})} else {leaf(fields)} end as offered
+        from documents)""",
+        """l0 as (
+        select *, leaf as node, offered as folded, '' as siblings,
+               row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as place,
+               row_number() over () as id
+        from rows)""",
+    ]
+
+    def level(name: str, before: str, group: str) -> str:
+        """One level up for every row: the nodes of its run, what is left and right of its own."""
+        return f"""{name}_nodes as (select distinct {group}, place, node from {before}),
+        {name}_runs as (
+        select {group} as g, place // 16 as run, list(node order by place) as nodes,
+               sum(count(*)) over (partition by {group}) as n
+        from {name}_nodes group by {group}, place // 16),
+        {name} as (
+        select b.* exclude (node, folded, siblings, place),
+               case when n = 1 then node else sha256(list_aggregate(nodes, 'string_agg', '')) end as node,
+               case when n = 1 then folded else sha256(
+                   coalesce(list_aggregate(nodes[1 : place % 16], 'string_agg', ''), '') || folded
+                   || coalesce(list_aggregate(nodes[place % 16 + 2 : 16], 'string_agg', ''), '')) end as folded,
+               case when n = 1 then siblings else siblings
+                   || coalesce(list_aggregate(nodes[1 : place % 16], 'string_agg', ''), '')
+                   || coalesce(list_aggregate(nodes[place % 16 + 2 : 16], 'string_agg', ''), '') end as siblings,
+               place // 16 as place
+        from {before} b join {name}_runs on g is not distinct from {group} and run = place // 16)"""
+
+    parts += [level(f"l{i + 1}", f"l{i}", "source") for i in range(levels)]
+    parts.append(
+        f"""t0 as (
+        select * exclude (place), node as subroot, 0 as one,
+               dense_rank() over (order by source nulls first) - 1 as place
+        from l{levels})"""
+    )
+    parts += [level(f"t{i + 1}", f"t{i}", "one") for i in range(top_levels)]
+    return f"""
+    with {", ".join(parts)}
+    select doc_id, leaf, subroot, node as root, sha256(siblings) as proof_sha256, folded as folded_root,
+           folded = node as verified
+    from t{top_levels}
+    """
+
+
+SQL["op12_merkle_manifest"] = _manifest_sql()
