@@ -17,6 +17,7 @@ from . import (
     merkle,
     near_dedup,
     packing,
+    search,
     secrets,
     sharding,
     toxicity,
@@ -202,3 +203,39 @@ def _manifest_sql(levels: int = 6, top_levels: int = 4) -> str:
 
 
 SQL["op12_merkle_manifest"] = _manifest_sql()
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def _terms_sql(table: str, key: str) -> str:
+    lowered = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    return f"select {key}, unnest(regexp_extract_all({lowered}, '{search.TERM}')) as term from {table}"
+
+
+SQL["op11_ranked_search"] = f"""
+    with numbered as (select row_number() over () as r, doc_id, text from documents),
+    terms as ({_terms_sql("numbered", "r, doc_id")}),
+    asked as (select distinct item_id, term from ({_terms_sql("benchmark", "item_id")}) z),
+    lengths as (select r, any_value(doc_id) as doc_id, count(*) as n from terms group by r),
+    totals as (select count(*) as docs, cast(sum(n) as bigint) as all_terms from lengths),
+    found as (select r, term, count(*) as tf from terms where term in (select term from asked) group by r, term),
+    weights as (
+        select term, cast(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) as bigint) as w
+        from found, totals group by term
+    ),
+    scored as (
+        select item_id, r, any_value(doc_id) as doc_id,
+               cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // all_terms)))) as bigint)
+               as score
+        from found join weights using (term) join asked using (term) join lengths using (r), totals
+        group by item_id, r
+    ),
+    ranked as (
+        select *, row_number() over (partition by item_id order by score desc, doc_id nulls last) as rank
+        from scored where score > 0
+    )
+    select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= 10
+"""
