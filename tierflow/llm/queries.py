@@ -16,6 +16,7 @@ from . import (
     lm,
     merkle,
     near_dedup,
+    nearest,
     packing,
     search,
     secrets,
@@ -239,3 +240,8 @@ SQL["op11_ranked_search"] = f"""
     )
     select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= 10
 """
+
+
+@query
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
