@@ -179,9 +179,11 @@ class _Model:
 
 
 def _fit(nodes: DataFrame, k: int) -> _Model | None:
-    largest = F.array_max(F.transform("vector", F.abs))
+    # the largest component in a projection of its own, not once more for each component
+    scaled = nodes.select("vector", F.array_max(F.transform("vector", F.abs)).alias("largest"))
+    largest = F.col("largest")
     squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + (x / largest) * (x / largest))
-    count, norm = nodes.agg(F.count(F.lit(1)), F.max(largest * F.sqrt(squares))).first()
+    count, norm = scaled.agg(F.count(F.lit(1)), F.max(largest * F.sqrt(squares))).first()
     if not count:
         return None
     every = -(-count // MOST_FITTED)
