@@ -102,6 +102,19 @@ def test_query_recall(spark, size):
     assert all(a[2] <= b[2] for a, b in zip(ranked, ranked[1:]) if a[0] == b[0])
 
 
+def test_components_keep_their_precision(spark, exact):
+    """Doubles that single precision would round are searched as they are."""
+    random = np.random.default_rng(9)
+    vectors = [(i, random.standard_normal(8).tolist()) for i in range(60)]
+    vectors += [(60, [1.0 + 1e-12, *[0.0] * 7]), (61, [1.0, *[0.0] * 7])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    rows = nearest.nearest(df, F.col("vec_id") % 20 == 0, k=61).collect()
+    scores = {(r["query_id"], r["vec_id"]): r["score"] for r in rows}
+    points = {i: np.array(v) for i, v in vectors}
+    assert len(rows) == 4 * 61 and all(s == (points[q] * points[i]).sum() for (q, i), s in scores.items())
+    assert scores[20, 60] != scores[20, 61]
+
+
 def test_clustered_vectors_probe_few_lists(spark):
     """Where vectors lie in groups, few lists hold the neighbours, and those are found."""
     random = np.random.default_rng(5)
@@ -121,7 +134,7 @@ def test_abandoned_early():
     """Far candidates leave before all dimensions are read, near ones stay to the end."""
     random = np.random.default_rng(1)
     dims = 128
-    model = nearest._Model(1.0, np.linalg.qr(random.standard_normal((dims, dims)))[0], np.empty((0, dims)), 1)
+    model = nearest._Model("f8", 1.0, np.linalg.qr(random.standard_normal((dims, dims)))[0], np.empty((0, dims)), 1)
     base = random.standard_normal(dims - 1)
     base /= np.linalg.norm(base) * 1.0001
     near = base + random.standard_normal((50, dims - 1)) * 0.01

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierflow.functions import ref
 
@@ -72,7 +73,7 @@ def nearest(
         )
     placed = stage(nodes.mapInArrow(_placer(model), _PLACED), "nearest-placed")
     blocks = _blocks(placed)
-    queries = placed.filter("asks is not null").select("node", "asks", "vector", "probes")
+    queries = placed.filter("probes is not null").select("node", "vector", "probes")
     first = max(1, model.probes // FIRST_SHARE)
     best = _best(queries.withColumn("bound", F.lit(-math.inf)), blocks, model, k, 1, first)
     if model.probes > first:
@@ -92,10 +93,11 @@ def nearest(
 
 
 def _whole(vectors: DataFrame, is_query: Column, id_col: str, vector_col: str) -> DataFrame:
-    """(id, vector, asked) of the rows that take part, vectors as doubles."""
+    """(id, vector, asked) of the rows that take part; vectors of single precision stay so, all others are doubles."""
+    single = vectors.schema[vector_col].dataType == T.ArrayType(T.FloatType())
     rows = vectors.select(
         ref(id_col).alias("id"),
-        ref(vector_col).cast("array<double>").alias("vector"),
+        (ref(vector_col) if single else ref(vector_col).cast("array<double>")).alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("asked"),
     )
     finite = F.forall("vector", lambda x: F.coalesce(F.abs(x) < F.lit(math.inf), F.lit(False)))
@@ -158,6 +160,7 @@ def _expanded(rows: DataFrame, nodes: DataFrame, best: DataFrame, k: int, id_col
 
 @dataclass(frozen=True)
 class _Model:
+    kind: str  # of the components as they came
     norm: float  # of the longest vector, which all are divided by
     rotation: np.ndarray
     centres: np.ndarray
@@ -191,13 +194,14 @@ def _fit(nodes: DataFrame, k: int) -> _Model | None:
     sample = _matrix(drawn.limit(2 * MOST_FITTED).toArrow()["vector"].combine_chunks())
     if not len(sample):
         sample = _matrix(nodes.select("vector").limit(1).toArrow()["vector"].combine_chunks())
+    kind, sample = sample.dtype.str, sample.astype(float)
     random = np.random.default_rng(_SEED)
     dims = sample.shape[1] + 1
     rotation, _ = np.linalg.qr(random.standard_normal((dims, dims)))
     n_lists = max(1, min(MOST_LISTS, int(math.sqrt(count) / 2), len(sample)))
-    start = _Model(norm, rotation, np.empty((0, dims)), 1)
+    start = _Model(kind, norm, rotation, np.empty((0, dims)), 1)
     points = start.spread(sample)
-    model = _Model(norm, rotation, points[random.choice(len(points), n_lists, replace=False)].copy(), n_lists)
+    model = _Model(kind, norm, rotation, points[random.choice(len(points), n_lists, replace=False)].copy(), n_lists)
     for _ in range(ROUNDS):
         nearest_centre = model.by_distance(points).argmin(axis=1)
         sizes = np.bincount(nearest_centre, minlength=n_lists)
@@ -205,7 +209,7 @@ def _fit(nodes: DataFrame, k: int) -> _Model | None:
         np.add.at(sums, nearest_centre, points)
         full = sizes > 0
         model.centres[full] = sums[full] / sizes[full, None]
-    return _Model(norm, rotation, model.centres, _probes(model, sample, points, k))
+    return _Model(kind, norm, rotation, model.centres, _probes(model, sample, points, k))
 
 
 def _probes(model: _Model, sample: np.ndarray, points: np.ndarray, k: int) -> int:
@@ -241,7 +245,7 @@ def _limits(dims: int) -> list[float]:
 
 # ---- lists, blocks and batches --------------------------------------------------------------------
 
-_PLACED = "node long, list int, least long, spread binary, vector binary, asks binary, probes array<int>"
+_PLACED = "node long, list int, least long, spread binary, vector binary, probes array<int>"
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -260,11 +264,10 @@ def _placer(model: _Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
             for rows in groups_of_rows([1] * whole.num_rows, BLOCK_ROWS):
                 batch = whole.slice(rows.start, rows.stop - rows.start)
                 vectors = _matrix(batch.column("vector"))
-                spread = model.spread(vectors)
+                spread = model.spread(vectors.astype(float))
                 asked = batch.column("asked").to_numpy(zero_copy_only=False)
-                asks = model.spread(vectors[asked], as_queries=True)
+                asks = model.spread(vectors[asked].astype(float), as_queries=True)
                 probes = iter(model.by_distance(asks).argsort(axis=1)[:, : model.probes].tolist())
-                texts = iter(_bytes_of(asks.astype(np.float32)))
                 # an id that is null ranks last
                 least = [m[0].as_py() if m[0].is_valid else np.iinfo(np.int64).max for m in batch.column("members")]
                 yield pa.RecordBatch.from_arrays(
@@ -274,10 +277,9 @@ def _placer(model: _Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
                         pa.array(least, pa.int64()),
                         pa.array(_bytes_of(spread.astype(np.float32)), pa.binary()),
                         pa.array(_bytes_of(vectors), pa.binary()),
-                        pa.array([next(texts) if a else None for a in asked], pa.binary()),
                         pa.array([next(probes) if a else None for a in asked], pa.list_(pa.int32())),
                     ],
-                    ["node", "list", "least", "spread", "vector", "asks", "probes"],
+                    ["node", "list", "least", "spread", "vector", "probes"],
                 )
 
     return place
@@ -321,14 +323,13 @@ def _batches(queries: DataFrame, start: int, length: int) -> DataFrame:
                 "list": rows["list"].slice(0, 1),
                 "queries": [rows["node"].to_numpy().tobytes()],
                 "bounds": [rows["bound"].to_numpy().tobytes()],
-                "asks": [_joined(rows["asks"])],
                 "asked": [_joined(rows["vector"])],
             }
         )
 
     probes = F.explode(F.slice("probes", start, length)).alias("list")
-    rows = _in_parts(queries.select("node", "bound", "asks", "vector", probes), BATCH_ROWS)
-    kind = "list int, queries binary, bounds binary, asks binary, asked binary"
+    rows = _in_parts(queries.select("node", "bound", "vector", probes), BATCH_ROWS)
+    kind = "list int, queries binary, bounds binary, asked binary"
     return rows.groupBy("list", "part").applyInArrow(pack, kind)
 
 
@@ -343,23 +344,26 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 
 def _best(queries: DataFrame, blocks: DataFrame, model: _Model, k: int, start: int, length: int) -> DataFrame:
     meetings = _batches(queries, start, length).join(blocks, "list").drop("list")
-    found = meetings.mapInArrow(_searcher(model.dims, model.norm, k + 1), "query long, node long, least long, score double")
+    found = meetings.mapInArrow(_searcher(model, k + 1), "query long, node long, least long, score double")
     return stage(_top(found, k), "nearest-found")
 
 
-def _searcher(dims: int, norm: float, wanted: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    limits = _limits(dims)
+def _searcher(model: _Model, wanted: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    limits = _limits(model.dims)
+
+    def doubles(vectors: pa.Scalar) -> np.ndarray:
+        return np.frombuffer(vectors.as_py(), model.kind).reshape(-1, model.dims - 1).astype(float)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                queries, bounds, asks, asked, nodes, least, columns, vectors = (c[row] for c in batch.columns)
+                queries, bounds, asked, nodes, least, columns, vectors = (c[row] for c in batch.columns)
                 queries, nodes, least = (np.frombuffer(x.as_py(), np.int64) for x in (queries, nodes, least))
                 bounds = np.frombuffer(bounds.as_py(), np.float64)
-                asked, vectors = (np.frombuffer(x.as_py(), np.float64).reshape(-1, dims - 1) for x in (asked, vectors))
-                asks = np.frombuffer(asks.as_py(), np.float32).reshape(-1, dims)
+                asked, vectors = doubles(asked), doubles(vectors)
+                asks = model.spread(asked, as_queries=True).astype(np.float32)
                 matrices = [np.frombuffer(x, np.float32).reshape(-1, len(nodes)) for x in columns.as_py()]
-                reach = ((asked / norm) ** 2).sum(axis=1) + 1 - 2 * bounds / norm / norm + SLACK
+                reach = ((asked / model.norm) ** 2).sum(axis=1) + 1 - 2 * bounds / model.norm / model.norm + SLACK
                 q, c = _left(asks, matrices, reach.astype(np.float32), limits, wanted)
                 scores = _products(asked, vectors, q, c)
                 kept = np.flatnonzero(scores >= bounds[q])
