@@ -1,0 +1,61 @@
+"""Operators run where the workers cannot import the library.
+
+Those left out broadcast objects of the library's classes, which Spark pickles by name.
+"""
+
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+ROOT = Path(__file__).resolve().parents[2]
+
+SCRIPT = """
+import sys
+from pyspark.sql import SparkSession
+
+spark = (
+    SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
+    .config("spark.sql.shuffle.partitions", "4").config("spark.checkpoint.dir", sys.argv[2])
+    .config("spark.sql.session.timeZone", "UTC").getOrCreate()
+)
+spark.sparkContext.setLogLevel("ERROR")
+
+
+def importable(_):
+    import importlib.util
+    return [importlib.util.find_spec("tierflow") is not None]
+
+
+# the driver finds the library only after the session, and the workers never
+assert not any(spark.sparkContext.parallelize(range(4), 4).flatMap(importable).collect())
+sys.path.insert(0, sys.argv[1])
+from tierflow.llm.queries import QUERIES
+
+for name in sys.argv[3:]:
+    print(name, QUERIES[name](spark, "/root/testdata/sf0.001").count(), flush=True)
+spark.stop()
+"""
+
+
+NAMES = (
+    "op1_exact_dedup",
+    "op2_sharding",
+    "op3_html_extraction",
+    "op5_near_dedup",
+    "op7_packing",
+    "op9_licenses",
+    "op11_ranked_search",
+    "op12_merkle_manifest",
+    "op13_nearest",
+)
+
+
+def test_queries_without_the_package_on_the_workers(tmp_path):
+    names = {"PYTHONPATH", "SPARK_HOME", "PYTHONHOME"}
+    env = {k: v for k, v in os.environ.items() if k not in names}
+    command = [sys.executable, "-c", SCRIPT, str(ROOT), str(tmp_path / "checkpoint"), *NAMES]
+    done = subprocess.run(command, cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
+    assert done.returncode == 0, done.stderr[-3000:]
+    counts = dict(line.split() for line in done.stdout.splitlines() if line.startswith("op"))
+    assert set(counts) == set(NAMES) and all(n.isdigit() for n in counts.values())

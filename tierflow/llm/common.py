@@ -11,8 +11,6 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow import storage
-
 # The white space of every text contract here.
 WHITE_SPACE = r"[\x20\x09-\x0D]"
 _WHITE_BYTES = (0x20, *range(0x09, 0x0E))
@@ -27,6 +25,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the session's shared checkpoint folder and read it back (see `storage.stage`)."""
+    # imported here: executors get this module by value and need not have the library
+    from tierflow import storage
+
     return storage.stage(df, f"llm-{label}")
 
 
