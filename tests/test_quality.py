@@ -74,9 +74,13 @@ def test_expect_drop(checked):
 
 
 def test_expect_fail(checked):
-    failing, _ = expect(checked, rules(), action="fail")
-    with pytest.raises(Exception, match="positive"):
+    # one partition: whichever task fails first ends the job, and the rows break different rules
+    failing, _ = expect(checked.coalesce(1), rules(), action="fail")
+    with pytest.raises(Exception, match="violated: positive"):
         failing.collect()
+    both, _ = expect(checked.filter("v is null"), rules(), action="fail")
+    with pytest.raises(Exception, match="violated: positive, known"):
+        both.collect()
     passing, _ = expect(checked.filter("v = 1"), rules(), action="fail")
     assert passing.count() == 1
     with pytest.raises(ValueError, match="action"):

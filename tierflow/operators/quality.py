@@ -71,13 +71,20 @@ def newest(df: DataFrame, time_col: str, n: int = 20) -> DataFrame:
     return df.orderBy(F.desc(ref(time_col))).limit(n)
 
 
+def violated(rules: Mapping[str, Column]) -> Column:
+    """The names of the rules that a row breaks, in the order given; null counts as a violation."""
+    names = [F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()]
+    return F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
+
+
 def expect(
     df: DataFrame, rules: Mapping[str, Column], action: str = "warn"
 ) -> tuple[DataFrame, Observation]:
     """Check every row against named conditions while it passes through.
 
     A row violates a rule unless its condition is true, so null counts as a violation. ``warn`` keeps
-    such rows, ``drop`` removes them, ``fail`` ends the job at the first one. The observation holds
+    such rows, ``drop`` removes them, ``fail`` ends the job at the first one and names all rules that it
+    breaks. The observation holds
     ``row_count`` and the violations of each rule, counted in the same pass, once an action has run.
     """
     if action not in _ACTIONS:
@@ -93,7 +100,6 @@ def expect(
         return counted, seen
     if action == "drop":
         return counted.filter(reduce(and_, passed.values())), seen
-    for name, ok in passed.items():
-        broken = F.raise_error(F.lit(f"expectation {name!r} is violated")).cast("boolean")
-        counted = counted.filter(F.when(ok, F.lit(True)).otherwise(broken))
-    return counted, seen
+    message = F.concat(F.lit("expectations violated: "), F.array_join(violated(rules), ", "))
+    broken = F.raise_error(message).cast("boolean")
+    return counted.filter(F.when(reduce(and_, passed.values()), F.lit(True)).otherwise(broken)), seen
