@@ -322,6 +322,21 @@ select distinct event_id,
 from events
 """
 
+SQL["ingest_header_drift"] = """
+select event_id, ts, user_id, event_type,
+  case when event_id % 4 <> 3 then value end as value_units, case when event_id % 4 <> 3 then props end as props,
+  case when event_id % 4 = 2 and event_type is not null
+    then '{"_unknown_fields":"{\\"label_new\\":\\"' || event_type || '\\"}"}' end as _rescued_data
+from events
+"""
+
+SQL["ingest_schema_growth"] = """
+select distinct event_id, case when event_id % 3 <> 1 then value end as value_units,
+  case when event_id % 3 <> 0 then event_type end as event_type,
+  case when event_id % 3 = 2 then event_id + 0.5::double end as score
+from events
+"""
+
 SQL["ingest_lineage"] = """
 select count(*) as rows_with_file, count(*) as rows_with_time, cast(1 as bigint) as batches,
   cast(0 as bigint) as rescued

@@ -22,7 +22,7 @@ from tierflow.plans import (
     run_silver,
     stream_silver,
 )
-from tierflow.plans.pipeline import read_bronze
+from tierflow.plans.pipeline import read_bronze, read_silver
 from tierflow.sources import WRITE_OPTIONS, infer_schema, load_schema, read_csv, read_table
 from tierflow.streaming import bronze_schema
 
@@ -430,6 +430,38 @@ def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, config).drop("ingestion_time", "source_file", "_rescued_data")
 
 
+@query
+def ingest_header_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four arrivals: columns as in the schema, in another order, with one more, and with two missing."""
+    config, events = landed_events(spark, sf_dir)
+    source, names = Layers(config).source, EVENT_SCHEMA.fieldNames()
+    arrivals = (names, names[::-1], [*names[:2], "Label (New)", *names[2:]], names[:4])
+    labelled = events.withColumn("Label (New)", F.col("Event Type"))
+    for i, columns in enumerate(arrivals):
+        land(labelled.filter(F.col("Event Id") % 4 == i).select(*(f"`{c}`" for c in columns)), source)
+        if i % 2:
+            run_bronze(spark, config)
+    return read_bronze(spark, config).drop("ingestion_time", "source_file")
+
+
+@query
+def ingest_schema_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three arrivals, the later two with columns that were not there before; old rows are null in them."""
+    config = PipelineConfig(base_uri=storage.staging_path(spark, "growth"), dataset="events", new_columns="add")
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("Event Id"),
+        F.col("value").alias("Value (Units)"),
+        F.col("event_type").alias("Event Type"),
+        (F.col("event_id") + F.lit(0.5)).alias("Score"),
+    )
+    for i, columns in enumerate((["Event Id", "Value (Units)"], ["Event Type", "Event Id"], events.columns)):
+        land(events.filter(F.col("Event Id") % 3 == i).select(*(f"`{c}`" for c in columns)), Layers(config).source)
+        run_bronze(spark, config)
+        run_silver(spark, config)
+    silver = read_silver(spark, config).drop("ingestion_time", "silver_transform_time")
+    return silver.withColumn("event_id", F.col("event_id").cast("bigint"))
+
+
 @query
 def ingest_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row names its file and its batch; nothing had to be rescued."""
@@ -454,7 +486,7 @@ def silver_streaming(spark: SparkSession, sf_dir: str) -> DataFrame:
         run_bronze(spark, config)
         stream_silver(spark, config)
     first = read_bronze(spark, config).agg(F.min("ingestion_time")).scalar()
-    silver = read_table(spark, layers.silver).withColumn("earliest", F.col("ingestion_time") == first)
+    silver = read_silver(spark, config).withColumn("earliest", F.col("ingestion_time") == first)
     return silver.drop("ingestion_time", "silver_transform_time")
 
 
@@ -481,7 +513,7 @@ def silver_streaming_late(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         rows.coalesce(1).write.mode("append").parquet(layers.bronze)
         stream_silver(spark, config)
-    silver = read_table(spark, layers.silver).drop("silver_transform_time")
+    silver = read_silver(spark, config).drop("silver_transform_time")
     return silver.withColumn("ingestion_time", F.col("ingestion_time").cast("timestamp_ntz"))
 
 
@@ -515,7 +547,7 @@ def ingest_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     land(files, Layers(config).source)
     run_bronze(spark, config)
     run_silver(spark, config)
-    silver = read_table(spark, Layers(config).silver)
+    silver = read_silver(spark, config)
     return silver.select(F.col("event_id").cast("bigint").alias("event_id"), "amount")
 
 

@@ -111,18 +111,21 @@ def test_a_new_checkpoint_version_reads_all_again(spark, config, tmp_path):
     [HEADER.replace("Country,Artist", "Artist,Country"), HEADER + ",Extra"],
     ids=["reordered", "extra"],
 )
-def test_a_differing_header_stops_the_run_and_names_the_file(spark, config, header):
+def test_a_differing_header_stops_a_stream_bound_by_position(spark, config, header):
+    layers = Layers(config)
+
+    def run():
+        append_stream(bronze_stream(spark, layers.source, RAW), layers.bronze, layers.checkpoint())
+
     drop(config, "chunk_1.csv", CHUNK_1)
-    run_bronze(spark, config)
+    run()
     lines = [line + ",1" for line in CHUNK_2] if "Extra" in header else CHUNK_2
     drop(config, "chunk_2.csv", lines, header=header)
-    if "Extra" in header:
-        with pytest.raises(Exception, match="header|chunk_2"):
-            run_bronze(spark, config)
-    else:
-        with pytest.raises(Exception, match="chunk_2"):
-            run_bronze(spark, config)
+    with pytest.raises(Exception, match="header|chunk_2" if "Extra" in header else "chunk_2"):
+        run()
     assert bronze_count(spark, config) == 4
+    with pytest.raises(ValueError, match="another kind of stream"):
+        run_bronze(spark, config)
 
 
 def test_lines_that_do_not_parse_are_rescued(spark, config):
@@ -181,7 +184,7 @@ def test_a_running_stream_and_a_timeout(spark, config, tmp_path):
         append_stream(slow, str(tmp_path / "slow"), str(tmp_path / "c"), timeout=0.01)
 
 
-def test_ingestion_has_no_shuffle(spark, config):
+def test_positional_ingestion_has_no_shuffle(spark, config):
     drop(config, "chunk_1.csv", CHUNK_1)
     layers = Layers(config)
     query = append_stream(

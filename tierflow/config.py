@@ -21,7 +21,9 @@ class PipelineConfig:
     container per layer. ``raw_schema`` lists the raw header names with the types wanted in bronze.
 
     ``on_rescued`` says what silver does about values that did not fit their type and lie in the rescue
-    column: ``fail`` (nothing is lost unseen) or ``keep`` (they stay in bronze only). ``stream_options`` go to the
+    column: ``fail`` (nothing is lost unseen) or ``keep`` (they stay in bronze only). ``new_columns`` says what bronze
+    does about columns of a CSV header that the schema does not name: ``rescue`` them, row by row, or ``add`` them
+    to the schema as a new version. ``stream_options`` go to the
     source of the ingestion, such as ``maxBytesPerTrigger`` for a backlog; ``swap=False`` is for stores where a
     rename copies (see `refresh`).
 
@@ -44,6 +46,7 @@ class PipelineConfig:
     source_file: str = "source_file"
     rescued: str = "_rescued_data"
     on_rescued: str = "fail"
+    new_columns: str = "rescue"
     stream_options: dict[str, str] = field(default_factory=dict)
     swap: bool = True
     text_columns: tuple[str, ...] = ()
@@ -60,6 +63,8 @@ class PipelineConfig:
             raise ValueError("dataset name is empty")
         if self.on_rescued not in ("fail", "keep"):
             raise ValueError(f"on_rescued must be 'fail' or 'keep', not {self.on_rescued!r}")
+        if self.new_columns not in ("rescue", "add"):
+            raise ValueError(f"new_columns must be 'rescue' or 'add', not {self.new_columns!r}")
         unknown = set(self.layer_uris) - set(LAYERS)
         if unknown:
             raise ValueError(f"unknown layers {sorted(unknown)}; expected {LAYERS}")

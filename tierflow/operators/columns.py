@@ -9,19 +9,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A blank becomes an underscore, parentheses go, everything else stays.
-_CHARACTERS = str.maketrans({" ": "_", "(": None, ")": None})
+from tierflow.functions import clean_name
 
 # Columns of the raw layer that the refined layer does not keep.
 TECHNICAL_COLUMNS = ("_rescued_data", "source_file")
 
 
-def clean_name(name: str, lower: bool = True) -> str:
-    """One cleaned column name."""
-    trimmed = name.strip()
-    return (trimmed.lower() if lower else trimmed).translate(_CHARACTERS)
-
-
 def clean_names(df: DataFrame, lower: bool = True) -> DataFrame:
     """Clean every column name in one projection.
 

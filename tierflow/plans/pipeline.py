@@ -29,43 +29,71 @@ from tierflow.plans.gold import GOLD_MODELS, Model
 from tierflow.plans.layers import Layers
 from tierflow.plans.sizing import sized_for
 from tierflow.sinks import refresh, write_once
-from tierflow.sources import infer_schema, list_files, load_schema, read_table
-from tierflow.streaming import append_refined, append_stream, bronze_schema, bronze_stream
+from tierflow.sources import (
+    add_schema,
+    by_header,
+    infer_by_header,
+    infer_schema,
+    latest_schema,
+    list_files,
+    read_table,
+)
+from tierflow.streaming import append_headed, append_refined, append_stream, bronze_schema, bronze_stream
 
 # Names of columns and files that a report of rescued values lists.
 REPORTED = 10
 
+# Batches lie in directories of their own.
+BATCH_OPTIONS = {"recursiveFileLookup": "true"}
+
 
 class RescuedValues(ValueError):
     """Bronze holds values that did not fit the type of their column."""
 
 
 def raw_schema(spark: SparkSession, config: PipelineConfig) -> T.StructType:
-    """The configured schema, else the one kept from the first run, else one inferred now and kept.
+    """The last version of the kept schema, else the configured one, else one inferred now and kept.
 
-    Types are inferred from all rows of all files that are there, in one distributed job.
+    Types are inferred from all rows of all files that are there, in one distributed job for each CSV header. A
+    configured schema is kept, and grows, only if new columns are to be added.
     """
-    if config.raw_schema is not None:
+    if config.raw_schema is not None and config.new_columns == "rescue":
         return config.raw_schema
     layers = Layers(config)
-    if storage.has_part_file(spark, layers.schema_store):
-        return load_schema(spark, layers.schema_store)
-    if list_files(spark, layers.source, f"*.{config.source_format}").isEmpty():
+    _, known = latest_schema(spark, layers.schema_store)
+    if known is not None:
+        return known
+    if config.raw_schema is not None:
+        return add_schema(spark, layers.schema_store, config.raw_schema)[1]
+    files = list_files(spark, layers.source, f"*.{config.source_format}")
+    if files.isEmpty():
         raise ValueError(f"no {config.source_format} file in {layers.source} to infer a schema from")
-    return infer_schema(spark, layers.source, layers.schema_store, config.source_format)
+    if config.source_format == "csv":
+        paths = sorted(row["path"] for row in files.select("path").collect())
+        found = infer_by_header(spark, by_header(spark, paths, **config.stream_options), **config.stream_options)
+    else:
+        found = infer_schema(spark, layers.source, file_format=config.source_format)
+    return add_schema(spark, layers.schema_store, found)[1]
+
+
+def _bronze_schema(spark: SparkSession, config: PipelineConfig) -> T.StructType:
+    return bronze_schema(raw_schema(spark, config), config.ingestion_time, config.source_file, config.rescued)
 
 
 def read_bronze(spark: SparkSession, config: PipelineConfig) -> DataFrame:
-    schema = bronze_schema(
-        raw_schema(spark, config), config.ingestion_time, config.source_file, config.rescued
-    )
+    schema = _bronze_schema(spark, config)
     return read_table(
-        spark, Layers(config).bronze, table_format=config.table_format, schema=schema
+        spark, Layers(config).bronze, table_format=config.table_format, schema=schema, **BATCH_OPTIONS
     )
 
 
 def read_silver(spark: SparkSession, config: PipelineConfig) -> DataFrame:
-    return read_table(spark, Layers(config).silver, table_format=config.table_format)
+    """The refined table, with the columns that the last version of the schema gives it."""
+    bronze = spark.createDataFrame([], _bronze_schema(spark, config))
+    schema = stamp(silver_rows(bronze, config), SILVER_TIME).schema
+    return read_table(
+        spark, Layers(config).silver, table_format=config.table_format, schema=schema, **BATCH_OPTIONS
+    )
 
 
 def run_bronze(
@@ -75,8 +103,26 @@ def run_bronze(
     timeout: float | None = None,
     **options: object,
 ) -> None:
-    """Append what is new in the source directory to bronze."""
+    """Append what is new in the source directory to bronze; CSV files are bound each by its own header."""
     layers = Layers(config)
+    if config.source_format == "csv":
+        append_headed(
+            spark,
+            layers.source,
+            raw_schema(spark, config),
+            layers.bronze,
+            layers.checkpoint(),
+            layers.schema_store if config.new_columns == "add" else None,
+            config.ingestion_time,
+            config.source_file,
+            config.rescued,
+            config.table_format,
+            trigger,
+            timeout,
+            config.swap,
+            **{**config.stream_options, **options},
+        )
+        return
     rows = bronze_stream(
         spark,
         layers.source,
@@ -157,12 +203,11 @@ def stream_silver(
 ) -> None:
     """Append to silver what is new in bronze, shaped as by `run_silver`.
 
-    A record stays as its first batch brought it, with the earliest ingestion time of that batch.
+    A record stays as its first batch brought it, with the earliest ingestion time of that batch. What a batch reads
+    beside its own rows does not grow with silver, see `append_refined`.
     """
     layers = Layers(config)
-    schema = bronze_schema(
-        raw_schema(spark, config), config.ingestion_time, config.source_file, config.rescued
-    )
+    schema = _bronze_schema(spark, config)
 
     def refine(batch: DataFrame) -> DataFrame:
         check_rescued(batch, config)
@@ -172,7 +217,8 @@ def stream_silver(
             rows, _ = expect(rows, rules, config.on_violation)
         return stamp(rows, SILVER_TIME, at)
 
-    raw = spark.readStream.schema(schema).format(config.table_format).options(**options).load(layers.bronze)
+    settings = BATCH_OPTIONS | options
+    raw = spark.readStream.schema(schema).format(config.table_format).options(**settings).load(layers.bronze)
     append_refined(
         raw,
         refine,
@@ -182,6 +228,7 @@ def stream_silver(
         config.table_format,
         trigger,
         timeout,
+        config.swap,
     )
 
 
@@ -227,15 +274,15 @@ def register_tables(
     if layers.bootstrap(spark) != config.catalog:
         layers = Layers(replace(config, catalog=None))
     tables = {
-        layers.qualify("bronze", config.dataset): (layers.bronze, read_bronze(spark, config).schema),
-        layers.qualify("silver", config.dataset): (layers.silver, None),
-        **{layers.qualify("gold", model): (layers.gold(model), None) for model in models},
+        layers.qualify("bronze", config.dataset): (layers.bronze, read_bronze(spark, config).schema, BATCH_OPTIONS),
+        layers.qualify("silver", config.dataset): (layers.silver, read_silver(spark, config).schema, BATCH_OPTIONS),
+        **{layers.qualify("gold", model): (layers.gold(model), None, {}) for model in models},
     }
-    for name, (path, schema) in tables.items():
+    for name, (path, schema, options) in tables.items():
         if spark.catalog.tableExists(name):
             spark.catalog.refreshTable(name)
         else:
-            spark.catalog.createTable(name, path, config.table_format, schema)
+            spark.catalog.createTable(name, path, config.table_format, schema, **options)
     return list(tables)
 
 

@@ -32,7 +32,8 @@ MALFORMED = "_malformed_line"
 UNKNOWN = "_unknown_fields"
 
 
-def _settings(file_format: str, options: dict) -> dict:
+def settings_of(file_format: str, options: dict) -> dict:
+    """Reader options of a raw format, those given last."""
     selected = {"pathGlobFilter": f"*.{file_format}", "recursiveFileLookup": "false"}
     return (READ_OPTIONS if file_format == "csv" else {}) | selected | options
 
@@ -49,7 +50,7 @@ def infer_schema(
     Inference reads the sample in full, as one distributed job; values that do not fit in files that come
     later are rescued, not lost.
     """
-    settings = _settings(file_format, {"inferSchema": "true", "enforceSchema": "true"} | options)
+    settings = settings_of(file_format, {"inferSchema": "true", "enforceSchema": "true"} | options)
     schema = spark.read.format(file_format).options(**settings).load(sample).schema
     if schema_path is not None:
         save_schema(spark, schema, schema_path)
@@ -76,9 +77,9 @@ def read_csv(
 ) -> DataFrame:
     """One-off read of CSV files with a header; types are inferred unless ``schema`` is given."""
     if schema is None:
-        settings = _settings("csv", {"inferSchema": "true", "enforceSchema": "true"} | options)
+        settings = settings_of("csv", {"inferSchema": "true", "enforceSchema": "true"} | options)
         return spark.read.options(**settings).csv(path)
-    return spark.read.schema(schema).options(**_settings("csv", options)).csv(path)
+    return spark.read.schema(schema).options(**settings_of("csv", options)).csv(path)
 
 
 def read_file_stream(
@@ -94,7 +95,7 @@ def read_file_stream(
     archive what is done so that the listing stays short. With a schema of text columns from `as_text`, JSON is
     read line by line, and fields that the schema does not name come as one more column.
     """
-    settings = _settings(file_format, options)
+    settings = settings_of(file_format, options)
     if file_format == "json" and MALFORMED in schema.fieldNames():
         lines = spark.readStream.format("text").options(**settings).load(path)
         return _json_columns(lines, schema)

@@ -12,6 +12,7 @@ def read_table(
     name: str | None = None,
     table_format: str = "parquet",
     schema: T.StructType | None = None,
+    **options: object,
 ) -> DataFrame:
     """Read a table by path, or by its two- or three-part catalog name.
 
@@ -22,5 +23,5 @@ def read_table(
         raise ValueError("give either a path or a name")
     if name is not None:
         return spark.table(name)
-    reader = spark.read.format(table_format)
+    reader = spark.read.format(table_format).options(**options)
     return (reader if schema is None else reader.schema(schema)).load(path)

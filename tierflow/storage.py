@@ -54,6 +54,77 @@ def has_part_file(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def make_directory(spark: SparkSession, path: str) -> None:
+    fs, handle = _open(spark, path)
+    fs.mkdirs(handle)
+
+
+def holds_anything(spark: SparkSession, path: str) -> bool:
+    """Whether a directory is there and not empty; it is not listed whole."""
+    fs, handle = _open(spark, path)
+    return fs.exists(handle) and fs.listStatusIterator(handle).hasNext()
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a directory holds, sorted; none where it is not there."""
+    fs, handle = _open(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(handle)) if fs.exists(handle) else []
+
+
+def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str | None:
+    """The first line of a file that is not blank; None without one. No more of the file is read than a buffer."""
+    io = spark._jvm.java.io
+    fs, handle = _open(spark, path)
+    reader = io.BufferedReader(io.InputStreamReader(fs.open(handle), encoding))
+    try:
+        while (line := reader.readLine()) is not None:
+            if line.strip():
+                return line
+        return None
+    finally:
+        reader.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; whether this call did, and not another writer before it. The store decides who is first."""
+    fs, handle = _open(spark, path)
+    try:
+        out = fs.create(handle, False)
+    except Py4JJavaError as error:
+        if not fs.exists(handle):
+            raise error
+        return False
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    fs, handle = _open(spark, path)
+    stream = fs.open(handle)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, handle = _open(spark, path)
+    fs.delete(handle, True)
+
+
+def publish(spark: SparkSession, staged: str, target: str) -> None:
+    """Rename a finished directory to a name that is not taken yet."""
+    fs, source = _open(spark, staged)
+    destination = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(destination.getParent())
+    if fs.exists(destination) or not fs.rename(source, destination):
+        raise OSError(f"could not move {staged} to {target}")
+
+
 def replace(spark: SparkSession, fresh: str, target: str) -> None:
     """Put directory ``fresh`` in the place of ``target``.
 
