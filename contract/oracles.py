@@ -331,9 +331,9 @@ from events
 """
 
 SQL["ingest_schema_growth"] = """
-select distinct event_id, case when event_id % 3 <> 1 then value end as value_units,
-  case when event_id % 3 <> 0 then event_type end as event_type,
-  case when event_id % 3 = 2 then event_id + 0.5::double end as score
+select distinct event_id, case when event_id % 4 <> 1 then value end as value_units,
+  case when event_id % 4 <> 0 then event_type end as event_type,
+  case when event_id % 4 > 1 then event_id + 0.5::double end as score
 from events
 """
 
