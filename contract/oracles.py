@@ -119,6 +119,18 @@ from (
 ) z
 """
 
+# Quantities are whole numbers, so these sums of integers are exact.
+SQL["exact_sums"] = """
+select l_returnflag, sum(cast(l_quantity as bigint)) / cast(1073741824 as double) as total
+from lineitem group by l_returnflag
+"""
+
+SQL["exact_summary"] = f"""
+select l_linestatus, cast(sum(cast(l_quantity as bigint)) as double) as quantity,
+  {rounded("sum(cast(l_quantity as bigint)) / cast(count(l_quantity) as double)")} as avg_quantity
+from lineitem group by l_linestatus
+"""
+
 # ---- columns and refinement --------------------------------------------------------------------
 
 SQL["clean_names"] = """

@@ -160,6 +160,32 @@ def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def exact_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums in which large values cancel and leave small ones, which plain addition of doubles loses."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag",
+        F.explode(
+            F.array(
+                F.col("l_partkey") * F.lit(2.0**70),
+                F.col("l_quantity") * F.lit(2.0**-30),
+                F.col("l_partkey") * F.lit(-(2.0**70)),
+            )
+        ).alias("amount"),
+    )
+    return operators.exact_sums(lines, ["l_returnflag"], {"total": "amount"})
+
+
+@query
+def exact_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return operators.group_summary(
+        table(spark, sf_dir, "lineitem"),
+        ["l_linestatus"],
+        {"quantity": ("sum", "l_quantity"), "avg_quantity": ("avg", "l_quantity")},
+        exact=True,
+    )
+
+
 # ---- columns and refinement --------------------------------------------------------------------
 
 

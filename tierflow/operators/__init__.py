@@ -1,6 +1,7 @@
 """Batch operators."""
 
 from tierflow.operators.columns import clean_name, clean_names, drop_technical, stamp
+from tierflow.operators.exact import exact_sums
 from tierflow.operators.models import (
     avg_by_group,
     group_summary,
@@ -8,7 +9,7 @@ from tierflow.operators.models import (
     top_n_per_group,
     yearly_trends,
 )
-from tierflow.operators.quality import distinct_counts, expect, newest, null_counts, row_counts
+from tierflow.operators.quality import distinct_counts, expect, newest, null_counts, row_counts, violated
 from tierflow.operators.refine import conform, dedup, normalize_text, require_not_null
 from tierflow.operators.split import assign_chunks, with_row_index, write_chunks
 
@@ -21,6 +22,7 @@ __all__ = [
     "dedup",
     "distinct_counts",
     "drop_technical",
+    "exact_sums",
     "expect",
     "group_summary",
     "newest",
@@ -31,6 +33,7 @@ __all__ = [
     "stamp",
     "top_groups_by_sum",
     "top_n_per_group",
+    "violated",
     "with_row_index",
     "write_chunks",
     "yearly_trends",

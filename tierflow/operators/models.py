@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tierflow.functions import ref, round_half_up
+from tierflow.operators.exact import is_floating, summed
 from tierflow.operators.split import MOST_BROADCAST_ROWS, first_of_groups
 
 _AGGREGATES = {"sum": F.sum, "avg": F.avg}
@@ -33,16 +34,17 @@ def top_groups_by_sum(
     n: int = 10,
     digits: int = 2,
     tie_break: Sequence[str] = (),
+    exact: bool = False,
 ) -> DataFrame:
     """The ``n`` groups with the largest sum of ``value``, largest first.
 
     Null values are left out beforehand, so a group of nulls only does not appear. The cut is made on
-    the unrounded sum; rounding comes last. ``tie_break`` names key columns that settle equal sums.
+    the unrounded sum; rounding comes last. ``tie_break`` names key columns that settle equal sums. With ``exact``
+    the result does not depend on the order in which tasks end, see `exact_sums`.
     """
+    rows = df.filter(ref(value).isNotNull())
     return (
-        df.filter(ref(value).isNotNull())
-        .groupBy(*map(ref, keys))
-        .agg(F.sum(ref(value)).alias(value))
+        _aggregated(rows, keys, {value: ("sum", value)}, exact)
         .orderBy(*_ordering(value, tie_break))
         .limit(n)
         .withColumn(value, round_half_up(ref(value), digits))
@@ -105,13 +107,13 @@ def _contenders(rows: DataFrame, keys: Sequence[str], value: str, n: int) -> Dat
 
 
 def avg_by_group(
-    df: DataFrame, keys: Sequence[str], value: str, output: str, digits: int = 2
+    df: DataFrame, keys: Sequence[str], value: str, output: str, digits: int = 2, exact: bool = False
 ) -> DataFrame:
     """Mean of ``value`` for each group, largest first.
 
-    Nulls do not count; a group of nulls only has a null mean and comes last.
+    Nulls do not count; a group of nulls only has a null mean and comes last. ``exact`` as in `group_summary`.
     """
-    return group_summary(df, keys, {output: ("avg", value)}, order_by=output, digits=digits)
+    return group_summary(df, keys, {output: ("avg", value)}, order_by=output, digits=digits, exact=exact)
 
 
 def group_summary(
@@ -120,34 +122,57 @@ def group_summary(
     measures: dict[str, tuple[str, str]],
     order_by: str | None = None,
     digits: int = 2,
+    exact: bool = False,
 ) -> DataFrame:
     """Rounded sums and means for each group, sorted descending on the rounded ``order_by``.
 
     ``measures`` maps an output name to ``("sum" | "avg", column)``; ``order_by`` defaults to the
-    first one.
+    first one. With ``exact``, sums of doubles are exact and rounded once, and a mean is such a sum divided by the
+    count, so that the result does not depend on the order in which tasks end.
     """
     unknown = sorted({kind for kind, _ in measures.values()} - set(_AGGREGATES))
     if unknown:
         raise ValueError(f"unknown aggregates {unknown}; expected {sorted(_AGGREGATES)}")
-    outputs = [
-        round_half_up(_AGGREGATES[kind](ref(column)), digits).alias(name)
-        for name, (kind, column) in measures.items()
-    ]
     first = order_by or next(iter(measures))
-    return df.groupBy(*map(ref, keys)).agg(*outputs).orderBy(F.desc(ref(first)))
+    rounded = [round_half_up(ref(name), digits).alias(name) for name in measures]
+    return (
+        _aggregated(df, keys, measures, exact)
+        .select(*map(ref, keys), *rounded)
+        .orderBy(F.desc(ref(first)))
+    )
 
 
-def yearly_trends(df: DataFrame, year: str, value: str, digits: int = 2) -> DataFrame:
+def _aggregated(
+    df: DataFrame, keys: Sequence[str], measures: dict[str, tuple[str, str]], exact: bool, row_count: str | None = None
+) -> DataFrame:
+    """Keys and unrounded measures; with ``row_count`` the number of rows. Plain sums are exact unless of doubles."""
+    floating = {c: is_floating(df, c) for _, c in measures.values()} if exact else {}
+    if exact and all(floating.values()):
+        totals = summed(df, keys, {c: c for c in floating})
+
+        def measure(kind: str, column: str) -> Column:
+            held = F.col("__sums")[column]
+            return held["total"] if kind == "sum" else F.try_divide(held["total"], held["n"])
+
+        outputs = [measure(kind, column).alias(name) for name, (kind, column) in measures.items()]
+        counted = [] if row_count is None else [F.col("__rows").alias(row_count)]
+        return totals.select(*map(ref, keys), *counted, *outputs)
+    if any(floating.values()):
+        raise ValueError(f"exact measures are all of doubles or all not: {floating}")
+    outputs = [_AGGREGATES[kind](ref(column)).alias(name) for name, (kind, column) in measures.items()]
+    counted = [] if row_count is None else [F.count(F.lit(1)).alias(row_count)]
+    return df.groupBy(*map(ref, keys)).agg(*counted, *outputs)
+
+
+def yearly_trends(df: DataFrame, year: str, value: str, digits: int = 2, exact: bool = False) -> DataFrame:
     """Rows, total and change of the total against the year before, one row per year.
 
     The year before is the one before among those present, so after a gap the change spans it. A null year has
     a row without a change and is the year before of none. Our own definition: the surveyed pipeline names
     such a table and defines nothing. The window runs on one row per year, after the aggregation, so
-    ``year`` should be a column of few values.
+    ``year`` should be a column of few values. ``exact`` as in `group_summary`.
     """
-    totals = df.groupBy(ref(year)).agg(
-        F.count(F.lit(1)).alias("row_count"), F.sum(ref(value)).alias("__total")
-    )
+    totals = _aggregated(df, [year], {"__total": ("sum", value)}, exact, row_count="row_count")
     known = Window.partitionBy(ref(year).isNull()).orderBy(F.asc(ref(year)))
     before = F.lag("__total").over(known)
     change = F.col("__total") - before

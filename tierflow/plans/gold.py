@@ -1,5 +1,7 @@
 """The gold models of a music-streaming data set, as plain functions of the silver table.
 
+Their sums and means are exact, so a run that is repeated publishes the same numbers.
+
 Fixed values: the function names are the table names, and the column names in them are those of the
 silver table and of the published gold tables; readers of the layers rely on both.
 """
@@ -23,7 +25,7 @@ Model = Callable[[DataFrame], DataFrame]
 
 def top_songs_by_streams(silver: DataFrame) -> DataFrame:
     keys = ["album", "artist"]
-    return top_groups_by_sum(silver, keys, "total_streams_millions", n=10, tie_break=keys)
+    return top_groups_by_sum(silver, keys, "total_streams_millions", n=10, tie_break=keys, exact=True)
 
 
 def top_streams_by_year(silver: DataFrame) -> DataFrame:
@@ -39,7 +41,7 @@ def top_streams_by_year(silver: DataFrame) -> DataFrame:
 
 
 def avg_duration_by_genre(silver: DataFrame) -> DataFrame:
-    return avg_by_group(silver, ["genre"], "avg_stream_duration_min", "avg_duration_min")
+    return avg_by_group(silver, ["genre"], "avg_stream_duration_min", "avg_duration_min", exact=True)
 
 
 def genre_country_platform(silver: DataFrame) -> DataFrame:
@@ -51,11 +53,12 @@ def genre_country_platform(silver: DataFrame) -> DataFrame:
             "total_streams_30d": ("sum", "streams_last_30_days_millions"),
             "avg_skip_rate": ("avg", "skip_rate_%"),
         },
+        exact=True,
     )
 
 
 def yearly_stream_trends(silver: DataFrame) -> DataFrame:
-    return yearly_trends(silver, "release_year", "total_streams_millions")
+    return yearly_trends(silver, "release_year", "total_streams_millions", exact=True)
 
 
 def top_songs_per_year(silver: DataFrame) -> DataFrame:
@@ -72,7 +75,7 @@ def top_songs_per_year(silver: DataFrame) -> DataFrame:
 
 def top_artists(silver: DataFrame) -> DataFrame:
     keys = ["artist"]
-    return top_groups_by_sum(silver, keys, "total_streams_millions", n=10, tie_break=keys)
+    return top_groups_by_sum(silver, keys, "total_streams_millions", n=10, tie_break=keys, exact=True)
 
 
 # The first four are defined by the surveyed pipeline. It only names the last three; their meaning
