@@ -165,6 +165,10 @@ from (
 ) z where rn = 1
 """
 
+SQL["dedup_wide"] = SQL["dedup"]
+
+SQL["dedup_wide_earliest"] = SQL["dedup_earliest_pair"]
+
 SQL["dedup_across_batches"] = """
 select distinct text, lang, ingestion_time
 from (

@@ -220,6 +220,21 @@ def dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operators.dedup(documents.select("text", "lang", "n_chars"))
 
 
+@query
+def dedup_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests are shuffled instead of texts."""
+    documents = table(spark, sf_dir, "documents")
+    return operators.dedup(documents.select("text", "lang", "n_chars"), wide=True)
+
+
+@query
+def dedup_wide_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few of these rows are alike but for two columns, which are kept together from one row."""
+    orders = table(spark, sf_dir, "orders")
+    columns = ["o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate", "o_orderkey"]
+    return operators.dedup(orders.select(*columns), ignore=["o_orderdate", "o_orderkey"], wide=True)
+
+
 @query
 def dedup_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")

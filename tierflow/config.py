@@ -27,6 +27,8 @@ class PipelineConfig:
     source of the ingestion, such as ``maxBytesPerTrigger`` for a backlog; ``swap=False`` is for stores where a
     rename copies (see `refresh`).
 
+    ``wide_rows`` has silver compare digests instead of whole rows (see `dedup`), for long rows of which few come twice.
+
     The last group shapes silver and is empty by default: text columns to normalise, columns that must
     not be null, and expectations as SQL conditions by name, with what to do about a violation.
     """
@@ -49,6 +51,7 @@ class PipelineConfig:
     new_columns: str = "rescue"
     stream_options: dict[str, str] = field(default_factory=dict)
     swap: bool = True
+    wide_rows: bool = False
     text_columns: tuple[str, ...] = ()
     text_case: str | None = None
     required_columns: tuple[str, ...] = ()

@@ -90,7 +90,7 @@ def read_bronze(spark: SparkSession, config: PipelineConfig) -> DataFrame:
 def read_silver(spark: SparkSession, config: PipelineConfig) -> DataFrame:
     """The refined table, with the columns that the last version of the schema gives it."""
     bronze = spark.createDataFrame([], _bronze_schema(spark, config))
-    schema = stamp(silver_rows(bronze, config), SILVER_TIME).schema
+    schema = stamp(silver_rows(bronze, replace(config, wide_rows=False)), SILVER_TIME).schema
     return read_table(
         spark, Layers(config).silver, table_format=config.table_format, schema=schema, **BATCH_OPTIONS
     )
@@ -166,7 +166,8 @@ def silver_rows(bronze: DataFrame, config: PipelineConfig, dedup_by: str = "reco
         rows = normalize_text(rows, config.text_columns, config.text_case)
     if config.required_columns:
         rows = require_not_null(rows, config.required_columns)
-    return dedup(rows, ignore=[config.ingestion_time] if dedup_by == "record" else [])
+    ignore = [config.ingestion_time] if dedup_by == "record" else []
+    return dedup(rows, ignore=ignore, wide=config.wide_rows)
 
 
 def run_silver(
