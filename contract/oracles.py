@@ -25,6 +25,15 @@ from (
 ) z
 """
 
+SQL["top_groups_threshold"] = f"""
+select l_orderkey, {rounded("total")} as l_extendedprice
+from (
+  select l_orderkey, sum(l_extendedprice) as total
+  from lineitem where l_extendedprice is not null
+  group by l_orderkey order by total desc, l_orderkey nulls first limit 10
+) z
+"""
+
 SQL["top_n_per_year"] = """
 select * from (
   select *, cast(year(o_orderdate) as integer) as release_year,

@@ -55,6 +55,15 @@ def top_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def top_groups_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups that cannot be among the first ten are left out by a bound before they are summed."""
+    keys = ["l_orderkey"]
+    return operators.top_groups_by_sum(
+        table(spark, sf_dir, "lineitem"), keys, "l_extendedprice", tie_break=keys, many_groups=True
+    )
+
+
 @query
 def top_n_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operators.top_n_per_group(

@@ -1,0 +1,69 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tierflow.operators import models, top_groups_by_sum
+
+
+@pytest.fixture
+def skewed(spark, tmp_path):
+    """100,000 groups, of which 50 have large totals; one value in 50 is null, and so is one key."""
+    rows = spark.range(300_000, numPartitions=6).select(
+        F.when(F.col("id") % 30 == 0, F.col("id") / 30 % 50).otherwise(F.col("id") % 100_000).cast("long").alias("k"),
+        F.when(F.col("id") % 50 != 7, F.when(F.col("id") % 30 == 0, F.col("id") % 97 + 900.0).otherwise(F.col("id") % 11 / 4)).alias("v"),
+    )
+    rows = rows.withColumn("k", F.nullif("k", F.lit(13)))
+    rows.write.parquet(str(tmp_path / "t"))
+    return spark.read.parquet(str(tmp_path / "t"))
+
+
+def both(df, n=10, **kwargs):
+    plain = top_groups_by_sum(df, ["k"], "v", n, tie_break=["k"])
+    bounded = top_groups_by_sum(df, ["k"], "v", n, tie_break=["k"], many_groups=True, **kwargs)
+    return [tuple(r) for r in plain.collect()], [tuple(r) for r in bounded.collect()]
+
+
+def kept(df, n=10):
+    return models._with_large_groups(df.filter("v is not null"), ["k"], "v", n)
+
+
+@pytest.mark.parametrize("n", [1, 10, 200])
+def test_equal_to_the_full_aggregate(skewed, n):
+    plain, bounded = both(skewed, n)
+    assert plain == bounded and len(plain) == n
+
+
+def test_few_groups_are_shuffled(skewed):
+    survivors = kept(skewed)
+    assert survivors.select("k").distinct().count() < 1000
+    plan = survivors._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert "ReadSchema: struct<k:bigint,v:double>" in plan
+
+
+def test_exact_totals_of_the_survivors(skewed):
+    plain, bounded = both(skewed, exact=True)
+    assert plain == bounded
+
+
+@pytest.mark.parametrize("odd", [-1.0, float("nan"), float("inf")])
+def test_values_without_a_bound_are_all_summed(skewed, odd):
+    more = skewed.unionAll(skewed.sparkSession.createDataFrame([(5, odd)], "k long, v double"))
+    assert kept(more).count() == more.filter("v is not null").count()
+    plain, bounded = both(more)
+    assert str(plain) == str(bounded)
+
+
+def test_even_groups_are_all_summed(spark):
+    df = spark.range(200_000).selectExpr("id % 70000 as k", "1.0D as v")
+    assert kept(df).count() == 200_000
+    plain, bounded = both(df)
+    assert plain == bounded
+
+
+def test_small_inputs(spark):
+    df = spark.createDataFrame([(1, 2.0), (2, 0.0), (None, 1.0), (3, None)], "k long, v double")
+    plain, bounded = both(df)
+    assert plain == bounded == [(1, 2.0), (None, 1.0), (2, 0.0)]
+    assert both(df.limit(0)) == ([], [])
+    whole = df.select("k", F.col("v").cast("decimal(10,2)").alias("v"))
+    assert both(whole)[0] == both(whole)[1]

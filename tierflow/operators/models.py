@@ -12,6 +12,14 @@ from tierflow.functions import ref, round_half_up
 from tierflow.operators.exact import is_floating, summed
 from tierflow.operators.split import MOST_BROADCAST_ROWS, first_of_groups
 
+# Hash buckets of the bounds of `_with_large_groups`, the buckets whose groups are summed first, and the share
+# of buckets beyond which all groups are summed.
+BUCKETS = 1 << 16
+TRIED_PER_GROUP = 4
+LEAST_TRIED = 64
+MOST_KEPT = 0.5
+_BUCKET = "__bucket"
+
 _AGGREGATES = {"sum": F.sum, "avg": F.avg}
 
 # The task that ranks a hot group gets up to n rows from each task before it: 10 million rows of one
@@ -35,14 +43,22 @@ def top_groups_by_sum(
     digits: int = 2,
     tie_break: Sequence[str] = (),
     exact: bool = False,
+    many_groups: bool = False,
 ) -> DataFrame:
     """The ``n`` groups with the largest sum of ``value``, largest first.
 
     Null values are left out beforehand, so a group of nulls only does not appear. The cut is made on
     the unrounded sum; rounding comes last. ``tie_break`` names key columns that settle equal sums. With ``exact``
     the result does not depend on the order in which tasks end, see `exact_sums`.
+
+    ``many_groups`` is for more groups than should be shuffled, with values that are not negative: two passes over the
+    key and value columns find which groups can be among the first ``n``, and only their rows are summed. ``df`` is
+    then read three times and must be repeatable, and calling this runs those passes. Where they exclude too
+    little, or a value is negative or NaN, all groups are summed.
     """
     rows = df.filter(ref(value).isNotNull())
+    if many_groups:
+        rows = _with_large_groups(rows.select(*map(ref, dict.fromkeys([*keys, value]))), keys, value, n)
     return (
         _aggregated(rows, keys, {value: ("sum", value)}, exact)
         .orderBy(*_ordering(value, tie_break))
@@ -51,6 +67,44 @@ def top_groups_by_sum(
     )
 
 
+def _with_large_groups(rows: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
+    """The rows of all groups that can be among the ``n`` with the largest sums of values that are not negative.
+
+    Groups fall into buckets by hash; a bucket's sum is a bound that none of its groups exceeds. The groups of the
+    largest buckets are summed: the ``n``-th of them is a total that the winners reach, so a bucket with a smaller sum
+    holds none. Shuffled are one row per bucket and task, then the groups of a few buckets.
+    """
+    spark = rows.sparkSession
+    bucketed = rows.withColumn(_BUCKET, F.pmod(F.xxhash64(*map(ref, keys)), F.lit(BUCKETS)))
+    amount = ref(value).cast("double")
+    found = (
+        bucketed.groupBy(_BUCKET)
+        .agg(F.sum(amount).alias("total"), F.min(amount).alias("least"), F.max(amount).alias("most"), F.count("*").alias("n"))
+        .toArrow()  # at most BUCKETS rows
+        .sort_by([("total", "descending"), (_BUCKET, "ascending")])
+    )
+    totals, least, most = (found[c].to_pylist() for c in ("total", "least", "most"))
+    if not totals or min(least) < 0 or not all(x < float("inf") for x in most):  # NaN is not
+        return rows
+
+    def within(count: int) -> DataFrame:
+        kept = spark.createDataFrame(found.slice(0, count).select([_BUCKET]))
+        return bucketed.join(F.broadcast(kept), _BUCKET, "left_semi").drop(_BUCKET)
+
+    tried = max(TRIED_PER_GROUP * n, LEAST_TRIED)
+    if tried < len(totals):
+        sums = within(tried).groupBy(*map(ref, keys)).agg(F.sum(amount).alias("total"))
+        reached = sums.orderBy(F.desc("total")).limit(n).select("total").collect()
+        if len(reached) == n:
+            # what adding in another order may change: half a unit in the last place for each row, on both sides
+            slack = [1 + rows_of * 2.0**-51 for rows_of in found["n"].to_pylist()]
+            bound = reached[-1]["total"] / max(slack)
+            kept = max(tried, sum(total * s >= bound for total, s in zip(totals, slack)))
+            if kept <= len(totals) * MOST_KEPT:
+                return within(kept)
+    return rows
+
+
 def top_n_per_group(
     df: DataFrame,
     keys: Sequence[str],
