@@ -264,6 +264,23 @@ select count(*) as row_count,
 from events
 """
 
+SQL["expect_quarantine"] = """
+select distinct * from (
+  select event_id, ts, user_id, event_type, value, props,
+    concat_ws(',', case when not coalesce(value < 100, false) then 'small_value' end,
+      case when not coalesce(nullif(event_type, 'view') <> 'click', false) then 'known_type' end) as violated
+  from events
+) z
+"""
+SQL["expect_quarantine"] = f"select event_id, violated from ({SQL['expect_quarantine']}) y"
+
+SQL["expect_streamed_counts"] = """
+select count(*) as row_count,
+  count(*) filter (where not coalesce(value < 100, false)) as small_value,
+  count(*) filter (where not coalesce(nullif(event_type, 'view') <> 'click', false)) as known_type
+from (select distinct * from events) z
+"""
+
 SQL["newest"] = "select * from events order by ts desc limit 20"
 
 # ---- splitting ---------------------------------------------------------------------------------

@@ -21,8 +21,9 @@ from tierflow.plans import (
     run_pipeline,
     run_silver,
     stream_silver,
+    streamed_counts,
 )
-from tierflow.plans.pipeline import read_bronze, read_silver
+from tierflow.plans.pipeline import read_bronze, read_quarantine, read_silver
 from tierflow.sources import WRITE_OPTIONS, infer_schema, load_schema, read_csv, read_table
 from tierflow.streaming import bronze_schema
 
@@ -395,6 +396,40 @@ def expect_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([tuple(counts.values())], schema)
 
 
+@query
+def expect_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events arrive in two batches, the second with all of the first again; each refused one is named once."""
+    base = storage.staging_path(spark, "quarantine")
+    rules = {"small_value": "value_units < 100", "known_type": "nullif(event_type, 'view') <> 'click'"}
+    config = PipelineConfig(
+        base_uri=base, raw_schema=EVENT_SCHEMA, dataset="events", expectations=rules, on_violation="quarantine"
+    )
+    events = table(spark, sf_dir, "events").toDF(*EVENT_SCHEMA.fieldNames())
+    for arrival in (events.filter(F.col("Event Id") % 2 == 0), events):
+        land(arrival, Layers(config).source)
+        run_bronze(spark, config)
+        stream_silver(spark, config)
+    kept = read_silver(spark, config).select("event_id", F.lit("").alias("violated"))
+    violated = F.array_join("_violated", ",").alias("violated")
+    return kept.unionAll(read_quarantine(spark, config).select("event_id", violated))
+
+
+@query
+def expect_streamed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations of each rule, summed over the batches of a stream."""
+    rules = {"small_value": "value_units < 100", "known_type": "nullif(event_type, 'view') <> 'click'"}
+    config = PipelineConfig(
+        base_uri=storage.staging_path(spark, "counts"), raw_schema=EVENT_SCHEMA, dataset="events", expectations=rules
+    )
+    events = table(spark, sf_dir, "events").toDF(*EVENT_SCHEMA.fieldNames())
+    for part in (1, 0):
+        land(events.filter(F.col("Event Id") % 2 == part), Layers(config).source)
+        run_bronze(spark, config)
+        stream_silver(spark, config)
+    counts = streamed_counts(spark, config)
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} bigint" for name in counts))
+
+
 @query
 def newest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operators.newest(table(spark, sf_dir, "events"), "ts", n=20)

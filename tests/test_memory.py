@@ -6,8 +6,8 @@ from pyspark.sql import types as T
 
 from tierflow import PipelineConfig, storage
 from tierflow.functions import record_digest
-from tierflow.plans import Layers, run_silver, stream_silver
-from tierflow.plans.pipeline import read_silver
+from tierflow.plans import Layers, run_silver, stream_silver, streamed_counts
+from tierflow.plans.pipeline import read_quarantine, read_silver
 from tierflow.streaming import bronze_schema, memory, silver
 from tierflow.streaming.batches import is_committed
 
@@ -122,7 +122,7 @@ def test_a_rerun_after_a_failure(spark, config, monkeypatch, tmp_path, step):
 
     with monkeypatch.context() as broken:
         if step == "refine":
-            broken.setattr(storage, "stage", fail)
+            broken.setattr(storage, "staged", fail)
         elif step == "rows":
             broken.setattr(storage, "publish", fail)
         elif step == "log":
@@ -151,8 +151,62 @@ def test_records_meet_hits_only(spark, config):
     stream_silver(spark, config)
     path = Layers(config).silver
     batch = spark.createDataFrame([("b", 1.5, None), ("z", 1.5, None)], "name string, size double, ingestion_time timestamp")
-    fresh = silver._fresh(spark, batch, path, ("ingestion_time",), "parquet")
-    assert [r["name"] for r in fresh.collect()] == ["z"]
-    files = fresh.inputFiles()
-    assert files and all("_digests" in f or "refined-" in f for f in files)
-    assert fresh.filter(F.col("size") != 1.5).isEmpty()
+    with storage.staged(silver._keyed(batch, ("ingestion_time",)), "refined") as keyed:
+        fresh = silver._fresh(spark, keyed, path, ("ingestion_time",), "parquet")
+        assert [r["name"] for r in fresh.collect()] == ["z"]
+        files = fresh.inputFiles()
+        assert files and all("_digests" in f or "refined-" in f for f in files)
+        assert fresh.filter(F.col("size") != 1.5).isEmpty()
+    assert not [f for f in files if "refined-" in f and storage.exists(spark, f)]
+
+
+def rules_config(tmp_path, action):
+    rules = {"short": "length(name) < 3", "known": "name <> 'x'"}
+    return PipelineConfig(base_uri=str(tmp_path), raw_schema=RAW, expectations=rules, on_violation=action)
+
+
+@pytest.mark.parametrize("action", ["warn", "drop", "quarantine"])
+def test_counts_of_streams_equal_those_of_a_whole_run(spark, tmp_path, action):
+    """A record that comes again is not counted again, whether it was taken or not."""
+    config = rules_config(tmp_path, action)
+    for names in (["a", "x", "long", None], ["x", "long", "b", "longer"], ["a"]):
+        arrive(spark, config, names)
+        stream_silver(spark, config)
+    streamed = streamed_counts(spark, config)
+    assert streamed == {"row_count": 6, "short": 3, "known": 2}
+    stayed = [r["name"] for r in read_silver(spark, config).collect()]
+    assert len(stayed) == (6 if action == "warn" else 2)
+
+    def rejected():
+        rows = read_quarantine(spark, config)
+        assert rows.columns == [*read_silver(spark, config).columns, "_violated"]
+        return sorted((r["name"] or "", r["_violated"]) for r in rows.collect())
+
+    wanted = [("", ["short", "known"]), ("long", ["short"]), ("longer", ["short"]), ("x", ["known"])]
+    if action == "quarantine":
+        assert rejected() == wanted
+    assert run_silver(spark, config) == streamed
+    if action == "quarantine":
+        assert rejected() == wanted
+    assert sorted(map(str, stayed)) == sorted(str(r["name"]) for r in read_silver(spark, config).collect())
+
+
+def test_a_stream_that_fails_on_a_violation(spark, tmp_path):
+    config = rules_config(tmp_path, "fail")
+    arrive(spark, config, ["a", "x"])
+    with pytest.raises(Exception, match="violated: known"):
+        stream_silver(spark, config)
+    with pytest.raises(ValueError, match="on_violation"):
+        rules_config(tmp_path, "hide")
+
+
+def test_a_quarantined_batch_that_is_run_again(spark, tmp_path, monkeypatch):
+    config = rules_config(tmp_path, "quarantine")
+    arrive(spark, config, ["a", "x"])
+    with monkeypatch.context() as broken:
+        broken.setattr(memory, "add", lambda *_: 1 / 0)
+        with pytest.raises(Exception, match="division"):
+            stream_silver(spark, config)
+    stream_silver(spark, config)
+    assert read_quarantine(spark, config).count() == 1 and held(spark, config) == ["a"]
+    assert streamed_counts(spark, config) == {"row_count": 2, "short": 0, "known": 1}

@@ -30,7 +30,9 @@ class PipelineConfig:
     ``wide_rows`` has silver compare digests instead of whole rows (see `dedup`), for long rows of which few come twice.
 
     The last group shapes silver and is empty by default: text columns to normalise, columns that must
-    not be null, and expectations as SQL conditions by name, with what to do about a violation.
+    not be null, and expectations as SQL conditions by name, with what to do about a violation: ``warn`` counts it,
+    ``drop`` leaves the row out, ``quarantine`` puts it into a table of its own with the rules that it breaks, ``fail``
+    ends the run.
     """
 
     base_uri: str
@@ -68,6 +70,8 @@ class PipelineConfig:
             raise ValueError(f"on_rescued must be 'fail' or 'keep', not {self.on_rescued!r}")
         if self.new_columns not in ("rescue", "add"):
             raise ValueError(f"new_columns must be 'rescue' or 'add', not {self.new_columns!r}")
+        if self.on_violation not in ("warn", "drop", "quarantine", "fail"):
+            raise ValueError(f"on_violation must be warn, drop, quarantine or fail, not {self.on_violation!r}")
         unknown = set(self.layer_uris) - set(LAYERS)
         if unknown:
             raise ValueError(f"unknown layers {sorted(unknown)}; expected {LAYERS}")

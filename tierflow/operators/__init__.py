@@ -9,7 +9,16 @@ from tierflow.operators.models import (
     top_n_per_group,
     yearly_trends,
 )
-from tierflow.operators.quality import distinct_counts, expect, newest, null_counts, row_counts, violated
+from tierflow.operators.quality import (
+    distinct_counts,
+    expect,
+    newest,
+    null_counts,
+    quarantined,
+    row_counts,
+    violated,
+    violation_counts,
+)
 from tierflow.operators.refine import conform, dedup, normalize_text, require_not_null
 from tierflow.operators.split import assign_chunks, with_row_index, write_chunks
 
@@ -28,12 +37,14 @@ __all__ = [
     "newest",
     "normalize_text",
     "null_counts",
+    "quarantined",
     "require_not_null",
     "row_counts",
     "stamp",
     "top_groups_by_sum",
     "top_n_per_group",
     "violated",
+    "violation_counts",
     "with_row_index",
     "write_chunks",
     "yearly_trends",

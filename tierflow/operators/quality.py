@@ -77,6 +77,22 @@ def violated(rules: Mapping[str, Column]) -> Column:
     return F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
 
 
+def quarantined(df: DataFrame, rules: Mapping[str, Column], violated_col: str = "_violated") -> tuple[DataFrame, DataFrame]:
+    """The rows that break no rule, and the others with the list of the rules that each breaks.
+
+    ``df`` is read once for each of the two and must be repeatable; `tierflow.storage.stage` makes it so.
+    """
+    marked = df.withColumn(violated_col, violated(rules))
+    kept = marked.filter(F.size(violated_col) == 0).drop(violated_col)
+    return kept, marked.filter(F.size(violated_col) > 0)
+
+
+def violation_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """One row with ``row_count`` and the violations of each rule; null counts as a violation."""
+    broken = [F.count_if(~F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()]
+    return df.agg(F.count(F.lit(1)).alias("row_count"), *broken)
+
+
 def expect(
     df: DataFrame, rules: Mapping[str, Column], action: str = "warn"
 ) -> tuple[DataFrame, Observation]:

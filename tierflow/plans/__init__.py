@@ -10,6 +10,7 @@ from tierflow.plans.pipeline import (
     run_pipeline,
     run_silver,
     stream_silver,
+    streamed_counts,
 )
 from tierflow.plans.sizing import sized_for
 
@@ -24,4 +25,5 @@ __all__ = [
     "run_silver",
     "sized_for",
     "stream_silver",
+    "streamed_counts",
 ]

@@ -39,6 +39,11 @@ class Layers:
     def silver(self) -> str:
         return self.path("silver", self.config.dataset)
 
+    @property
+    def quarantine(self) -> str:
+        """Rows that silver does not take."""
+        return self.path("silver", "_quarantine", self.config.dataset)
+
     def gold(self, model: str) -> str:
         return self.path("gold", model)
 

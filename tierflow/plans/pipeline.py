@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,9 +21,11 @@ from tierflow.operators import (
     expect,
     normalize_text,
     null_counts,
+    quarantined,
     require_not_null,
     row_counts,
     stamp,
+    violation_counts,
 )
 from tierflow.plans.gold import GOLD_MODELS, Model
 from tierflow.plans.layers import Layers
@@ -38,7 +40,7 @@ from tierflow.sources import (
     list_files,
     read_table,
 )
-from tierflow.streaming import append_headed, append_refined, append_stream, bronze_schema, bronze_stream
+from tierflow.streaming import append_headed, append_refined, append_stream, batch_log, bronze_schema, bronze_stream
 
 # Names of columns and files that a report of rescued values lists.
 REPORTED = 10
@@ -183,15 +185,41 @@ def run_silver(
     """
     bronze = read_bronze(spark, config)
     check_rescued(bronze, config)
+    layers, rules = Layers(config), _rules(config)
     rows = silver_rows(bronze, config, dedup_by)
-    seen = None
-    if config.expectations:
-        rules = {name: F.expr(condition) for name, condition in config.expectations.items()}
-        rows, seen = expect(rows, rules, config.on_violation)
-    rows = stamp(rows, SILVER_TIME, at)
+    target = {"table_format": config.table_format, "swap": config.swap}
+    counts, seen = {}, None
     with sized_for(rows):
-        refresh(rows, Layers(config).silver, table_format=config.table_format, swap=config.swap)
-    return seen.get if seen else {}
+        if rules and config.on_violation == "quarantine":
+            rows = storage.stage(rows, "silver")
+            counts = violation_counts(rows, rules).first().asDict()
+            rows, rejected = quarantined(rows, rules)
+            refresh(stamp(rejected, SILVER_TIME, at), layers.quarantine, **target)
+        elif rules:
+            rows, seen = expect(rows, rules, config.on_violation)
+        refresh(stamp(rows, SILVER_TIME, at), layers.silver, **target)
+    return seen.get if seen else counts
+
+
+def _rules(config: PipelineConfig) -> dict[str, Column]:
+    return {name: F.expr(condition) for name, condition in config.expectations.items()}
+
+
+def streamed_counts(spark: SparkSession, config: PipelineConfig) -> dict[str, int]:
+    """The rows that `stream_silver` checked and the violations of each expectation, of all its batches."""
+    kinds = ", ".join(f"`{name}`: bigint" for name in config.expectations)
+    log = batch_log(spark, Layers(config).silver, f"batch long, row_count long, violations struct<{kinds}>")
+    sums = [F.coalesce(F.sum(F.col("violations")[name]), F.lit(0)).alias(name) for name in config.expectations]
+    return log.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"), *sums).first().asDict()
+
+
+def read_quarantine(spark: SparkSession, config: PipelineConfig) -> DataFrame:
+    """Rows that broke an expectation, with the names of those that each broke in ``_violated``."""
+    schema = T.StructType([*read_silver(spark, config).schema.fields])
+    schema.add("_violated", T.ArrayType(T.StringType()))
+    return read_table(
+        spark, Layers(config).quarantine, table_format=config.table_format, schema=schema, **BATCH_OPTIONS
+    )
 
 
 def stream_silver(
@@ -205,18 +233,15 @@ def stream_silver(
     """Append to silver what is new in bronze, shaped as by `run_silver`.
 
     A record stays as its first batch brought it, with the earliest ingestion time of that batch. What a batch reads
-    beside its own rows does not grow with silver, see `append_refined`.
+    beside its own rows does not grow with silver, see `append_refined`. Expectations are checked on new records, and
+    `streamed_counts` tells the violations.
     """
     layers = Layers(config)
     schema = _bronze_schema(spark, config)
 
     def refine(batch: DataFrame) -> DataFrame:
         check_rescued(batch, config)
-        rows = silver_rows(batch, config)
-        if config.expectations:
-            rules = {name: F.expr(condition) for name, condition in config.expectations.items()}
-            rows, _ = expect(rows, rules, config.on_violation)
-        return stamp(rows, SILVER_TIME, at)
+        return silver_rows(batch, config)
 
     settings = BATCH_OPTIONS | options
     raw = spark.readStream.schema(schema).format(config.table_format).options(**settings).load(layers.bronze)
@@ -230,6 +255,10 @@ def stream_silver(
         trigger,
         timeout,
         config.swap,
+        lambda rows: stamp(rows, SILVER_TIME, at),
+        _rules(config),
+        config.on_violation,
+        layers.quarantine,
     )
 
 

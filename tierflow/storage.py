@@ -188,6 +188,18 @@ def clear_staged(spark: SparkSession) -> None:
     fs.delete(home, True)
 
 
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """`stage` for the block only: the table is deleted at its end."""
+    spark = df.sparkSession
+    path = staging_path(spark, label)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete(spark, path)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a staged table and read it back.
 
