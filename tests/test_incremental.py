@@ -1,0 +1,145 @@
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tierflow import PipelineConfig, storage
+from tierflow.plans import (
+    STATEFUL_MODELS,
+    Layers,
+    layer_checks_incremental,
+    run_bronze,
+    run_gold,
+    run_gold_incremental,
+    run_silver,
+    stream_silver,
+)
+from tierflow.plans import incremental
+from tierflow.plans.gold import GOLD_MODELS
+from tierflow.sources import read_table
+
+RAW = (
+    T.StructType()
+    .add("Country", T.StringType())
+    .add("Artist", T.StringType())
+    .add("Album", T.StringType())
+    .add("Genre", T.StringType())
+    .add("Release Year", T.IntegerType())
+    .add("Total Streams (Millions)", T.DoubleType())
+    .add("Streams Last 30 Days (Millions)", T.DoubleType())
+    .add("Avg Stream Duration (Min)", T.DoubleType())
+    .add("Skip Rate (%)", T.DoubleType())
+)
+HEADER = ",".join(RAW.fieldNames())
+
+
+@pytest.fixture
+def config(tmp_path):
+    (tmp_path / "source" / "streaming").mkdir(parents=True)
+    return PipelineConfig(base_uri=str(tmp_path), raw_schema=RAW)
+
+
+def arrive(spark, config, name, lines):
+    with open(f"{Layers(config).source}/{name}.csv", "w") as file:
+        file.write("\n".join([HEADER, *lines]) + "\n")
+    run_bronze(spark, config)
+    stream_silver(spark, config)
+
+
+def arrivals():
+    """Groups that grow, appear and are overtaken, nulls everywhere, and values that plain addition rounds."""
+    first = [f"SE,A{i % 5},B{i},Pop,{2000 + i % 3},{i}.1,{i}.2,3.{i},0.{i}" for i in range(30)]
+    second = [f"DE,A{i % 7},B{i},Rock,{2001 + i % 3},1e16,{i},,{i}" for i in range(9)] + [",,,,,,,,"]
+    third = [f"DE,A{i % 7},C{i},Rock,{2001 + i % 3},-1e16,{i},4,{i}" for i in range(9)] + first[:4] + [",Z,Z,,,7,7,7,7"]
+    return [first, second, third]
+
+
+def tables(spark, config):
+    return {
+        name: [str(r) for r in read_table(spark, Layers(config).gold(name)).drop("gold_model_time").collect()]
+        for name in GOLD_MODELS
+    }
+
+
+def test_equal_to_the_full_recompute(spark, config):
+    assert set(STATEFUL_MODELS) == set(GOLD_MODELS)
+    for i, lines in enumerate(arrivals()):
+        arrive(spark, config, str(i), lines)
+        assert set(run_gold_incremental(spark, config).values()) == {1}
+        forward = tables(spark, config)
+        run_gold(spark, config)
+        whole = tables(spark, config)
+        for name in GOLD_MODELS:  # equal sort keys come in any order
+            assert sorted(forward[name]) == sorted(whole[name]), name
+    assert set(run_gold_incremental(spark, config).values()) == {0}
+
+
+def test_only_new_batches_are_read(spark, config, monkeypatch):
+    first, second, third = arrivals()
+    model = {"top_artists": STATEFUL_MODELS["top_artists"]}
+    seen = []
+    spied = incremental.StatefulModel(
+        lambda rows: seen.append(rows.inputFiles()) or model["top_artists"].state(rows),
+        model["top_artists"].combine,
+        model["top_artists"].finish,
+    )
+    for i, lines in enumerate((first, second, third)):
+        arrive(spark, config, str(i), lines)
+        run_gold_incremental(spark, config, {"top_artists": spied})
+        assert all(f"batch-{i:010}" in file for file in seen[-1]) and seen[-1]
+    home = Layers(config).path("gold", "_state", "top_artists")
+    assert storage.names_in(spark, home) == ["state-0000000002"]
+
+
+def test_a_run_that_fails_keeps_the_state(spark, config, monkeypatch):
+    first, second, _ = arrivals()
+    model = {"avg_duration_by_genre": STATEFUL_MODELS["avg_duration_by_genre"]}
+    arrive(spark, config, "0", first)
+    run_gold_incremental(spark, config, model)
+    arrive(spark, config, "1", second)
+    with monkeypatch.context() as broken:
+        broken.setattr(storage, "publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_gold_incremental(spark, config, model)
+    assert run_gold_incremental(spark, config, model) == {"avg_duration_by_genre": 1}
+    forward = tables_of(spark, config, "avg_duration_by_genre")
+    run_gold(spark, config, {"avg_duration_by_genre": GOLD_MODELS["avg_duration_by_genre"]})
+    assert forward == tables_of(spark, config, "avg_duration_by_genre")
+
+
+def tables_of(spark, config, name):
+    return sorted(str(r) for r in read_table(spark, Layers(config).gold(name)).drop("gold_model_time").collect())
+
+
+def test_recomputed_silver_is_refused(spark, config):
+    arrive(spark, config, "0", arrivals()[0])
+    run_silver(spark, config)
+    with pytest.raises(ValueError, match="use run_gold"):
+        run_gold_incremental(spark, config)
+
+
+def test_checks_read_new_batches_only(spark, config):
+    wanted = {"bronze": ("artist", "album"), "silver": ("album",)}
+    for i, lines in enumerate(arrivals()):
+        arrive(spark, config, str(i), lines)
+        found = layer_checks_incremental(spark, config, wanted)
+        assert [read for _, read in found.values()] == [1, 1]
+    again = layer_checks_incremental(spark, config, wanted)
+    assert [read for _, read in again.values()] == [0, 0]
+    bronze = again["bronze"][0].first().asDict()
+    assert bronze == {"rows": 54, "null_artist": 1, "distinct_artist": 8, "null_album": 1, "distinct_album": 40}
+    assert again["silver"][0].first().asDict() == {"rows": 50, "null_album": 1, "distinct_album": 40}
+    files = again["bronze"][0].inputFiles()
+    assert files and all("_checks" in file for file in files)
+
+
+def test_the_estimate_is_within_its_bound(spark, tmp_path):
+    schema = T.StructType().add("k", T.LongType())
+    for batch in range(3):
+        rows = spark.range(batch * 10_000, batch * 10_000 + 20_000).select(F.col("id").alias("k"))
+        rows.write.parquet(str(tmp_path / "t" / f"batch-{batch:010}"))
+        (tmp_path / "t" / "_batches").mkdir(exist_ok=True)
+        (tmp_path / "t" / "_batches" / f"{batch:010}.json").write_text("{}\n")
+        found, read = incremental.checks_of_batches(spark, str(tmp_path / "t"), schema, str(tmp_path / "c"), ["k"])
+        assert read == 1
+    row = found.first()
+    assert row["rows"] == 60_000 and abs(row["distinct_k"] - 40_000) <= 4 * 0.008 * 40_000

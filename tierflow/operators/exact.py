@@ -26,6 +26,7 @@ _DIGITS = 4
 # Bits of the number that is rounded, more than a double's 53 and the two that decide.
 _KEPT = 60
 
+_DIGIT_NAMES = [f"d{i}" for i in range(_DIGITS)]
 _STATE = "struct<carry:bigint,digits:array<bigint>>"
 
 
@@ -46,26 +47,42 @@ def is_floating(df: DataFrame, column: str) -> bool:
 
 def summed(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
     """Keys, ``__rows`` and ``__sums``, a struct that holds (total, n) for each of ``columns``: n counts non-null values."""
+    return merged_sums(partial_sums(df, keys, columns), keys, columns)
+
+
+def partial_sums(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
+    """What `merged_sums` needs of the rows: one row per group, column and place, to be stored and combined."""
     other = [c for c in columns.values() if not is_floating(df, c)]
     if other:
         raise ValueError(f"columns {other} are not float or double; their plain sums are exact")
-    names = [f"__key{i}" for i in range(len(keys))]
+    names = _key_names(keys)
     values = F.array(*(F.struct(F.lit(i).alias("m"), ref(c).cast("double").alias("x")) for i, c in enumerate(columns.values())))
     long = df.select(*(ref(k).alias(name) for k, name in zip(keys, names)), F.inline(values))
-    digits = [f"d{i}" for i in range(_DIGITS)]
-    placed = _placed(long, [*names, "m"], digits)
-    # one row per group, column and place; each task combines its own first
-    bins = placed.groupBy(*names, "m", "place").agg(
-        *(F.sum(d).alias(d) for d in digits),
+    placed = _placed(long, [*names, "m"], _DIGIT_NAMES)
+    # each task combines its own rows first
+    return placed.groupBy(*names, "m", "place").agg(
+        *(F.sum(d).alias(d) for d in _DIGIT_NAMES),
         F.sum("odd").alias("odd"),
         F.count("x").alias("n"),
         F.count(F.lit(1)).alias("rows"),
     )
-    groups = bins.groupBy(*names, "m").agg(
+
+
+def combined_sums(partial: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Partial sums of several parts of the rows, as those of all."""
+    names = _key_names(keys)
+    added = (*_DIGIT_NAMES, "odd", "n", "rows")
+    return partial.groupBy(*names, "m", "place").agg(*(F.sum(c).alias(c) for c in added))
+
+
+def merged_sums(partial: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
+    """Keys, ``__rows`` and ``__sums`` as from `summed`; ``partial`` has one row per group, column and place."""
+    names = _key_names(keys)
+    groups = partial.groupBy(*names, "m").agg(
         F.sum("odd").alias("odd"),
         F.sum("n").alias("n"),
         F.sum("rows").alias("rows"),
-        F.collect_list(F.struct("place", *digits)).alias("bins"),
+        F.collect_list(F.struct("place", *_DIGIT_NAMES)).alias("bins"),
     )
     total = F.when(F.col("n") > 0, F.coalesce("odd", "nearest"))
     totals = _rounded(groups).select(*names, "m", "n", "rows", total.alias("total"))
@@ -84,6 +101,10 @@ def summed(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> Da
     return wide.select(*(F.col(name).alias(k) for k, name in zip(keys, names)), "__rows", "__sums")
 
 
+def _key_names(keys: Sequence[str]) -> list[str]:
+    return [f"__key{i}" for i in range(len(keys))]
+
+
 def _power(exponent: Column) -> Column:
     """Two to a whole exponent within a double's range, exactly."""
     return F.pow(F.lit(2.0), exponent)

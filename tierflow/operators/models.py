@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tierflow.functions import ref, round_half_up
-from tierflow.operators.exact import is_floating, summed
+from tierflow.operators.exact import is_floating, merged_sums, partial_sums
 from tierflow.operators.split import MOST_BROADCAST_ROWS, first_of_groups
 
 # Hash buckets of the bounds of `_with_large_groups`, the buckets whose groups are summed first, and the share
@@ -202,15 +202,8 @@ def _aggregated(
     """Keys and unrounded measures; with ``row_count`` the number of rows. Plain sums are exact unless of doubles."""
     floating = {c: is_floating(df, c) for _, c in measures.values()} if exact else {}
     if exact and all(floating.values()):
-        totals = summed(df, keys, {c: c for c in floating})
-
-        def measure(kind: str, column: str) -> Column:
-            held = F.col("__sums")[column]
-            return held["total"] if kind == "sum" else F.try_divide(held["total"], held["n"])
-
-        outputs = [measure(kind, column).alias(name) for name, (kind, column) in measures.items()]
-        counted = [] if row_count is None else [F.col("__rows").alias(row_count)]
-        return totals.select(*map(ref, keys), *counted, *outputs)
+        partial = partial_sums(df, keys, {c: c for c in floating})
+        return exact_measures(partial, keys, measures, row_count)
     if any(floating.values()):
         raise ValueError(f"exact measures are all of doubles or all not: {floating}")
     outputs = [_AGGREGATES[kind](ref(column)).alias(name) for name, (kind, column) in measures.items()]
@@ -218,6 +211,21 @@ def _aggregated(
     return df.groupBy(*map(ref, keys)).agg(*counted, *outputs)
 
 
+def exact_measures(
+    partial: DataFrame, keys: Sequence[str], measures: dict[str, tuple[str, str]], row_count: str | None = None
+) -> DataFrame:
+    """Keys and unrounded measures from the `partial_sums` of the measures' columns."""
+    columns = {column: column for _, column in measures.values()}
+
+    def measure(kind: str, column: str) -> Column:
+        held = F.col("__sums")[column]
+        return held["total"] if kind == "sum" else F.try_divide(held["total"], held["n"])
+
+    outputs = [measure(kind, column).alias(name) for name, (kind, column) in measures.items()]
+    counted = [] if row_count is None else [F.col("__rows").alias(row_count)]
+    return merged_sums(partial, keys, columns).select(*map(ref, keys), *counted, *outputs)
+
+
 def yearly_trends(df: DataFrame, year: str, value: str, digits: int = 2, exact: bool = False) -> DataFrame:
     """Rows, total and change of the total against the year before, one row per year.
 
@@ -226,7 +234,13 @@ def yearly_trends(df: DataFrame, year: str, value: str, digits: int = 2, exact:
     such a table and defines nothing. The window runs on one row per year, after the aggregation, so
     ``year`` should be a column of few values. ``exact`` as in `group_summary`.
     """
-    totals = _aggregated(df, [year], {"__total": ("sum", value)}, exact, row_count="row_count")
+    return trends_of_totals(
+        _aggregated(df, [year], {"__total": ("sum", value)}, exact, row_count="row_count"), year, digits
+    )
+
+
+def trends_of_totals(totals: DataFrame, year: str, digits: int = 2) -> DataFrame:
+    """`yearly_trends` from one row per year with ``row_count`` and ``__total``."""
     known = Window.partitionBy(ref(year).isNull()).orderBy(F.asc(ref(year)))
     before = F.lag("__total").over(known)
     change = F.col("__total") - before
