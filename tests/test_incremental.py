@@ -87,7 +87,7 @@ def test_only_new_batches_are_read(spark, config, monkeypatch):
         run_gold_incremental(spark, config, {"top_artists": spied})
         assert all(f"batch-{i:010}" in file for file in seen[-1]) and seen[-1]
     home = Layers(config).path("gold", "_state", "top_artists")
-    assert storage.names_in(spark, home) == ["state-0000000002"]
+    assert storage.names_in(spark, home) == ["published-0000000002", "state-0000000002"]
 
 
 def test_a_run_that_fails_keeps_the_state(spark, config, monkeypatch):
@@ -100,7 +100,11 @@ def test_a_run_that_fails_keeps_the_state(spark, config, monkeypatch):
         broken.setattr(storage, "publish", lambda *_: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             run_gold_incremental(spark, config, model)
-    assert run_gold_incremental(spark, config, model) == {"avg_duration_by_genre": 1}
+    with monkeypatch.context() as broken:
+        broken.setattr(incremental, "refresh", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):  # the state is there, the table is not
+            run_gold_incremental(spark, config, model)
+    assert run_gold_incremental(spark, config, model) == {"avg_duration_by_genre": 0}
     forward = tables_of(spark, config, "avg_duration_by_genre")
     run_gold(spark, config, {"avg_duration_by_genre": GOLD_MODELS["avg_duration_by_genre"]})
     assert forward == tables_of(spark, config, "avg_duration_by_genre")
