@@ -395,6 +395,10 @@ SQL["refresh_table"] = _BALANCES.format(measure=rounded("sum(c_acctbal)"))
 
 SQL["write_once"] = _BALANCES.format(measure=rounded("avg(c_acctbal)"))
 
+SQL["publish_snapshots"] = f"""
+select * from ({_BALANCES.format(measure=rounded("sum(c_acctbal)"))}) b where c_nationkey > 4
+"""
+
 SQL["catalog_tables"] = """
 select (select 2 * count(*) from orders) as bronze_rows,
   (select count(*) from (select distinct * from orders) z) as silver_rows,

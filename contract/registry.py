@@ -674,6 +674,17 @@ def write_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+@query
+def publish_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three versions of a table, the third made from the second; then a write-once that finds it there."""
+    path = storage.staging_path(spark, "published")
+    for measure in ("avg", "sum"):
+        sinks.refresh(nation_balances(spark, sf_dir, measure), path, snapshots=True)
+    sinks.refresh(read_table(spark, path).filter("c_nationkey > 4"), path, snapshots=True)
+    sinks.write_once(nation_balances(spark, sf_dir, "avg"), path, snapshots=True)
+    return read_table(spark, path)
+
+
 @query
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One schema per layer, tables by qualified name, checked with scalar subqueries in SQL."""

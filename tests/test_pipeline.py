@@ -430,3 +430,20 @@ def test_json_fields_beyond_the_schema_are_rescued(spark, tmp_path):
     assert rows == {("A", 1): None, ("B", 2): '{"_unknown_fields":"{\\"Label\\":\\"new\\"}"}'}
     others = sorted(r[0] for r in read_bronze(spark, config).filter("artist is null").select("_rescued_data").collect())
     assert others == ['{"_malformed_line":"{broken"}', '{"plays":"x"}']
+
+
+def test_gold_as_snapshots(spark, tmp_path):
+    schemas = {layer: f"snap_{layer}" for layer in ("bronze", "silver", "gold")}
+    config = PipelineConfig(base_uri=str(tmp_path), raw_schema=RAW, on_rescued="keep", snapshots=True, schemas=schemas)
+    (tmp_path / "source" / "streaming").mkdir(parents=True)
+    drop(config, "chunk_1.csv", CHUNK_1)
+    assert set(run_pipeline(spark, config, gold_mode="once").values()) == {True}
+    (name,) = [n for n in register_tables(spark, config) if "top_songs_by_streams" in n]
+    assert gold(spark, config, "top_songs_by_streams").count() == spark.table(name).count() == 2
+    drop(config, "chunk_2.csv", CHUNK_2)
+    assert set(run_pipeline(spark, config, gold_mode="once").values()) == {False}
+    run_gold(spark, config)
+    register_tables(spark, config)
+    found = gold(spark, config, "top_songs_by_streams")
+    assert found.count() > 2 and sorted(map(tuple, spark.table(name).collect())) == sorted(map(tuple, found.collect()))
+    assert all(check.count() == 1 for check in layer_checks(spark, config).values())

@@ -25,7 +25,7 @@ class PipelineConfig:
     does about columns of a CSV header that the schema does not name: ``rescue`` them, row by row, or ``add`` them
     to the schema as a new version. ``stream_options`` go to the
     source of the ingestion, such as ``maxBytesPerTrigger`` for a backlog; ``swap=False`` is for stores where a
-    rename copies (see `refresh`).
+    rename copies (see `refresh`), ``snapshots=True`` publishes gold tables so that no reader finds one absent.
 
     ``wide_rows`` has silver compare digests instead of whole rows (see `dedup`), for long rows of which few come twice.
 
@@ -53,6 +53,7 @@ class PipelineConfig:
     new_columns: str = "rescue"
     stream_options: dict[str, str] = field(default_factory=dict)
     swap: bool = True
+    snapshots: bool = False
     wide_rows: bool = False
     text_columns: tuple[str, ...] = ()
     text_case: str | None = None

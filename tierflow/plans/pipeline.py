@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow import storage
+from tierflow import snapshots, storage
 from tierflow.config import GOLD_TIME, SILVER_TIME, PipelineConfig
 from tierflow.operators import (
     clean_names,
@@ -281,12 +281,12 @@ def run_gold(
 
     def write(name: str) -> bool:
         path = layers.gold(name)
-        if mode == "once" and storage.has_part_file(spark, path):
+        if mode == "once" and (storage.has_part_file(spark, path) or snapshots.current(spark, path)):
             return False  # before the model is built, which may read silver already
         table = stamp(models[name](silver), GOLD_TIME, at)
         if mode == "once":
-            return write_once(table, path, config.table_format)
-        refresh(table, path, table_format=config.table_format, swap=config.swap)
+            return write_once(table, path, config.table_format, config.snapshots)
+        refresh(table, path, table_format=config.table_format, swap=config.swap, snapshots=config.snapshots)
         return True
 
     with ThreadPoolExecutor(max_workers=max(len(models), 1)) as pool:
@@ -298,18 +298,24 @@ def register_tables(
 ) -> list[str]:
     """Make the layers readable by catalog name, as tables over their paths; the names.
 
-    Call it again after a run: a name that exists is refreshed.
+    Call it again after a run: a name that exists is refreshed, or moved to the newest snapshot.
     """
     layers = Layers(config)
+
+    def gold(model: str) -> str:
+        return snapshots.current(spark, layers.gold(model)) or layers.gold(model)
+
     if layers.bootstrap(spark) != config.catalog:
         layers = Layers(replace(config, catalog=None))
     tables = {
         layers.qualify("bronze", config.dataset): (layers.bronze, read_bronze(spark, config).schema, BATCH_OPTIONS),
         layers.qualify("silver", config.dataset): (layers.silver, read_silver(spark, config).schema, BATCH_OPTIONS),
-        **{layers.qualify("gold", model): (layers.gold(model), None, {}) for model in models},
+        **{layers.qualify("gold", model): (gold(model), None, {}) for model in models},
     }
     for name, (path, schema, options) in tables.items():
         if spark.catalog.tableExists(name):
+            if "/_snapshots/" in path:
+                spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
             spark.catalog.refreshTable(name)
         else:
             spark.catalog.createTable(name, path, config.table_format, schema, **options)

@@ -86,21 +86,36 @@ def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str |
 
 
 def write_new(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a small file; whether this call did, and not another writer before it. The store decides who is first."""
+    """Create a small file; whether this call did, and not another writer before it. The store decides who is first.
+
+    Hadoop's local file system looks first and creates then, so there the operating system is asked to do both.
+    """
     fs, handle = _open(spark, path)
+    data = bytearray(text.encode())
     try:
+        if fs.getScheme() == "file":
+            _create_local(spark, fs, handle, data)
+            return True
         out = fs.create(handle, False)
     except Py4JJavaError as error:
         if not fs.exists(handle):
             raise error
         return False
     try:
-        out.write(bytearray(text.encode()))
+        out.write(data)
     finally:
         out.close()
     return True
 
 
+def _create_local(spark: SparkSession, fs, handle, data: bytearray) -> None:
+    nio = spark._jvm.java.nio.file
+    fs.mkdirs(handle.getParent())
+    options = spark.sparkContext._gateway.new_array(nio.OpenOption, 2)
+    options[0], options[1] = nio.StandardOpenOption.CREATE_NEW, nio.StandardOpenOption.WRITE
+    nio.Files.write(spark._jvm.java.io.File(fs.makeQualified(handle).toUri()).toPath(), data, options)
+
+
 def read_small(spark: SparkSession, path: str) -> str:
     """The text of a small file."""
     fs, handle = _open(spark, path)
