@@ -88,6 +88,82 @@ def test_many_edited_copies_beside_an_exact_one_are_found(spark):
     assert {r.doc_id for r in decontaminate.contaminated(docs, items).collect()} == set(range(31))
 
 
+def all_pairs(docs, items):
+    """(doc_id, item_id) by an alignment of every item with every whole text."""
+    hashes = {k: common.word_hashes([t], marks_part=True)[0] for k, t in items}
+    found = set()
+    for doc_id, text in docs:
+        words = common.word_hashes([text], marks_part=True)[0]
+        for item_id, item in hashes.items():
+            if len(item) > 1 and decontaminate.align(item, words)[0] >= decontaminate.least_score(len(item)):
+                found.add((doc_id, item_id))
+    return found
+
+
+def replaced(words, step, at, draw):
+    return [w if k % step != at else f"new{draw.randrange(10**6)}" for k, w in enumerate(words)]
+
+
+def left_out(words, step, at, draw):
+    return [w for k, w in enumerate(words) if k % step != at]
+
+
+def put_in(words, step, at, draw):
+    return [x for k, w in enumerate(words) for x in ([w, f"new{draw.randrange(10**6)}"] if k % step == at else [w])]
+
+
+@pytest.mark.parametrize("edit", [replaced, left_out, put_in])
+def test_edits_of_every_nth_word_against_all_pairs(spark, edit):
+    """Every 3rd to 8th word (2nd to 8th put in), items of 2 to 70 words, half of them of 12 common ones.
+
+    All copies are found that an alignment of all pairs finds, and 98 % of the pairs that are alike by chance; no others.
+    """
+    draw = random.Random(17)
+    common_words = [f"c{k}" for k in range(12)]
+
+    def prose(n):
+        return [draw.choice(common_words) if draw.random() < 0.5 else f"w{draw.randrange(300)}" for _ in range(n)]
+
+    items = [(k, " ".join(prose(n))) for k, n in enumerate([2, 3, 4, 5, 6, 8, 9, 12, 15, 20, 28, 40, 41, 70])]
+    docs, copies = [], set()
+    for item_id, text in items:
+        words = text.split()
+        for step in range(2 if edit is put_in else 3, 9):
+            for at in (0, step // 2):
+                copies.add((len(docs), item_id))
+                docs.append((len(docs), " ".join([*prose(60), *edit(words, step, at, draw), *prose(60)])))
+    expected = all_pairs(docs, items)
+    assert len(expected) > 100
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontaminate.contaminated(table, spark.createDataFrame(items, "item_id long, text string"))
+    pairs = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert pairs <= expected and expected & copies <= pairs
+    assert len(pairs) >= 0.98 * len(expected)
+    left = decontaminate.without_contaminated(table, spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id for r in left.collect()} == {k for k, _ in docs} - {k for k, _ in pairs}
+
+
+def test_common_pairs_are_no_seeds():
+    words = common.word_hashes([ITEM], marks_part=True)[0]
+    grams = np.unique(common.shingle_hashes(words, 2))
+    counts = np.full(len(grams), 5)
+    often = common.shingle_hashes(words[:6], 2)
+    counts[np.searchsorted(grams, often)] = 1000
+    built = decontaminate.index([1], [words], grams, counts)
+    assert len(built["grams"]) == decontaminate.seed_count(len(words)) < len(words) - 1
+    assert not np.isin(often, built["grams"]).any()
+
+
+def test_many_hits_in_small_layouts(monkeypatch):
+    words = common.word_hashes([" ".join([ITEM, "x y z"] * 20)], marks_part=True)[0]
+    item = common.word_hashes([ITEM], marks_part=True)[0]
+    grams = np.unique(common.shingle_hashes(item, 2))
+    built = decontaminate.index(["a", "b"], [item, item[3:]], grams, np.ones(len(grams), np.int64))
+    whole = [m[:4] for m in decontaminate.matches(words, built)]
+    monkeypatch.setattr(decontaminate, "MOST_HITS", 7)
+    assert [m[:4] for m in decontaminate.matches(words, built)] == whole and whole[0][1] == 1.0
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_no_stretch_that_reaches_the_least_score_is_passed_over(seed):
     draw = np.random.default_rng(seed)

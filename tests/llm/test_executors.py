@@ -43,6 +43,7 @@ NAMES = (
     "op2_sharding",
     "op3_html_extraction",
     "op5_near_dedup",
+    "op6_decontamination",
     "op7_packing",
     "op9_licenses",
     "op11_ranked_search",
