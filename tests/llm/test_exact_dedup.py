@@ -40,6 +40,20 @@ def test_hot_text_is_cut_into_runs(spark, monkeypatch):
     assert all(r.kept for i, r in rows.items() if i % 3)
 
 
+def test_repeated_rows_of_a_cut_text_leave_one(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "RUN_ROWS", 10)
+    docs = spark.range(200).selectExpr("if(id % 2 = 0, null, id % 5) as doc_id", "concat('a b', space(int(id % 4))) as text")
+    rows = exact_dedup.duplicate_groups(docs).collect()
+    assert len(rows) == 200 and {r.group_size for r in rows} == {200} and sum(r.kept for r in rows) == 1
+    assert {r.keep_id for r in rows} == {0} and exact_dedup.without_copies(docs).count() == 1
+
+
+def test_rows_are_shuffled_once(spark, documents):
+    """By the content sort; only the first rows of cut runs are grouped by digest."""
+    plan = exact_dedup.duplicate_groups(documents)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
 @pytest.mark.parametrize("name", ["documents", "edge_docs"])
 def test_rows_that_stay_keep_all_columns(request, name):
     docs = request.getfixturevalue(name)

@@ -1,8 +1,9 @@
 """Exact dedup by sorting content: equal normalised texts become neighbours and are compared in full.
 
 Built-in expressions only. The range exchange draws its splitters from a sample of the keys; each
-partition is sorted with spilling, and the window compares neighbouring texts in full. A text with very
-many copies is cut into runs by document, which sort apart and are put together again by digest.
+partition is sorted with spilling, and the window compares neighbouring texts in full: group size and the row that stays
+come from the run of equal neighbours. A text with very many copies is cut into runs by document, which sort apart;
+only the first rows of these runs are put together by digest.
 """
 
 from __future__ import annotations
@@ -37,46 +38,60 @@ def _hot_texts(texts: DataFrame) -> DataFrame:
     )
 
 
-def _compared(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> tuple[DataFrame, DataFrame]:
-    """Rows (id, chars, place, text_sha256; with ``carry`` the whole row) and the best row of each digest.
-
-    ``place`` 1 marks the first row of each run of equal texts.
-    """
+def _compared(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
+    """Rows (id, keep_id, group_size, kept, text_sha256; with ``carry`` the whole row), as the sorted runs tell them."""
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.char_length(common.whole_text(text_col)).alias("chars"),
         normalised(text_col).alias("norm"),
         *([F.struct("*").alias("row")] if carry else []),
-    ).withColumn("key", F.xxhash64("norm"))
+    )
+    rows = rows.withColumn("key", F.xxhash64("norm")).withColumn("prefix", F.substring("norm", 1, PREFIX))
+    if not carry:  # normalised once; counts and splitters read their own columns
+        rows = common.stage(rows, "exact-texts")
     hot = F.broadcast(_hot_texts(rows.select("key")))
     runs = (
         rows.join(hot, F.col("key") == F.col("hot_key"), "left")
         .withColumn("run", F.pmod(F.xxhash64("id", "chars"), F.coalesce("runs", F.lit(1))))
-        .withColumn("prefix", F.substring("norm", 1, PREFIX))
-        .select("id", "chars", "key", "run", "prefix", "row" if carry else "norm")
+        .select("id", "chars", "key", "run", F.isnotnull("runs").alias("cut"), "prefix", "row" if carry else "norm")
     )
     # Partitions by (prefix, key, run) also keep the rows of a run together, so the window needs no
     # further exchange: it sorts each partition and starts a group wherever neighbouring texts differ.
     sorted_runs = runs.repartitionByRange("prefix", "key", "run")
     if carry:  # the original text travels, and is normalised again
         sorted_runs = sorted_runs.withColumn("norm", normalised(f"row.`{text_col}`"))
-    run = Window.partitionBy("prefix", "key", "run", "norm")
-    first = run.orderBy(F.desc("chars"), F.col("id").asc_nulls_last())
-    digest = F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256")
-    neighbours = sorted_runs.withColumn("place", F.row_number().over(first))
+    first = Window.partitionBy("prefix", "key", "run", "norm").orderBy(F.desc("chars"), F.col("id").asc_nulls_last())
+    whole = first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     compared = common.stage(
-        neighbours.select("id", "chars", "place", digest, *(["row"] if carry else [])), "exact-runs"
+        sorted_runs.select(
+            "id",
+            "cut",
+            F.row_number().over(first).alias("place"),
+            F.count(F.lit(1)).over(whole).alias("size"),
+            F.first("id").over(whole).alias("keep"),
+            F.first("chars").over(whole).alias("keep_chars"),
+            F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"),
+            *(["row"] if carry else []),
+        ),
+        "exact-runs",
     )
-    # (-chars, id is null, id): the smallest stays
-    order = F.struct((-F.col("chars")).alias("c"), F.isnull("id").alias("n"), F.col("id").alias("i"))
-    best = compared.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("group_size"), F.min(order).alias("best"))
-    # staged, so that adaptive execution can split the rows of one digest in the join with it
-    return compared, common.stage(best, "exact-best")
-
-
-def _stays() -> Column:
-    return (
-        (F.col("place") == 1) & F.col("id").eqNullSafe(F.col("best.i")) & (F.col("chars") == -F.col("best.c"))
+    # the runs of a cut text, put together by their first rows: (-chars, id is null, id), the smallest stays
+    order = F.struct((-F.col("keep_chars")).alias("c"), F.isnull("keep").alias("n"), F.col("keep").alias("i"))
+    joined = (
+        compared.filter("cut and place = 1")
+        .groupBy(F.col("text_sha256").alias("of"))
+        .agg(F.sum("size").alias("all"), F.min(order).alias("best"))
+    )
+    # at most MOST_CUT_TEXTS rows
+    found = compared.join(F.broadcast(joined), F.col("text_sha256") == F.col("of"), "left")
+    leads = F.isnull("of") | (F.col("keep").eqNullSafe(F.col("best.i")) & (F.col("keep_chars") == -F.col("best.c")))
+    return found.select(
+        "id",
+        F.when(F.isnull("of"), F.col("keep")).otherwise(F.col("best.i")).alias("keep_id"),
+        F.coalesce("all", "size").alias("group_size"),
+        ((F.col("place") == 1) & leads).alias("kept"),
+        "text_sha256",
+        *(["row"] if carry else []),
     )
 
 
@@ -88,13 +103,9 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     text counts as empty, and all empty texts form one group. A null id sorts after all others. Other
     columns are not looked at. An empty table gives an empty result.
     """
-    compared, best = _compared(docs, id_col, text_col, carry=False)
-    return compared.join(best, "text_sha256").select(
-        F.col("id").alias(id_col), F.col("best.i").alias("keep_id"), "group_size", _stays().alias("kept"), "text_sha256"
-    )
+    return _compared(docs, id_col, text_col, carry=False).withColumnRenamed("id", id_col)
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all columns of ``docs``; see `duplicate_groups`."""
-    compared, best = _compared(docs, id_col, text_col, carry=True)
-    return compared.join(best.select("text_sha256", "best"), "text_sha256").filter(_stays()).select("row.*")
+    return _compared(docs, id_col, text_col, carry=True).filter("kept").select("row.*")
