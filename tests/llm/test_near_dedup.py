@@ -54,6 +54,30 @@ def test_a_link_between_two_of_three_versions_with_the_smallest_as_hub(spark):
     check(docs, near_dedup.near_duplicates(docs))
 
 
+def test_pairs_of_a_template_group_are_sifted_before_texts_are_read(spark, monkeypatch):
+    """Pages that share half of their words, with a few near copies among them: few pairs reach the texts."""
+    draw = random.Random(9)
+    template = [f"t{k}" for k in range(300)]
+    texts = []
+    for page in range(120):
+        words = list(template)
+        for k in range(12):  # twelve places of five shingles each
+            words[25 * k + draw.randrange(25)] = f"p{page}x{k}"
+        texts.append(" ".join(words))
+    texts += [f"{texts[k]} again" for k in range(0, 120, 10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = []
+    verified = near_dedup._verified
+
+    def counted(pairs, *rest):
+        counts.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(near_dedup, "_verified", counted)
+    check(docs, near_dedup.near_duplicates(docs))
+    assert sum(counts) < len(texts) ** 2 / 8
+
+
 def test_short_texts(spark):
     draw = random.Random(6)
     texts = [" ".join(draw.choice("abc") for _ in range(draw.randrange(12))) for _ in range(250)]

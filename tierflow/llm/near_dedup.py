@@ -6,8 +6,10 @@ function sees the whole set (the k-function form), so a short document leaves no
 compressed registers propose candidates, a collision-corrected estimate sifts them, and the sets decide.
 
 Equal sets are one node. A bucket of n nodes proposes each node with the bucket's hub, its most central node, and with
-its smallest node, about 2n pairs; one of three nodes proposes all three pairs. Where that leaves more than one class in a bucket of four or more, a join on the
-rarest shingles of the sets concerned finds the rest exactly. No group's pairs are ever listed.
+its smallest node, about 2n pairs; one of three nodes proposes all three pairs. Where that leaves more than one class in a
+bucket of four or more, a join on the rarest shingles of the sets concerned proposes the rest. The estimate sifts these pairs
+too, before any text is read. Pairs of one class are not listed, but a group of many sets that are all just less alike than the
+limit, such as pages of one template, has as many classes as sets, and most of its pairs are verified.
 """
 
 from __future__ import annotations
@@ -191,7 +193,7 @@ def _shingles_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) ->
 def _remaining(docs: DataFrame, members: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Pairs between the classes that are left in buckets of four or more, and that may be links.
 
-    Exact, by the prefix filter: shingles are ordered by how few of these sets have them. Two sets that are alike
+    No link is left out, by the prefix filter: shingles are ordered by how few of these sets have them. Two sets that are alike
     share one of the first quarter of either, and at the first that they share enough of both must still lie ahead.
     Only rows outside the commonest class of a shingle look for partners.
     """
@@ -254,7 +256,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = hubs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
     links = _verified(_likely(pairs, nodes), docs, id_col, text_col, "near")
     classes = common.stage(components(links), "near-classes")
-    more = _verified(_remaining(docs, members, classes, id_col, text_col), docs, id_col, text_col, "near-more")
+    rest = _remaining(docs, members, classes, id_col, text_col)
+    more = _verified(_likely(rest, nodes), docs, id_col, text_col, "near-more")
     if not more.isEmpty():
         merged = classes.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more.select("a", "b"))
         classes = common.stage(components(merged), "near-classes")
