@@ -5,7 +5,7 @@ from tierflow.llm import extraction, queries
 
 def article(html):
     root = extraction.parse(html)
-    return "\n".join(text for _, inside, text in extraction.blocks(root) if inside)
+    return "\n".join(text for _, inside, _, text in extraction.blocks(root) if inside)
 
 
 @pytest.mark.parametrize(
@@ -88,6 +88,121 @@ def test_wrapper_separates_template_and_content(spark):
         assert lines == [f"Headline {k}", f"Body of story {k}", f"Its end {k * 7}", *items]
 
 
+def lines(spark, rows, partitions=3):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(partitions)
+    return {r.page_id: r.text.split("\n") for r in extraction.main_texts(pages).collect()}
+
+
+def test_tree_matching_tells_like_elements_apart(spark, monkeypatch):
+    rows = [
+        (
+            k,
+            f"https://site.example/{k}",
+            f"<body><div><span>Our site</span></div><div>Offer of the day {k % 2}</div><div>Story {k}<br></div>"
+            + "<div><em>More</em></div>" * (k % 3),
+        )
+        for k in range(40)
+    ]
+    assert lines(spark, rows) == {k: [f"Story {k}"] for k in range(40)}
+    monkeypatch.setattr(extraction, "tree_match", lambda a, b, known: (0, []))
+    assert all(f"Offer of the day {k % 2}" in text for k, text in lines(spark, rows).items())
+
+
+def test_template_inside_the_article_goes(spark):
+    rows = [
+        (
+            k,
+            f"https://a.example/{k}",
+            f"<article><div>Cookies: we use them</div><h1>Headline {k}</h1><p>Body of story {k}</p><p>Write to us</p>"
+            f"<div>Share this page</div></article>",
+        )
+        for k in range(40)
+    ]
+    assert lines(spark, rows) == {k: [f"Headline {k}", f"Body of story {k}"] for k in range(40)}
+
+
+def test_an_article_shown_again_stays(spark):
+    story = "".join(f"<p>passage {i} of one story</p>" for i in range(6))
+    rows = [
+        (k, f"https://b.example/{k}", f"<nav>n</nav><article><h1>Story</h1>{story}<p>edition {k}</p></article>")
+        for k in range(9)
+    ]
+    want = ["Story", *(f"passage {i} of one story" for i in range(6))]
+    assert lines(spark, rows) == {k: [*want, f"edition {k}"] for k in range(9)}
+    copies = [(k, f"https://b.example/{k}", rows[0][2]) for k in range(9)]
+    assert lines(spark, copies) == {k: [*want, "edition 0"] for k in range(9)}
+
+
+def test_a_passage_of_two_articles_stays(spark):
+    rows = [
+        (k, f"https://c.example/{k}", f"<article><h1>Title {k}</h1><p>one motto</p><p>text {k}</p></article>")
+        for k in range(2)
+    ]
+    assert lines(spark, rows) == {k: [f"Title {k}", "one motto", f"text {k}"] for k in range(2)}
+
+
+@pytest.mark.parametrize("first", [None, "", "<html><body></body></html>", "<p>moved"])
+@pytest.mark.parametrize("n", [2, 3, 4, 40])
+def test_small_hosts_and_an_odd_first_page(spark, first, n):
+    rows = [
+        (
+            k,
+            f"https://d.example/{k}",
+            f"<body><div>Our site</div><div>Menu A B</div><div><h1>Headline {k}</h1><p>Story {k}</p></div>"
+            "<div>All about us</div>",
+        )
+        for k in range(1, n + 1)
+    ]
+    found = lines(spark, [(0, "https://d.example/0", first), *rows])
+    assert found.pop(0) == (["moved"] if first and "moved" in first else [""])
+    assert found == {k: [f"Headline {k}", f"Story {k}"] for k in range(1, n + 1)}
+
+
+def test_two_layouts_of_one_host(spark):
+    def page(k):
+        if k % 3:
+            return f"<body><div>Top</div><div>Offer {k % 2}</div><div><p>Story {k}</p></div><div><b>Foot</b></div>"
+        return f"<body><section>Shop</section><section>Sale {k % 2}</section><section><p>Item {k}</p></section><i>End</i>"
+
+    found = lines(spark, [(k, f"https://e.example/{k}", page(k)) for k in range(60)])
+    assert found == {k: [f"Story {k}" if k % 3 else f"Item {k}"] for k in range(60)}
+
+
+def test_words_in_names_are_hints_inside_an_article(spark):
+    html = (
+        "<article><h1>T{k}</h1><h2 id='related'>Related work {k}</h2><p class='search'>Search trees {k}</p>"
+        "<div class='social'>Social life {k}</div><div class='share'>Share this</div>"
+        "<h2 id='comments'>Comments on {k}</h2><p>Text {k}</p>"
+        "<section id='comments'><p>Reader {k}</p></section><p class='ad'>Buy {k}</p></article>"
+        "<div class='related'>More {k}</div>"
+    )
+    found = lines(spark, [(k, f"https://f.example/{k}", html.replace("{k}", str(k))) for k in range(12)])
+    for k, text in found.items():
+        want = [f"T{k}", f"Related work {k}", f"Search trees {k}", f"Social life {k}", f"Comments on {k}", f"Text {k}"]
+        assert text == want
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_merged_trees_hold_both(seed):
+    import random
+
+    draw = random.Random(seed)
+
+    def tree(depth):
+        return [draw.choice("abc"), [tree(depth - 1) for _ in range(draw.randrange(4))] if depth else []]
+
+    def size(t):
+        return 1 + sum(size(c) for c in t[1])
+
+    a, b = ["r", [tree(2) for _ in range(4)]], ["r", [tree(2) for _ in range(4)]]
+    both = extraction.reference_tree([a, b])
+    common = extraction.tree_match(a, b, {})[0]
+    assert size(both) == size(a) + size(b) - common
+    assert extraction.tree_match(a, both, {})[0] == size(a) and extraction.tree_match(b, both, {})[0] == size(b)
+    places = extraction.slots(a, both)
+    assert len(places) == size(a) == len(set(places)) and all(0 <= p < size(both) for p in places)
+
+
 def test_edge_cases(spark):
     schema = "page_id long, url string, html string, text string, host string, blocks string"
     rows = [(1, None, None), (2, "", ""), (None, "http://a.example/x", "<article>no id</article>")]
