@@ -8,8 +8,9 @@ from __future__ import annotations
 import logging
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,9 @@ log = logging.getLogger(__name__)
 # Formats that are plain directories of files, without a transaction log of their own.
 FILE_FORMATS = ("parquet", "orc", "csv", "json", "text")
 
+# Folders below the application's own into which tables are staged now.
+_SCOPE: ContextVar[tuple[str, ...]] = ContextVar("scope", default=())
+
 
 def join(*parts: str) -> str:
     """Join URI parts with single slashes, leaving out empty ones."""
@@ -185,7 +189,7 @@ def _staging_home(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the application's own folder under the staging root."""
-    return join(_staging_home(spark), f"{label}-{uuid.uuid4().hex}")
+    return join(_staging_home(spark), *_SCOPE.get(), f"{label}-{uuid.uuid4().hex}")
 
 
 @contextmanager
@@ -215,6 +219,20 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
         delete(spark, path)
 
 
+def stage_result(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """`stage` what ``make`` returns, and delete what it staged itself on the way, also if it fails."""
+    path = staging_path(spark, label)
+    scope = (*_SCOPE.get(), f"scope-{uuid.uuid4().hex}")
+    outer = _SCOPE.set(scope)
+    try:
+        made = make()
+        made.write.parquet(path)
+    finally:
+        _SCOPE.reset(outer)
+        delete(spark, join(_staging_home(spark), *scope))
+    return spark.read.schema(made.schema).parquet(path)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a staged table and read it back.
 
