@@ -28,8 +28,8 @@ MOST_MISSED = 1e-4
 # Lengths of a class differ by this factor at most; windows start every so many parts of the class's length.
 CLASS_RATIO = math.sqrt(2)
 STRIDE_PARTS = 8
-# Templates are taken in parts of so many, which bounds what is broadcast.
-PART = 500
+# Templates are taken in parts of about so many words, which bounds what is broadcast and what the driver holds.
+PART_WORDS = 100_000
 
 # Notices by their usual short names, and the standard texts and file headers of ``license_texts``.
 TEMPLATES = {
@@ -138,11 +138,11 @@ def default_templates(spark: SparkSession) -> DataFrame:
 
 
 def _parts(templates: DataFrame, name_col: str, notice_col: str) -> Iterator[DataFrame]:
-    """Templates of two words or more, in parts of about ``PART``."""
+    """Templates of two words or more, in parts of about ``PART_WORDS`` words; a longer template is whole."""
     rows = templates.select(
         F.col(name_col).alias("license"), words_of(F.coalesce(F.col(notice_col), F.lit(""))).alias("words")
     ).filter(F.size("words") > 1)
-    parts = -(-rows.count() // PART)
+    parts = -(-(rows.agg(F.sum(F.size("words"))).first()[0] or 0) // PART_WORDS)
     for part in range(parts):
         yield rows.filter(F.pmod(F.xxhash64("license", "words"), F.lit(parts)) == part)
 
