@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,8 +25,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each writes Parquet in the shared folder, which the next one reads."""
+    """All stages over ``documents``; each writes Parquet in the shared folder, which the next one reads.
+
+    What a stage stages for itself is deleted as soon as its result is written.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = storage.stage(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = storage.stage_result(spark, partial(stage, spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

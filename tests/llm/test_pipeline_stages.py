@@ -6,6 +6,7 @@ import numpy as np
 from brute import kept_copies, near_classes
 
 import corpus_pipeline
+from tierflow import storage
 from tierflow.llm import packing, queries, stages, toxicity
 
 DIRECTORY = "/root/testdata/sf0.001"
@@ -38,6 +39,15 @@ def test_run_equals_plain_stages(spark):
         assert got == encoder.encode_ordinary(text) + [packing.END_ID]
 
 
+def test_run_leaves_the_stages_only(spark):
+    home = storage._staging_home(spark)
+    before = set(storage.names_in(spark, home))
+    corpus_pipeline.run(spark, DIRECTORY)
+    left = sorted(name.rsplit("-", 1)[0] for name in set(storage.names_in(spark, home)) - before)
+    assert [n for n in left if n.startswith("pipeline-")] == sorted(f"pipeline-{n}" for n, _ in corpus_pipeline.STAGES[:-1])
+    assert not [n for n in left if n.startswith("scope")]
+
+
 def test_stages_keep_the_columns_and_take_edge_cases(spark, edge_docs, no_docs):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, edge_docs, DIRECTORY).columns == edge_docs.columns
