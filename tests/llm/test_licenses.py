@@ -91,3 +91,13 @@ def test_edge_cases(spark, edge_docs, no_docs):
     assert sorted(r.doc_id for r in rows) == [1, 2, 3, 4] and {r.license for r in rows} == {"a"}
     assert licenses.license_matches(no_docs).count() == 0
     assert licenses.license_matches(edge_docs, templates.limit(0)).count() == 0
+
+
+def test_parts_of_templates_give_the_same_rows(spark, monkeypatch):
+    notices = [(f"n{k}", f"notice number {k} of the kind w{k}") for k in range(6)]
+    templates = spark.createDataFrame(notices, "license string, notice string")
+    docs = spark.createDataFrame([(k, f"start {n} end") for k, (_, n) in enumerate(notices)], "doc_id long, text string")
+    whole = sorted(licenses.license_matches(docs, templates).collect())
+    monkeypatch.setattr(licenses, "PART_WORDS", 14)
+    assert len(list(licenses._parts(templates, "license", "notice"))) == 3
+    assert whole and sorted(licenses.license_matches(docs, templates).collect()) == whole
