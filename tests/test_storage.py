@@ -1,3 +1,5 @@
+import gzip
+
 import pytest
 
 from tierflow import storage
@@ -31,3 +33,11 @@ def test_stage_result_leaves_nothing_after_a_failure(spark):
     assert not [name for name in left if not name.startswith("whole")]
     later = storage.stage(spark.range(1), "later")
     assert later.count() == 1 and any(name.startswith("later") for name in staged_now(spark))
+
+
+def test_first_line_of_a_packed_file(spark, tmp_path):
+    with gzip.open(tmp_path / "a.csv.gz", "wt", encoding="utf-8") as file:
+        file.write("\nnämn,b\n1,2\n")
+    (tmp_path / "b.csv").write_text("c,d\n")
+    assert storage.first_line(spark, str(tmp_path / "a.csv.gz")) == "nämn,b"
+    assert storage.first_line(spark, str(tmp_path / "b.csv")) == "c,d"

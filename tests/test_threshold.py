@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tierflow.operators import models, top_groups_by_sum
+from tierflow.operators import exact_sums, models, top_groups_by_sum
+from tierflow.operators.exact import leading_groups, partial_sums, placed_rows, sums_of_leading
 
 
 @pytest.fixture
@@ -67,3 +68,45 @@ def test_small_inputs(spark):
     assert both(df.limit(0)) == ([], [])
     whole = df.select("k", F.col("v").cast("decimal(10,2)").alias("v"))
     assert both(whole)[0] == both(whole)[1]
+
+
+def led(df, n=10):
+    size = F.abs("v")
+    return leading_groups(df.filter("v is not null"), [F.col("k")], F.col("v"), size, n)
+
+
+def test_leading_groups_of_nearly_as_many_as_rows(spark):
+    """Nearly every row a group of its own: few rows are summed, where buckets of groups exclude none."""
+    df = spark.range(200_000, numPartitions=4).selectExpr("id % 190000 as k", "double(hash(id) % 1000) / 7 + 300 as v")
+    assert kept(df).count() == 200_000
+    assert led(df).count() < 2_000
+    plain = top_groups_by_sum(df, ["k"], "v", tie_break=["k"], exact=True)
+    bounded = top_groups_by_sum(df, ["k"], "v", tie_break=["k"], exact=True, small_groups=True)
+    assert plain.collect() == bounded.collect() and plain.count() == 10
+
+
+@pytest.mark.parametrize("odd", [-1e12, float("nan"), float("inf"), float("-inf"), 1e300, 5e-324])
+@pytest.mark.parametrize("n", [1, 10, 5000])
+def test_leading_groups_of_odd_values(spark, odd, n):
+    df = spark.range(3_000).selectExpr("if(id % 9 = 0, null, id % 2000) as k", "double(id % 100 - 30) as v")
+    df = df.unionAll(spark.createDataFrame([(5, odd), (None, odd), (6, None)], "k long, v double"))
+    plain = top_groups_by_sum(df, ["k"], "v", n, tie_break=["k"], exact=True)
+    bounded = top_groups_by_sum(df, ["k"], "v", n, tie_break=["k"], exact=True, small_groups=True)
+    assert str(plain.collect()) == str(bounded.collect())
+
+
+def test_leading_groups_of_even_totals_and_of_none(spark):
+    df = spark.range(5_000).selectExpr("id as k", "1.0D as v")
+    assert led(df).count() == 5_000
+    assert led(df.limit(0)).count() == 0
+
+
+def test_partial_sums_of_leading_groups(spark):
+    """From stored sums, of one run or several, as from rows; values of both signs and of several places."""
+    df = spark.range(6_000).selectExpr("id % 5500 as k", "pow(-3.0D, id % 23) / 7 as v")
+    partial = partial_sums(df, ["k"], {"v": "v"})
+    halves = partial_sums(df.filter("k % 2 = 0"), ["k"], {"v": "v"}).unionAll(placed_rows(df.filter("k % 2 = 1"), ["k"], {"v": "v"}))
+    best = {r["k"] for r in exact_sums(df, ["k"], {"v": "v"}).orderBy(F.desc("v")).limit(10).collect()}
+    for found in (partial, halves):
+        few = sums_of_leading(found, ["k"], 10)
+        assert best <= {r["__key0"] for r in few.collect()} and few.count() < 3_000

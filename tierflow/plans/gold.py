@@ -25,7 +25,7 @@ Model = Callable[[DataFrame], DataFrame]
 
 def top_songs_by_streams(silver: DataFrame) -> DataFrame:
     keys = ["album", "artist"]
-    return top_groups_by_sum(silver, keys, "total_streams_millions", n=10, tie_break=keys, exact=True)
+    return top_groups_by_sum(silver, keys, "total_streams_millions", n=10, tie_break=keys, exact=True, small_groups=True)
 
 
 def top_streams_by_year(silver: DataFrame) -> DataFrame:
