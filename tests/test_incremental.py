@@ -1,3 +1,5 @@
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -147,3 +149,42 @@ def test_the_estimate_is_within_its_bound(spark, tmp_path):
         assert read == 1
     row = found.first()
     assert row["rows"] == 60_000 and abs(row["distinct_k"] - 40_000) <= 4 * 0.008 * 40_000
+
+
+def test_a_large_state_is_not_rewritten_for_each_batch(spark, config, monkeypatch):
+    """States of new batches lie beside the first, up to a number; then all become one. The table is that of all rows."""
+    name = "top_songs_by_streams"
+    few = incremental._top_groups(["album", "artist"], "total_streams_millions", small_groups=True)
+    model = {name: dataclasses.replace(few, most_runs=2)}
+    home = Layers(config).path("gold", "_state", name)
+    expected = [["state-0000000000"], ["run-0000000001", "state-0000000000"]]
+    expected += [["run-0000000001", "run-0000000002", "state-0000000000"], ["state-0000000003"]]
+    for i, lines in enumerate([*arrivals(), ["DE,A1,B1,Pop,2001,5e15,1,1,1", "DE,New,New,Pop,2001,2e16,1,1,1"]]):
+        arrive(spark, config, str(i), lines)
+        assert run_gold_incremental(spark, config, model) == {name: 1}
+        assert [n for n in storage.names_in(spark, home) if "published" not in n] == expected[i]
+        forward = tables_of(spark, config, name)
+        run_gold(spark, config, {name: GOLD_MODELS[name]})
+        assert sorted(forward) == sorted(tables_of(spark, config, name))
+
+
+def test_runs_that_a_state_took_in_are_left_out(spark, config):
+    """A run that ends between the new state and the deletion of what it took in counts nothing twice."""
+    name = "top_songs_by_streams"
+    home = Layers(config).path("gold", "_state", name)
+    for i, lines in enumerate(arrivals()[:2]):
+        arrive(spark, config, str(i), lines)
+        run_gold_incremental(spark, config, {name: STATEFUL_MODELS[name]})
+    found = spark.read.parquet(f"{home}/state-0000000000", f"{home}/run-0000000001")
+    found.write.parquet(f"{home}/state-0000000001")
+    arrive(spark, config, "2", arrivals()[2])
+    run_gold_incremental(spark, config, {name: STATEFUL_MODELS[name]})
+    forward = tables_of(spark, config, name)
+    run_gold(spark, config, {name: GOLD_MODELS[name]})
+    assert sorted(forward) == sorted(tables_of(spark, config, name))
+
+
+def test_the_state_of_rows_takes_no_shuffle(spark):
+    rows = spark.range(10).selectExpr("string(id) as album", "string(id) as artist", "double(id) as total_streams_millions")
+    state = STATEFUL_MODELS["top_songs_by_streams"].state(rows)
+    assert "Exchange" not in state._jdf.queryExecution().executedPlan().toString()

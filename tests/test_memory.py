@@ -210,3 +210,36 @@ def test_a_quarantined_batch_that_is_run_again(spark, tmp_path, monkeypatch):
     stream_silver(spark, config)
     assert read_quarantine(spark, config).count() == 1 and held(spark, config) == ["a"]
     assert streamed_counts(spark, config) == {"row_count": 2, "short": 0, "known": 1}
+
+
+def test_records_are_staged_once_where_none_is_held(spark, config, monkeypatch):
+    labels = []
+    staged = storage.staged
+    monkeypatch.setattr(storage, "staged", lambda df, label: labels.append((label, df.columns)) or staged(df, label))
+    for names in (["a", "b"], ["c", "c", "d"], ["d", "e"]):
+        arrive(spark, config, names)
+        stream_silver(spark, config)
+    assert held(spark, config) == ["a", "b", "c", "d", "e"]
+    assert [label for label, _ in labels] == ["refined", "refined", "near", "refined", "near", "fresh"]
+    assert all("__digest" not in columns for _, columns in labels)
+
+
+def test_digests_are_kept_as_bytes_in_as_many_buckets_as_due(spark, config, monkeypatch):
+    """A large first batch makes its buckets at once; 16 bytes a digest."""
+    monkeypatch.setattr(memory, "BUCKET_ROWS", 4)
+    written = []
+    write = memory._write_run
+    monkeypatch.setattr(memory, "_write_run", lambda *args: written.append(args[4]) or write(*args))
+    arrive(spark, config, [f"n{i}" for i in range(40)])
+    stream_silver(spark, config)
+    assert written == ["base"]
+    found = memory.digests(spark, Layers(config).silver)
+    assert [r[0] for r in found.select(F.octet_length("digest")).distinct().collect()] == [16] and found.count() == 40
+
+
+def test_a_short_hash_in_common_drops_no_record(spark, config, monkeypatch):
+    monkeypatch.setattr(silver, "_short", lambda: F.lit(1).cast("long").alias("short"))
+    for names in (["a", "b"], ["b", "c"], ["d"]):
+        arrive(spark, config, names)
+        stream_silver(spark, config)
+    assert held(spark, config) == ["a", "b", "c", "d"]
