@@ -194,3 +194,52 @@ def test_edge_cases(edge_docs, no_docs):
     rows = lm.score(edge_docs, nothing, nothing_left, PATH).collect()
     assert {r.n_known for r in rows} == {0} and {r.train_tokens for r in rows} == {0}
     assert all(math.isfinite(r.score) for r in rows)
+
+
+def test_texts_are_taken_apart_once(docs):
+    """What fit and score read are the staged ids, not the texts; the rows are those of the table itself."""
+    tokens = lm.tokens(docs, PATH)
+    model, rest = lm.fit(tokens, PATH)
+    scored = lm.score(tokens, model, rest, PATH)
+    for read in (tokens.docs, tokens.counts, rest, scored):
+        assert not set(read.inputFiles()) & set(docs.inputFiles())
+    rows = scored.collect()
+    assert len(rows) == docs.count()
+    check(docs, rows)
+    keeper = lm.Words(packing.load_ranks(PATH))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in tokens.docs.limit(50).collect():
+        want = keeper.token_ids(keeper.take([texts[r.id]])[0])[0]
+        assert np.frombuffer(r.ids, np.uint16).tolist() == want.tolist()
+
+
+def test_words_are_those_between_ascii_white_space():
+    keeper = lm.Words(packing.load_ranks(PATH))
+    texts = [" a\x0b\x0cB\x1cC d \r\n", "", " \t ", "É x\x85y\x00z a", "\u00a0lead trail\u3000"]
+    numbers, starts = keeper.take(texts)
+    known = {n: w for w, n in keeper.numbers.items()}
+    found = [[known[n] for n in numbers[a:b].tolist()] for a, b in zip(starts[:-1], starts[1:])]
+    assert found == [t.encode().lower().split() for t in texts]
+    ids, begins = keeper.token_ids(numbers)
+    assert (np.flatnonzero(keeper.begins[ids]) == begins[:-1]).all()
+
+
+def test_counts_of_words_are_found_by_their_hashes(fitted):
+    draw = np.random.default_rng(3)
+    ends = [-(1 << 63), -1, 0, (1 << 63) - 1]
+    hashes = np.unique(np.concatenate([ends, draw.integers(-(1 << 63), 1 << 63, 500), np.arange(40) + (7 << 40)]))
+    model = dataclasses.replace(fitted[0], words=hashes[::2], counts=np.arange(len(hashes[::2])) + 5)
+    want = np.where(np.arange(len(hashes)) % 2 == 0, np.arange(len(hashes)) // 2 + 5, -1)
+    assert (model.counts_of(hashes) == want).all()
+
+
+def test_logits_that_overflow_are_bounded(fitted):
+    scorer = fitted[0].scorer
+    weights = lm._first_weights()
+    weights["embed"][:] = 6
+    weights["query"][:] = weights["key"][:] = np.eye(lm.WIDTH)  # scores are 144 and more; exp of that is no float32
+    inputs, targets = np.random.default_rng(4).integers(0, lm.CLASSES, (2, 3, lm.WINDOW))
+    loss, found = lm.gradients(weights, scorer.bigrams, inputs, targets, np.ones(inputs.shape, bool))
+    assert np.isfinite(loss) and all(np.isfinite(g).all() for g in found.values())
+    text = targets.ravel().astype(np.int16)
+    assert np.isfinite(lm.Scorer(weights, scorer.bigrams).log_probabilities([text])).all()

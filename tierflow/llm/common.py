@@ -130,6 +130,15 @@ def word_hashes(texts: list[str], marks_part: bool = False) -> tuple[np.ndarray,
     return hashes, np.searchsorted(starts, text_starts)
 
 
+def run_hashes(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """64-bit hashes of runs of 64-bit values; ``bounds`` has where each run begins, and where the last ends."""
+    up, down = _POWERS.to(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=sums[1:])
+    starts, ends = bounds[:-1], bounds[1:]
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """Hash of the ``width`` words from each position on; order counts. Short inputs give none."""
     n = len(words) - width + 1

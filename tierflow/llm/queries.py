@@ -115,9 +115,9 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    model, rest = lm.fit(docs, tokenizer_path())
-    return lm.score(docs, model, rest, tokenizer_path())
+    tokens = lm.tokens(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    model, rest = lm.fit(tokens, tokenizer_path())
+    return lm.score(tokens, model, rest, tokenizer_path())
 
 
 MANIFEST_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
